@@ -42,6 +42,11 @@ def risky_headlines(feed: DataFrame, params: Params = Params()) -> DataFrame:
     return feed.where(has_kw).select("position", "headline", low.alias("lower_headline"))
 
 
+def _take(text: Column, n: int):
+    # one-argument lambda: a second parameter would receive the element index
+    return lambda x: F.substring(text, x, F.lit(n))
+
+
 def _grams(text: Column) -> Column:
     """Distinct 1-, 2- and 3-grams of a string, as an array."""
     n_len = F.length(text)
@@ -50,7 +55,7 @@ def _grams(text: Column) -> Column:
             F.when(n_len >= n, F.sequence(F.lit(1), n_len - n + 1)).otherwise(
                 F.array().cast("array<int>")
             ),
-            lambda x, n=n: F.substring(text, x, n),
+            _take(text, n),
         )
         for n in range(1, MAX_GRAM + 1)
     ]
