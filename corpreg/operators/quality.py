@@ -140,6 +140,14 @@ def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None)
     )
 
 
+def match_rate_of(golden: DataFrame, s2_rows: int) -> DataFrame:
+    """Match rate when the Source-2 row count is already known."""
+    agg = golden.agg(F.count(F.lit(1)).alias("golden_rows")).select(
+        "golden_rows", F.lit(int(s2_rows)).cast("bigint").alias("s2_rows")
+    )
+    return agg.select("golden_rows", "s2_rows", _pct("golden_rows", "s2_rows").alias("match_rate_pct"))
+
+
 def _pct(num: str, den: str) -> Column:
     n = F.coalesce(F.col(num), F.lit(0))
     d = F.coalesce(F.col(den), F.lit(0))
