@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from corpreg.functions.names import canonical_name, corporate_id, normalized_name
 from corpreg.params import S1_NAME, S2_NAME, Params
+from corpreg.session import materialize
 
 
 def _seq(lo: Column, hi: Column) -> Column:
@@ -155,25 +156,35 @@ def fuzzy_full_outer(
     """Row-level full outer fuzzy join with canonical name and corporate id.
 
     Same rows as ``s1 FULL OUTER JOIN s2 ON norm equal OR levenshtein <= k``,
-    built from an inner equi-join through ``pairs`` plus the two anti-joins.
-    Each part is an equi-join, so hot names can be split by AQE; the output
-    size is that of the row-level join by definition.
+    built from equi-joins only:
+
+    * ``s1 LEFT JOIN pairs`` on the Source-1 name, then the rows that found
+      a partner name are inner-joined with ``s2`` on the Source-2 name and
+      the others are the Source-1-only rows;
+    * ``s2 LEFT ANTI JOIN pairs`` gives the Source-2-only rows.
+
+    Both branches of each source share one hash exchange (Spark reuses it),
+    so each source is shuffled once. The row-level join is an inner join,
+    which AQE can split when one name is hot; its output size is that of the
+    row-level join by definition. ``pairs`` (distinct names only) is
+    checkpointed when computed here, as two branches read it.
     """
     if pairs is None:
-        pairs = fuzzy_pairs(s1, s2, params)
+        pairs = materialize(fuzzy_pairs(s1, s2, params))
     a = _with_norm(s1, S1_NAME, "norm_name_s1", params)
     b = _with_norm(s2, S2_NAME, "norm_name_s2", params)
     a_cols = a.columns
     b_cols = b.columns
+    a_pairs = a.join(pairs, a["norm_name_s1"] == pairs["norm_1"], "left")
     matched = (
-        a.join(pairs, a["norm_name_s1"] == pairs["norm_1"])
+        a_pairs.where(F.col("norm_2").isNotNull())
         .join(b, F.col("norm_2") == b["norm_name_s2"])
         .select(*a_cols, *b_cols)
     )
-    left = unmatched_s1(s1, pairs, params).select(
+    left = a_pairs.where(F.col("norm_2").isNull()).select(
         *a_cols, *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_cols]
     )
-    right = unmatched_s2(s2, pairs, params).select(
+    right = b.join(pairs, b["norm_name_s2"] == pairs["norm_2"], "left_anti").select(
         *[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in a_cols], *b_cols
     )
     joined = matched.unionByName(left).unionByName(right)

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators.fuzzy import fuzzy_pairs_of_names
 from corpreg.params import S1_NAME, S2_NAME, Params
+from corpreg.session import materialize
 
 # Rank keys in priority order (all descending, NULLs last).
 S1_RANK = ("address", "corporate_name_S1", "activity_places", "top_suppliers")
@@ -97,21 +98,32 @@ def _as_golden_s2(best_s2: DataFrame) -> DataFrame:
     )
 
 
-def golden_records(s1: DataFrame | None, s2: DataFrame, params: Params = Params()) -> DataFrame:
+def golden_records(
+    s1: DataFrame | None, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
+) -> DataFrame:
     """One row per corporate id: ``corporate_id, corporate_name, address,
     activity_places, top_suppliers, main_customers, revenue, profit``.
 
     ``s1=None`` means Source 1 has not arrived: every Source-2 name is its
     own company.
+
+    With ``materialize_steps`` the per-name best rows and the pairs (one row
+    per distinct name or pair, far smaller than the input) are checkpointed
+    to the shared folder: each source is then scanned and aggregated once,
+    although three branches of the plan use it, and the fuzzy join starts
+    from a lineage cut.
     """
+    keep = materialize if materialize_steps else (lambda df: df)
     if s1 is None:
         return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params))
-    best_s1 = best_per_name(s1, S1_NAME, S1_RANK, params)
-    best_s2 = best_per_name(s2, S2_NAME, S2_RANK, params)
-    pairs = fuzzy_pairs_of_names(
-        best_s1.select(F.col("norm").alias("name")),
-        best_s2.select(F.col("norm").alias("name")),
-        params,
+    best_s1 = keep(best_per_name(s1, S1_NAME, S1_RANK, params))
+    best_s2 = keep(best_per_name(s2, S2_NAME, S2_RANK, params))
+    pairs = keep(
+        fuzzy_pairs_of_names(
+            best_s1.select(F.col("norm").alias("name")),
+            best_s2.select(F.col("norm").alias("name")),
+            params,
+        )
     )
     return golden_from_best(best_s1, best_s2, pairs, params)
 

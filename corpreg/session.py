@@ -46,3 +46,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan (Spark
+    would otherwise recompute it per branch) and to cut lineage before
+    expensive stages, so that a lost executor re-reads the checkpoint
+    instead of recomputing its inputs.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
