@@ -175,22 +175,31 @@ def fuzzy_full_outer(
     b = _with_norm(s2, S2_NAME, "norm_name_s2", params)
     a_cols = a.columns
     b_cols = b.columns
+    # the id of a row is the MD5 of its canonical name's normalized form,
+    # i.e. of norm_name_s1 when a Source-1 row is present, else norm_name_s2:
+    # hash once per input row, not once per (much larger) output row
+    a = a.withColumn("_id1", F.md5("norm_name_s1"))
+    b = b.withColumn("_id2", F.md5("norm_name_s2"))
     a_pairs = a.join(pairs, a["norm_name_s1"] == pairs["norm_1"], "left")
     matched = (
         a_pairs.where(F.col("norm_2").isNotNull())
         .join(b, F.col("norm_2") == b["norm_name_s2"])
-        .select(*a_cols, *b_cols)
+        .select(*a_cols, *b_cols, F.col("_id1").alias("corporate_id"))
     )
     left = a_pairs.where(F.col("norm_2").isNull()).select(
-        *a_cols, *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_cols]
+        *a_cols,
+        *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_cols],
+        F.col("_id1").alias("corporate_id"),
     )
     right = b.join(pairs, b["norm_name_s2"] == pairs["norm_2"], "left_anti").select(
-        *[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in a_cols], *b_cols
+        *[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in a_cols],
+        *b_cols,
+        F.col("_id2").alias("corporate_id"),
     )
     joined = matched.unionByName(left).unionByName(right)
-    canon = canonical_name(S1_NAME, S2_NAME)
-    return joined.withColumn("canonical_corporate_name", canon).withColumn(
-        "corporate_id", corporate_id("canonical_corporate_name", params.suffix_regex)
+    out_cols = [*a_cols, *b_cols]
+    return joined.select(
+        *out_cols, canonical_name(S1_NAME, S2_NAME).alias("canonical_corporate_name"), "corporate_id"
     )
 
 

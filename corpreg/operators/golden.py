@@ -101,6 +101,12 @@ def _as_golden_s2(best_s2: DataFrame) -> DataFrame:
 def golden_records(
     s1: DataFrame | None, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
 ) -> DataFrame:
+    return golden_and_pairs(s1, s2, params, materialize_steps)[0]
+
+
+def golden_and_pairs(
+    s1: DataFrame | None, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
+) -> tuple[DataFrame, DataFrame | None]:
     """One row per corporate id: ``corporate_id, corporate_name, address,
     activity_places, top_suppliers, main_customers, revenue, profit``.
 
@@ -115,7 +121,7 @@ def golden_records(
     """
     keep = materialize if materialize_steps else (lambda df: df)
     if s1 is None:
-        return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params))
+        return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params)), None
     best_s1 = keep(best_per_name(s1, S1_NAME, S1_RANK, params))
     best_s2 = keep(best_per_name(s2, S2_NAME, S2_RANK, params))
     pairs = keep(
@@ -125,7 +131,7 @@ def golden_records(
             params,
         )
     )
-    return golden_from_best(best_s1, best_s2, pairs, params)
+    return golden_from_best(best_s1, best_s2, pairs, params), pairs
 
 
 def top_row_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
@@ -171,6 +177,7 @@ __all__ = [
     "corporate_id",
     "golden_from_best",
     "golden_from_harmonized",
+    "golden_and_pairs",
     "golden_records",
     "top_row_per_key",
     "top_row_per_key_window",

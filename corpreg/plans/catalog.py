@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators import fuzzy, golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
-from corpreg.session import scratch_path
+from corpreg.session import materialize, scratch_path
 from corpreg.sources import fixtures
 from corpreg.sources.registry import SnapshotRegistry, merge_frames
 
@@ -132,7 +132,8 @@ def q_dq_verdicts(spark, d):
 
 def q_match_rate(spark, d):
     s1, s2 = _s1(spark, d), _s2(spark, d)
-    return quality.match_rate(golden.golden_records(s1, s2, P), s2, fuzzy.fuzzy_pairs(s1, s2, P))
+    g, pairs = golden.golden_and_pairs(s1, s2, P)
+    return quality.match_rate(g, s2, pairs)
 
 
 def q_drift_check(spark, d):
@@ -141,7 +142,9 @@ def q_drift_check(spark, d):
 
 
 def _tagged(spark, d):
-    return risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P)
+    """The registry batch (risk-tagged golden records), checkpointed once
+    because registry, reconciliation and training queries read it twice."""
+    return materialize(risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P))
 
 
 def _tagged_first_batch(spark, d):
@@ -150,11 +153,12 @@ def _tagged_first_batch(spark, d):
 
 
 def q_risk_screen(spark, d):
-    return _tagged(spark, d)
+    return risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P)
 
 
-def _merged(spark, d):
-    return merge_frames(_tagged_first_batch(spark, d), _tagged(spark, d)).select(*REGISTRY_ORDER)
+def _merged(spark, d, batch=None):
+    batch = _tagged(spark, d) if batch is None else batch
+    return merge_frames(_tagged_first_batch(spark, d), batch).select(*REGISTRY_ORDER)
 
 
 def q_registry_merge(spark, d):
@@ -189,7 +193,8 @@ def q_registry_preview(spark, d):
 
 
 def q_reconcile_delivery(spark, d):
-    return quality.reconcile_delivery(_merged(spark, d), _tagged(spark, d), P)
+    batch = _tagged(spark, d)
+    return quality.reconcile_delivery(_merged(spark, d, batch), batch, P)
 
 
 def q_profit_features(spark, d):
