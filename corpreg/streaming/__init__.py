@@ -1,0 +1,5 @@
+"""Incremental ingestion of landing files with Structured Streaming."""
+
+from corpreg.streaming.landing import landing_stream, start_landing_ingest, upsert_batch
+
+__all__ = ["landing_stream", "start_landing_ingest", "upsert_batch"]
