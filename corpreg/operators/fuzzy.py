@@ -109,18 +109,22 @@ def _norms(df: DataFrame, name_col: str, params: Params) -> DataFrame:
 
 
 def fuzzy_pairs_of_names(
-    norm_1: DataFrame, norm_2: DataFrame, params: Params = Params()
+    norm_1: DataFrame, norm_2: DataFrame, params: Params = Params(), index_side: int = 1
 ) -> DataFrame:
     """Pairs (norm_1, norm_2) of distinct normalized names within k edits.
 
     ``norm_1`` / ``norm_2`` hold one column ``name``. Names shorter than
-    ``params.min_name_length`` match only when equal.
+    ``params.min_name_length`` match only when equal. ``index_side`` picks
+    the side cut into segments; the other side emits about (2k+1)^2 probe
+    rows per name against k+1 index rows, so the larger side should be the
+    index.
     """
     k = params.max_edits
     m = params.min_name_length
-    pairs = similar_pairs(norm_1, norm_2, k).select(
-        F.col("a").alias("norm_1"), F.col("b").alias("norm_2")
-    )
+    if index_side == 1:
+        pairs = similar_pairs(norm_1, norm_2, k).select(F.col("a").alias("norm_1"), F.col("b").alias("norm_2"))
+    else:
+        pairs = similar_pairs(norm_2, norm_1, k).select(F.col("b").alias("norm_1"), F.col("a").alias("norm_2"))
     if m > 0:
         short = (F.length("norm_1") < m) | (F.length("norm_2") < m)
         pairs = pairs.where(~short | (F.col("norm_1") == F.col("norm_2")))
@@ -138,16 +142,26 @@ def _with_norm(df: DataFrame, name_col: str, norm_col: str, params: Params) -> D
     )
 
 
+def matched_names(pairs: DataFrame, side: int) -> DataFrame:
+    """Distinct names of one side that have at least one partner. Anti-joins
+    use this instead of ``pairs`` so that a name with many partners is one
+    row on the build side."""
+    col = "norm_1" if side == 1 else "norm_2"
+    return pairs.select(F.col(col).alias("_matched")).distinct()
+
+
 def unmatched_s1(s1: DataFrame, pairs: DataFrame, params: Params = Params()) -> DataFrame:
     """Source-1 rows (non-null name) whose name matches no Source-2 name."""
     a = _with_norm(s1, S1_NAME, "norm_name_s1", params)
-    return a.join(pairs, a["norm_name_s1"] == pairs["norm_1"], "left_anti")
+    m = matched_names(pairs, 1)
+    return a.join(m, a["norm_name_s1"] == m["_matched"], "left_anti")
 
 
 def unmatched_s2(s2: DataFrame, pairs: DataFrame, params: Params = Params()) -> DataFrame:
     """Source-2 rows (non-null name) whose name matches no Source-1 name."""
     b = _with_norm(s2, S2_NAME, "norm_name_s2", params)
-    return b.join(pairs, b["norm_name_s2"] == pairs["norm_2"], "left_anti")
+    m = matched_names(pairs, 2)
+    return b.join(m, b["norm_name_s2"] == m["_matched"], "left_anti")
 
 
 def fuzzy_full_outer(
@@ -191,7 +205,8 @@ def fuzzy_full_outer(
         *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_cols],
         F.col("_id1").alias("corporate_id"),
     )
-    right = b.join(pairs, b["norm_name_s2"] == pairs["norm_2"], "left_anti").select(
+    m2 = matched_names(pairs, 2)
+    right = b.join(m2, b["norm_name_s2"] == m2["_matched"], "left_anti").select(
         *[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in a_cols],
         *b_cols,
         F.col("_id2").alias("corporate_id"),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpreg.functions.names import corporate_id, normalized_name
-from corpreg.operators.fuzzy import fuzzy_pairs_of_names
+from corpreg.operators.fuzzy import fuzzy_pairs_of_names, matched_names
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.session import materialize
 
@@ -80,7 +80,8 @@ def golden_from_best(
         F.col("best2.revenue").cast("double").alias("revenue"),
         F.col("best2.profit").cast("double").alias("profit"),
     )
-    s2_only = _as_golden_s2(best_s2.join(pairs, best_s2["norm"] == pairs["norm_2"], "left_anti"))
+    m2 = matched_names(pairs, 2)
+    s2_only = _as_golden_s2(best_s2.join(m2, best_s2["norm"] == m2["_matched"], "left_anti"))
     return with_s1.unionByName(s2_only)
 
 
@@ -124,11 +125,16 @@ def golden_and_pairs(
         return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params)), None
     best_s1 = keep(best_per_name(s1, S1_NAME, S1_RANK, params))
     best_s2 = keep(best_per_name(s2, S2_NAME, S2_RANK, params))
+    # index the larger name set (counts are cheap once checkpointed)
+    index_side = 1
+    if materialize_steps and best_s2.count() > best_s1.count():
+        index_side = 2
     pairs = keep(
         fuzzy_pairs_of_names(
             best_s1.select(F.col("norm").alias("name")),
             best_s2.select(F.col("norm").alias("name")),
             params,
+            index_side,
         )
     )
     return golden_from_best(best_s1, best_s2, pairs, params), pairs

@@ -103,3 +103,14 @@ def test_golden_independent_of_partitioning(spark, sf_small):
     a = sorted(golden_records(s1, s2).collect(), key=repr)
     b = sorted(golden_records(s1.repartition(7), s2.repartition(3)).collect(), key=repr)
     assert a == b
+
+
+def test_index_side_does_not_change_pairs(spark):
+    rng = random.Random(11)
+    a = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 10))) for _ in range(80)]
+    b = [mutate(s, rng, 2) for s in a[:50]] + ["", "b"]
+    n1 = spark.createDataFrame([(x,) for x in set(a)], "name string")
+    n2 = spark.createDataFrame([(x,) for x in set(b)], "name string")
+    p1 = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(), 1).collect()}
+    p2 = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(), 2).collect()}
+    assert p1 == p2 == brute(a, b, 2)
