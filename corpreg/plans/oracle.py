@@ -73,7 +73,7 @@ registry AS (SELECT * FROM tagged_a WHERE corporate_id NOT IN (SELECT corporate_
              UNION ALL SELECT * FROM tagged),
 features AS (SELECT *, CASE WHEN profit > {P.profit_threshold} THEN 1 ELSE 0 END AS high_profit_indicator,
                     CASE WHEN top_suppliers IS NULL OR trim(top_suppliers) = '' THEN 0
-                         ELSE len(string_split(top_suppliers, ',')) END AS supplier_count0
+                         ELSE CAST(len(string_split(top_suppliers, ',')) AS INTEGER) END AS supplier_count0
              FROM tagged)
 """
 
@@ -157,8 +157,9 @@ def oracle_sql() -> dict[str, str]:
             + """ AS nn FROM corp_s2) s2n) s"""
         ),
         "drift_check": _q(
-            f"""SELECT r AS match_rate_pct, {P.historical_match_rate_pct - P.match_rate_deviation_pct} AS lower_bound_pct,
-                       {P.historical_match_rate_pct + P.match_rate_deviation_pct} AS upper_bound_pct,
+            f"""SELECT r AS match_rate_pct,
+                       CAST({P.historical_match_rate_pct - P.match_rate_deviation_pct} AS DOUBLE) AS lower_bound_pct,
+                       CAST({P.historical_match_rate_pct + P.match_rate_deviation_pct} AS DOUBLE) AS upper_bound_pct,
                        (r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
                         OR r > {P.historical_match_rate_pct + P.match_rate_deviation_pct}) AS drift_triggered,
                        CASE WHEN r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
@@ -190,6 +191,11 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT {reg_cols.replace('revenue', 'coalesce(revenue, 0.0) AS revenue')}, high_profit_indicator,
                        supplier_count0 AS supplier_count FROM features"""
         ),
+        "profit_vectors": _q(
+            """SELECT corporate_id, high_profit_indicator,
+                      [coalesce(revenue, 0.0), CAST(supplier_count0 AS DOUBLE)]::DOUBLE[] AS features
+               FROM features"""
+        ),
         "train_test_split": _q(
             f"""SELECT corporate_id,
                        CASE WHEN ('0x' || substr(corporate_id, 1, 4))::INTEGER % 10 < {int(P.train_fraction * 10)}
