@@ -156,10 +156,12 @@ def _pct(num: str, den: str) -> Column:
 
 def drift_check(rate: DataFrame, params: Params = Params()) -> DataFrame:
     """Adds bounds, ``drift_triggered`` (strictly outside the band) and the
-    health status (CRITICAL iff drift)."""
+    health status (CRITICAL iff drift). The band test uses the unrounded
+    rate ``golden_rows * 100 / s2_rows``; ``match_rate_pct`` is for display."""
     lo = params.historical_match_rate_pct - params.match_rate_deviation_pct
     hi = params.historical_match_rate_pct + params.match_rate_deviation_pct
-    r = F.col("match_rate_pct")
+    g, s = F.coalesce(F.col("golden_rows"), F.lit(0)), F.coalesce(F.col("s2_rows"), F.lit(0))
+    r = F.when(s > 0, g * 100.0 / s).otherwise(F.lit(0.0))
     drift = (r < F.lit(lo)) | (r > F.lit(hi))
     return rate.select(
         "match_rate_pct",
@@ -184,9 +186,8 @@ def reconcile_delivery(registry: DataFrame, batch: DataFrame, params: Params = P
         F.coalesce(F.sum("n_batch"), F.lit(0)).cast("bigint").alias("batch_rows"),
         F.coalesce(F.sum(F.when(F.col("in_reg") == 1, F.col("n_batch"))), F.lit(0)).cast("bigint").alias("covered"),
     )
-    idx = F.when(
-        F.col("batch_rows") > 0, F.round(F.col("registry_distinct_ids") * 100.0 / F.col("batch_rows"), 3)
-    ).cast("decimal(12,3)")
+    exact = F.when(F.col("batch_rows") > 0, F.col("registry_distinct_ids") * 100.0 / F.col("batch_rows"))
+    idx = F.round(exact, 3).cast("decimal(12,3)")
     cov = F.when(F.col("batch_rows") > 0, F.round(F.col("covered") * 100.0 / F.col("batch_rows"), 3)).cast(
         "decimal(12,3)"
     )
@@ -194,6 +195,6 @@ def reconcile_delivery(registry: DataFrame, batch: DataFrame, params: Params = P
         "registry_distinct_ids",
         "batch_rows",
         idx.alias("delivery_index_pct"),
-        (idx >= F.lit(params.delivery_target_pct)).alias("meets_target"),
+        (exact >= F.lit(params.delivery_target_pct)).alias("meets_target"),
         cov.alias("batch_coverage_pct"),
     )

@@ -34,15 +34,15 @@ def health_record(counts: DataFrame, drift: DataFrame, training: dict | None) ->
     fields = [
         F.col("s1").alias("source_1_supply_chain_row_count"),
         F.col("s2").alias("source_2_financial_row_count"),
-        F.round(F.col("rate").cast("double"), 2).alias("fuzzy_match_rate_pct"),
+        F.bround(F.col("rate").cast("double"), 2).alias("fuzzy_match_rate_pct"),
         F.coalesce(F.col("drift"), F.lit(False)).alias("entity_drift_triggered"),
     ]
     if training:
         acc = training.get("accuracy")
         fields += [
             F.lit(training.get("version", DEFAULT_MODEL_VERSION)).alias("model_version"),
-            F.lit(None if acc is None else round(float(acc), 4)).cast("double").alias("model_accuracy_auc"),
-            F.lit(round(float(training.get("baseline", BASELINE_ACCURACY)), 4)).alias(
+            F.bround(F.lit(acc).cast("double"), 4).alias("model_accuracy_auc"),
+            F.bround(F.lit(float(training.get("baseline", BASELINE_ACCURACY))), 4).alias(
                 "historical_baseline_accuracy"
             ),
             F.lit(training.get("status", "ok")).alias("model_status"),

@@ -157,7 +157,7 @@ def oracle_sql() -> dict[str, str]:
             + """ AS nn FROM corp_s2) s2n) s"""
         ),
         "drift_check": _q(
-            f"""SELECT r AS match_rate_pct,
+            f"""SELECT CAST(round(r, 3) AS DECIMAL(12,3)) AS match_rate_pct,
                        CAST({P.historical_match_rate_pct - P.match_rate_deviation_pct} AS DOUBLE) AS lower_bound_pct,
                        CAST({P.historical_match_rate_pct + P.match_rate_deviation_pct} AS DOUBLE) AS upper_bound_pct,
                        (r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
@@ -165,7 +165,7 @@ def oracle_sql() -> dict[str, str]:
                        CASE WHEN r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
                                  OR r > {P.historical_match_rate_pct + P.match_rate_deviation_pct}
                             THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status
-                FROM (SELECT CAST(CASE WHEN s.n > 0 THEN round(g.n * 100.0 / s.n, 3) ELSE 0 END AS DECIMAL(12,3)) AS r
+                FROM (SELECT CASE WHEN s.n > 0 THEN g.n * 100.0 / s.n ELSE 0 END AS r
                       FROM (SELECT count(*) AS n FROM golden) g, (SELECT count(*) AS n FROM corp_s2) s)"""
         ),
         "risk_screen": _q("SELECT * FROM tagged"),
@@ -181,7 +181,7 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_delivery": _q(
             f"""SELECT r.n AS registry_distinct_ids, b.n AS batch_rows,
                        CAST(CASE WHEN b.n > 0 THEN round(r.n * 100.0 / b.n, 3) END AS DECIMAL(12,3)) AS delivery_index_pct,
-                       CASE WHEN b.n > 0 THEN round(r.n * 100.0 / b.n, 3) >= {P.delivery_target_pct} END AS meets_target,
+                       CASE WHEN b.n > 0 THEN r.n * 100.0 / b.n >= {P.delivery_target_pct} END AS meets_target,
                        CAST(CASE WHEN b.n > 0 THEN round(c.n * 100.0 / b.n, 3) END AS DECIMAL(12,3)) AS batch_coverage_pct
                 FROM (SELECT count(DISTINCT corporate_id) AS n FROM registry) r,
                      (SELECT count(*) AS n FROM tagged) b,

@@ -44,6 +44,7 @@ def run_pipeline(
     model_path: str | None = None,
     runs_path: str | None = None,
     health_path: str | None = None,
+    batch_view: str | None = "incoming_batch_records",
 ) -> RunResult:
     # 1. data contracts and row counts: one aggregate scan per source, whose
     #    two result rows are reused for every later count; raises on violation
@@ -63,6 +64,8 @@ def run_pipeline(
     # 2. golden records with risk tags, materialized once in the shared folder
     shared_dir(spark)
     batch = risk.risk_screen(golden.golden_records(s1, s2, params), feed, params).checkpoint(eager=True)
+    if batch_view:
+        batch.createOrReplaceTempView(batch_view)
 
     # 3. keyed upsert into the registry
     registry = SnapshotRegistry(spark, registry_root)

@@ -16,17 +16,33 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The session's checkpoint folder; set to a new temporary folder only
+    when the session names none (bare local sessions)."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
         conf = tempfile.mkdtemp(prefix="corpreg-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir()
 
 
+# Settings for large clusters: many shuffle partitions that AQE coalesces to
+# ~256 MB, skew splitting on, scan splits of 256 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/corpreg/{name}-{uuid.uuid4().hex}"

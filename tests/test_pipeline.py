@@ -23,3 +23,8 @@ def test_end_to_end(spark, sf_small, tmp_path):
     # second run of the same batch: ids unchanged, a new snapshot
     res2 = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), root, train=False)
     assert res2.snapshot_id == 2 and res2.reconciliation["registry_distinct_ids"] == 79
+
+
+def test_batch_view_is_registered(spark, sf_small):
+    assert spark.catalog.tableExists("incoming_batch_records")
+    assert spark.table("incoming_batch_records").count() == 79

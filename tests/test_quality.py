@@ -63,3 +63,20 @@ def test_reconcile_delivery(spark):
     assert float(r["batch_coverage_pct"]) == pytest.approx(66.667)
     empty = quality.reconcile_delivery(reg, batch.limit(0)).first()
     assert empty["delivery_index_pct"] is None
+
+
+def test_drift_uses_unrounded_rate(spark):
+    # 999999 / 2000000 = 49.99995 %: displayed as 50.000 but below the band
+    g = spark.range(999999).withColumnRenamed("id", "corporate_id")
+    row = quality.drift_check(quality.match_rate(g, spark.range(2000000)), Params()).first()
+    assert float(row["match_rate_pct"]) == 50.0
+    assert row["drift_triggered"] is True
+
+
+def test_delivery_target_uses_unrounded_index(spark):
+    reg = spark.range(99899).selectExpr("cast(id as string) AS corporate_id")
+    batch = spark.range(100000).selectExpr("cast(id as string) AS corporate_id")
+    r = quality.reconcile_delivery(reg, batch).first()
+    assert float(r["delivery_index_pct"]) == 99.899 and r["meets_target"] is False
+    reg2 = spark.range(99900).selectExpr("cast(id as string) AS corporate_id")
+    assert quality.reconcile_delivery(reg2, batch).first()["meets_target"] is True

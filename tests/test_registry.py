@@ -44,3 +44,14 @@ def test_duplicate_source_key_raises(spark):
     with pytest.raises(DuplicateKeyError):
         reg.merge(_rows(spark, [("a", "A", 1.0), ("a", "A2", 2.0)]))
     assert reg.snapshots().count() == 0
+
+
+def test_catalog_table_ddl_and_merge_frames(spark):
+    from corpreg.sources.registry import ensure_registry_table
+
+    ensure_registry_table(spark, "corpreg_test_db.corporate_registry", "parquet")
+    ensure_registry_table(spark, "corpreg_test_db.corporate_registry", "parquet")  # idempotent
+    cols = spark.table("corpreg_test_db.corporate_registry").columns
+    assert cols == list(REGISTRY.fieldNames())
+    spark.sql("DROP TABLE corpreg_test_db.corporate_registry")
+    spark.sql("DROP DATABASE corpreg_test_db")
