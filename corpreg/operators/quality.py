@@ -32,9 +32,14 @@ def source_counts(s1: DataFrame, s2: DataFrame) -> DataFrame:
     return _tagged_count(s1, SOURCE_1).unionByName(_tagged_count(s2, SOURCE_2))
 
 
-def contract_metrics(df: DataFrame, source: str, name_col: str) -> DataFrame:
+def contract_metrics(df: DataFrame, source: str, name_col: str, validate_columns: bool = False) -> DataFrame:
     """One row per source from a single scan: row count, NULL-or-"" names and,
-    when the source has a ``revenue`` column, its average."""
+    when the source has a ``revenue`` column, its average.
+
+    With ``validate_columns`` the same scan also counts the non-NULL cells of
+    every column (``non_null_cells``), which makes a strict CSV reader parse
+    every typed column, so malformed values fail here, at the contract gate.
+    """
     aggs = [
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(blank(name_col)).alias("null_or_blank_names"),
@@ -43,9 +48,17 @@ def contract_metrics(df: DataFrame, source: str, name_col: str) -> DataFrame:
         aggs.append(F.avg("revenue").alias("avg_revenue"))
     else:
         aggs.append(F.lit(None).cast("double").alias("avg_revenue"))
+    extra = []
+    if validate_columns:
+        cells = None
+        for c in df.columns:
+            n = F.count(F.col(c))
+            cells = n if cells is None else cells + n
+        aggs.append(cells.alias("non_null_cells"))
+        extra = ["non_null_cells"]
     return df.agg(*aggs).select(
         F.lit(source).alias("source"), F.lit(name_col).alias("name_column"), "row_count",
-        "null_or_blank_names", "avg_revenue",
+        "null_or_blank_names", "avg_revenue", *extra,
     )
 
 

@@ -45,11 +45,12 @@ def run_pipeline(
     runs_path: str | None = None,
     health_path: str | None = None,
     batch_view: str | None = "incoming_batch_records",
+    validate_columns: bool = True,
 ) -> RunResult:
     # 1. data contracts and row counts: one aggregate scan per source, whose
     #    two result rows are reused for every later count; raises on violation
-    metrics = quality.contract_metrics(s1, quality.SOURCE_1, S1_NAME).unionByName(
-        quality.contract_metrics(s2, quality.SOURCE_2, S2_NAME)
+    metrics = quality.contract_metrics(s1, quality.SOURCE_1, S1_NAME, validate_columns).unionByName(
+        quality.contract_metrics(s2, quality.SOURCE_2, S2_NAME, validate_columns)
     )
     metric_rows = metrics.collect()
     metrics_df = spark.createDataFrame(metric_rows, metrics.schema)

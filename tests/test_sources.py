@@ -55,3 +55,16 @@ def test_bad_number_raises_in_validation(spark, tmp_path):
     df = csv_sources.read_source(spark, p, FINANCIAL)
     with pytest.raises(Exception):
         csv_sources.validated_counts(df)
+
+
+def test_pipeline_gate_catches_bad_number(spark, tmp_path):
+    from corpreg.plans.pipeline import run_pipeline
+    from corpreg.session import scratch_path
+    from corpreg.sources import fixtures
+
+    _write(f"{tmp_path}/s1.csv", S1_HEADER + "Acme Inc.,1 Main St,a,b\n")
+    _write(f"{tmp_path}/s2.csv", S2_HEADER + "Acme,x,1000000.0,oops\n")
+    s1, s2 = csv_sources.read_sources(spark, str(tmp_path))
+    with pytest.raises(Exception) as err:
+        run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), scratch_path(spark, "bad"), train=False)
+    assert "oops" in str(err.value) or "FAILFAST" in str(err.value) or "MALFORMED" in str(err.value).upper()
