@@ -71,6 +71,29 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
 
+    # the whole run: contracts, golden records, risk tags, registry commit,
+    # reconciliation, drift, training and the health record
+    from corpreg.plans.pipeline import run_pipeline
+    from corpreg.session import scratch_path
+    from corpreg.sources import fixtures as fx
+
+    def pipeline_once() -> None:
+        run_pipeline(
+            spark,
+            fx.supply_chain(spark, sf_dir),
+            fx.financial(spark, sf_dir),
+            fx.headline_feed(spark),
+            scratch_path(spark, "bench-registry"),
+        )
+
+    pipeline_once()
+    samples = []
+    for _ in range(repeat):
+        t0 = time.perf_counter()
+        pipeline_once()
+        samples.append(time.perf_counter() - t0)
+    times["pipeline_end_to_end"] = round(statistics.median(samples), 3)
+
     extra = {}
     if with_direct:
         from corpreg.operators.fuzzy import fuzzy_full_outer_naive
