@@ -131,9 +131,22 @@ def fuzzy_pairs_of_names(
     return pairs
 
 
-def fuzzy_pairs(s1: DataFrame, s2: DataFrame, params: Params = Params()) -> DataFrame:
-    """Distinct matching (norm_1, norm_2) name pairs between the two sources."""
-    return fuzzy_pairs_of_names(_norms(s1, S1_NAME, params), _norms(s2, S2_NAME, params), params)
+def fuzzy_pairs(
+    s1: DataFrame, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
+) -> DataFrame:
+    """Distinct matching (norm_1, norm_2) name pairs between the two sources.
+
+    The distinct normalized names of each source are checkpointed first (one
+    row per name): the segment join reads them from three branches, and
+    without the cut each branch would rescan its source and normalize every
+    row again.
+    """
+    n1, n2 = _norms(s1, S1_NAME, params), _norms(s2, S2_NAME, params)
+    if not materialize_steps:
+        return fuzzy_pairs_of_names(n1, n2, params)
+    n1, n2 = materialize(n1), materialize(n2)
+    side = 2 if n2.count() > n1.count() else 1
+    return fuzzy_pairs_of_names(n1, n2, params, side)
 
 
 def _with_norm(df: DataFrame, name_col: str, norm_col: str, params: Params) -> DataFrame:
