@@ -30,9 +30,15 @@ def canonical_name(s1_name: Column | str, s2_name: Column | str) -> Column:
     return F.coalesce(_col(s1_name), _col(s2_name))
 
 
+# Whitespace as Python's str.split() sees it: Unicode White_Space plus the
+# four information separators U+001C..U+001F.
+_WS = r"[\s\x{1c}-\x{1f}]"
+_NON_WS = r"[^\s\x{1c}-\x{1f}]"
+
+
 def first_token(name: Column | str) -> Column:
     """First whitespace-separated token of the lower-cased name; "" when blank."""
-    return F.regexp_extract(F.lower(_col(name)), r"(?U)^\s*(\S+)", 1)
+    return F.regexp_extract(F.lower(_col(name)), f"(?U)^{_WS}*({_NON_WS}+)", 1)
 
 
 def blank(c: Column | str) -> Column:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from corpreg.schemas import REGISTRY, REGISTRY_DDL
+from corpreg.session import materialize
 
 KEY = "corporate_id"
 COMMITS = StructType(
@@ -88,8 +89,13 @@ class SnapshotRegistry:
     def merge(self, source: DataFrame) -> int:
         """Upsert ``source`` by key and commit it as a new snapshot; returns
         the snapshot id. Raises :class:`DuplicateKeyError` first if the source
-        repeats a key."""
-        source = source.select(*self.schema.fieldNames())
+        repeats a key.
+
+        The source is checkpointed first: the key check, the commit-type check
+        and the write all read it, and a lazy source would otherwise be
+        recomputed for each.
+        """
+        source = materialize(source.select(*self.schema.fieldNames()))
         assert_unique_keys(source)
         latest = self._latest()
         sid = 1 if latest is None else latest["snapshot_id"] + 1
@@ -115,6 +121,14 @@ class SnapshotRegistry:
         """First ``n`` rows by id, for inspection."""
         return self.current().orderBy(KEY).limit(n)
 
+    def inspect(self, sample_rows: int = 20) -> dict:
+        """Row count, first rows by id and the newest commits, for a quick look."""
+        return {
+            "row_count": self.current().count(),
+            "sample": self.preview(sample_rows),
+            "history": self.history(5),
+        }
+
     def history(self, n: int = 5) -> DataFrame:
         """Newest ``n`` commits: snapshot_id, committed_at, operation."""
         return (

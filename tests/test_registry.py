@@ -55,3 +55,10 @@ def test_catalog_table_ddl_and_merge_frames(spark):
     assert cols == list(REGISTRY.fieldNames())
     spark.sql("DROP TABLE corpreg_test_db.corporate_registry")
     spark.sql("DROP DATABASE corpreg_test_db")
+
+
+def test_inspect(spark):
+    reg = SnapshotRegistry(spark, scratch_path(spark, "test-registry"))
+    reg.merge(_rows(spark, [("a", "A", 1.0), ("b", "B", 2.0)]))
+    info = reg.inspect(1)
+    assert info["row_count"] == 2 and info["sample"].count() == 1 and info["history"].count() == 1

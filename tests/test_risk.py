@@ -39,3 +39,8 @@ def test_fixture_tag_counts(spark):
         "Flagged Local Risk Scan: Red tape fines suspected": 35,
         "Flagged Local Risk Scan: Old mill fraud inquiry opened": 30,
     }
+
+
+def test_unusual_whitespace_matches_python_split(spark):
+    names = ["\x1cred\x1dwidget", " old mill", "\tcold\x1fstore", "　blue chip"]
+    _check(spark, names, ["Red tape fines", "Old mill fraud", "Data breach at cold store", "Blue fraud"])
