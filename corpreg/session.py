@@ -38,6 +38,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split skewed join partitions even where that adds a shuffle downstream
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
