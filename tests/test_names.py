@@ -37,3 +37,8 @@ def test_first_token(spark):
     df = spark.createDataFrame([("  Red Widget Inc",), ("",), ("   ",), (None,), ("solo",)], "n string")
     got = [r[0] for r in df.select(first_token("n")).collect()]
     assert got == ["red", "", "", None, "solo"]
+
+
+def test_word_boundary_is_unicode_aware(spark):
+    # "co" followed by a letter is not a separate word, so it stays
+    assert _norm(spark, ["coé", "Co é", "Müller Co."]) == ["coé", "é", "müller"]
