@@ -3,7 +3,7 @@
 
 Actions happen at named points only: the contract verdict, the batch
 checkpoint, the registry commit, the metric rows and the model fit. The
-tagged batch is checkpointed to the shared folder (``spark.checkpoint.dir``)
+tagged batch is written once to the shared folder (``spark.checkpoint.dir``)
 so that a lost executor never forces the fuzzy join to be recomputed; after
 the commit every consumer reads the committed snapshot.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpreg.operators import golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.plans.health import health_export, health_record
-from corpreg.session import shared_dir
+from corpreg.session import materialize
 from corpreg.sources.registry import SnapshotRegistry
 
 
@@ -63,8 +63,7 @@ def run_pipeline(
     counts_df = metrics_df.select("source", "row_count")
 
     # 2. golden records with risk tags, materialized once in the shared folder
-    shared_dir(spark)
-    batch = risk.risk_screen(golden.golden_records(s1, s2, params), feed, params).checkpoint(eager=True)
+    batch = materialize(risk.risk_screen(golden.golden_records(s1, s2, params), feed, params), "batch")
     if batch_view:
         batch.createOrReplaceTempView(batch_view)
 
