@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpreg.functions.names import blank
+from corpreg.functions.names import blank, normalized_name
 from corpreg.params import S1_NAME, S2_NAME, Params
 
 SOURCE_1 = "supply_chain"
@@ -44,7 +44,8 @@ def contract_metrics(df: DataFrame, source: str, name_col: str, validate_columns
         F.count(F.lit(1)).alias("row_count"),
         F.count_if(blank(name_col)).alias("null_or_blank_names"),
     ]
-    if "revenue" in df.columns:
+    has_revenue = "revenue" in df.columns
+    if has_revenue:
         aggs.append(F.avg("revenue").alias("avg_revenue"))
     else:
         aggs.append(F.lit(None).cast("double").alias("avg_revenue"))
@@ -58,7 +59,7 @@ def contract_metrics(df: DataFrame, source: str, name_col: str, validate_columns
         extra = ["non_null_cells"]
     return df.agg(*aggs).select(
         F.lit(source).alias("source"), F.lit(name_col).alias("name_column"), "row_count",
-        "null_or_blank_names", "avg_revenue", *extra,
+        "null_or_blank_names", "avg_revenue", F.lit(has_revenue).alias("has_revenue"), *extra,
     )
 
 
@@ -86,7 +87,7 @@ def verdicts(metrics: DataFrame, params: Params = Params()) -> DataFrame:
         F.lit(0).cast(METRIC_TYPE).alias("threshold"),
         (F.col("null_or_blank_names") == 0).alias("passed"),
     )
-    rule2 = metrics.where(F.col("source") == SOURCE_2).select(
+    rule2 = metrics.where(F.col("has_revenue")).select(
         "source",
         F.lit("min_avg_revenue").alias("rule"),
         F.round("avg_revenue", 2).cast(METRIC_TYPE).alias("metric_value"),
@@ -97,17 +98,14 @@ def verdicts(metrics: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def dq_verdicts(s1: DataFrame, s2: DataFrame, params: Params = Params()) -> DataFrame:
-    m = contract_metrics(s1, SOURCE_1, S1_NAME)
-    m2 = contract_metrics(s2, SOURCE_2, S2_NAME)
-    if "revenue" not in s2.columns:
-        return verdicts(m.unionByName(m2), params).where(F.col("rule") != "min_avg_revenue")
-    return verdicts(m.unionByName(m2), params)
+    """Verdict rows of both sources."""
+    m = contract_metrics(s1, SOURCE_1, S1_NAME).unionByName(contract_metrics(s2, SOURCE_2, S2_NAME))
+    return verdicts(m, params)
 
 
 def check_contracts(df: DataFrame, source: str, name_col: str, params: Params = Params()) -> DataFrame:
     """Verdict rows for one source; rule 2 only if it has a revenue column."""
-    v = verdicts(contract_metrics(df, SOURCE_2 if "revenue" in df.columns else source, name_col), params)
-    return v.withColumn("source", F.lit(source))
+    return verdicts(contract_metrics(df, source, name_col), params)
 
 
 def require_contracts(verdict_rows: DataFrame) -> None:
@@ -127,8 +125,6 @@ def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None)
     With ``pairs`` also reports the share of Source-2 rows that matched at
     least one Source-1 name (``matched_s2_pct``).
     """
-    from corpreg.functions.names import normalized_name
-
     g = golden.select(F.lit(1).alias("g"), F.lit(0).alias("s"), F.lit(0).alias("m"))
     if pairs is None:
         s = s2.select(F.lit(0).alias("g"), F.lit(1).alias("s"), F.lit(0).alias("m"))

@@ -80,3 +80,12 @@ def test_delivery_target_uses_unrounded_index(spark):
     assert float(r["delivery_index_pct"]) == 99.899 and r["meets_target"] is False
     reg2 = spark.range(99900).selectExpr("cast(id as string) AS corporate_id")
     assert quality.reconcile_delivery(reg2, batch).first()["meets_target"] is True
+
+
+def test_check_contracts_per_source(spark):
+    s1 = spark.createDataFrame([("a", None, None, None)], S1)
+    s2 = spark.createDataFrame([("b", None, 5.0, 1.0)], S2)
+    v1 = {r["rule"]: r["passed"] for r in quality.check_contracts(s1, "s1", "corporate_name_S1").collect()}
+    v2 = {r["rule"]: r["passed"] for r in quality.check_contracts(s2, "s2", "corporate_name_S2").collect()}
+    assert v1 == {"null_or_blank_name": True}
+    assert v2 == {"null_or_blank_name": True, "min_avg_revenue": False}
