@@ -251,8 +251,7 @@ def q_health_export(spark, d):
 
     s1, s2 = _s1(spark, d), _s2(spark, d)
     g = golden.golden_records(s1, s2, P)
-    drift = quality.drift_check(quality.match_rate(g, s2), P)
-    return health_record(quality.source_counts(s1, s2), drift, None)
+    return health_record(quality.source_counts(s1, s2), quality.match_rate(g, s2), None, P)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,6 +1,6 @@
 """Health record of one pipeline run, as a one-row DataFrame.
 
-Inputs are small aggregate frames (source counts, drift verdict, training
+Inputs are small aggregate frames (source counts, match-rate counts, training
 result); they are combined by union + aggregate, not by joining one-row
 frames. ``health_export`` appends the record as JSON lines.
 """
@@ -10,32 +10,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpreg.params import BASELINE_ACCURACY, DEFAULT_MODEL_VERSION
+from corpreg.params import BASELINE_ACCURACY, DEFAULT_MODEL_VERSION, Params
 
 
-def health_record(counts: DataFrame, drift: DataFrame, training: dict | None) -> DataFrame:
+def health_record(
+    counts: DataFrame, rate: DataFrame, training: dict | None, params: Params = Params()
+) -> DataFrame:
     """Columns: ``timestamp`` (UTC ISO-8601 with Z), ``pipeline_health_status``
-    (CRITICAL iff drift) and ``telemetry`` (JSON object)."""
+    (CRITICAL iff drift) and ``telemetry`` (JSON object).
+
+    ``counts`` has (source, row_count); ``rate`` has golden_rows and s2_rows.
+    The match rate is computed once from the counts and rounded once.
+    """
     c = counts.select(
         F.when(F.col("source") == "supply_chain", F.col("row_count")).alias("s1"),
         F.when(F.col("source") == "financial", F.col("row_count")).alias("s2"),
-        F.lit(None).cast("decimal(12,3)").alias("rate"),
-        F.lit(None).cast("boolean").alias("drift"),
+        F.lit(None).cast("bigint").alias("golden"),
+        F.lit(None).cast("bigint").alias("s2_rows"),
     )
-    d = drift.select(
+    r = rate.select(
         F.lit(None).cast("bigint").alias("s1"),
         F.lit(None).cast("bigint").alias("s2"),
-        F.col("match_rate_pct").alias("rate"),
-        F.col("drift_triggered").alias("drift"),
-    )
-    one = c.unionByName(d).agg(
-        F.max("s1").alias("s1"), F.max("s2").alias("s2"), F.max("rate").alias("rate"), F.max("drift").alias("drift")
+        F.col("golden_rows").cast("bigint").alias("golden"),
+        F.col("s2_rows").cast("bigint").alias("s2_rows"),
     )
+    one = c.unionByName(r).agg(*[F.max(x).alias(x) for x in ("s1", "s2", "golden", "s2_rows")])
+    den = F.coalesce(F.col("s2_rows"), F.lit(0))
+    exact = F.when(den > 0, F.coalesce(F.col("golden"), F.lit(0)) * 100.0 / den).otherwise(F.lit(0.0))
+    lo = params.historical_match_rate_pct - params.match_rate_deviation_pct
+    hi = params.historical_match_rate_pct + params.match_rate_deviation_pct
+    drift = (exact < F.lit(lo)) | (exact > F.lit(hi))
     fields = [
         F.col("s1").alias("source_1_supply_chain_row_count"),
         F.col("s2").alias("source_2_financial_row_count"),
-        F.bround(F.col("rate").cast("double"), 2).alias("fuzzy_match_rate_pct"),
-        F.coalesce(F.col("drift"), F.lit(False)).alias("entity_drift_triggered"),
+        F.bround(exact, 2).alias("fuzzy_match_rate_pct"),
+        drift.alias("entity_drift_triggered"),
     ]
     if training:
         acc = training.get("accuracy")
@@ -47,12 +56,12 @@ def health_record(counts: DataFrame, drift: DataFrame, training: dict | None) ->
             ),
             F.lit(training.get("status", "ok")).alias("model_status"),
         ]
-    utc_now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    utc_now = F.date_format(
+        F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    )
     return one.select(
         F.concat(utc_now, F.lit("Z")).alias("timestamp"),
-        F.when(F.coalesce(F.col("drift"), F.lit(False)), "CRITICAL").otherwise("HEALTHY").alias(
-            "pipeline_health_status"
-        ),
+        F.when(drift, "CRITICAL").otherwise("HEALTHY").alias("pipeline_health_status"),
         F.to_json(F.struct(*fields)).alias("telemetry"),
     )
 

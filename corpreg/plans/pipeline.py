@@ -81,7 +81,7 @@ def run_pipeline(
     run = training.run_training(current, params, model_path, runs_path) if train else None
 
     # 6. health record
-    record = health_record(counts_df, drift, run)
+    record = health_record(counts_df, rate, run, params)
     if health_path:
         health_export(record, health_path)
     return RunResult(

@@ -28,3 +28,17 @@ def test_end_to_end(spark, sf_small, tmp_path):
 def test_batch_view_is_registered(spark, sf_small):
     assert spark.catalog.tableExists("incoming_batch_records")
     assert spark.table("incoming_batch_records").count() == 79
+
+
+def test_health_record_rounds_exact_rate_once(spark):
+    import json
+
+    from corpreg.plans.health import health_record
+
+    counts = spark.createDataFrame([("supply_chain", 10), ("financial", 100000)], "source string, row_count bigint")
+    rate = spark.createDataFrame([(21094, 100000)], "golden_rows bigint, s2_rows bigint")  # 21.094 %
+    rec = health_record(counts, rate, {"version": "v_run_x", "accuracy": 0.91234, "baseline": 0.85}).first()
+    tel = json.loads(rec["telemetry"])
+    assert tel["fuzzy_match_rate_pct"] == 21.09 and tel["entity_drift_triggered"] is True
+    assert tel["model_accuracy_auc"] == 0.9123 and rec["pipeline_health_status"] == "CRITICAL"
+    assert rec["timestamp"].endswith("Z")
