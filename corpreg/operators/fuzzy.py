@@ -190,10 +190,10 @@ def fuzzy_full_outer(
       the others are the Source-1-only rows;
     * ``s2 LEFT ANTI JOIN pairs`` gives the Source-2-only rows.
 
-    Both branches of each source share one hash exchange (Spark reuses it),
-    so each source is shuffled once. The row-level join is an inner join,
-    which AQE can split when one name is hot; its output size is that of the
-    row-level join by definition. ``pairs`` (distinct names only) is
+    The row-level join is an inner join, which AQE can split when one name is
+    hot on either side (a single full outer join would read each source once
+    fewer, but AQE cannot split a skewed full outer join). Its output size is
+    that of the row-level join by definition. ``pairs`` (distinct names only) is
     checkpointed when computed here, as two branches read it.
     """
     if pairs is None:
