@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime, timezone
 
@@ -33,7 +34,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from corpreg.params import DEFAULT_MODEL_VERSION, Params
+from corpreg.params import Params
+from corpreg.session import materialize
 
 RUNS = StructType(
     [
@@ -66,8 +68,7 @@ def profit_features(registry: DataFrame, params: Params = Params()) -> DataFrame
 
 
 def _regex_literal(s: str) -> str:
-    import re
-
+    """The delimiter as a regex matching it literally (``split`` takes a regex)."""
     return re.escape(s)
 
 
@@ -147,7 +148,8 @@ def rank_sum_auc(scored: DataFrame, label_col: str, score_col: str = "score") ->
         F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("double").alias("pos"),
         F.sum(F.when(F.col(label_col) == 1, 0).otherwise(1)).cast("double").alias("neg"),
     )
-    ranged = per_score.repartitionByRange("s").withColumn("pid", F.spark_partition_id())
+    # written once: both branches below must see the same partition ids
+    ranged = materialize(per_score.repartitionByRange("s").withColumn("pid", F.spark_partition_id()), "auc")
     totals = ranged.groupBy("pid").agg(F.sum("neg").alias("part_neg"))
     offsets = totals.withColumn(
         "offset",
@@ -249,7 +251,6 @@ def load_profit_model(path: str) -> PipelineModel:
 
 
 __all__ = [
-    "DEFAULT_MODEL_VERSION",
     "RUNS",
     "evaluator_auc",
     "fit_profit_model",
