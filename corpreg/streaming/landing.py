@@ -25,7 +25,7 @@ from corpreg.operators import golden, quality, risk
 from corpreg.params import Params
 from corpreg.schemas import FINANCIAL, SUPPLY_CHAIN
 from corpreg.session import materialize
-from corpreg.sources.registry import SnapshotRegistry
+from corpreg.sources.registry import SnapshotRegistry, merge_into_table
 
 
 def landing_stream(spark: SparkSession, folder: str, role: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -48,17 +48,21 @@ def upsert_batch(
     other: DataFrame,
     role: str,
     feed: DataFrame,
-    registry: SnapshotRegistry,
+    registry: SnapshotRegistry | str,
     params: Params = Params(),
 ) -> int | None:
     """Resolve one micro-batch of ``role`` files against the other source and
-    upsert the tagged golden records. Returns the snapshot id (None if the
-    batch is empty)."""
+    upsert the tagged golden records, into a :class:`SnapshotRegistry` or, when
+    ``registry`` is a table name, into that catalog table with ``MERGE INTO``.
+    Returns the snapshot id (None for an empty batch or a catalog table)."""
     if batch.isEmpty():
         return None
     s1, s2 = (other, batch) if role == "financial" else (batch, other)
     quality.require_contracts(quality.dq_verdicts(s1, s2, params))
-    tagged = materialize(risk.risk_screen(golden.golden_records(s1, s2, params), feed, params))
+    tagged = materialize(risk.risk_screen(golden.golden_records(s1, s2, params), feed, params), "batch")
+    if isinstance(registry, str):
+        merge_into_table(batch.sparkSession, registry, tagged)
+        return None
     return registry.merge(tagged)
 
 
@@ -73,15 +77,19 @@ def start_landing_ingest(
     params: Params = Params(),
     available_now: bool = True,
     processing_time: str = "1 minute",
+    table: str | None = None,
 ) -> StreamingQuery:
     """Start the incremental ingest of ``role`` files under ``folder``.
 
     ``checkpoint_location`` must be on shared storage (it records which files
     were processed); ``other`` is the static DataFrame of the other source.
+    Each snapshot commit rewrites the registry, which suits batch-sized
+    triggers; for frequent small micro-batches over a large registry pass
+    ``table``, a catalog table in a format with file-level ``MERGE INTO``.
     """
     if role not in ("financial", "supply_chain"):
         raise ValueError(f"unknown role {role!r}")
-    registry = SnapshotRegistry(spark, registry_root)
+    registry = table if table else SnapshotRegistry(spark, registry_root)
     stream = landing_stream(spark, folder, role)
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:

@@ -62,3 +62,19 @@ def test_inspect(spark):
     reg.merge(_rows(spark, [("a", "A", 1.0), ("b", "B", 2.0)]))
     info = reg.inspect(1)
     assert info["row_count"] == 2 and info["sample"].count() == 1 and info["history"].count() == 1
+
+
+def test_merge_into_statement_is_well_formed(spark):
+    from corpreg.sources.registry import ensure_registry_table, merge_into_table
+
+    ensure_registry_table(spark, "corpreg_merge_db.reg", "parquet")
+    try:
+        # plain Parquet tables cannot MERGE; the statement must still parse and
+        # resolve, failing only on the table capability
+        with pytest.raises(Exception) as err:
+            merge_into_table(spark, "corpreg_merge_db.reg", _rows(spark, [("a", "A", 1.0)]))
+        msg = str(err.value)
+        assert "does not support MERGE INTO" in msg
+    finally:
+        spark.sql("DROP TABLE IF EXISTS corpreg_merge_db.reg")
+        spark.sql("DROP DATABASE IF EXISTS corpreg_merge_db")
