@@ -12,8 +12,8 @@ inputs. Here the candidate pairs come from an equi-join on segment keys
 * rows meet on ``(L, segment number, text)``, and each candidate is verified
   with ``levenshtein(a, b, k)`` before any shuffle of the pairs.
 
-Index names of length <= k have empty segments, so they meet probe names on
-the length key alone (a bucket bounded by the alphabet size to the power k).
+Index names of length <= k have empty segments; they meet the short probe
+names (length <= 2k) on deletion variants instead (see :func:`_short_pairs`).
 
 Every step works on *distinct* names, so a name repeated in a third of all
 rows is a single row here. The joins are plain inner joins on hashed keys:
@@ -76,17 +76,34 @@ def segment_probes(names: DataFrame, k: int, name: str = "name") -> DataFrame:
     return rows.select("L", "j", F.substring("name", F.col("x") + 1, F.col("len")).alias("seg"), "name")
 
 
+def deletion_variants(names: DataFrame, k: int, max_len: int) -> DataFrame:
+    """(name, v): every string made from ``name`` by deleting at most k
+    characters, for names of at most ``max_len`` characters."""
+    cur = names.where(F.length("name") <= max_len).select("name", F.col("name").alias("v"))
+    out = cur
+    for _ in range(k):
+        cur = (
+            cur.where(F.length("v") > 0)
+            .select("name", "v", F.explode(F.sequence(F.lit(1), F.length("v"))).alias("i"))
+            .select("name", F.concat(F.expr("substring(v, 1, i - 1)"), F.expr("substring(v, i + 1)")).alias("v"))
+        )
+        out = out.unionByName(cur)
+    return out.distinct()
+
+
 def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
-    """Candidates for index names of length <= k, keyed by that length."""
-    idx = index_names.select(F.col("name").alias("a"), F.length("name").alias("L")).where(
-        F.col("L") <= k
-    )
-    T = F.length("name")
-    prb = probe_names.where(T <= 2 * k).select(
-        F.col("name").alias("b"),
-        F.explode(_seq(F.greatest(F.lit(0), T - k), F.least(F.lit(k), T + k))).alias("L"),
-    )
-    return idx.join(prb, "L").select("a", "b")
+    """Candidates for index names of length <= k (they have empty segments).
+
+    If ``levenshtein(a, b) <= k``, deleting at most k characters from each
+    leaves a common string (a substitution is one deletion on each side), so
+    the names meet on their deletion variants. Only names up to k (index)
+    and 2k (probe) characters take part: at most 11 variants each for k = 2.
+    The broadest key, "", pairs names of at most k characters, which are all
+    true matches.
+    """
+    idx = deletion_variants(index_names, k, k).withColumnRenamed("name", "a")
+    prb = deletion_variants(probe_names, k, 2 * k).withColumnRenamed("name", "b")
+    return idx.join(prb, "v").select("a", "b")
 
 
 def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:

@@ -114,3 +114,14 @@ def test_index_side_does_not_change_pairs(spark):
     p1 = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(), 1).collect()}
     p2 = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(), 2).collect()}
     assert p1 == p2 == brute(a, b, 2)
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_all_short_strings_exhaustive(spark, k):
+    from itertools import product
+
+    def upto(n):
+        return ["".join(p) for m in range(n + 1) for p in product("ab ", repeat=m)]
+
+    a, b = upto(k + 1), upto(2 * k)
+    assert spark_pairs(spark, a, b, k) == brute(a, b, k)
