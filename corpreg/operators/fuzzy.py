@@ -91,7 +91,18 @@ def deletion_variants(names: DataFrame, k: int, max_len: int) -> DataFrame:
     return out.distinct()
 
 
-def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
+def _salted_join(idx: DataFrame, prb: DataFrame, keys: list[str], salt: int) -> DataFrame:
+    """Equi-join on ``keys``; with ``salt`` > 1 every key is split ``salt``
+    ways: probe rows take a salt from a hash of their name, index rows are
+    repeated once per salt value."""
+    if salt <= 1:
+        return idx.join(prb, keys)
+    idx = idx.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    prb = prb.withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(salt)).cast("int"))
+    return idx.join(prb, [*keys, "_salt"])
+
+
+def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
     """Candidates for index names of length <= k (they have empty segments).
 
     If ``levenshtein(a, b) <= k``, deleting at most k characters from each
@@ -103,17 +114,21 @@ def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int) -> Data
     """
     idx = deletion_variants(index_names, k, k).withColumnRenamed("name", "a")
     prb = deletion_variants(probe_names, k, 2 * k).withColumnRenamed("name", "b")
-    return idx.join(prb, "v").select("a", "b")
+    return _salted_join(idx, prb, ["v"], salt).select("a", "b")
 
 
-def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
+def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
     """All distinct (a, b), a from ``index_names.name``, b from
     ``probe_names.name``, with ``levenshtein(a, b) <= k``. Inputs should be
-    distinct, non-null names."""
+    distinct, non-null names.
+
+    Hot keys are split at run time by AQE; ``salt`` > 1 splits every key
+    that many ways up front instead (index rows are repeated ``salt`` times).
+    """
     idx = segment_index(index_names, k).withColumnRenamed("name", "a")
     prb = segment_probes(probe_names, k).withColumnRenamed("name", "b")
-    long_pairs = idx.join(prb, ["L", "j", "seg"]).select("a", "b")
-    cand = long_pairs.unionByName(_short_pairs(index_names, probe_names, k))
+    long_pairs = _salted_join(idx, prb, ["L", "j", "seg"], salt).select("a", "b")
+    cand = long_pairs.unionByName(_short_pairs(index_names, probe_names, k, salt))
     return cand.where(F.levenshtein("a", "b", k) >= 0).distinct()
 
 
@@ -138,10 +153,11 @@ def fuzzy_pairs_of_names(
     """
     k = params.max_edits
     m = params.min_name_length
+    salt = params.segment_salt_buckets
     if index_side == 1:
-        pairs = similar_pairs(norm_1, norm_2, k).select(F.col("a").alias("norm_1"), F.col("b").alias("norm_2"))
+        pairs = similar_pairs(norm_1, norm_2, k, salt).select(F.col("a").alias("norm_1"), F.col("b").alias("norm_2"))
     else:
-        pairs = similar_pairs(norm_2, norm_1, k).select(F.col("b").alias("norm_1"), F.col("a").alias("norm_2"))
+        pairs = similar_pairs(norm_2, norm_1, k, salt).select(F.col("b").alias("norm_1"), F.col("a").alias("norm_2"))
     if m > 0:
         short = (F.length("norm_1") < m) | (F.length("norm_2") < m)
         pairs = pairs.where(~short | (F.col("norm_1") == F.col("norm_2")))

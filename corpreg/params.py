@@ -73,3 +73,6 @@ class Params:
     # a feed whose n-gram index stays under this many rows is broadcast;
     # larger feeds go through a shuffled equi-join
     feed_broadcast_max_rows: int = 2_000_000
+    # split every fuzzy-join key this many ways up front (1 = leave hot keys
+    # to AQE's skew-join split)
+    segment_salt_buckets: int = 1

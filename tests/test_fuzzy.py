@@ -125,3 +125,15 @@ def test_all_short_strings_exhaustive(spark, k):
 
     a, b = upto(k + 1), upto(2 * k)
     assert spark_pairs(spark, a, b, k) == brute(a, b, k)
+
+
+def test_salted_segment_join_equals_brute_force(spark):
+    rng = random.Random(5)
+    a = ["".join(rng.choice("ab c") for _ in range(rng.randint(0, 9))) for _ in range(70)]
+    b = [mutate(s, rng, 2) for s in a] + ["", "a"]
+    n1 = spark.createDataFrame([(x,) for x in set(a)], "name string")
+    n2 = spark.createDataFrame([(x,) for x in set(b)], "name string")
+    got = {tuple(r) for r in fuzzy.similar_pairs(n1, n2, 2, salt=4).collect()}
+    assert got == brute(a, b, 2)
+    via_params = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(segment_salt_buckets=3)).collect()}
+    assert via_params == got
