@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpreg.operators import golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.plans.health import health_export, health_record
-from corpreg.session import materialize
+from corpreg.session import materialize, scratch_scope
 from corpreg.sources.registry import SnapshotRegistry
 
 
@@ -61,7 +61,11 @@ def run_pipeline(
     counts_df = metrics_df.select("source", "row_count")
 
     # 2. golden records with risk tags, materialized once in the shared folder
-    batch = materialize(risk.risk_screen(golden.golden_records(s1, s2, params), feed, params), "batch")
+    # intermediates of the resolution are deleted once the batch is written;
+    # the batch itself stays (the temp view reads it)
+    with scratch_scope(spark):
+        tagged = risk.risk_screen(golden.golden_records(s1, s2, params), feed, params)
+        batch = materialize(tagged, "batch", scoped=False)
     if batch_view:
         batch.createOrReplaceTempView(batch_view)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,7 +67,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-def materialize(df, name: str = "stage"):
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on exit, the intermediate tables that :func:`materialize`
+    writes inside the ``with`` block. DataFrames built from them must be
+    consumed before the block ends. Not thread-safe."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+        delete_paths(spark, paths)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Recursively delete folders through the Hadoop file system of each path."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None or not paths:
+        return
+    conf = spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def materialize(df, name: str = "stage", scoped: bool = True):
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Used where one intermediate feeds several branches of a plan (Spark
@@ -75,8 +104,11 @@ def materialize(df, name: str = "stage"):
     recomputing the inputs. Unlike ``Dataset.checkpoint`` on an unpersisted
     plan, the plan runs once (the checkpoint write would run it again), the
     files are columnar and compressed, and the optimizer sees their real size.
+    Inside :func:`scratch_scope` the folder is deleted when the scope ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
+    if scoped and _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from corpreg.schemas import REGISTRY, REGISTRY_DDL
-from corpreg.session import materialize
+from corpreg.session import materialize, scratch_scope
 
 KEY = "corporate_id"
 COMMITS = StructType(
@@ -91,24 +91,25 @@ class SnapshotRegistry:
         the snapshot id. Raises :class:`DuplicateKeyError` first if the source
         repeats a key.
 
-        The source is checkpointed first: the key check, the commit-type check
+        The source is written once first: the key check, the commit-type check
         and the write all read it, and a lazy source would otherwise be
-        recomputed for each.
+        recomputed for each. That copy is deleted when the commit is done.
         """
-        source = materialize(source.select(*self.schema.fieldNames()))
-        assert_unique_keys(source)
-        latest = self._latest()
-        sid = 1 if latest is None else latest["snapshot_id"] + 1
-        target = self.current()
-        touched = latest is not None and not target.join(source.select(KEY), KEY, "left_semi").isEmpty()
-        merged = merge_frames(target, source)
-        path = f"{self.root}/snapshots/{sid}"
-        (
-            merged.withColumn("id_prefix", F.substring(KEY, 1, 2))
-            .write.mode("error")
-            .partitionBy("id_prefix")
-            .parquet(path)
-        )
+        with scratch_scope(self.spark):
+            source = materialize(source.select(*self.schema.fieldNames()), "upsert")
+            assert_unique_keys(source)
+            latest = self._latest()
+            sid = 1 if latest is None else latest["snapshot_id"] + 1
+            target = self.current()
+            touched = latest is not None and not target.join(source.select(KEY), KEY, "left_semi").isEmpty()
+            merged = merge_frames(target, source)
+            path = f"{self.root}/snapshots/{sid}"
+            (
+                merged.withColumn("id_prefix", F.substring(KEY, 1, 2))
+                .write.mode("error")
+                .partitionBy("id_prefix")
+                .parquet(path)
+            )
         rows = self.spark.read.parquet(path).count()
         op = "overwrite" if touched else "append"
         commit = self.spark.createDataFrame(

@@ -42,3 +42,16 @@ def test_health_record_rounds_exact_rate_once(spark):
     assert tel["fuzzy_match_rate_pct"] == 21.09 and tel["entity_drift_triggered"] is True
     assert tel["model_accuracy_auc"] == 0.9123 and rec["pipeline_health_status"] == "CRITICAL"
     assert rec["timestamp"].endswith("Z")
+
+
+def test_scratch_scope_deletes_intermediates(spark, sf_small):
+    import os
+
+    from corpreg.operators.golden import golden_records
+    from corpreg.session import scratch_scope
+
+    with scratch_scope(spark) as paths:
+        n = golden_records(fixtures.supply_chain(spark, sf_small), fixtures.financial(spark, sf_small)).count()
+        local = [p.replace("file:", "") for p in paths]
+        assert n == 79 and len(local) == 3 and all(os.path.exists(p) for p in local)
+    assert not any(os.path.exists(p) for p in local)
