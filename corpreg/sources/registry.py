@@ -2,14 +2,14 @@
 
 Layout under ``root``::
 
-    root/snapshots/<n>/id_prefix=<xx>/part-*.parquet   one full table per commit
+    root/snapshots/<n>/part-*.parquet                  one full table per commit
     root/_commits/part-*.parquet                       snapshot_id, committed_at,
                                                        operation, path, row_count
 
 A commit writes the new snapshot first and appends its commit row last, so
 a failed or partial write is never visible: readers resolve the newest
-committed snapshot. Snapshots are partitioned by the first two hex digits of
-``corporate_id`` so that id lookups prune to one directory.
+committed snapshot. Rows are sorted by ``corporate_id`` inside each file so
+that id lookups can skip row groups by their min/max statistics.
 
 With a table format that supports ``MERGE INTO`` in the session catalog,
 :func:`merge_into_table` issues the equivalent SQL statement instead.
@@ -104,12 +104,10 @@ class SnapshotRegistry:
             touched = latest is not None and not target.join(source.select(KEY), KEY, "left_semi").isEmpty()
             merged = merge_frames(target, source)
             path = f"{self.root}/snapshots/{sid}"
-            (
-                merged.withColumn("id_prefix", F.substring(KEY, 1, 2))
-                .write.mode("error")
-                .partitionBy("id_prefix")
-                .parquet(path)
-            )
+            # rows sorted by id inside each file: Parquet min/max statistics
+            # then let id lookups skip row groups, without a directory per
+            # prefix (which would make every task write hundreds of files)
+            merged.sortWithinPartitions(KEY).write.mode("error").parquet(path)
         rows = self.spark.read.parquet(path).count()
         op = "overwrite" if touched else "append"
         commit = self.spark.createDataFrame(
