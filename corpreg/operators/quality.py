@@ -16,7 +16,7 @@ from corpreg.params import S1_NAME, S2_NAME, Params
 
 SOURCE_1 = "supply_chain"
 SOURCE_2 = "financial"
-METRIC_TYPE = "decimal(20,2)"
+METRIC_TYPE = "double"
 
 
 class CircuitBreakerError(Exception):
@@ -160,7 +160,7 @@ def match_rate_of(golden: DataFrame, s2_rows: int) -> DataFrame:
 def _pct(num: str, den: str) -> Column:
     n = F.coalesce(F.col(num), F.lit(0))
     d = F.coalesce(F.col(den), F.lit(0))
-    return F.when(d > 0, F.round(n * 100.0 / d, 3)).otherwise(F.lit(0.0)).cast("decimal(12,3)")
+    return F.when(d > 0, F.round(n.cast("double") * 100.0 / d, 3)).otherwise(F.lit(0.0))
 
 
 def drift_check(rate: DataFrame, params: Params = Params()) -> DataFrame:
@@ -196,10 +196,8 @@ def reconcile_delivery(registry: DataFrame, batch: DataFrame, params: Params = P
         F.coalesce(F.sum(F.when(F.col("in_reg") == 1, F.col("n_batch"))), F.lit(0)).cast("bigint").alias("covered"),
     )
     exact = F.when(F.col("batch_rows") > 0, F.col("registry_distinct_ids") * 100.0 / F.col("batch_rows"))
-    idx = F.round(exact, 3).cast("decimal(12,3)")
-    cov = F.when(F.col("batch_rows") > 0, F.round(F.col("covered") * 100.0 / F.col("batch_rows"), 3)).cast(
-        "decimal(12,3)"
-    )
+    idx = F.round(exact, 3)
+    cov = F.when(F.col("batch_rows") > 0, F.round(F.col("covered") * 100.0 / F.col("batch_rows"), 3))
     return agg.select(
         "registry_distinct_ids",
         "batch_rows",

@@ -127,27 +127,27 @@ def oracle_sql() -> dict[str, str]:
             "count(*) FILTER (WHERE corporate_name_S2 IS NULL OR corporate_name_S2 = '') FROM corp_s2"
         ),
         "dq_avg_revenue": _q(
-            "SELECT 'financial' AS source, CAST(round(avg(revenue), 2) AS DECIMAL(20,2)) AS avg_revenue FROM corp_s2"
+            "SELECT 'financial' AS source, round(avg(revenue), 2) AS avg_revenue FROM corp_s2"
         ),
         "dq_verdicts": _q(
             f"""SELECT 'supply_chain' AS source, 'null_or_blank_name' AS rule,
-                   CAST(count(*) FILTER (WHERE corporate_name_S1 IS NULL OR corporate_name_S1 = '') AS DECIMAL(20,2)) AS metric_value,
-                   CAST(0 AS DECIMAL(20,2)) AS threshold,
+                   CAST(count(*) FILTER (WHERE corporate_name_S1 IS NULL OR corporate_name_S1 = '') AS DOUBLE) AS metric_value,
+                   CAST(0 AS DOUBLE) AS threshold,
                    count(*) FILTER (WHERE corporate_name_S1 IS NULL OR corporate_name_S1 = '') = 0 AS passed FROM corp_s1
             UNION ALL
             SELECT 'financial', 'null_or_blank_name',
-                   CAST(count(*) FILTER (WHERE corporate_name_S2 IS NULL OR corporate_name_S2 = '') AS DECIMAL(20,2)),
-                   CAST(0 AS DECIMAL(20,2)),
+                   CAST(count(*) FILTER (WHERE corporate_name_S2 IS NULL OR corporate_name_S2 = '') AS DOUBLE),
+                   CAST(0 AS DOUBLE),
                    count(*) FILTER (WHERE corporate_name_S2 IS NULL OR corporate_name_S2 = '') = 0 FROM corp_s2
             UNION ALL
-            SELECT 'financial', 'min_avg_revenue', CAST(round(avg(revenue), 2) AS DECIMAL(20,2)),
-                   CAST({P.min_avg_revenue} AS DECIMAL(20,2)),
+            SELECT 'financial', 'min_avg_revenue', round(avg(revenue), 2),
+                   CAST({P.min_avg_revenue} AS DOUBLE),
                    avg(revenue) IS NULL OR avg(revenue) >= {P.min_avg_revenue} FROM corp_s2"""
         ),
         "match_rate": _q(
             """SELECT g.n AS golden_rows, s.n AS s2_rows, s.m AS matched_s2_rows,
-                      CAST(CASE WHEN s.n > 0 THEN round(g.n * 100.0 / s.n, 3) ELSE 0 END AS DECIMAL(12,3)) AS match_rate_pct,
-                      CAST(CASE WHEN s.n > 0 THEN round(s.m * 100.0 / s.n, 3) ELSE 0 END AS DECIMAL(12,3)) AS matched_s2_pct
+                      CASE WHEN s.n > 0 THEN round(CAST(g.n AS DOUBLE) * 100.0 / s.n, 3) ELSE 0.0 END AS match_rate_pct,
+                      CASE WHEN s.n > 0 THEN round(CAST(s.m AS DOUBLE) * 100.0 / s.n, 3) ELSE 0.0 END AS matched_s2_pct
                FROM (SELECT count(*) AS n FROM golden) g,
                     (SELECT count(*) AS n,
                             count(*) FILTER (WHERE EXISTS (SELECT 1 FROM s1 WHERE s1.norm_name_s1 = s2n.nn
@@ -157,7 +157,7 @@ def oracle_sql() -> dict[str, str]:
             + """ AS nn FROM corp_s2) s2n) s"""
         ),
         "drift_check": _q(
-            f"""SELECT CAST(round(r, 3) AS DECIMAL(12,3)) AS match_rate_pct,
+            f"""SELECT round(r, 3) AS match_rate_pct,
                        CAST({P.historical_match_rate_pct - P.match_rate_deviation_pct} AS DOUBLE) AS lower_bound_pct,
                        CAST({P.historical_match_rate_pct + P.match_rate_deviation_pct} AS DOUBLE) AS upper_bound_pct,
                        (r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
@@ -165,7 +165,7 @@ def oracle_sql() -> dict[str, str]:
                        CASE WHEN r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
                                  OR r > {P.historical_match_rate_pct + P.match_rate_deviation_pct}
                             THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status
-                FROM (SELECT CASE WHEN s.n > 0 THEN g.n * 100.0 / s.n ELSE 0 END AS r
+                FROM (SELECT CASE WHEN s.n > 0 THEN CAST(g.n AS DOUBLE) * 100.0 / s.n ELSE 0.0 END AS r
                       FROM (SELECT count(*) AS n FROM golden) g, (SELECT count(*) AS n FROM corp_s2) s)"""
         ),
         "risk_screen": _q("SELECT * FROM tagged"),
@@ -180,9 +180,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "reconcile_delivery": _q(
             f"""SELECT r.n AS registry_distinct_ids, b.n AS batch_rows,
-                       CAST(CASE WHEN b.n > 0 THEN round(r.n * 100.0 / b.n, 3) END AS DECIMAL(12,3)) AS delivery_index_pct,
-                       CASE WHEN b.n > 0 THEN r.n * 100.0 / b.n >= {P.delivery_target_pct} END AS meets_target,
-                       CAST(CASE WHEN b.n > 0 THEN round(c.n * 100.0 / b.n, 3) END AS DECIMAL(12,3)) AS batch_coverage_pct
+                       CASE WHEN b.n > 0 THEN round(CAST(r.n AS DOUBLE) * 100.0 / b.n, 3) END AS delivery_index_pct,
+                       CASE WHEN b.n > 0 THEN CAST(r.n AS DOUBLE) * 100.0 / b.n >= {P.delivery_target_pct} END AS meets_target,
+                       CASE WHEN b.n > 0 THEN round(CAST(c.n AS DOUBLE) * 100.0 / b.n, 3) END AS batch_coverage_pct
                 FROM (SELECT count(DISTINCT corporate_id) AS n FROM registry) r,
                      (SELECT count(*) AS n FROM tagged) b,
                      (SELECT count(*) AS n FROM tagged WHERE corporate_id IN (SELECT corporate_id FROM registry)) c"""
