@@ -68,3 +68,19 @@ def test_pipeline_gate_catches_bad_number(spark, tmp_path):
     with pytest.raises(Exception) as err:
         run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), scratch_path(spark, "bad"), train=False)
     assert "oops" in str(err.value) or "FAILFAST" in str(err.value) or "MALFORMED" in str(err.value).upper()
+
+
+def test_csv_landing_round_trip_gives_same_golden_records(spark, sf_small, tmp_path):
+    from corpreg.operators.golden import golden_records
+    from corpreg.sources import fixtures
+
+    s1 = fixtures.supply_chain(spark, sf_small)
+    s2 = fixtures.financial(spark, sf_small)
+    root = str(tmp_path / "landing")
+    s1.write.option("header", True).csv(f"{root}/supply")
+    s2.write.option("header", True).csv(f"{root}/finance")
+    c1, c2 = csv_sources.read_sources(spark, root)
+    assert csv_sources.validated_counts(c1)["__rows"] == s1.count()
+    want = sorted(golden_records(s1, s2).collect(), key=repr)
+    got = sorted(golden_records(c1, c2).collect(), key=repr)
+    assert got == want
