@@ -6,7 +6,8 @@ reading a config file, so one session can run several configurations.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import dataclass, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay equal to the behaviour being reproduced,
@@ -76,3 +77,34 @@ class Params:
     # split every fuzzy-join key this many ways up front (1 = leave hot keys
     # to AQE's skew-join split)
     segment_salt_buckets: int = 1
+
+
+def params_from_config(config: dict | str, base: Params = Params()) -> Params:
+    """Params from a thresholds config (a dict or a JSON file path) laid out as
+    ``entity_resolution.{suffix_regex, levenshtein_threshold}``,
+    ``drift_monitoring.{historical_average_pct, threshold_deviation_pct}``,
+    ``data_quality.min_avg_revenue`` and ``ml_training.{lr_max_iterations,
+    profit_threshold, feature_cols, target_col, baseline_accuracy,
+    random_split_ratio, random_seed}``. Missing keys keep ``base``."""
+    if isinstance(config, str):
+        with open(config, encoding="utf-8") as f:
+            config = json.load(f)
+    er = config.get("entity_resolution", {})
+    dm = config.get("drift_monitoring", {})
+    dq = config.get("data_quality", {})
+    ml = config.get("ml_training", {})
+    changes = {
+        "suffix_regex": er.get("suffix_regex"),
+        "max_edits": er.get("levenshtein_threshold"),
+        "historical_match_rate_pct": dm.get("historical_average_pct"),
+        "match_rate_deviation_pct": dm.get("threshold_deviation_pct"),
+        "min_avg_revenue": dq.get("min_avg_revenue"),
+        "lr_max_iter": ml.get("lr_max_iterations"),
+        "profit_threshold": ml.get("profit_threshold"),
+        "feature_cols": tuple(ml["feature_cols"]) if "feature_cols" in ml else None,
+        "label_col": ml.get("target_col"),
+        "baseline_accuracy": ml.get("baseline_accuracy"),
+        "train_fraction": ml["random_split_ratio"][0] if "random_split_ratio" in ml else None,
+        "split_seed": ml.get("random_seed"),
+    }
+    return replace(base, **{k: v for k, v in changes.items() if v is not None})

@@ -55,3 +55,40 @@ def test_scratch_scope_deletes_intermediates(spark, sf_small):
         local = [p.replace("file:", "") for p in paths]
         assert n == 79 and len(local) == 3 and all(os.path.exists(p) for p in local)
     assert not any(os.path.exists(p) for p in local)
+
+
+def test_params_from_config(tmp_path):
+    import json
+
+    from corpreg.params import Params, params_from_config
+
+    cfg = {
+        "entity_resolution": {"levenshtein_threshold": 1},
+        "drift_monitoring": {"historical_average_pct": 60.0, "threshold_deviation_pct": 10.0},
+        "data_quality": {"min_avg_revenue": 5000},
+        "ml_training": {"lr_max_iterations": 20, "random_split_ratio": [0.7, 0.3], "profit_threshold": 1.0},
+    }
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(cfg))
+    p = params_from_config(str(path))
+    assert (p.max_edits, p.historical_match_rate_pct, p.match_rate_deviation_pct) == (1, 60.0, 10.0)
+    assert (p.min_avg_revenue, p.lr_max_iter, p.train_fraction, p.profit_threshold) == (5000, 20, 0.7, 1.0)
+    assert p.suffix_regex == Params().suffix_regex
+
+
+def test_cli_runs_from_landing_folder(spark, sf_small, tmp_path):
+    import json
+
+    from corpreg.__main__ import main
+    from corpreg.session import scratch_path
+
+    root = str(tmp_path / "landing")
+    fixtures.supply_chain(spark, sf_small).write.option("header", True).csv(f"{root}/a")
+    fixtures.financial(spark, sf_small).write.option("header", True).csv(f"{root}/b")
+    feed = tmp_path / "feed.txt"
+    feed.write_text("Red tape fines suspected\nBlue chip shares rise\n\nData breach at cold store\n")
+    assert main(["--landing", root, "--registry", scratch_path(spark, "cli"), "--feed", str(feed), "--no-train"]) == 0
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "x.csv").write_text("corporate_name_S1,address,activity_places,top_suppliers\nA,,,\n")
+    assert main(["--landing", str(empty), "--registry", scratch_path(spark, "cli")]) == 1
