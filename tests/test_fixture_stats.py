@@ -24,3 +24,15 @@ def test_fixture_statistics(spark):
     assert QUERIES["fuzzy_full_outer"](spark, SF).count() == 54517
     assert QUERIES["unmatched_s1"](spark, SF).count() == 403
     assert QUERIES["unmatched_s2"](spark, SF).count() == 175
+
+
+def test_fixture_statistics_at_bench_scale(spark):
+    sf = "/root/testdata/sf0.1"
+    rate = QUERIES["match_rate"](spark, sf).first()
+    assert (rate["golden_rows"], rate["s2_rows"], rate["matched_s2_rows"]) == (1825, 11662, 9964)
+    assert QUERIES["fuzzy_pairs"](spark, sf).count() == 104
+    feats = QUERIES["profit_features"](spark, sf)
+    assert feats.where(F.col("profit").isNull()).count() == 1761
+    assert feats.where("high_profit_indicator = 1").count() == 64
+    dist = {r[0]: r[1] for r in feats.groupBy("supplier_count").count().collect()}
+    assert dist == {0: 452, 1: 474, 2: 460, 3: 439}
