@@ -169,7 +169,7 @@ def fuzzy_pairs(
 ) -> DataFrame:
     """Distinct matching (norm_1, norm_2) name pairs between the two sources.
 
-    The distinct normalized names of each source are checkpointed first (one
+    The distinct normalized names of each source are written once first (one
     row per name): the segment join reads them from three branches, and
     without the cut each branch would rescan its source and normalize every
     row again.
