@@ -227,7 +227,7 @@ def fuzzy_full_outer(
     hot on either side (a single full outer join would read each source once
     fewer, but AQE cannot split a skewed full outer join). Its output size is
     that of the row-level join by definition. ``pairs`` (distinct names only) is
-    checkpointed when computed here, as two branches read it.
+    written once when computed here, as two branches read it.
     """
     if pairs is None:
         pairs = materialize(fuzzy_pairs(s1, s2, params))

@@ -115,7 +115,7 @@ def golden_and_pairs(
     own company.
 
     With ``materialize_steps`` the per-name best rows and the pairs (one row
-    per distinct name or pair, far smaller than the input) are checkpointed
+    per distinct name or pair, far smaller than the input) are written once
     to the shared folder: each source is then scanned and aggregated once,
     although three branches of the plan use it, and the fuzzy join starts
     from a lineage cut.
@@ -125,7 +125,7 @@ def golden_and_pairs(
         return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params)), None
     best_s1 = keep(best_per_name(s1, S1_NAME, S1_RANK, params))
     best_s2 = keep(best_per_name(s2, S2_NAME, S2_RANK, params))
-    # index the larger name set (counts are cheap once checkpointed)
+    # index the larger name set (counts are cheap once written)
     index_side = 1
     if materialize_steps and best_s2.count() > best_s1.count():
         index_side = 2

@@ -142,7 +142,7 @@ def q_drift_check(spark, d):
 
 
 def _tagged(spark, d):
-    """The registry batch (risk-tagged golden records), checkpointed once
+    """The registry batch (risk-tagged golden records), written once
     because registry, reconciliation and training queries read it twice."""
     return materialize(risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P))
 
