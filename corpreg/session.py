@@ -10,6 +10,7 @@ session) is a temporary folder chosen and registered as the checkpoint dir.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -67,20 +68,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
-_SCOPES: list[list[str]] = []
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Delete, on exit, the intermediate tables that :func:`materialize`
-    writes inside the ``with`` block. DataFrames built from them must be
-    consumed before the block ends. Not thread-safe."""
+    writes inside the ``with`` block in the same thread. DataFrames built
+    from them must be consumed before the block ends."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    _scopes().append(paths)
     try:
         yield paths
     finally:
-        _SCOPES.pop()
+        _scopes().pop()
         delete_paths(spark, paths)
 
 
@@ -109,6 +116,7 @@ def materialize(df, name: str = "stage", scoped: bool = True):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
-    if scoped and _SCOPES:
-        _SCOPES[-1].append(path)
+    scopes = _scopes()
+    if scoped and scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -92,3 +92,22 @@ def test_cli_runs_from_landing_folder(spark, sf_small, tmp_path):
     empty.mkdir()
     (empty / "x.csv").write_text("corporate_name_S1,address,activity_places,top_suppliers\nA,,,\n")
     assert main(["--landing", str(empty), "--registry", scratch_path(spark, "cli")]) == 1
+
+
+def test_scratch_scopes_are_per_thread(spark):
+    import threading
+
+    from corpreg.session import materialize, scratch_scope
+
+    seen = {}
+
+    def other():
+        df = materialize(spark.range(5), "other")
+        seen["n"] = df.count()
+
+    with scratch_scope(spark) as paths:
+        t = threading.Thread(target=other)
+        t.start()
+        t.join()
+        assert paths == []  # the other thread's table is not in this scope
+    assert seen["n"] == 5
