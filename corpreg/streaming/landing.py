@@ -78,6 +78,7 @@ def start_landing_ingest(
     available_now: bool = True,
     processing_time: str = "1 minute",
     table: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the incremental ingest of ``role`` files under ``folder``.
 
@@ -86,11 +87,12 @@ def start_landing_ingest(
     Each snapshot commit rewrites the registry, which suits batch-sized
     triggers; for frequent small micro-batches over a large registry pass
     ``table``, a catalog table in a format with file-level ``MERGE INTO``.
+    ``max_files_per_trigger`` bounds the size of one micro-batch.
     """
     if role not in ("financial", "supply_chain"):
         raise ValueError(f"unknown role {role!r}")
     registry = table if table else SnapshotRegistry(spark, registry_root)
-    stream = landing_stream(spark, folder, role)
+    stream = landing_stream(spark, folder, role, max_files_per_trigger)
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         upsert_batch(batch, other, role, feed, registry, params)
