@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from corpreg.functions import corporate_id, first_token, normalized_name
 

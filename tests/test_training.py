@@ -1,7 +1,6 @@
 import pytest
 
 from corpreg.operators import training
-from corpreg.params import Params
 from corpreg.plans.catalog import QUERIES
 
 SCHEMA = "corporate_id string, top_suppliers string, revenue double, profit double"
