@@ -63,24 +63,28 @@ def _grams(text: Column) -> Column:
 
 
 def headline_grams(headlines: DataFrame) -> DataFrame:
-    return headlines.select(
-        "position", "headline", "lower_headline", F.explode(_grams(F.col("lower_headline"))).alias("gram")
-    )
+    """(position, gram): one row per distinct 1-, 2- or 3-gram of a headline."""
+    return headlines.select("position", F.explode(_grams(F.col("lower_headline"))).alias("gram"))
 
 
 def token_risk(tokens: DataFrame, feed: DataFrame, params: Params = Params()) -> DataFrame:
     """(token, adverse_media_news) for every token that hits a risky headline.
 
-    ``tokens`` has one column ``token`` of distinct, non-empty tokens.
+    ``tokens`` has one column ``token`` of distinct, non-empty tokens. The
+    n-gram index holds only (position, gram), so its broadcast is small; the
+    candidates are then verified against the headline text.
     """
     hot = risky_headlines(feed, params)
     grams = headline_grams(hot)
     # upper bound of the gram rows: MAX_GRAM per character of every headline
     bound = hot.agg(F.coalesce(F.sum(F.length("lower_headline")), F.lit(0)) * MAX_GRAM).first()[0]
-    if bound <= params.feed_broadcast_max_rows:
-        grams = F.broadcast(grams)
+    small = bound <= params.feed_broadcast_max_rows
+    if small:
+        # the feed itself is then at most bound / MAX_GRAM characters
+        grams, hot = F.broadcast(grams), F.broadcast(hot)
     probe = tokens.select("token", F.substring("token", 1, MAX_GRAM).alias("gram"))
-    hits = probe.join(grams, "gram").where(F.col("lower_headline").contains(F.col("token")))
+    cand = probe.join(grams, "gram").select("token", "position").distinct()
+    hits = cand.join(hot, "position").where(F.col("lower_headline").contains(F.col("token")))
     first = hits.groupBy("token").agg(F.min(F.struct("position", "headline")).alias("first"))
     return first.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))
 
