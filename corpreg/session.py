@@ -20,7 +20,13 @@ from pyspark.sql import SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set to a new temporary folder only
     when the session names none (bare local sessions)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return conf
     d = sc.getCheckpointDir()
     if d:
         return d
@@ -33,20 +39,6 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-# Settings for large clusters: many shuffle partitions that AQE coalesces to
-# ~256 MB, skew splitting on, scan splits of 256 MB.
-CLUSTER_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # split skewed join partitions even where that adds a shuffle downstream
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-}
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/corpreg/{name}-{uuid.uuid4().hex}"
