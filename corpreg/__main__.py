@@ -1,6 +1,6 @@
 """Run the whole pipeline from a landing folder of CSV files.
 
-    python -m corpreg --landing <uri> --registry <uri> [--config thresholds.json]
+    python -m corpreg (--landing <uri> | --roles <s1 dir> <s2 dir>) --registry <uri> [--config thresholds.json]
                       [--feed headlines.txt] [--model <uri>] [--runs <uri>] [--health <uri>]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
@@ -20,12 +20,15 @@ from pyspark.sql import functions as F
 from corpreg.operators.quality import CircuitBreakerError
 from corpreg.params import DEFAULT_FEED, Params, params_from_config
 from corpreg.plans.pipeline import run_pipeline
-from corpreg.sources.csv_sources import MissingSourceError, read_sources
+from corpreg.sources.csv_sources import MissingSourceError, read_role_folders, read_sources
 
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="corpreg")
-    ap.add_argument("--landing", required=True, help="folder (any Hadoop URI) holding the source CSV files")
+    src = ap.add_mutually_exclusive_group(required=True)
+    src.add_argument("--landing", help="folder (any Hadoop URI) holding the source CSV files, routed by header")
+    src.add_argument("--roles", nargs=2, metavar=("SUPPLY_CHAIN_DIR", "FINANCIAL_DIR"),
+                     help="one folder per source role; no per-file header reads")
     ap.add_argument("--registry", required=True, help="registry root folder")
     ap.add_argument("--config", help="thresholds JSON file")
     ap.add_argument("--feed", help="text file with one headline per line (default: built-in feed)")
@@ -49,7 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     else:
         feed = spark.createDataFrame(list(enumerate(DEFAULT_FEED, 1)), "position int, headline string")
     try:
-        s1, s2 = read_sources(spark, args.landing, policy=args.policy)
+        if args.landing:
+            s1, s2 = read_sources(spark, args.landing, policy=args.policy)
+        else:
+            s1, s2 = read_role_folders(spark, *args.roles)
         result = run_pipeline(
             spark, s1, s2, feed, args.registry, params,
             train=not args.no_train, model_path=args.model, runs_path=args.runs, health_path=args.health,

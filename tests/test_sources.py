@@ -84,3 +84,15 @@ def test_csv_landing_round_trip_gives_same_golden_records(spark, sf_small, tmp_p
     want = sorted(golden_records(s1, s2).collect(), key=repr)
     got = sorted(golden_records(c1, c2).collect(), key=repr)
     assert got == want
+
+
+def test_role_folders(spark, sf_small, tmp_path):
+    from corpreg.sources import fixtures
+
+    s1 = fixtures.supply_chain(spark, sf_small)
+    s2 = fixtures.financial(spark, sf_small)
+    s1.write.option("header", True).csv(str(tmp_path / "s1" / "day=1"))
+    s2.write.option("header", True).csv(str(tmp_path / "s2"))
+    c1, c2 = csv_sources.read_role_folders(spark, str(tmp_path / "s1"), str(tmp_path / "s2"))
+    assert c1.count() == s1.count() and c2.count() == s2.count()
+    assert c1.columns == s1.columns and c2.columns == s2.columns
