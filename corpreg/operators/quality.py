@@ -119,6 +119,11 @@ def require_contracts(verdict_rows: DataFrame) -> None:
         raise CircuitBreakerError(msg)
 
 
+def require_source_contracts(df: DataFrame, source: str, name_col: str, params: Params = Params()) -> None:
+    """Check one source and raise :class:`CircuitBreakerError` on a violation."""
+    require_contracts(check_contracts(df, source, name_col, params))
+
+
 def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Golden rows per raw Source-2 row, in percent (0 when Source 2 is empty).
 

@@ -89,3 +89,11 @@ def test_check_contracts_per_source(spark):
     v2 = {r["rule"]: r["passed"] for r in quality.check_contracts(s2, "s2", "corporate_name_S2").collect()}
     assert v1 == {"null_or_blank_name": True}
     assert v2 == {"null_or_blank_name": True, "min_avg_revenue": False}
+
+
+def test_require_source_contracts(spark):
+    ok = spark.createDataFrame([("a", None, 20000.0, 1.0)], S2)
+    quality.require_source_contracts(ok, "financial", "corporate_name_S2")
+    low = spark.createDataFrame([("a", None, 5.0, 1.0)], S2)
+    with pytest.raises(quality.CircuitBreakerError, match="min_avg_revenue"):
+        quality.require_source_contracts(low, "financial", "corporate_name_S2")
