@@ -141,10 +141,11 @@ def q_drift_check(spark, d):
     return quality.drift_check(quality.match_rate(golden.golden_records(s1, s2, P), s2), P)
 
 
-def _tagged(spark, d):
-    """The registry batch (risk-tagged golden records), written once
-    because registry, reconciliation and training queries read it twice."""
-    return materialize(risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P))
+def _tagged(spark, d, keep: bool = False):
+    """The registry batch (risk-tagged golden records); ``keep`` writes it
+    once for queries that read it twice."""
+    tagged = risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P)
+    return materialize(tagged, "batch") if keep else tagged
 
 
 def _tagged_first_batch(spark, d):
@@ -193,7 +194,7 @@ def q_registry_preview(spark, d):
 
 
 def q_reconcile_delivery(spark, d):
-    batch = _tagged(spark, d)
+    batch = _tagged(spark, d, keep=True)
     return quality.reconcile_delivery(_merged(spark, d, batch), batch, P)
 
 
