@@ -39,7 +39,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     with_direct = os.environ.get("BENCH_DIRECT", "0") == "1"
 
     from pyspark.sql import SparkSession
