@@ -102,13 +102,16 @@ def _as_golden_s2(best_s2: DataFrame) -> DataFrame:
 def golden_records(
     s1: DataFrame | None, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
 ) -> DataFrame:
+    """One golden row per corporate id; see :func:`golden_and_pairs`."""
     return golden_and_pairs(s1, s2, params, materialize_steps)[0]
 
 
 def golden_and_pairs(
     s1: DataFrame | None, s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
 ) -> tuple[DataFrame, DataFrame | None]:
-    """One row per corporate id: ``corporate_id, corporate_name, address,
+    """Golden records and the name pairs they were built from.
+
+    One row per corporate id: ``corporate_id, corporate_name, address,
     activity_places, top_suppliers, main_customers, revenue, profit``.
 
     ``s1=None`` means Source 1 has not arrived: every Source-2 name is its
