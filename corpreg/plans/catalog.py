@@ -13,7 +13,7 @@ from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators import fuzzy, golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.session import materialize, scratch_path
-from corpreg.sources import fixtures
+from corpreg.sources import csv_sources, fixtures
 from corpreg.sources.registry import SnapshotRegistry, merge_frames
 
 P = Params()
@@ -255,6 +255,27 @@ def q_health_export(spark, d):
     return health_record(quality.source_counts(s1, s2), quality.match_rate(g, s2), None, P)
 
 
+def _landing(spark, d) -> str:
+    """Both sources written as CSV landing files (several part files per role,
+    mixed in one folder tree) under the shared folder."""
+    root = scratch_path(spark, "landing")
+    _s1(spark, d).write.option("header", True).csv(f"{root}/supply")
+    _s2(spark, d).write.option("header", True).csv(f"{root}/finance")
+    return root
+
+
+def q_read_source(spark, d):
+    """Financial source: discovered, routed by header and read back strictly."""
+    _, s2 = csv_sources.read_sources(spark, _landing(spark, d))
+    return s2
+
+
+def q_route_sources(spark, d):
+    """Rows per routed role after discovery, header routing and strict reads."""
+    s1, s2 = csv_sources.read_sources(spark, _landing(spark, d))
+    return quality.source_counts(s1, s2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "name_not_null": q_name_not_null,
     "normalize_names": q_normalize_names,
@@ -289,4 +310,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profit_auc": q_profit_auc,
     "training_runs": q_training_runs,
     "health_export": q_health_export,
+    "read_source": q_read_source,
+    "route_sources": q_route_sources,
 }

@@ -196,6 +196,11 @@ def oracle_sql() -> dict[str, str]:
                       [coalesce(revenue, 0.0), CAST(supplier_count0 AS DOUBLE)]::DOUBLE[] AS features
                FROM features"""
         ),
+        "read_source": _q("SELECT * FROM corp_s2"),
+        "route_sources": _q(
+            "SELECT 'supply_chain' AS source, count(*) AS row_count FROM corp_s1 "
+            "UNION ALL SELECT 'financial', count(*) FROM corp_s2"
+        ),
         "train_test_split": _q(
             f"""SELECT corporate_id,
                        CASE WHEN ('0x' || substr(corporate_id, 1, 4))::INTEGER % 10 < {int(P.train_fraction * 10)}
