@@ -89,3 +89,16 @@ def test_rank_before_join_equals_direct_plan(spark, seed):
     fast = golden_records(s1, s2)
     slow = golden_from_harmonized(fuzzy_full_outer_naive(s1, s2)).select(fast.columns)
     assert sorted(fast.collect(), key=repr) == sorted(slow.collect(), key=repr)
+
+
+def test_empty_sources(spark):
+    from corpreg.operators.risk import risk_screen
+    from corpreg.sources import fixtures
+
+    s1 = spark.createDataFrame([], "corporate_name_S1 string, address string, activity_places string, top_suppliers string")
+    s2 = spark.createDataFrame([], "corporate_name_S2 string, main_customers string, revenue double, profit double")
+    assert golden_records(s1, s2).count() == 0
+    one = spark.createDataFrame([("Acme Inc.", None, 1.0, 0.1)], s2.schema)
+    g = golden_records(s1, one).collect()
+    assert len(g) == 1 and g[0]["corporate_name"] == "Acme Inc." and g[0]["address"] is None
+    assert risk_screen(golden_records(s1, s2), fixtures.headline_feed(spark)).count() == 0
