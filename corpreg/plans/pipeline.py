@@ -71,7 +71,7 @@ def run_pipeline(
 
     # 3. keyed upsert into the registry
     registry = SnapshotRegistry(spark, registry_root)
-    sid = registry.merge(batch)
+    sid = registry.merge(batch, source_is_written=True)
     current = registry.current()
 
     # 4. metrics

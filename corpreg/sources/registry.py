@@ -86,7 +86,7 @@ class SnapshotRegistry:
         df = self.spark.read.schema(self.schema).parquet(latest["path"])
         return df.select(*self.schema.fieldNames())
 
-    def merge(self, source: DataFrame) -> int:
+    def merge(self, source: DataFrame, source_is_written: bool = False) -> int:
         """Upsert ``source`` by key and commit it as a new snapshot; returns
         the snapshot id. Raises :class:`DuplicateKeyError` first if the source
         repeats a key.
@@ -94,9 +94,13 @@ class SnapshotRegistry:
         The source is written once first: the key check, the commit-type check
         and the write all read it, and a lazy source would otherwise be
         recomputed for each. That copy is deleted when the commit is done.
+        ``source_is_written=True`` skips the copy for a source that is already
+        a scan of written files.
         """
         with scratch_scope(self.spark):
-            source = materialize(source.select(*self.schema.fieldNames()), "upsert")
+            source = source.select(*self.schema.fieldNames())
+            if not source_is_written:
+                source = materialize(source, "upsert")
             assert_unique_keys(source)
             latest = self._latest()
             sid = 1 if latest is None else latest["snapshot_id"] + 1
