@@ -63,7 +63,7 @@ def upsert_batch(
     if isinstance(registry, str):
         merge_into_table(batch.sparkSession, registry, tagged)
         return None
-    return registry.merge(tagged)
+    return registry.merge(tagged, source_is_written=True)
 
 
 def start_landing_ingest(
