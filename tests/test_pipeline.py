@@ -20,6 +20,13 @@ def test_end_to_end(spark, sf_small, tmp_path):
     assert res.health["pipeline_health_status"] == "HEALTHY"
     runs = spark.read.parquet(str(tmp_path / "runs"))
     assert runs.count() == 1
+    import json
+
+    health = spark.read.json(str(tmp_path / "health")).collect()
+    assert len(health) == 1 and health[0]["pipeline_health_status"] == "HEALTHY"
+    tel = json.loads(health[0]["telemetry"])
+    assert tel["source_1_supply_chain_row_count"] == 173 and tel["fuzzy_match_rate_pct"] == 64.23
+    assert tel["model_version"].startswith("v_run_")
     # second run of the same batch: ids unchanged, a new snapshot
     res2 = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), root, train=False)
     assert res2.snapshot_id == 2 and res2.reconciliation["registry_distinct_ids"] == 79
