@@ -12,6 +12,8 @@ def test_end_to_end(spark, sf_small, tmp_path):
         model_path=str(tmp_path / "model"), runs_path=str(tmp_path / "runs"), health_path=str(tmp_path / "health"),
     )
     assert res.snapshot_id == 1
+    # the batch is registered as a temp view for SQL users
+    assert spark.table("incoming_batch_records").count() == 79
     assert res.match_rate["golden_rows"] == 79
     assert float(res.match_rate["match_rate_pct"]) == 64.228
     assert res.drift["drift_triggered"] is False
@@ -32,11 +34,6 @@ def test_end_to_end(spark, sf_small, tmp_path):
     assert res2.snapshot_id == 2 and res2.reconciliation["registry_distinct_ids"] == 79
 
 
-def test_batch_view_is_registered(spark, sf_small):
-    assert spark.catalog.tableExists("incoming_batch_records")
-    assert spark.table("incoming_batch_records").count() == 79
-
-
 def test_health_record_rounds_exact_rate_once(spark):
     import json
 
