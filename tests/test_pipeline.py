@@ -115,3 +115,11 @@ def test_scratch_scopes_are_per_thread(spark):
         t.join()
         assert paths == []  # the other thread's table is not in this scope
     assert seen["n"] == 5
+
+
+def test_cluster_conf_is_accepted(spark):
+    from corpreg.session import CLUSTER_CONF
+
+    for k, v in CLUSTER_CONF.items():
+        spark.conf.get(k)  # known keys
+    assert CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
