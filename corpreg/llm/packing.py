@@ -33,8 +33,19 @@ from .textutil import TwoGenerationCache, bounded, set_batch_rows
 
 CAPACITY = 4096
 END_ID = 1
-CACHE_WORDS = 250_000
-_ODD_SPACES = str.maketrans({c: "\x1c" for c in "\x1c\x1d\x1e\x1f"})
+CACHE_PARTS, CACHE_WORDS = 500_000, 250_000
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 characters for themselves, the others in turn from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return [chr(b) if b in own else chr(256 + rest.index(b)) for b in range(256)]
+
+
+_BYTES = _byte_letters()
+_MARKS = ".,;:!?"
 
 
 class Tokenized:
@@ -42,23 +53,38 @@ class Tokenized:
 
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its white-space separated parts, which are kept for the
-    parts seen lately."""
+    parts seen lately. A part that is a word of Latin-1 letters, with marks
+    after it or not, is the word and the marks to the tokenizer; the word goes
+    straight to its merge step, lower-cased and with its bytes mapped."""
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.cache = TwoGenerationCache(CACHE_WORDS)
+        self.merges = self.tokenizer.model
+        self.cache, self.words = TwoGenerationCache(CACHE_PARTS), TwoGenerationCache(CACHE_WORDS)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def _whole(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        mapped = (w if w.isascii() else "".join(_BYTES[b] for b in w.encode("utf-8")) for w in words)
+        return [b"".join([self.id_bytes[t.id] for t in self.merges.tokenize(m)]) for m in mapped]
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(parts), 5000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts[at : at + 5000], add_special_tokens=False)]
-        return out
+        split: list[tuple[str, str] | None] = []
+        for part in parts:
+            word = part.rstrip(_MARKS)
+            plain = word.isalpha() and (word.isascii() or max(word) <= "\xff")
+            split.append((word.lower(), part[len(word) :]) if plain else None)
+        words = self.words.fetch({s[0] for s in split if s}, self._merged)
+        marks = {m: self._whole(m) if m else b"" for m in {s[1] for s in split if s}}
+        return [words[s[0]] + marks[s[1]] if s else self._whole(part) for s, part in zip(split, parts, strict=True)]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         # the four separators are spaces to str.split() but not to the tokenizer
-        split = [t.split() if t.translate(_ODD_SPACES).find("\x1c") < 0 else [t] for t in texts]
+        split = [[t] if "\x1c" in t or "\x1d" in t or "\x1e" in t or "\x1f" in t else t.split() for t in texts]
         known = self.cache.fetch(set().union(*split), self._encode) if split else {}
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 

@@ -119,7 +119,7 @@ class TwoGenerationCache:
             self.new[k] = self.old[k]
         absent.difference_update(found)
         if absent:
-            missing = sorted(absent)
+            missing = list(absent)
             self.new.update(zip(missing, compute(missing), strict=True))
         return self.new
 
