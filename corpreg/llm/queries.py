@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lm, packing, preference, toxicity, url_filter
+from . import ann, decontam, langid, lm, near_dup, packing, preference, suffix_dedup, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(_read(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file())
 
@@ -48,6 +52,15 @@ def op6_byte_gru_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", langid.held_out(4, 2).alias("held_out"), "text"), model).drop("text")
 
 
+def op7_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -56,13 +69,21 @@ def op9_url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_order_minhash": op1_order_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_gru_lm_scores": op3_gru_lm_scores,
     "op4_lexicon_toxicity": op4_lexicon_toxicity,
     "op5_preference_pairs": op5_preference_pairs,
     "op6_byte_gru_language": op6_byte_gru_language,
+    "op7_simhash_decontamination": op7_simhash_decontamination,
+    "op8_hnsw_neighbours": op8_hnsw_neighbours,
     "op9_url_digest_filter": op9_url_digest_filter,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpreg.llm import langid, packing
+from corpreg.llm import decontam, langid, near_dup, packing, suffix_dedup
 from corpreg.llm.queries import tokenizer_file
 from corpreg.session import materialize
 
@@ -26,12 +26,34 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named.where((F.col("__lang.lang_pred") != langid.UND) & (F.col("__lang.score") >= MIN_LANGUAGE_SCORE)).select(*names)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each class of near duplicates."""
+    return near_dup.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts out strings of 50 bytes or more that a document with a smaller
+    doc_id has too; documents of which nothing is left go."""
+    return suffix_dedup.deduplicate(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs all documents into sequences of at most 4096 tokens."""
     return packing.pack(docs, tokenizer_file())
 
 
-STAGES = [("language", language), ("pack", pack)]
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
