@@ -93,16 +93,8 @@ def sketch(texts: list[str], words: int = WORDS, sketches: int = SKETCHES, picks
     return out, counts
 
 
-def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
-    """Whether the edit similarity of two word sequences reaches ``threshold``:
-    banded alignment with as many edits as that allows, in a band that is
-    widened as long as it may hold a cheaper alignment."""
-    longer = max(len(a), len(b))
-    allowed = int((1 - threshold) * longer + 1e-9)
-    if abs(len(a) - len(b)) > allowed:
-        return False
-    if len(a) == len(b) and int((a != b).sum()) <= allowed:
-        return True
+def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the common beginning and end, the shorter one first."""
     n = min(len(a), len(b))
     differs = np.flatnonzero(a[:n] != b[:n])
     head = int(differs[0]) if len(differs) else n
@@ -111,43 +103,86 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     differs = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
     tail = int(differs[0]) if len(differs) else n
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if not len(a) or not len(b):
-        return max(len(a), len(b)) <= allowed
-    # words that have no partner must be edited
-    values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
-    one, two = np.bincount(index[: len(a)], minlength=len(values)), np.bincount(index[len(a) :], minlength=len(values))
-    if max(len(a), len(b)) - int(np.minimum(one, two).sum()) > allowed:
-        return False
-    edits = min(allowed, max(16, abs(len(a) - len(b))))
-    while True:
-        if banded_distance(a, b, edits) <= edits:
-            return True
-        if edits >= allowed:
-            return False
-        edits = min(allowed, 4 * edits)
+    return (a, b) if len(a) <= len(b) else (b, a)
+
+
+def similar_pairs(pairs: list[tuple[np.ndarray, np.ndarray]], threshold: float = THRESHOLD) -> list[bool]:
+    """Whether the edit similarity of two word sequences reaches ``threshold``,
+    for many pairs: banded alignment, in a band that is widened up to as many
+    edits as the threshold allows for the pairs that a narrow one leaves open."""
+    out, open_ = [False] * len(pairs), []
+    for k, (a, b) in enumerate(pairs):
+        allowed = int((1 - threshold) * max(len(a), len(b)) + 1e-9)
+        if abs(len(a) - len(b)) > allowed:
+            continue
+        a, b = _trimmed(a, b)
+        if not len(a):
+            out[k] = len(b) <= allowed
+            continue
+        # words that have no partner must be edited
+        values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
+        one, two = np.bincount(index[: len(a)], minlength=len(values)), np.bincount(index[len(a) :], minlength=len(values))
+        if len(b) - int(np.minimum(one, two).sum()) <= allowed:
+            open_.append((k, a, b, allowed))
+    edits = 8
+    while open_:
+        left = []
+        for (k, a, b, allowed), d in zip(open_, banded_distances([(a, b) for _, a, b, _ in open_], edits), strict=True):
+            if d <= min(edits, allowed):
+                out[k] = True
+            elif edits < allowed:
+                left.append((k, a, b, allowed))
+        open_, edits = left, 4 * edits
+    return out
+
+
+def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
+    return similar_pairs([(a, b)], threshold)[0]
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, edits: int) -> int:
-    """Edit distance if it is at most ``edits``, else something above it:
-    row by row over the diagonals from -edits to edits."""
-    if len(a) > len(b):
-        a, b = b, a
-    width, far = 2 * edits + 1, edits + 1
-    padded = np.full(len(b) + 2 * width, _TOP, np.uint64)  # b[j] is at j + width
-    padded[width : width + len(b)] = b
-    step = np.arange(width)
-    row = np.where(step >= edits, step - edits, far)  # cell d of row i is column i + d - edits
-    for i in range(1, len(a) + 1):
-        column = i + step - edits
-        substituted = row + (padded[i - 1 - edits + width : i - edits + 2 * width - 0][:width] != a[i - 1])
-        deleted = np.append(row[1:], far) + 1
-        best = np.minimum(substituted, deleted)
-        best = np.where(column == 0, i, np.where((column < 0) | (column > len(b)), far + width, best))
-        row = np.minimum(np.minimum.accumulate(best - step) + step, far + width)
-        if row.min() > edits:
-            return far
-    at = len(b) - len(a) + edits
-    return int(row[at]) if 0 <= at < width else far
+    return int(banded_distances([(a, b) if len(a) <= len(b) else (b, a)], edits)[0])
+
+
+def banded_distances(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int, cells: int = 2_000_000) -> np.ndarray:
+    """Edit distances of pairs (shorter, longer) as far as they are at most
+    ``edits``, else something above it: row by row over the diagonals from
+    -edits to edits, for pairs of like length side by side."""
+    out = np.full(len(pairs), edits + 1, np.int64)
+    order = sorted((k for k, (a, b) in enumerate(pairs) if len(b) - len(a) <= edits), key=lambda k: -len(pairs[k][0]))
+    width, far, at = 2 * edits + 1, np.int32(2 * edits + 2), 0
+    step = np.arange(width, dtype=np.int32)
+    while at < len(order):
+        longest = max(len(pairs[order[at]][1]), 1)
+        own = order[at : at + max(1, cells // (2 * longest + 10 * width))]
+        at += len(own)
+        sizes = np.array([len(pairs[k][0]) for k in own])
+        reach = max(len(pairs[k][1]) for k in own)
+        one, two = np.full((len(own), int(sizes[0])), _TOP, np.uint64), np.full((len(own), reach + 2 * width), _TOP - np.uint64(1), np.uint64)
+        for i, k in enumerate(own):  # b[j] is at j + width
+            one[i, : sizes[i]], two[i, width : width + len(pairs[k][1])] = pairs[k]
+        row = np.where(step >= edits, step - np.int32(edits), far) + np.zeros((len(own), 1), np.int32)
+        deleted = np.full(row.shape, far, np.int32)
+        result = np.where(sizes == 0, [len(pairs[k][1]) for k in own], 0)
+        final = np.array([len(pairs[k][1]) - len(pairs[k][0]) for k in own]) + edits
+        alive = len(own)
+        for i in range(1, int(sizes[0]) + 1):
+            while sizes[alive - 1] < i:
+                alive -= 1
+            row = row[:alive]
+            first = i - 1 - edits + width
+            best = row + (two[:alive, first : first + width] != one[:alive, i - 1 : i])
+            deleted = deleted[:alive]
+            deleted[:, :-1] = row[:, 1:]
+            deleted[:, -1] = far
+            np.minimum(best, deleted + 1, out=best)
+            if i <= edits:  # cells left of the first column, and the column of no words
+                best[:, : edits - i], best[:, edits - i] = far, i
+            row = np.minimum(np.minimum.accumulate(best - step, axis=1) + step, far).astype(np.int32)
+            ended = np.flatnonzero(sizes[:alive] == i)
+            result[ended] = row[ended, final[ended]]
+        out[own] = np.minimum(result, edits + 1)
+    return out
 
 
 def text_key(text):
@@ -188,7 +223,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
             found = []
             for group in bounded(rows, lambda r: len(r[0]) + len(r[1])):
                 hashes, begin = word_hashes([t for r in group for t in r])
-                found += [similar(hashes[begin[i] : begin[i + 1]], hashes[begin[i + 1] : begin[i + 2]], threshold) for i in range(0, 2 * len(group), 2)]
+                found += similar_pairs([(hashes[begin[i] : begin[i + 1]], hashes[begin[i + 1] : begin[i + 2]]) for i in range(0, 2 * len(group), 2)], threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.bool_())], names=["a", "b", "same"])
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "one", "two").mapInArrow(work, "a binary, b binary, same boolean")
