@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from .textutil import bounded, mix, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 5, 32, 2, 0.8, 4
@@ -250,6 +250,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS,
     """One row per row of ``docs`` (doc_id, text): doc_id, key, class_id,
     class_key (the key of the row that names the class) and copies (rows of the class)."""
     rows = materialize(sketched(docs, **options), "sketches")
+    with scratch_scope(docs.sparkSession):
+        of_key = materialize(_classes_of_keys(docs, rows, threshold, rounds), "classes", scoped=False)
+    out = rows.select("doc_id", "key").join(of_key, "key", "left")
+    return out.select(
+        "doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_key", F.coalesce("copies", F.lit(1)).alias("copies")
+    )
+
+
+def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds: int) -> DataFrame:
     # a null doc_id comes after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     texts = rows.where("key is not null").groupBy("key").agg(F.first("sketches").alias("sketches"), first.alias("first"), F.count("*").alias("copies"))
@@ -276,17 +285,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS,
     labels = components(links)
     named = texts.select("key", "first", "copies").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     heads = named.groupBy("label").agg(F.min("first").alias("head"), F.sum("copies").alias("copies"))
-    of_key = named.select("key", "label").join(heads, "label").select("key", F.col("head.doc_id").alias("class_id"), F.col("head.key").alias("class_key"), "copies")
-    out = rows.select("doc_id", "key").join(of_key, "key", "left")
-    return out.select(
-        "doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "class_key", F.coalesce("copies", F.lit(1)).alias("copies")
-    )
+    return named.select("key", "label").join(heads, "label").select("key", F.col("head.doc_id").alias("class_id"), F.col("head.key").alias("class_key"), "copies")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class: that of the smallest doc_id (of the
     smallest key, if that id has several texts). All columns are kept."""
-    found = materialize(classes(docs, **options).where("copies > 1"), "classes")
+    with scratch_scope(docs.sparkSession):
+        found = materialize(classes(docs, **options).where("copies > 1"), "copies", scoped=False)
     is_head = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("class_key"))
     heads, others = found.where(is_head), found.where(~is_head)
     names = docs.columns

@@ -97,7 +97,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_i
     if kept), with the task that made it and its rank there among pieces of its length."""
     set_batch_rows(docs.sparkSession)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "task", "rank", *["ids"] * keep_ids]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.list_(pa.uint32())] * keep_ids]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.list_(pa.int64())] * keep_ids]
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +117,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_i
                             column.append(value)
                         seen[n] += 1
                         if keep_ids:
-                            out[-1].append(np.frombuffer(own, "<u4"))
+                            out[-1].append(np.frombuffer(own, "<u4").astype(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long" + ", ids array<long>" * keep_ids

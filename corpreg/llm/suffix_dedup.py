@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from .near_dup import text_key
 from .textutil import _BASE, _POW, _POW_INV, _TABLE, SEGMENT, mix, set_batch_rows
 
@@ -402,7 +402,9 @@ def removals(docs: DataFrame) -> DataFrame:
 def cut(docs: DataFrame, digest_only: bool = False) -> DataFrame:
     """``docs`` (all its columns) with the struct ``__cut``: n_bytes, n_removed,
     n_spans and the bytes kept (or only their SHA-256, in hex)."""
-    away = materialize(removals(docs), "removals").select(F.col("key").alias("__key"), F.col("least").alias("__least"), F.col("spans").alias("__spans"))
+    with scratch_scope(docs.sparkSession):
+        away = materialize(removals(docs), "removals", scoped=False)
+    away = away.select(F.col("key").alias("__key"), F.col("least").alias("__least"), F.col("spans").alias("__spans"))
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     joined = docs.withColumns({"__k": text_key(body), "__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))}).join(away.hint("shuffle_hash"), F.col("__k") == F.col("__key"), "left")
     kind = "string" if digest_only else "binary"

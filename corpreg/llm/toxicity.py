@@ -34,8 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from .textutil import set_batch_rows
 
 TRAIN_ROWS = 20_000
@@ -169,6 +168,11 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFr
 def learn(rows: DataFrame, added: dict[str, float] | None = None, exceptions: list[str] | None = None, size: int = LEXICON_SIZE) -> Lexicon:
     """A lexicon from ``rows`` (text, toxic), a bounded sample; ``added`` words
     and ``exceptions`` phrases of the caller are folded and kept as they are."""
+    with scratch_scope(rows.sparkSession):
+        return _learn(rows, added, exceptions, size)
+
+
+def _learn(rows: DataFrame, added: dict[str, float] | None, exceptions: list[str] | None, size: int) -> Lexicon:
     given = {fold(w): x for w, x in (added or {}).items()}
     phrases = [fold(p) for p in exceptions or []]
     rows = materialize(rows, "toxic-sample")  # it is read once for each of four counts
