@@ -14,7 +14,7 @@ from corpreg.llm import decontam, langid, near_dup, packing, suffix_dedup
 from corpreg.llm.queries import tokenizer_file
 from corpreg.session import materialize
 
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.3  # four languages: not far above an even split
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
