@@ -124,7 +124,7 @@ def require_source_contracts(df: DataFrame, source: str, name_col: str, params:
     require_contracts(check_contracts(df, source, name_col, params))
 
 
-def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None, params: Params = Params()) -> DataFrame:
     """Golden rows per raw Source-2 row, in percent (0 when Source 2 is empty).
 
     With ``pairs`` also reports the share of Source-2 rows that matched at
@@ -136,7 +136,7 @@ def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None)
     else:
         matched = pairs.select(F.col("norm_2").alias("_n")).distinct()
         s = (
-            s2.withColumn("_n", normalized_name(S2_NAME))
+            s2.withColumn("_n", normalized_name(S2_NAME, params.suffix_regex))
             .join(matched.withColumn("_hit", F.lit(1)), "_n", "left")
             .select(F.lit(0).alias("g"), F.lit(1).alias("s"), F.coalesce("_hit", F.lit(0)).alias("m"))
         )
@@ -165,7 +165,7 @@ def match_rate_of(golden: DataFrame, s2_rows: int) -> DataFrame:
 def _pct(num: str, den: str) -> Column:
     n = F.coalesce(F.col(num), F.lit(0))
     d = F.coalesce(F.col(den), F.lit(0))
-    return F.when(d > 0, F.round(n.cast("double") * 100.0 / d, 3)).otherwise(F.lit(0.0))
+    return F.when(d > 0, F.bround(n.cast("double") * 100.0 / d, 2)).otherwise(F.lit(0.0))
 
 
 def drift_check(rate: DataFrame, params: Params = Params()) -> DataFrame:
@@ -201,8 +201,8 @@ def reconcile_delivery(registry: DataFrame, batch: DataFrame, params: Params = P
         F.coalesce(F.sum(F.when(F.col("in_reg") == 1, F.col("n_batch"))), F.lit(0)).cast("bigint").alias("covered"),
     )
     exact = F.when(F.col("batch_rows") > 0, F.col("registry_distinct_ids") * 100.0 / F.col("batch_rows"))
-    idx = F.round(exact, 3)
-    cov = F.when(F.col("batch_rows") > 0, F.round(F.col("covered") * 100.0 / F.col("batch_rows"), 3))
+    idx = F.bround(exact, 2)
+    cov = F.when(F.col("batch_rows") > 0, F.bround(F.col("covered") * 100.0 / F.col("batch_rows"), 2))
     return agg.select(
         "registry_distinct_ids",
         "batch_rows",

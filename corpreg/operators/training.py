@@ -73,9 +73,11 @@ def _regex_literal(s: str) -> str:
 
 
 def split_column(params: Params = Params()):
-    """'train' / 'test' from the first four hex digits of the id."""
-    bucket = F.conv(F.substring("corporate_id", 1, 4), 16, 10).cast("int") % 10
-    return F.when(bucket < int(round(params.train_fraction * 10)), "train").otherwise("test")
+    """'train' / 'test' by a hash of the whole id: its MD5, of which the first
+    52 bits are compared with ``train_fraction`` of their range (a double holds
+    52 bits exactly, so any fraction is met as it is given)."""
+    drawn = F.conv(F.substring(F.md5(F.col("corporate_id")), 1, 13), 16, 10).cast("double")
+    return F.when(drawn < F.lit(params.train_fraction * 16.0**13), "train").otherwise("test")
 
 
 def with_split(df: DataFrame, params: Params = Params()) -> DataFrame:

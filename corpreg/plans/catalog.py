@@ -133,7 +133,7 @@ def q_dq_verdicts(spark, d):
 def q_match_rate(spark, d):
     s1, s2 = _s1(spark, d), _s2(spark, d)
     g, pairs = golden.golden_and_pairs(s1, s2, P)
-    return quality.match_rate(g, s2, pairs)
+    return quality.match_rate(g, s2, pairs, P)
 
 
 def q_drift_check(spark, d):

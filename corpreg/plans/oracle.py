@@ -146,8 +146,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "match_rate": _q(
             """SELECT g.n AS golden_rows, s.n AS s2_rows, s.m AS matched_s2_rows,
-                      CASE WHEN s.n > 0 THEN round(CAST(g.n AS DOUBLE) * 100.0 / s.n, 3) ELSE 0.0 END AS match_rate_pct,
-                      CASE WHEN s.n > 0 THEN round(CAST(s.m AS DOUBLE) * 100.0 / s.n, 3) ELSE 0.0 END AS matched_s2_pct
+                      CASE WHEN s.n > 0 THEN round_even(CAST(g.n AS DOUBLE) * 100.0 / s.n, 2) ELSE 0.0 END AS match_rate_pct,
+                      CASE WHEN s.n > 0 THEN round_even(CAST(s.m AS DOUBLE) * 100.0 / s.n, 2) ELSE 0.0 END AS matched_s2_pct
                FROM (SELECT count(*) AS n FROM golden) g,
                     (SELECT count(*) AS n,
                             count(*) FILTER (WHERE EXISTS (SELECT 1 FROM s1 WHERE s1.norm_name_s1 = s2n.nn
@@ -157,7 +157,7 @@ def oracle_sql() -> dict[str, str]:
             + """ AS nn FROM corp_s2) s2n) s"""
         ),
         "drift_check": _q(
-            f"""SELECT round(r, 3) AS match_rate_pct,
+            f"""SELECT round_even(r, 2) AS match_rate_pct,
                        CAST({P.historical_match_rate_pct - P.match_rate_deviation_pct} AS DOUBLE) AS lower_bound_pct,
                        CAST({P.historical_match_rate_pct + P.match_rate_deviation_pct} AS DOUBLE) AS upper_bound_pct,
                        (r < {P.historical_match_rate_pct - P.match_rate_deviation_pct}
@@ -180,9 +180,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "reconcile_delivery": _q(
             f"""SELECT r.n AS registry_distinct_ids, b.n AS batch_rows,
-                       CASE WHEN b.n > 0 THEN round(CAST(r.n AS DOUBLE) * 100.0 / b.n, 3) END AS delivery_index_pct,
+                       CASE WHEN b.n > 0 THEN round_even(CAST(r.n AS DOUBLE) * 100.0 / b.n, 2) END AS delivery_index_pct,
                        CASE WHEN b.n > 0 THEN CAST(r.n AS DOUBLE) * 100.0 / b.n >= {P.delivery_target_pct} END AS meets_target,
-                       CASE WHEN b.n > 0 THEN round(CAST(c.n AS DOUBLE) * 100.0 / b.n, 3) END AS batch_coverage_pct
+                       CASE WHEN b.n > 0 THEN round_even(CAST(c.n AS DOUBLE) * 100.0 / b.n, 2) END AS batch_coverage_pct
                 FROM (SELECT count(DISTINCT corporate_id) AS n FROM registry) r,
                      (SELECT count(*) AS n FROM tagged) b,
                      (SELECT count(*) AS n FROM tagged WHERE corporate_id IN (SELECT corporate_id FROM registry)) c"""
@@ -203,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "train_test_split": _q(
             f"""SELECT corporate_id,
-                       CASE WHEN ('0x' || substr(corporate_id, 1, 4))::INTEGER % 10 < {int(P.train_fraction * 10)}
+                       CASE WHEN ('0x' || substr(md5(corporate_id), 1, 13))::BIGINT < {P.train_fraction * 16.0**13}
                             THEN 'train' ELSE 'test' END AS split
                 FROM tagged"""
         ),

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Source 1, supply chain: one row per part whose name does not start with "hot".
+# Source 1, supply chain: one row per part. Parts that begin with "hot" are
+# renamed, so that Source 1 has companies that Source 2 lacks.
 CORP_S1_SQL = """
-SELECT CASE WHEN p_partkey % 10 = 0 THEN p_name || '_' || CAST(p_partkey AS VARCHAR(20))
-            ELSE p_name || CASE p_partkey % 7 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' LLC' WHEN 2 THEN ' Corp.'
+SELECT CASE WHEN p_partkey % 10 = 0 THEN name || '_' || CAST(p_partkey AS VARCHAR(20))
+            ELSE name || CASE p_partkey % 7 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' LLC' WHEN 2 THEN ' Corp.'
                  WHEN 3 THEN ' Incorporated' WHEN 4 THEN ' Group' WHEN 5 THEN ' Co.' ELSE ', Ltd.' END
        END AS corporate_name_S1,
        CASE WHEN p_partkey % 5 = 1 THEN NULL
@@ -21,19 +22,20 @@ SELECT CASE WHEN p_partkey % 10 = 0 THEN p_name || '_' || CAST(p_partkey AS VARC
        p_type || '; ' || p_brand AS activity_places,
        CASE p_size % 4 WHEN 0 THEN NULL WHEN 1 THEN 'Alpha Parts' WHEN 2 THEN 'Alpha Parts,Beta Log'
             ELSE 'Alpha Parts,Beta Log,Gamma Mfg' END AS top_suppliers
-FROM {part} WHERE p_name NOT LIKE 'hot %'
+FROM (SELECT *, CASE WHEN p_name LIKE 'hot %' THEN 'supply of ' || p_name ELSE p_name END AS name FROM {part}) p
 """
 
-# Source 2, financial: revenue and profit summed from lineitem per part.
+# Source 2, financial: revenue and profit summed from lineitem per part. Parts
+# that begin with "small" and every third part are renamed, so that Source 2 has
+# companies that Source 1 lacks.
 CORP_S2_SQL = """
-SELECT p_name || CASE (p_partkey + 3) % 7 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' LLC' WHEN 2 THEN ' Corp.'
+SELECT CASE WHEN p_partkey % 3 = 0 THEN 'holding of ' || p_name WHEN p_name LIKE 'small %' THEN 'finance of ' || p_name ELSE p_name END || CASE (p_partkey + 3) % 7 WHEN 0 THEN ' Inc.' WHEN 1 THEN ' LLC' WHEN 2 THEN ' Corp.'
             WHEN 3 THEN ' Incorporated' WHEN 4 THEN ' Group' WHEN 5 THEN ' Co.' ELSE ', Ltd.' END AS corporate_name_S2,
        CASE p_size % 3 WHEN 0 THEN 'Apple;Ford' WHEN 1 THEN 'Amazon' ELSE NULL END AS main_customers,
        r.revenue, r.profit
 FROM {part} JOIN (SELECT l_partkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
                        CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) AS profit
                 FROM {lineitem} GROUP BY l_partkey) r ON p_partkey = l_partkey
-WHERE p_name NOT LIKE 'small %' AND p_partkey % 3 <> 0
 """
 
 # Headline feed used with the derived sources. Five headlines

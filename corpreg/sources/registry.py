@@ -17,6 +17,7 @@ With a table format that supports ``MERGE INTO`` in the session catalog,
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +108,8 @@ class SnapshotRegistry:
             target = self.current()
             touched = latest is not None and not target.join(source.select(KEY), KEY, "left_semi").isEmpty()
             merged = merge_frames(target, source)
-            path = f"{self.root}/snapshots/{sid}"
+            # a folder of its own for every attempt: what a lost driver left is never in the way
+            path = f"{self.root}/snapshots/{sid}-{uuid.uuid4().hex}"
             # rows sorted by id inside each file: Parquet min/max statistics
             # then let id lookups skip row groups, without a directory per
             # prefix (which would make every task write hundreds of files)

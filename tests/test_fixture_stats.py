@@ -10,29 +10,28 @@ SF = "/root/testdata/sf0.01"
 
 def test_fixture_statistics(spark):
     rate = QUERIES["match_rate"](spark, SF).first()
-    assert (rate["golden_rows"], rate["s2_rows"], rate["matched_s2_rows"]) == (243, 1152, 977)
-    assert rate["match_rate_pct"] == 21.094
+    assert (rate["golden_rows"], rate["s2_rows"], rate["matched_s2_rows"]) == (344, 2000, 977)
+    assert rate["match_rate_pct"] == 17.2
     assert QUERIES["drift_check"](spark, SF).first()["drift_triggered"] is True
 
     feats = QUERIES["profit_features"](spark, SF)
-    assert QUERIES["golden_records"](spark, SF).where(F.col("revenue").isNull()).count() == 182
-    assert feats.where("high_profit_indicator = 1").count() == 53
+    assert QUERIES["golden_records"](spark, SF).where(F.col("revenue").isNull()).count() == 211
+    assert feats.where("high_profit_indicator = 1").count() == 99
     dist = {r[0]: r[1] for r in feats.groupBy("supplier_count").count().collect()}
-    assert dist == {0: 70, 1: 58, 2: 45, 3: 70}
+    assert dist == {0: 151, 1: 64, 2: 52, 3: 77}
     split = {r[0]: r[1] for r in QUERIES["train_test_split"](spark, SF).groupBy("split").count().collect()}
-    assert split == {"train": 184, "test": 59}
-    assert QUERIES["fuzzy_full_outer"](spark, SF).count() == 54517
-    assert QUERIES["unmatched_s1"](spark, SF).count() == 403
-    assert QUERIES["unmatched_s2"](spark, SF).count() == 175
-
-
-def test_fixture_statistics_at_bench_scale(spark):
-    sf = "/root/testdata/sf0.1"
-    rate = QUERIES["match_rate"](spark, sf).first()
-    assert (rate["golden_rows"], rate["s2_rows"], rate["matched_s2_rows"]) == (1825, 11662, 9964)
-    assert QUERIES["fuzzy_pairs"](spark, sf).count() == 104
-    feats = QUERIES["profit_features"](spark, sf)
-    assert feats.where(F.col("profit").isNull()).count() == 1761
-    assert feats.where("high_profit_indicator = 1").count() == 64
-    dist = {r[0]: r[1] for r in feats.groupBy("supplier_count").count().collect()}
-    assert dist == {0: 452, 1: 474, 2: 460, 3: 439}
+    assert split == {"train": 274, "test": 70}
+    assert QUERIES["fuzzy_full_outer"](spark, SF).count() == 55632
+    assert QUERIES["unmatched_s1"](spark, SF).count() == 670
+    assert QUERIES["unmatched_s2"](spark, SF).count() == 1023
+
+
+def test_views_keep_every_row(spark):
+    """No view leaves out a part: Source 1 has them all, Source 2 all with line items."""
+    from corpreg.sources import fixtures as fx
+
+    for sf in (SF, "/root/testdata/sf0.1"):
+        part, lines = fx.load_table(spark, sf, "part"), fx.load_table(spark, sf, "lineitem")
+        sold = lines.select("l_partkey").distinct().join(part, F.col("l_partkey") == F.col("p_partkey"), "left_semi")
+        assert fx.supply_chain(spark, sf).count() == part.count()
+        assert fx.financial(spark, sf).count() == sold.count()

@@ -14,8 +14,8 @@ def test_end_to_end(spark, sf_small, tmp_path):
     assert res.snapshot_id == 1
     # the batch is registered as a temp view for SQL users
     assert spark.table("incoming_batch_records").count() == 79
-    assert res.match_rate["golden_rows"] == 79
-    assert float(res.match_rate["match_rate_pct"]) == 64.228
+    assert res.match_rate["golden_rows"] == 135
+    assert float(res.match_rate["match_rate_pct"]) == 67.5
     assert res.drift["drift_triggered"] is False
     assert res.reconciliation["meets_target"] is True
     assert res.training["status"] == "ok"
@@ -57,7 +57,7 @@ def test_scratch_scope_deletes_intermediates(spark, sf_small):
     with scratch_scope(spark) as paths:
         n = golden_records(fixtures.supply_chain(spark, sf_small), fixtures.financial(spark, sf_small)).count()
         local = [p.replace("file:", "") for p in paths]
-        assert n == 79 and len(local) == 3 and all(os.path.exists(p) for p in local)
+        assert n == 135 and len(local) == 3 and all(os.path.exists(p) for p in local)
     assert not any(os.path.exists(p) for p in local)
 
 

@@ -60,7 +60,7 @@ def test_reconcile_delivery(spark):
     r = quality.reconcile_delivery(reg, batch).first()
     assert r["registry_distinct_ids"] == 3 and r["batch_rows"] == 3
     assert float(r["delivery_index_pct"]) == 100.0 and r["meets_target"] is True
-    assert float(r["batch_coverage_pct"]) == pytest.approx(66.667)
+    assert float(r["batch_coverage_pct"]) == pytest.approx(66.67)
     empty = quality.reconcile_delivery(reg, batch.limit(0)).first()
     assert empty["delivery_index_pct"] is None
 
@@ -77,7 +77,7 @@ def test_delivery_target_uses_unrounded_index(spark):
     reg = spark.range(99899).selectExpr("cast(id as string) AS corporate_id")
     batch = spark.range(100000).selectExpr("cast(id as string) AS corporate_id")
     r = quality.reconcile_delivery(reg, batch).first()
-    assert float(r["delivery_index_pct"]) == 99.899 and r["meets_target"] is False
+    assert float(r["delivery_index_pct"]) == 99.9 and r["meets_target"] is False
     reg2 = spark.range(99900).selectExpr("cast(id as string) AS corporate_id")
     assert quality.reconcile_delivery(reg2, batch).first()["meets_target"] is True
 

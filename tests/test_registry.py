@@ -78,3 +78,12 @@ def test_merge_into_statement_is_well_formed(spark):
     finally:
         spark.sql("DROP TABLE IF EXISTS corpreg_merge_db.reg")
         spark.sql("DROP DATABASE IF EXISTS corpreg_merge_db")
+
+
+def test_merge_after_a_crashed_commit(spark):
+    root = scratch_path(spark, "test-registry")
+    reg = SnapshotRegistry(spark, root)
+    reg.merge(_rows(spark, [("a", "A", 1.0)]))
+    _rows(spark, [("x", "X", 9.0)]).write.parquet(f"{root}/snapshots/2")  # a driver was lost before its commit row
+    assert reg.merge(_rows(spark, [("b", "B", 2.0)])) == 2
+    assert sorted(r["corporate_id"] for r in reg.current().collect()) == ["a", "b"]

@@ -1,6 +1,7 @@
 import pytest
 
 from corpreg.operators import training
+from corpreg.params import Params
 from corpreg.plans.catalog import QUERIES
 
 SCHEMA = "corporate_id string, top_suppliers string, revenue double, profit double"
@@ -65,3 +66,12 @@ def test_model_save_and_load(spark, tmp_path):
     a = sorted(r[0] for r in model.transform(test).select("prediction").collect())
     b = sorted(r[0] for r in again.transform(test).select("prediction").collect())
     assert a == b
+
+
+def test_split_meets_any_fraction(spark):
+    import dataclasses
+
+    ids = spark.range(20_000).selectExpr("md5(cast(id as string)) AS corporate_id")
+    for fraction in (0.0, 0.75, 0.8, 0.85, 0.95, 0.96, 1.0):
+        train, test = training.train_test_split(ids, dataclasses.replace(Params(), train_fraction=fraction))
+        assert abs(train.count() / 20_000 - fraction) < 0.01 and train.count() + test.count() == 20_000
