@@ -94,7 +94,7 @@ def test_golden_equals_window_over_full_outer(spark, sf_small):
     fast = golden_records(s1, s2)
     slow = golden_from_harmonized(fuzzy.fuzzy_full_outer_naive(s1, s2))
     assert sorted(fast.collect(), key=repr) == sorted(slow.select(fast.columns).collect(), key=repr)
-    assert fast.count() == 79
+    assert fast.count() == 135
 
 
 def test_golden_independent_of_partitioning(spark, sf_small):

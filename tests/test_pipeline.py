@@ -13,7 +13,7 @@ def test_end_to_end(spark, sf_small, tmp_path):
     )
     assert res.snapshot_id == 1
     # the batch is registered as a temp view for SQL users
-    assert spark.table("incoming_batch_records").count() == 79
+    assert spark.table("incoming_batch_records").count() == 135
     assert res.match_rate["golden_rows"] == 135
     assert float(res.match_rate["match_rate_pct"]) == 67.5
     assert res.drift["drift_triggered"] is False
@@ -27,11 +27,11 @@ def test_end_to_end(spark, sf_small, tmp_path):
     health = spark.read.json(str(tmp_path / "health")).collect()
     assert len(health) == 1 and health[0]["pipeline_health_status"] == "HEALTHY"
     tel = json.loads(health[0]["telemetry"])
-    assert tel["source_1_supply_chain_row_count"] == 173 and tel["fuzzy_match_rate_pct"] == 64.23
+    assert tel["source_1_supply_chain_row_count"] == 200 and tel["fuzzy_match_rate_pct"] == 67.5
     assert tel["model_version"].startswith("v_run_")
     # second run of the same batch: ids unchanged, a new snapshot
     res2 = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), root, train=False)
-    assert res2.snapshot_id == 2 and res2.reconciliation["registry_distinct_ids"] == 79
+    assert res2.snapshot_id == 2 and res2.reconciliation["registry_distinct_ids"] == 135
 
 
 def test_health_record_rounds_exact_rate_once(spark):
