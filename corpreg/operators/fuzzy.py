@@ -4,9 +4,10 @@ A theta join on ``levenshtein(a, b) <= k`` plans as a nested loop over both
 inputs. Here the candidate pairs come from an equi-join on segment keys
 (partition-based similarity join, Li et al., PVLDB 5(3), 2011):
 
-* every index name of length L > k is cut into k+1 segments; by pigeonhole a
-  name within k edits keeps at least one segment intact, at a position close
-  to the segment's own (multi-match-aware window);
+* every index name of length L > k is cut into up to ``SEGMENTS_PER_EDIT * (k+1)``
+  segments, of which only the k+1 rarest are indexed: k edits break at most k
+  of them, so a name within k edits holds one intact, close to its own
+  position. Names that share words thus meet on what tells them apart;
 * every probe name emits, for each feasible L and segment, the substrings
   that could be that intact segment;
 * rows meet on ``(L, segment number, text)``, and each candidate is verified
@@ -35,43 +36,70 @@ def _seq(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
-def _segment(L: Column, j: Column, k: int) -> tuple[Column, Column]:
-    """0-based start and length of segment j of a length-L string in k+1 parts.
+SEGMENTS_PER_EDIT, SEGMENT_LENGTH = 3, 3
 
-    The first ``k+1 - L % (k+1)`` segments are ``L div (k+1)`` long, the
+
+def _parts(L: Column, k: int) -> Column:
+    """Number of segments of a length-L string: of ``SEGMENT_LENGTH`` characters
+    or more, but at least k+1 and at most ``SEGMENTS_PER_EDIT * (k+1)`` of them."""
+    wanted = F.floor(L / SEGMENT_LENGTH).cast("int")
+    return F.least(F.lit(SEGMENTS_PER_EDIT * (k + 1)), F.greatest(F.lit(k + 1), wanted))
+
+
+def _segment(L: Column, j: Column, parts: Column) -> tuple[Column, Column]:
+    """0-based start and length of segment j of a length-L string in ``parts`` parts.
+
+    The first ``parts - L % parts`` segments are ``L div parts`` long, the
     others one longer.
     """
-    parts = k + 1
     q = F.floor(L / parts).cast("int")
-    n_short = F.lit(parts) - (L % parts)
+    n_short = parts - (L % parts)
     length = q + F.when(j >= n_short, 1).otherwise(0)
     start = j * q + F.greatest(F.lit(0), j - n_short)
     return start, length
 
 
-def segment_index(names: DataFrame, k: int, name: str = "name") -> DataFrame:
-    """(L, j, seg, name) for every name longer than k."""
+def segments(names: DataFrame, k: int, name: str = "name") -> DataFrame:
+    """(L, j, seg, name): all segments of every name longer than k."""
     L = F.length(name)
     rows = names.select(F.col(name).alias("name"), L.alias("L")).where(F.col("L") > k)
-    rows = rows.select("name", "L", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("j"))
-    start, length = _segment(F.col("L"), F.col("j"), k)
+    rows = rows.select("name", "L", F.explode(F.sequence(F.lit(0), _parts(F.col("L"), k) - 1)).alias("j"))
+    start, length = _segment(F.col("L"), F.col("j"), _parts(F.col("L"), k))
     return rows.select("L", "j", F.substring("name", start + 1, length).alias("seg"), "name")
 
 
+def segment_index(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
+    """(L, j, seg, name): the k+1 segments of every index name longer than k
+    that the fewest names of both sides have (ties: the first ones)."""
+    own = segments(index_names, k)
+    keys = ["L", "j", "seg"]
+    shared = own.select(*keys).unionByName(segments(probe_names, k).select(*keys)).groupBy(*keys).agg(F.count("*").alias("n"))
+    ranked = F.array_sort(F.collect_list(F.struct("n", "j", "seg")))  # at most SEGMENTS_PER_EDIT * (k+1) of a name
+    chosen = own.join(shared, keys).groupBy("name").agg(F.slice(ranked, 1, k + 1).alias("chosen"))
+    return chosen.select(F.length("name").alias("L"), F.explode("chosen").alias("s"), "name").select("L", "s.j", "s.seg", "name")
+
+
 def segment_probes(names: DataFrame, k: int, name: str = "name") -> DataFrame:
     """(L, j, seg, name): substrings of each probe name that can equal an intact
-    segment of an index name of length L within k edits."""
+    segment of an index name of length L within k edits.
+
+    A shift by s leaves |s| edits to the left of the segment and |T - L - s| to
+    its right, k in all. Where all k+1 segments are indexed, one of them even
+    has at most j edits to the left and k - j to the right."""
     T = F.col("T")
     rows = names.select(F.col(name).alias("name"), F.length(name).alias("T"))
     rows = rows.select(
         "name", "T", F.explode(_seq(F.greatest(F.lit(k + 1), T - k), T + k)).alias("L")
     )
-    rows = rows.select("name", "T", "L", F.explode(F.sequence(F.lit(0), F.lit(k))).alias("j"))
-    start, length = _segment(F.col("L"), F.col("j"), k)
+    rows = rows.withColumn("parts", _parts(F.col("L"), k))
+    rows = rows.select("name", "T", "L", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    start, length = _segment(F.col("L"), F.col("j"), F.col("parts"))
     delta = T - F.col("L")
-    j = F.col("j")
-    lo = F.greatest(F.lit(0), start - j, start + delta - (F.lit(k) - j))
-    hi = F.least(T - length, start + j, start + delta + (F.lit(k) - j))
+    all_indexed = F.col("parts") == k + 1
+    left = F.when(all_indexed, F.col("j")).otherwise(k)
+    right = F.when(all_indexed, F.lit(k) - F.col("j")).otherwise(k)
+    lo = F.greatest(F.lit(0), start - left, start + delta - right, start + F.ceil((delta - k) / 2).cast("int"))
+    hi = F.least(T - length, start + left, start + delta + right, start + F.floor((delta + k) / 2).cast("int"))
     rows = rows.select("name", "L", "j", length.alias("len"), F.explode(_seq(lo, hi)).alias("x"))
     return rows.select("L", "j", F.substring("name", F.col("x") + 1, F.col("len")).alias("seg"), "name")
 
@@ -117,6 +145,14 @@ def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: i
     return _salted_join(idx, prb, ["v"], salt).select("a", "b")
 
 
+def candidate_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
+    """Pairs (a, b) that share a key, possibly repeated, not yet verified."""
+    idx = segment_index(index_names, probe_names, k).withColumnRenamed("name", "a")
+    prb = segment_probes(probe_names, k).withColumnRenamed("name", "b")
+    long_pairs = _salted_join(idx, prb, ["L", "j", "seg"], salt).select("a", "b")
+    return long_pairs.unionByName(_short_pairs(index_names, probe_names, k, salt))
+
+
 def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
     """All distinct (a, b), a from ``index_names.name``, b from
     ``probe_names.name``, with ``levenshtein(a, b) <= k``. Inputs should be
@@ -125,11 +161,7 @@ def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt:
     Hot keys are split at run time by AQE; ``salt`` > 1 splits every key
     that many ways up front instead (index rows are repeated ``salt`` times).
     """
-    idx = segment_index(index_names, k).withColumnRenamed("name", "a")
-    prb = segment_probes(probe_names, k).withColumnRenamed("name", "b")
-    long_pairs = _salted_join(idx, prb, ["L", "j", "seg"], salt).select("a", "b")
-    cand = long_pairs.unionByName(_short_pairs(index_names, probe_names, k, salt))
-    return cand.where(F.levenshtein("a", "b", k) >= 0).distinct()
+    return candidate_pairs(index_names, probe_names, k, salt).where(F.levenshtein("a", "b", k) >= 0).distinct()
 
 
 def _norms(df: DataFrame, name_col: str, params: Params) -> DataFrame:
@@ -147,9 +179,9 @@ def fuzzy_pairs_of_names(
 
     ``norm_1`` / ``norm_2`` hold one column ``name``. Names shorter than
     ``params.min_name_length`` match only when equal. ``index_side`` picks
-    the side cut into segments; the other side emits about (2k+1)^2 probe
-    rows per name against k+1 index rows, so the larger side should be the
-    index.
+    the side cut into segments; the other side emits up to
+    ``SEGMENTS_PER_EDIT * (k+1)`` segments at 13 shifts (k = 2) per name against
+    k+1 index rows, so the larger side should be the index.
     """
     k = params.max_edits
     m = params.min_name_length

@@ -137,3 +137,35 @@ def test_salted_segment_join_equals_brute_force(spark):
     assert got == brute(a, b, 2)
     via_params = {tuple(r) for r in fuzzy.fuzzy_pairs_of_names(n1, n2, Params(segment_salt_buckets=3)).collect()}
     assert via_params == got
+
+
+def names_that_share_words(n, seed):
+    rng = random.Random(seed)
+    return ["global logistics holdings " + "".join(rng.choice("0123456789abcdef") for _ in range(10)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("k", [1, 2])
+def test_long_names_equal_brute_force(spark, k):
+    """Names long enough for more than k+1 segments, with edits at every place."""
+    rng = random.Random(23)
+    a = names_that_share_words(40, 1) + ["".join(rng.choice("abc ") for _ in range(rng.randint(9, 40))) for _ in range(60)]
+    b = [mutate(s, rng, k) for s in a for _ in range(3)]
+    assert spark_pairs(spark, a, b, k) == brute(a, b, k)
+
+
+def test_candidates_of_names_that_share_words(spark):
+    """What all names have in common is no key: candidates stay far below all pairs."""
+    found = {}
+    for n in (500, 2000):
+        a = spark.createDataFrame([(x,) for x in names_that_share_words(n, 1)], "name string")
+        b = spark.createDataFrame([(x,) for x in names_that_share_words(n, 2)], "name string")
+        found[n] = fuzzy.candidate_pairs(a, b, 2).count()
+        assert found[n] < n * n / 100
+    assert found[2000] < 20 * found[500]
+
+
+def test_one_name_of_each_side_shares_no_segment_with_others(spark):
+    """Equal segments everywhere (ties in rarity) still leave k+1 to meet on."""
+    a = ["ab" * n for n in range(1, 16)]
+    b = ["ab" * n + "a" for n in range(16)] + ["ba" * n for n in range(1, 16)]
+    assert spark_pairs(spark, a, b, 2) == brute(a, b, 2)
