@@ -84,8 +84,8 @@ def main() -> None:
     def pipeline_once() -> None:
         run_pipeline(
             spark,
-            fx.supply_chain(spark, sf_dir),
-            fx.financial(spark, sf_dir),
+            fx.with_names(fx.supply_chain(spark, sf_dir)),
+            fx.with_names(fx.financial(spark, sf_dir)),
             fx.headline_feed(spark),
             scratch_path(spark, "bench-registry"),
         )

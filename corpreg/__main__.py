@@ -1,6 +1,6 @@
 """Run the whole pipeline from a landing folder of CSV files.
 
-    python -m corpreg (--landing <uri> | --roles <s1 dir> <s2 dir>) --registry <uri> [--config thresholds.json]
+    python -m corpreg (--landing <uri> | --roles <s1 dir> <s2 dir>) (--registry <uri> | --table <name>) [--config thresholds.json]
                       [--feed headlines.txt] [--model <uri>] [--runs <uri>] [--health <uri>]
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
@@ -29,7 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--landing", help="folder (any Hadoop URI) holding the source CSV files, routed by header")
     src.add_argument("--roles", nargs=2, metavar=("SUPPLY_CHAIN_DIR", "FINANCIAL_DIR"),
                      help="one folder per source role; no per-file header reads")
-    ap.add_argument("--registry", required=True, help="registry root folder")
+    where = ap.add_mutually_exclusive_group(required=True)
+    where.add_argument("--registry", help="registry root folder")
+    where.add_argument("--table", help="registry as a catalog table whose format supports MERGE INTO")
+    ap.add_argument("--table-format", default="delta", help="format of a table that is missing yet")
     ap.add_argument("--config", help="thresholds JSON file")
     ap.add_argument("--feed", help="text file with one headline per line (default: built-in feed)")
     ap.add_argument("--policy", default="union", choices=["union", "last"], help="several files of one role")
@@ -42,12 +45,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("corpreg").getOrCreate()
     params = params_from_config(args.config) if args.config else Params()
     if args.feed:
-        # only the order of positions matters (the first matching headline
-        # wins); monotonically_increasing_id follows the file order
+        # the first matching headline wins, so positions must follow the order
+        # of files, then of blocks, then of lines, whatever order splits are read in
         feed = (
             spark.read.text(args.feed)
+            .select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
             .where(F.trim("value") != "")
-            .select(F.monotonically_increasing_id().alias("position"), F.col("value").alias("headline"))
+            .select(F.struct("file_path", "file_block_start", "line").alias("position"), F.col("value").alias("headline"))
         )
     else:
         feed = spark.createDataFrame(list(enumerate(DEFAULT_FEED, 1)), "position int, headline string")
@@ -59,6 +63,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(
             spark, s1, s2, feed, args.registry, params,
             train=not args.no_train, model_path=args.model, runs_path=args.runs, health_path=args.health,
+            table=args.table, table_format=args.table_format,
         )
     except (MissingSourceError, CircuitBreakerError) as e:
         print(f"pipeline stopped: {e}", file=sys.stderr)

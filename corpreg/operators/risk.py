@@ -10,15 +10,15 @@ Plan:
 * distinct first tokens of the companies (one row per token, however many
   companies share it);
 * containment ``contains(headline, token)`` is turned into an equi-join: a
-  token of length n < 3 must equal one of the headline's n-grams, a longer
-  token's first trigram must equal one of the headline's trigrams; the
-  candidates are verified with ``contains``;
+  token meets the headlines on the one of its trigrams (the whole token, when
+  that is shorter) that the fewest headlines have, so a frequent trigram is a
+  key only for tokens that have no rarer one; the candidates are verified with
+  ``contains``;
 * ``min(struct(position, headline))`` per token picks the first headline;
 * the per-token result is joined back to the companies on the token.
 
-The feed side of the n-gram join is broadcast only after its row count has
-been measured below ``Params.feed_broadcast_max_rows``; otherwise both sides
-are shuffled on the n-gram.
+No side is broadcast by hand: the sizes that the adaptive planner measures
+decide.
 """
 
 from __future__ import annotations
@@ -42,48 +42,49 @@ def risky_headlines(feed: DataFrame, params: Params = Params()) -> DataFrame:
     return feed.where(has_kw).select("position", "headline", low.alias("lower_headline"))
 
 
-def _take(text: Column, n: int):
-    # one-argument lambda: a second parameter would receive the element index
-    return lambda x: F.substring(text, x, F.lit(n))
-
-
-def _grams(text: Column) -> Column:
-    """Distinct 1-, 2- and 3-grams of a string, as an array."""
-    n_len = F.length(text)
-    arrays = [
-        F.transform(
-            F.when(n_len >= n, F.sequence(F.lit(1), n_len - n + 1)).otherwise(
-                F.array().cast("array<int>")
-            ),
-            _take(text, n),
-        )
-        for n in range(1, MAX_GRAM + 1)
-    ]
+def _grams(text: Column, sizes) -> Column:
+    """Distinct n-grams of a string for the given sizes, as an array. Each size
+    puts the characters one place further on behind the grams of the size
+    before, so the work grows with the length of the text."""
+    chars = F.array_remove(F.split(text, ""), "")
+    grams, arrays = chars, []
+    for n in range(1, max(sizes) + 1):
+        if n > 1:
+            # the grams at the end have no character left and become null
+            grams = F.zip_with(grams, F.slice(chars, n, F.size(chars)), lambda g, c: F.concat(g, c))
+        if n in sizes:
+            arrays.append(F.array_compact(grams))
     return F.array_distinct(F.concat(*arrays))
 
 
 def headline_grams(headlines: DataFrame) -> DataFrame:
     """(position, gram): one row per distinct 1-, 2- or 3-gram of a headline."""
-    return headlines.select("position", F.explode(_grams(F.col("lower_headline"))).alias("gram"))
+    return headlines.select("position", F.explode(_grams(F.col("lower_headline"), range(1, MAX_GRAM + 1))).alias("gram"))
+
+
+def rarest_grams(tokens: DataFrame, grams: DataFrame) -> DataFrame:
+    """(token, gram): of each token's grams the one in the fewest headlines;
+    none for tokens with a gram that no headline has."""
+    n = F.length("token")
+    own = F.when(n < MAX_GRAM, F.array("token")).otherwise(_grams(F.col("token"), [MAX_GRAM]))
+    parts = tokens.select("token", F.size(own).alias("n_grams"), F.explode(own).alias("gram"))
+    found = parts.join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("headlines")), "gram")
+    rarest = found.groupBy("token", "n_grams").agg(
+        F.count(F.lit(1)).alias("n_found"), F.min(F.struct("headlines", "gram")).alias("rarest")
+    )
+    return rarest.where("n_found = n_grams").select("token", F.col("rarest.gram").alias("gram"))
 
 
 def token_risk(tokens: DataFrame, feed: DataFrame, params: Params = Params()) -> DataFrame:
     """(token, adverse_media_news) for every token that hits a risky headline.
 
     ``tokens`` has one column ``token`` of distinct, non-empty tokens. The
-    n-gram index holds only (position, gram), so its broadcast is small; the
-    candidates are then verified against the headline text.
+    n-gram index holds only (position, gram); the candidates, each of them
+    once, are then verified against the headline text.
     """
     hot = risky_headlines(feed, params)
     grams = headline_grams(hot)
-    # upper bound of the gram rows: MAX_GRAM per character of every headline
-    bound = hot.agg(F.coalesce(F.sum(F.length("lower_headline")), F.lit(0)) * MAX_GRAM).first()[0]
-    small = bound <= params.feed_broadcast_max_rows
-    if small:
-        # the feed itself is then at most bound / MAX_GRAM characters
-        grams, hot = F.broadcast(grams), F.broadcast(hot)
-    probe = tokens.select("token", F.substring("token", 1, MAX_GRAM).alias("gram"))
-    cand = probe.join(grams, "gram").select("token", "position").distinct()
+    cand = rarest_grams(tokens, grams).join(grams, "gram").select("token", "position")
     hits = cand.join(hot, "position").where(F.col("lower_headline").contains(F.col("token")))
     first = hits.groupBy("token").agg(F.min(F.struct("position", "headline")).alias("first"))
     return first.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))
@@ -100,15 +101,3 @@ def risk_screen(
     return out.select(
         *companies.columns, F.coalesce("adverse_media_news", F.lit(RISK_NONE)).alias("adverse_media_news")
     )
-
-
-def risk_tag_python(name: str | None, headlines, keywords=("fine", "breach", "fraud")) -> str:
-    """Plain-Python statement of the rule, for equivalence tests only."""
-    if name is None or not name.split():
-        return RISK_NONE
-    target = name.lower().split()[0]
-    for h in headlines:
-        low = h.lower()
-        if target in low and any(k in low for k in keywords):
-            return RISK_PREFIX + h
-    return RISK_NONE

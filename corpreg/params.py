@@ -71,9 +71,6 @@ class Params:
     split_seed: int = SPLIT_SEED
     baseline_accuracy: float = BASELINE_ACCURACY
     risk_keywords: tuple[str, ...] = RISK_KEYWORDS
-    # a feed whose n-gram index stays under this many (position, gram) rows
-    # is broadcast; larger feeds go through a shuffled equi-join
-    feed_broadcast_max_rows: int = 1_000_000
     # split every fuzzy-join key this many ways up front (1 = leave hot keys
     # to AQE's skew-join split)
     segment_salt_buckets: int = 1

@@ -5,6 +5,7 @@ views of :mod:`corpreg.sources.fixtures`)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,17 @@ from pyspark.sql import functions as F
 from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators import fuzzy, golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
+from corpreg.plans.health import health_export, health_record
 from corpreg.session import materialize, scratch_path
 from corpreg.sources import csv_sources, fixtures
 from corpreg.sources.registry import SnapshotRegistry, merge_frames
 
 P = Params()
+HEALTH_DDL = "timestamp string, pipeline_health_status string, telemetry string"
+HEALTH_FIELDS = (
+    "source_1_supply_chain_row_count bigint, source_2_financial_row_count bigint, "
+    "fuzzy_match_rate_pct double, entity_drift_triggered boolean"
+)
 REGISTRY_ORDER = (
     "corporate_id",
     "corporate_name",
@@ -149,14 +156,21 @@ def _tagged(spark, d, keep: bool = False):
 
 
 def _tagged_first_batch(spark, d):
-    """Registry batch 1: the financial source arrives alone."""
-    return risk.risk_screen(golden.golden_records(None, _s2(spark, d), P), fixtures.headline_feed(spark), P)
+    """Registry batch 1: the earlier financial delivery arrives alone."""
+    s2 = fixtures.earlier_financial(spark, d)
+    return risk.risk_screen(golden.golden_records(None, s2, P), fixtures.headline_feed(spark), P)
 
 
 def q_risk_screen(spark, d):
     return risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P)
 
 
+def q_risk_screen_documents(spark, d):
+    """The risk tag from a feed that grows with the data: every document."""
+    keywords = replace(P, risk_keywords=fixtures.DOCUMENT_KEYWORDS)
+    return risk.risk_screen(_golden(spark, d), fixtures.document_feed(spark, d), keywords)
+
+
 def _merged(spark, d, batch=None):
     batch = _tagged(spark, d) if batch is None else batch
     return merge_frames(_tagged_first_batch(spark, d), batch).select(*REGISTRY_ORDER)
@@ -178,7 +192,8 @@ def q_registry_scan(spark, d):
 
 
 def q_registry_snapshots(spark, d):
-    return _committed_registry(spark, d).history(5)
+    """Newest commits; the commit time is left out, as it differs from run to run."""
+    return _committed_registry(spark, d).history(5).select("snapshot_id", "operation")
 
 
 def q_registry_count(spark, d):
@@ -242,25 +257,39 @@ def q_profit_auc(spark, d):
     )
 
 
+def q_revenue_auc(spark, d):
+    """The exact AUC with revenue as the score, which SQL can repeat."""
+    feats = training.profit_features(_tagged(spark, d), P)
+    return training.rank_sum_auc(feats, P.label_col, "revenue").withColumn("auc_rank", F.round("auc_rank", 6))
+
+
 def q_training_runs(spark, d):
     result = training.run_training(_tagged(spark, d), P)
     return training.training_runs_row(spark, result, P)
 
 
 def q_health_export(spark, d):
-    from corpreg.plans.health import health_record
-
+    """The health record as exported to JSON and read back, without its time.
+    It holds no model fields: those depend on a fitted model."""
     s1, s2 = _s1(spark, d), _s2(spark, d)
-    g = golden.golden_records(s1, s2, P)
-    return health_record(quality.source_counts(s1, s2), quality.match_rate(g, s2), None, P)
+    rate = quality.match_rate(golden.golden_records(s1, s2, P), s2)
+    path = scratch_path(spark, "health")
+    health_export(health_record(quality.source_counts(s1, s2), rate, None, P), path)
+    telemetry = F.from_json("telemetry", HEALTH_FIELDS)
+    return spark.read.schema(HEALTH_DDL).json(path).select("pipeline_health_status", telemetry.alias("t")).select(
+        "pipeline_health_status", "t.*"
+    )
 
 
 def _landing(spark, d) -> str:
     """Both sources written as CSV landing files (several part files per role,
     mixed in one folder tree) under the shared folder."""
     root = scratch_path(spark, "landing")
-    _s1(spark, d).write.option("header", True).csv(f"{root}/supply")
-    _s2(spark, d).write.option("header", True).csv(f"{root}/finance")
+    for source, folder in ((_s1(spark, d), "supply"), (_s2(spark, d), "finance")):
+        # blank names stay as they are: the writer would trim them
+        source.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False
+        ).csv(f"{root}/{folder}")
     return root
 
 
@@ -294,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_rate": q_match_rate,
     "drift_check": q_drift_check,
     "risk_screen": q_risk_screen,
+    "risk_screen_documents": q_risk_screen_documents,
     "registry_merge": q_registry_merge,
     "registry_scan": q_registry_scan,
     "registry_snapshots": q_registry_snapshots,
@@ -308,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profit_model": q_profit_model,
     "profit_predictions": q_profit_predictions,
     "profit_auc": q_profit_auc,
+    "revenue_auc": q_revenue_auc,
     "training_runs": q_training_runs,
     "health_export": q_health_export,
     "read_source": q_read_source,

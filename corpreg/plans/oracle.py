@@ -13,7 +13,7 @@ are ASCII).
 from __future__ import annotations
 
 from corpreg.params import SUFFIX_REGEX, LEVENSHTEIN_THRESHOLD, Params
-from corpreg.sources.fixtures import duckdb_view_sql
+from corpreg.sources.fixtures import DOCUMENT_KEYWORDS, duckdb_view_sql
 
 P = Params()
 
@@ -22,17 +22,17 @@ def _norm(expr: str) -> str:
     return f"trim(regexp_replace(lower({expr}), '{SUFFIX_REGEX}', '', 'g'))"
 
 
-def _risk_tagged(golden: str, out: str) -> str:
-    kw = " OR ".join(f"contains(lower(f.headline), '{k}')" for k in P.risk_keywords)
+def _risk_tagged(golden: str, out: str, feed: str = "feed", keywords=P.risk_keywords) -> str:
+    kw = " OR ".join(f"contains(lower(f.headline), '{k}')" for k in keywords)
     return f"""
 {out}_tok AS (SELECT corporate_id, regexp_extract(lower(corporate_name), '^\\s*(\\S+)', 1) AS tok FROM {golden}),
-{out}_hit AS (SELECT t.corporate_id, min(f.position) AS pos FROM {out}_tok t JOIN feed f
+{out}_hit AS (SELECT t.corporate_id, min(f.position) AS pos FROM {out}_tok t JOIN {feed} f
               ON t.tok <> '' AND contains(lower(f.headline), t.tok) AND ({kw})
               GROUP BY t.corporate_id),
 {out} AS (SELECT g.*, CASE WHEN f.headline IS NULL THEN 'None Identified'
                           ELSE 'Flagged Local Risk Scan: ' || f.headline END AS adverse_media_news
           FROM {golden} g LEFT JOIN {out}_hit h ON g.corporate_id = h.corporate_id
-          LEFT JOIN feed f ON f.position = h.pos)"""
+          LEFT JOIN {feed} f ON f.position = h.pos)"""
 
 
 RANK_ORDER = (
@@ -51,7 +51,9 @@ def base_ctes() -> str:
     k = LEVENSHTEIN_THRESHOLD
     return f"""WITH corp_s1 AS ({v['corp_s1']}),
 corp_s2 AS ({v['corp_s2']}),
+corp_s2_earlier AS ({v['corp_s2_earlier']}),
 feed AS ({v['feed']}),
+document_feed AS ({v['document_feed']}),
 s1 AS (SELECT *, {_norm('corporate_name_S1')} AS norm_name_s1 FROM corp_s1 WHERE corporate_name_S1 IS NOT NULL),
 s2 AS (SELECT *, {_norm('corporate_name_S2')} AS norm_name_s2 FROM corp_s2 WHERE corporate_name_S2 IS NOT NULL),
 fo AS (SELECT s1.*, s2.* FROM s1 FULL OUTER JOIN s2
@@ -62,9 +64,11 @@ golden AS (SELECT {GOLDEN_SELECT} FROM (
              SELECT *, row_number() OVER (PARTITION BY corporate_id ORDER BY {RANK_ORDER}) AS rn FROM harm)
            WHERE rn = 1),
 {_risk_tagged('golden', 'tagged')},
+{_risk_tagged('golden', 'tagged_documents', 'document_feed', DOCUMENT_KEYWORDS)},
 harm_a AS (SELECT NULL::VARCHAR AS corporate_name_S1, NULL::VARCHAR AS address, NULL::VARCHAR AS activity_places,
-                  NULL::VARCHAR AS top_suppliers, s2.*, corporate_name_S2 AS canonical_corporate_name,
-                  md5(norm_name_s2) AS corporate_id FROM s2),
+                  NULL::VARCHAR AS top_suppliers, e.*, corporate_name_S2 AS canonical_corporate_name,
+                  md5({_norm('corporate_name_S2')}) AS corporate_id
+           FROM corp_s2_earlier e WHERE corporate_name_S2 IS NOT NULL),
 golden_a AS (SELECT {GOLDEN_SELECT} FROM (
              SELECT *, row_number() OVER (PARTITION BY corporate_id ORDER BY {RANK_ORDER}) AS rn FROM harm_a)
            WHERE rn = 1),
@@ -169,6 +173,31 @@ def oracle_sql() -> dict[str, str]:
                       FROM (SELECT count(*) AS n FROM golden) g, (SELECT count(*) AS n FROM corp_s2) s)"""
         ),
         "risk_screen": _q("SELECT * FROM tagged"),
+        "risk_screen_documents": _q("SELECT * FROM tagged_documents"),
+        "registry_snapshots": _q(
+            """SELECT 1::BIGINT AS snapshot_id, 'append' AS operation
+               UNION ALL SELECT 2, CASE WHEN EXISTS (SELECT 1 FROM tagged_a JOIN tagged USING (corporate_id))
+                                        THEN 'overwrite' ELSE 'append' END"""
+        ),
+        "health_export": _q(
+            f"""SELECT CASE WHEN drift THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status,
+                       n1 AS source_1_supply_chain_row_count, n2 AS source_2_financial_row_count,
+                       round_even(r, 2) AS fuzzy_match_rate_pct, drift AS entity_drift_triggered
+                FROM (SELECT *, abs(r - {P.historical_match_rate_pct}) > {P.match_rate_deviation_pct} AS drift
+                      FROM (SELECT n1, n2, CASE WHEN n2 > 0 THEN CAST(g AS DOUBLE) * 100.0 / n2 ELSE 0.0 END AS r
+                            FROM (SELECT (SELECT count(*) FROM corp_s1) AS n1, (SELECT count(*) FROM corp_s2) AS n2,
+                                         (SELECT count(*) FROM golden) AS g)))"""
+        ),
+        "revenue_auc": _q(
+            """SELECT round(CASE WHEN p > 0 AND n > 0 THEN (ranks - p * (p + 1) / 2.0) / (p * n) END, 6) AS auc_rank,
+                      p AS positives, n AS negatives
+               FROM (SELECT sum(CASE WHEN high_profit_indicator = 1 THEN mean_rank END) AS ranks,
+                            count(*) FILTER (WHERE high_profit_indicator = 1) AS p,
+                            count(*) FILTER (WHERE high_profit_indicator = 0) AS n
+                     FROM (SELECT high_profit_indicator, rank() OVER (ORDER BY coalesce(revenue, 0.0))
+                                  + (count(*) OVER (PARTITION BY coalesce(revenue, 0.0)) - 1) / 2.0 AS mean_rank
+                           FROM features))"""
+        ),
         "registry_merge": _q(f"SELECT {reg_cols} FROM registry"),
         "registry_scan": _q(f"SELECT {reg_cols} FROM registry"),
         "registry_count": _q("SELECT count(*) AS row_count FROM registry"),
@@ -196,7 +225,8 @@ def oracle_sql() -> dict[str, str]:
                       [coalesce(revenue, 0.0), CAST(supplier_count0 AS DOUBLE)]::DOUBLE[] AS features
                FROM features"""
         ),
-        "read_source": _q("SELECT * FROM corp_s2"),
+        # an empty field of a CSV file is read as NULL
+        "read_source": _q("SELECT * REPLACE (nullif(corporate_name_S2, '') AS corporate_name_S2) FROM corp_s2"),
         "route_sources": _q(
             "SELECT 'supply_chain' AS source, count(*) AS row_count FROM corp_s1 "
             "UNION ALL SELECT 'financial', count(*) FROM corp_s2"

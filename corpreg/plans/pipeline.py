@@ -18,12 +18,12 @@ from corpreg.operators import golden, quality, risk, training
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.plans.health import health_export, health_record
 from corpreg.session import materialize, scratch_scope
-from corpreg.sources.registry import SnapshotRegistry
+from corpreg.sources.registry import SnapshotRegistry, ensure_registry_table, merge_into_table
 
 
 @dataclass
 class RunResult:
-    snapshot_id: int
+    snapshot_id: int | None
     verdicts: list
     source_counts: dict
     match_rate: dict
@@ -38,7 +38,7 @@ def run_pipeline(
     s1: DataFrame,
     s2: DataFrame,
     feed: DataFrame,
-    registry_root: str,
+    registry_root: str | None,
     params: Params = Params(),
     train: bool = True,
     model_path: str | None = None,
@@ -46,7 +46,15 @@ def run_pipeline(
     health_path: str | None = None,
     batch_view: str | None = "incoming_batch_records",
     validate_columns: bool = True,
+    table: str | None = None,
+    table_format: str = "delta",
 ) -> RunResult:
+    """One run. The registry is a folder of snapshots (``registry_root``) or,
+    with ``table``, a catalog table in a format that supports ``MERGE INTO``;
+    it is made when missing, and ``snapshot_id`` is then None, as the
+    format keeps its own history."""
+    if (registry_root is None) == (table is None):
+        raise ValueError("give either registry_root or table")
     # 1. data contracts and row counts: one aggregate scan per source, whose
     #    two result rows are reused for every later count; raises on violation
     metrics = quality.contract_metrics(s1, quality.SOURCE_1, S1_NAME, validate_columns).unionByName(
@@ -70,9 +78,14 @@ def run_pipeline(
         batch.createOrReplaceTempView(batch_view)
 
     # 3. keyed upsert into the registry
-    registry = SnapshotRegistry(spark, registry_root)
-    sid = registry.merge(batch, source_is_written=True)
-    current = registry.current()
+    if table:
+        ensure_registry_table(spark, table, table_format)
+        merge_into_table(spark, table, batch)
+        sid, current = None, spark.table(table)
+    else:
+        registry = SnapshotRegistry(spark, registry_root)
+        sid = registry.merge(batch, source_is_written=True)
+        current = registry.current()
 
     # 4. metrics
     rate = quality.match_rate_of(batch, counts[quality.SOURCE_2])

@@ -1,10 +1,24 @@
 import random
 
-from corpreg.operators.risk import risk_screen, risk_tag_python
-from corpreg.params import DEFAULT_FEED, Params
+from pyspark.sql import functions as F
+
+from corpreg.operators.risk import headline_grams, rarest_grams, risk_screen
+from corpreg.params import DEFAULT_FEED, RISK_NONE, RISK_PREFIX, Params
 from corpreg.plans.catalog import QUERIES
 
 
+def risk_tag_python(name: str | None, headlines, keywords=("fine", "breach", "fraud")) -> str:
+    """Plain-Python statement of the rule."""
+    if name is None or not name.split():
+        return RISK_NONE
+    target = name.lower().split()[0]
+    for h in headlines:
+        low = h.lower()
+        if target in low and any(k in low for k in keywords):
+            return RISK_PREFIX + h
+    return RISK_NONE
+
+
 def _feed(spark, headlines):
     return spark.createDataFrame([(i + 1, h) for i, h in enumerate(headlines)], "position int, headline string")
 
@@ -26,15 +40,23 @@ def test_random_equivalence_with_python_rule(spark):
     names = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 3))) for _ in range(200)]
     heads = [" ".join(rng.choice(words + ["fraud", "news"]) for _ in range(rng.randint(1, 6))) for _ in range(40)]
     _check(spark, names, heads)
-    # same result when the feed is too large to broadcast
-    _check(spark, names, heads, Params(feed_broadcast_max_rows=0))
+
+
+def test_token_meets_headlines_on_its_rarest_trigram(spark):
+    """A trigram that every headline has is no key for a token with a rarer one."""
+    feed = _feed(spark, [f"the{i % 10}th fine {i}" for i in range(300)] + ["theorem fine"])
+    grams = headline_grams(feed.select("position", F.lower("headline").alias("lower_headline")))
+    tokens = spark.createDataFrame([("theorem",), ("the",), ("thesis",), ("fi",)], "token string")
+    got = {r["token"]: r["gram"] for r in rarest_grams(tokens, grams).collect()}
+    assert set(got) == {"theorem", "the", "fi"} and got["the"] == "the" and got["fi"] == "fi"
+    assert grams.where(grams.gram == got["theorem"]).count() == 1
 
 
 def test_fixture_tag_counts(spark):
     df = QUERIES["risk_screen"](spark, "/root/testdata/sf0.01")
     counts = {r[0]: r[1] for r in df.groupBy("adverse_media_news").count().collect()}
     assert counts == {
-        "None Identified": 140,
+        "None Identified": 2527,
         "Flagged Local Risk Scan: Data breach at cold store": 38,
         "Flagged Local Risk Scan: Red tape fines suspected": 35,
         "Flagged Local Risk Scan: Old mill fraud inquiry opened": 30,
