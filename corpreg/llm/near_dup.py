@@ -10,8 +10,16 @@ Texts that share a sketch with a leader (the smallest key of the bucket) are
 candidates; they are accepted if their word sequences have an edit similarity
 (1 - distance / longer length) of at least ``THRESHOLD``, found by an
 alignment in a band that can hold that many edits. Texts that their leader
-rejects get a new leader among themselves, for up to ``ROUNDS`` rounds. Classes
-are the connected components of accepted links.
+rejects get a new leader among themselves, for up to ``ROUNDS`` rounds; that
+only gathers large groups cheaply. Then all texts of the buckets that still
+hold several classes are compared by a prefix filter that is complete for the
+threshold (see :func:`prefix_grams`): every two of them that are similar and
+not yet in one class share a gram there and are aligned, accepted or rejected
+before. So two similar texts that share a sketch are always in one class, the
+connected components of accepted links.
+
+Before texts are fetched for an alignment, pairs go whose lengths or whose
+counts of hashed words alone prove more edits than the threshold allows.
 
 Equal texts are one text throughout (their links are those of one of them), and
 a bucket is reduced by aggregation and an equi-join, so a group of copies is
@@ -38,6 +46,9 @@ from ..session import materialize, scratch_scope
 from .textutil import bounded, mix, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 5, 32, 2, 0.8, 4
+GRAM = 2  # words of a gram of the prefix filter
+CELLS = 1 << 20
+MARKS = 256
 _TOP = np.uint64((1 << 64) - 1)
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -185,15 +196,39 @@ def banded_distances(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int, cel
     return out
 
 
+def allowed_edits(words, threshold: float = THRESHOLD):
+    """How many edits the threshold allows if the longer text has ``words`` words (a column)."""
+    return F.floor((1 - threshold) * words + 1e-9)
+
+
+def word_marks(hashes: np.ndarray, begin: np.ndarray) -> list[bytes]:
+    """How often the words of each text fall into ``MARKS`` classes, up to 15, two counts a byte."""
+    n = len(begin) - 1
+    owner = np.repeat(np.arange(n), np.diff(begin))
+    counts = np.bincount(owner * MARKS + (hashes & np.uint64(MARKS - 1)).astype(np.int64), minlength=n * MARKS)
+    counts = np.minimum(counts, 15).astype(np.uint8).reshape(n, MARKS)
+    return [row.tobytes() for row in counts[:, ::2] | counts[:, 1::2] << 4]
+
+
+def marks_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At least so many edits lie between the texts of these marks, row by row:
+    an edit takes at most one word from a class and adds one to another."""
+    out = np.zeros((2, len(a)), np.int64)
+    for x, y in ((a & 15, b & 15), (a >> 4, b >> 4)):
+        d = x.astype(np.int16) - y
+        out += [np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1)]
+    return out.max(0)
+
+
 def text_key(text):
     """128 bits that stand for a text."""
     return F.unhex(F.md5(text))
 
 
 def sketched(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, key, words and sketches of every row; key is null without words."""
+    """doc_id, key, words, sketches and marks of every row; key is null without words."""
     set_batch_rows(docs.sparkSession)
-    names = ["doc_id", "key", "words", "sketches"]
+    names = ["doc_id", "key", "words", "sketches", "marks"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,14 +238,116 @@ def sketched(docs: DataFrame, **options) -> DataFrame:
                 at = [texts.setdefault(t or "", len(texts)) for _, t in group]
                 values, counts = sketch(list(texts), **options)
                 values = values.view(np.int64)
+                marks = word_marks(*word_hashes(list(texts)))
                 keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() if n else None for t, n in zip(texts, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in group], pa.int64()), pa.array([keys[i] for i in at], pa.binary()),
                     pa.array(counts[at], pa.int64()), pa.array([values[i] if counts[i] else [] for i in at], pa.list_(pa.int64())),
+                    pa.array([marks[i] for i in at], pa.binary()),
                 ], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, key binary, words long, sketches array<long>")
+    return rows.mapInArrow(work, "doc_id long, key binary, words long, sketches array<long>, marks binary")
+
+
+def plausible(pairs: DataFrame, marks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose lengths and marks leave the threshold possible;
+    ``marks``: key, words, marks of every text."""
+    left, right = (marks.select(F.col("key").alias(k), F.col("words").alias(f"{k}_words"), F.col("marks").alias(f"{k}_marks")) for k in "ab")
+    longer = F.greatest("a_words", "b_words")
+    joined = pairs.join(left, "a").join(right, "b").where(F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(longer, threshold))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, MARKS // 2) for k in (2, 3))
+            near = pa.array(marks_apart(one, two) <= batch.column(4).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
+
+    return joined.select("a", "b", "a_marks", "b_marks", allowed_edits(longer, threshold).alias("allowed")).mapInArrow(work, "a binary, b binary")
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labelled grams of all texts (a text of one word is its own gram), their texts, and the words of each text."""
+    hashes, begin = word_hashes(texts)
+    counts = np.diff(begin)
+    whole = shingle_hashes(hashes, GRAM)
+    parts = [whole[a : b - GRAM + 1] if b - a >= GRAM else shingle_hashes(hashes[a:b], int(b - a)) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
+    return labelled(np.concatenate(parts), owner), owner, counts
+
+
+def prefix_length(words: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """How many of its first grams, in any one order of all grams, a text of so
+    many words needs. Of two texts, the longer of L words, d edits apart, at
+    least L - GRAM + 1 - GRAM * d labelled grams are common; so the first
+    n - L + GRAM * d + 1 grams of a text of n words meet those of the other.
+    The greatest is at an L less than one more allowed edit away."""
+    more = np.arange(int(np.ceil(1 / (1 - threshold))) + 1)
+    edits = ((1 - threshold) * (words[:, None] + more) + 1e-9).astype(np.int64)
+    return (GRAM * edits - more).max(1) + 1
+
+
+def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, gram): the rarest labelled grams of each of ``bodies`` (key, text),
+    as many as :func:`prefix_length` says: two texts within the threshold share
+    one of them. Rarity is the number of texts by hash cell (a bounded table),
+    which only serves to keep the groups small: any order is complete."""
+    spark = bodies.sparkSession
+
+    def groups(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
+        return bounded(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), lambda r: len(r[1]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for group in groups(batch):
+                total += np.bincount((_grams([t for _, t in group])[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        used = np.flatnonzero(total)
+        for at in range(0, len(used), 100_000):
+            own = used[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["cell", "n"])
+
+    found = bodies.select("key", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``CELLS`` rows
+    table = np.zeros(CELLS, np.int64)
+    table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    shared = spark.sparkContext.broadcast(table)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group in groups(batch):
+                labels, owner, counts = _grams([t for _, t in group])
+                order = np.lexsort((labels, shared.value[(labels % np.uint64(CELLS)).astype(np.int64)], owner))
+                sizes = np.bincount(owner, minlength=len(group))
+                rank = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                own = order[rank < np.repeat(prefix_length(counts, threshold), sizes)]
+                keys = pa.array([k for k, _ in group], pa.binary()).take(pa.array(owner[own]))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(labels[own].view(np.int64))], names=["key", "gram"])
+
+    return bodies.select("key", "text").mapInArrow(work, "key binary, gram long")
+
+
+def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """All pairs (a, b) of ``bodies`` (key, text) with different ``labels`` (key,
+    label) that the prefix filter, lengths and marks leave possible. A group of
+    one label is met as a whole, so it is not expanded into its own pairs."""
+    ids = marks.select("key", "words", F.xxhash64("key").alias("id"))  # equal ids of two keys would only add a candidate
+    tagged = labels.join(ids, "key").select("key", "id", "words", "label")
+    size = tagged.groupBy("label").agg(F.count("*").alias("size"))
+    grams = prefix_grams(bodies, threshold).join(tagged, "key").select("gram", "id", "words", "label")
+    grams = materialize(grams, "grams")
+    mixed = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
+    grams = materialize(grams.join(mixed, "gram").join(size, "label"), "grams")
+    one = grams.select("gram", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("words").alias("a_words"), F.col("size").alias("a_size"))
+    two = grams.select("gram", F.col("id").alias("b"), F.col("label").alias("b_label"), F.col("words").alias("b_words"), F.col("size").alias("b_size"))
+    near = F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold)
+    alone = one.join(two.where("b_size = 1"), "gram").where("a_label < b_label or a_size > 1").where(near).select("a", "b")
+    one, two = one.where("a_size > 1"), two.where("b_size > 1")
+    meets = two.select("gram", "b_label").distinct()
+    groups = one.join(meets, "gram").where("a_label < b_label").join(two, ["gram", "b_label"]).where(near).select("a", "b")
+    pairs = alone.unionByName(groups).distinct()
+    left, right = (ids.select(F.col("id").alias(f"{k}_id"), F.col("key").alias(k)) for k in "ab")
+    pairs = pairs.withColumnsRenamed({"a": "a_id", "b": "b_id"}).join(left, "a_id").join(right, "b_id").select("a", "b")
+    return plausible(pairs, marks, threshold)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -261,7 +398,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS,
 def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds: int) -> DataFrame:
     # a null doc_id comes after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    texts = rows.where("key is not null").groupBy("key").agg(F.first("sketches").alias("sketches"), first.alias("first"), F.count("*").alias("copies"))
+    texts = rows.where("key is not null").groupBy("key").agg(F.first("sketches").alias("sketches"), F.first("words").alias("words"), F.first("marks").alias("marks"), first.alias("first"), F.count("*").alias("copies"))
     texts = materialize(texts, "texts")
     members = texts.select("key", F.explode("sketches").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -270,19 +407,31 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
     bodies = docs.select(text_key(F.col("text").cast("string")).alias("key"), F.col("text").cast("string").alias("text"))
     bodies = bodies.join(wanted.hint("shuffle_hash"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     bodies = materialize(bodies, "bodies")
-    links = None
+    all_members, marks, links = rest.select("bucket", "key"), texts.select("key", "words", "marks"), None
     for k in range(rounds):
         pairs = rest.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-        checked = materialize(verified(pairs, bodies, threshold), "checked")
-        good = checked.where("same").select("a", "b")
+        good = materialize(verified(plausible(pairs, marks, threshold), bodies, threshold).where("same").select("a", "b"), "links")
         links = good if links is None else links.unionByName(good)
-        if k + 1 == rounds or checked.where("not same").isEmpty():
+        if k + 1 == rounds:
             break
-        bad = checked.where("not same").select(F.col("a").alias("leader"), F.col("b").alias("key"))
-        left = rest.join(bad, ["leader", "key"]).select("bucket", "key")
+        left = rest.where("key <> leader").join(good.select(F.col("a").alias("leader"), F.col("b").alias("key")), ["leader", "key"], "left_anti").select("bucket", "key")
         heads = left.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
         rest = materialize(left.join(heads, "bucket"), "members")
+        if rest.isEmpty():
+            break
     labels = components(links)
+    tagged = wanted.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+    mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("bucket")
+    left = materialize(all_members.join(mixed, "bucket").select("key").distinct(), "left")
+    if not left.isEmpty():
+        pairs = pairs_across(bodies.join(left, "key", "left_semi"), marks, tagged, threshold)
+        more = materialize(verified(pairs, bodies, threshold).where("same").select("a", "b"), "links")
+        if not more.isEmpty():
+            # classes by their labels: only the classes that the new links touch change
+            of_a, of_b = (tagged.select(F.col("key").alias(k), F.col("label").alias(f"{k}_label")) for k in "ab")
+            joined = components(more.join(of_a, "a").join(of_b, "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct())
+            merged = joined.select(F.col("key").alias("label"), F.col("label").alias("new"))
+            labels = tagged.join(merged, "label", "left").select("key", F.coalesce("new", "label").alias("label"))
     named = texts.select("key", "first", "copies").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     heads = named.groupBy("label").agg(F.min("first").alias("head"), F.sum("copies").alias("copies"))
     return named.select("key", "label").join(heads, "label").select("key", F.col("head.doc_id").alias("class_id"), F.col("head.key").alias("class_key"), "copies")

@@ -84,6 +84,55 @@ def test_near_duplicate_classes(spark):
     assert all(len(v) == 1 for k, v in by.items() if k not in (100, 101, 50, 103, 403))
 
 
+def brute_classes(texts):
+    """Smallest position of each text's class, by all pairs."""
+    words = [word_hashes([t])[0] for t in texts]
+    of = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_dup.similar(words[i], words[j]) and of[i] != of[j]:
+                low, high = sorted((of[i], of[j]))
+                of = [low if x == high else x for x in of]
+    return of
+
+
+def test_many_families_on_one_template(spark):
+    rng = random.Random(12)
+    template = [f"form{i}" for i in range(80)]
+    texts = []
+    for k in range(40):  # pairs are at 87/105, families at 80/105 at most
+        own = [f"own{k}x{i}" for i in range(25)]
+        other = [f"new{k}x{i}" if i < 18 else w for i, w in enumerate(own)]
+        texts += [" ".join(template + own), " ".join(template + other)]
+    texts += [" ".join(template[:40] + [rng.choice(WORDS) for _ in range(60)]) for _ in range(10)]
+    want = brute_classes(texts)
+    assert len(set(want)) == 50
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(as_docs(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_prefix_filter_and_marks_lose_no_similar_pair(spark):
+    rng = random.Random(13)
+    texts = []
+    for n in [1, 2, 3, 4, 5, 6, 9, 10, 11, 14, 15, 20, 33, 60] * 6:
+        words = [rng.choice(WORDS[:40]) for _ in range(n)]
+        texts.append(" ".join(words))
+        for _ in range(n // 5):  # scattered edits, as many as are allowed
+            at = rng.randrange(len(words))
+            words[at : at + rng.randint(0, 1)] = [rng.choice(WORDS)] * rng.randint(0, 1)
+        texts.append(" ".join(words) + "!")
+    texts = list(dict.fromkeys(t for t in texts if word_hashes([t])[0].size))
+    keys = [hashlib.md5(t.encode()).digest() for t in texts]
+    hashes, begin = word_hashes(texts)
+    bodies = spark.createDataFrame(list(zip(keys, texts, strict=True)), "key binary, text string")
+    marks = spark.createDataFrame(list(zip(keys, np.diff(begin).tolist(), near_dup.word_marks(hashes, begin), strict=True)), "key binary, words long, marks binary")
+    found = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in near_dup.pairs_across(bodies, marks, bodies.select("key", F.col("key").alias("label"))).collect()}
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_dup.similar(hashes[begin[i] : begin[i + 1]], hashes[begin[j] : begin[j + 1]]):
+                assert frozenset((keys[i], keys[j])) in found
+
+
 def test_keep_one_keeps_a_row_of_each_class_and_all_columns(spark):
     rng = random.Random(5)
     a, b = prose(rng, 50), prose(rng, 50)
