@@ -111,6 +111,23 @@ def test_many_families_on_one_template(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_recall_at_the_threshold(spark):
+    rng = random.Random(14)
+    texts = []
+    for n in (10, 20, 100, 200):
+        for similarity in (0.8, 0.85):
+            for k in range(40):
+                one = [f"w{rng.randrange(20000)}" for _ in range(n)]
+                edits = int((1 - similarity) * n + 1e-9)
+                at = rng.sample(range(n), edits) if k % 2 else [n // edits * i + n // edits // 2 for i in range(edits)]
+                two = [f"x{rng.randrange(20000)}" if i in at else w for i, w in enumerate(one)]
+                texts += [" ".join(one), " ".join(two)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(as_docs(spark, list(enumerate(texts)))).collect()}
+    linked = np.array([got[i] == got[i + 1] for i in range(0, len(texts), 2)]).reshape(8, 40).mean(1)
+    assert linked.min() >= 0.95 and linked.mean() >= 0.99 and linked[:2].min() == 1, linked
+    assert len(set(got.values())) >= len(texts) // 2
+
+
 def test_prefix_filter_and_marks_lose_no_similar_pair(spark):
     rng = random.Random(13)
     texts = []
