@@ -308,26 +308,26 @@ def prefix_length(words: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray
 
 
 def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, gram): the rarest labelled grams of each of ``bodies`` (key, text),
+    """(id, label, words, gram): the rarest labelled grams of each of ``bodies`` (id, label, text),
     as many as :func:`prefix_length` says: two texts within the threshold share
     one of them. Rarity is the number of texts by hash cell (a bounded table),
     which only serves to keep the groups small: any order is complete."""
     spark = bodies.sparkSession
 
     def groups(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
-        return bounded(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), lambda r: len(r[1]))
+        return bounded(zip(*(c.to_pylist() for c in batch.columns), strict=True), lambda r: len(r[-1]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
             for group in groups(batch):
-                total += np.bincount((_grams([t for _, t in group])[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+                total += np.bincount((_grams([r[-1] for r in group])[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
         used = np.flatnonzero(total)
         for at in range(0, len(used), 100_000):
             own = used[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["cell", "n"])
 
-    found = bodies.select("key", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``CELLS`` rows
+    found = bodies.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``CELLS`` rows
     table = np.zeros(CELLS, np.int64)
     table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     shared = spark.sparkContext.broadcast(table)
@@ -335,26 +335,28 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in groups(batch):
-                labels, owner, counts = _grams([t for _, t in group])
+                labels, owner, counts = _grams([r[-1] for r in group])
                 order = np.lexsort((labels, shared.value[(labels % np.uint64(CELLS)).astype(np.int64)], owner))
                 sizes = np.bincount(owner, minlength=len(group))
                 rank = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 own = order[rank < np.repeat(prefix_length(counts, threshold), sizes)]
-                keys = pa.array([k for k, _ in group], pa.binary()).take(pa.array(owner[own]))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(labels[own].view(np.int64))], names=["key", "gram"])
+                ids, classes_ = (np.array([r[k] for r in group], np.int64) for k in (0, 1))
+                columns = [ids[owner[own]], classes_[owner[own]], counts[owner[own]].astype(np.int32), labels[own].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "label", "words", "gram"])
 
-    return bodies.select("key", "text").mapInArrow(work, "key binary, gram long")
+    return bodies.select("id", "label", "text").mapInArrow(work, "id long, label long, words int, gram long")
 
 
 def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All pairs (a, b) of ``bodies`` (key, text) with different ``labels`` (key,
     label) that the prefix filter, lengths and marks leave possible. A group of
     one label is met as a whole, so it is not expanded into its own pairs."""
-    ids = marks.select("key", "words", F.xxhash64("key").alias("id"))  # equal ids of two keys would only add a candidate
-    tagged = labels.join(ids, "key").select("key", "id", "words", "label")
+    # 64 bits stand for a key and a label in the join: equal ids of two texts add a candidate, equal
+    # labels of two classes (chance below 1 in 10 million up to a million classes) would hide theirs
+    ids = marks.select("key", F.xxhash64("key").alias("id"))
+    tagged = labels.select("key", F.xxhash64("key").alias("id"), F.xxhash64("label").alias("label"))
     size = tagged.groupBy("label").agg(F.count("*").alias("size"))
-    grams = prefix_grams(bodies, threshold).join(tagged, "key").select("gram", "id", "words", "label")
-    grams = materialize(grams, "grams")
+    grams = materialize(prefix_grams(bodies.join(tagged, "key"), threshold), "grams")
     mixed = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
     grams = materialize(grams.join(mixed, "gram").join(size, "label"), "grams")
     one = grams.select("gram", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("words").alias("a_words"), F.col("size").alias("a_size"))
