@@ -226,6 +226,20 @@ def test_language_model_is_a_distribution_and_beats_counts(spark):
     assert {r["base_score"] for r in lm.score_documents(docs.limit(3), F.lit(False), held).collect()} == {0.0}
 
 
+def test_language_model_learns_from_long_texts_and_a_growing_share(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(["ab", "cd", "ef", "gh"] * 3500) for _ in range(6)]  # all over 32 KB
+    rows = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    got = lm.score_documents(rows, F.lit(True), F.lit(False), vocabulary=10).collect()
+    assert all(r["score"] > 0.5 * r["base_score"] for r in got)  # the order of the words was learned
+    seen = []
+    monkeypatch.setattr(lm, "learn", lambda sample, model, tasks, **o: seen.append((sample.count(), tasks)))
+    for n in (50, 400, 1600):
+        rows = spark.createDataFrame([(i, " ".join(rng.choice(["a", "b"]) for _ in range(5))) for i in range(n)], DOCS)
+        lm.train(rows, lm.token_counts(rows), docs=50, share=0.5)
+    assert seen[0] == (50, 1) and 150 < seen[1][0] < 250 and 700 < seen[2][0] < 900 and [t for _, t in seen] == [1, 4, 16]
+
+
 def test_windows_of_the_language_model_do_not_change_scores():
     rng = np.random.default_rng(2)
     network = lm.ClassModel.fresh(np.arange(20.0), hidden=6)
