@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, lm, near_dup, packing, preference, suffix_dedup, toxicity, url_filter
+from . import ann, centroids, decontam, filter_audit, langid, lm, near_dup, packing, preference, suffix_dedup, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_read(spark, sf_dir, "documents"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -84,9 +92,79 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hnsw_neighbours": op8_hnsw_neighbours,
     "op9_url_digest_filter": op9_url_digest_filter,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_filter_interaction": op12_filter_interaction,
 }
 
+DISTANCE = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def _clusters_sql(rounds: int = 3) -> str:
+    """Every round written out: nearest centroids, then componentwise floors of the means."""
+    sql = """
+WITH vectors AS (
+  SELECT ROW_NUMBER() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY h) - 1 AS INTEGER) AS j, v
+  FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, v FROM vectors ORDER BY h LIMIT 16)),"""
+    for n in range(rounds + 1):
+        sql += f"""
+a{n} AS (
+  SELECT r, j, d FROM (SELECT r, j, d, ROW_NUMBER() OVER (PARTITION BY r ORDER BY d, j) AS place
+                       FROM (SELECT v.r, c.j, {DISTANCE} AS d FROM vectors v CROSS JOIN c{n} c)) WHERE place = 1),"""
+        if n < rounds:
+            sql += f"""
+m{n} AS (
+  SELECT j, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY i) AS v
+  FROM (SELECT j, i, CAST(SUM(x) AS BIGINT) AS s, COUNT(*) AS n
+        FROM (SELECT a.j, UNNEST(v.v) AS x, UNNEST(range(64)) AS i FROM a{n} a JOIN vectors v ON v.r = a.r) GROUP BY j, i)
+  GROUP BY j),
+c{n + 1} AS (SELECT c.j, COALESCE(m.v, c.v) AS v FROM c{n} c LEFT JOIN m{n} m ON m.j = c.j),"""
+    return sql.rstrip(",") + f"""
+SELECT v.vec_id, a.j AS cluster, CAST(a.d AS BIGINT) AS distance, CAST(SUM(a.d) OVER (PARTITION BY a.j) AS BIGINT) AS cluster_inertia,
+       CAST(SUM(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN vectors v ON v.r = a.r JOIN c{rounds} c ON c.j = a.j
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_centroid_clusters": _clusters_sql(),
+    "op12_filter_interaction": """
+WITH texts AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS text FROM documents),
+parts AS (SELECT *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words FROM texts),
+marks AS (SELECT doc_id, MAX(CAST(quality = 1 AS INTEGER)) AS good, MAX(CAST(toxic = 1 AS INTEGER)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+failing AS (
+  SELECT part, COALESCE(good, 0) AS good, COALESCE(toxic, 0) AS toxic,
+         CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN parts.doc_id > MIN(parts.doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM parts LEFT JOIN marks ON marks.doc_id = parts.doc_id),
+cells AS (SELECT part, mask, COUNT(*) AS n, SUM(good) AS good, SUM(toxic) AS toxic FROM failing GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS f(name, bit)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT filter_order, s AS step, bits[s] AS bit, CAST(COALESCE(list_sum(bits[1:s - 1]), 0) AS INTEGER) AS before
+  FROM orders, (SELECT UNNEST([1, 2, 3, 4, 5]) AS s)),
+found AS (
+  SELECT part, filter_order, step, bit,
+         SUM(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         SUM(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+         SUM(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+         SUM(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         SUM(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+         SUM(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(SUM(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM found
+""",
     "op5_preference_pairs": """
 WITH t AS (
   SELECT conv_id, role, text, COUNT(*) OVER (PARTITION BY conv_id) AS size,
