@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, centroids, decontam, filter_audit, langid, lm, near_dup, packing, preference, suffix_dedup, toxicity, url_filter
+from . import ann, centroids, decontam, filter_audit, langid, lm, near_dup, packing, preference, secret_scan, suffix_dedup, toxicity, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,16 @@ def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "net")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), number("net")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_order_minhash": op1_order_minhash,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -94,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_centroid_clusters": op11_centroid_clusters,
     "op12_filter_interaction": op12_filter_interaction,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 DISTANCE = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
