@@ -1,24 +1,29 @@
 """Fuzzy name matching (edit distance <= k) as distributed equi-joins.
 
 A theta join on ``levenshtein(a, b) <= k`` plans as a nested loop over both
-inputs. Here the candidate pairs come from an equi-join on segment keys
-(partition-based similarity join, Li et al., PVLDB 5(3), 2011):
-
-* every index name of length L > k is cut into up to ``SEGMENTS_PER_EDIT * (k+1)``
-  segments, of which only the k+1 rarest are indexed: k edits break at most k
-  of them, so a name within k edits holds one intact, close to its own
-  position. Names that share words thus meet on what tells them apart;
-* every probe name emits, for each feasible L and segment, the substrings
-  that could be that intact segment;
-* rows meet on ``(L, segment number, text)``, and each candidate is verified
-  with ``levenshtein(a, b, k)`` before any shuffle of the pairs.
+inputs. Here the candidate pairs come from an equi-join on keys made of
+segments (after the partition-based similarity join, Li et al., PVLDB 5(3),
+2011):
+
+* every index name of length L is cut into up to ``SEGMENTS_PER_EDIT * (k+1)``
+  segments. Of those only the k+2 rarest are used: k edits break at most k of
+  them, so a name within k edits holds two of them intact, each close to its
+  own position. Each two of the k+2 make one key, so names meet on what tells
+  them apart twice over: a key is as selective as the product of both segments;
+* a probe name looks, for each feasible L and segment, at the substrings that
+  could be that intact segment. Those that are a used segment of no index name
+  go first (a semi-join on the segment's hash); each two of the others that
+  the same k edits allow make one key;
+* names too short for k+2 segments of two characters meet on one of k+1;
+* each candidate is verified with ``levenshtein(a, b, k)`` before any shuffle
+  of the pairs. Keys are 64-bit hashes: a collision adds a candidate at most.
 
 Index names of length <= k have empty segments; they meet the short probe
 names (length <= 2k) on deletion variants instead (see :func:`_short_pairs`).
 
 Every step works on *distinct* names, so a name repeated in a third of all
 rows is a single row here. The joins are plain inner joins on hashed keys:
-AQE's skew-join split applies to them when a segment key is hot.
+AQE's skew-join split applies to them when a key is hot.
 """
 
 from __future__ import annotations
@@ -36,14 +41,21 @@ def _seq(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
-SEGMENTS_PER_EDIT, SEGMENT_LENGTH = 3, 3
+SEGMENTS_PER_EDIT, SEGMENT_LENGTH = 6, 3
 
 
 def _parts(L: Column, k: int) -> Column:
     """Number of segments of a length-L string: of ``SEGMENT_LENGTH`` characters
-    or more, but at least k+1 and at most ``SEGMENTS_PER_EDIT * (k+1)`` of them."""
+    or more, at most ``SEGMENTS_PER_EDIT * (k+1)`` of them, but k+2 where that
+    leaves two characters each, and k+1 otherwise."""
+    least = F.when(L >= 2 * (k + 2), k + 2).otherwise(k + 1)
     wanted = F.floor(L / SEGMENT_LENGTH).cast("int")
-    return F.least(F.lit(SEGMENTS_PER_EDIT * (k + 1)), F.greatest(F.lit(k + 1), wanted))
+    return F.least(F.lit(SEGMENTS_PER_EDIT * (k + 1)), F.greatest(least, wanted))
+
+
+def _paired(L: Column, k: int) -> Column:
+    """Whether names of length L meet on two segments."""
+    return _parts(L, k) >= k + 2
 
 
 def _segment(L: Column, j: Column, parts: Column) -> tuple[Column, Column]:
@@ -59,49 +71,88 @@ def _segment(L: Column, j: Column, parts: Column) -> tuple[Column, Column]:
     return start, length
 
 
+def _hash(L: Column, j: Column, name: Column, at: Column, length: Column) -> Column:
+    return F.xxhash64(L, j, F.substring(name, at + 1, length))
+
+
+def _pair_keys(found: Column, fits) -> Column:
+    """Keys of each two elements (j, seg, ..) of ``found`` with growing j that ``fits`` allows."""
+    return F.flatten(
+        F.transform(found, lambda c: F.transform(F.filter(found, lambda d: (d["j"] > c["j"]) & fits(c, d)), lambda d: F.xxhash64(c["seg"], d["seg"])))
+    )
+
+
 def segments(names: DataFrame, k: int, name: str = "name") -> DataFrame:
-    """(L, j, seg, name): all segments of every name longer than k."""
-    L = F.length(name)
-    rows = names.select(F.col(name).alias("name"), L.alias("L")).where(F.col("L") > k)
-    rows = rows.select("name", "L", F.explode(F.sequence(F.lit(0), _parts(F.col("L"), k) - 1)).alias("j"))
-    start, length = _segment(F.col("L"), F.col("j"), _parts(F.col("L"), k))
-    return rows.select("L", "j", F.substring("name", start + 1, length).alias("seg"), "name")
+    """(name, L, j, seg): all segments of every name longer than k, hashed
+    together with L and j."""
+    rows = names.select(F.col(name).alias("name"), F.length(name).alias("L")).where(F.col("L") > k)
+    parts = _parts(F.col("L"), k)
+    rows = rows.select("name", "L", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"))
+    start, length = _segment(F.col("L"), F.col("j"), F.col("parts"))
+    return rows.select("name", "L", "j", _hash(F.col("L"), F.col("j"), F.col("name"), start, length).alias("seg"))
 
 
-def segment_index(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
-    """(L, j, seg, name): the k+1 segments of every index name longer than k
-    that the fewest names of both sides have (ties: the first ones)."""
+def chosen_segments(index_names: DataFrame, probe_names: DataFrame, k: int) -> DataFrame:
+    """(name, L, chosen): of every index name longer than k its k+2 segments
+    (j, seg) that the fewest names of both sides have (ties: the first ones);
+    all k+1 of a name that has no more."""
     own = segments(index_names, k)
-    keys = ["L", "j", "seg"]
-    shared = own.select(*keys).unionByName(segments(probe_names, k).select(*keys)).groupBy(*keys).agg(F.count("*").alias("n"))
+    shared = own.select("seg").unionByName(segments(probe_names, k).select("seg")).groupBy("seg").agg(F.count("*").alias("n"))
     ranked = F.array_sort(F.collect_list(F.struct("n", "j", "seg")))  # at most SEGMENTS_PER_EDIT * (k+1) of a name
-    chosen = own.join(shared, keys).groupBy("name").agg(F.slice(ranked, 1, k + 1).alias("chosen"))
-    return chosen.select(F.length("name").alias("L"), F.explode("chosen").alias("s"), "name").select("L", "s.j", "s.seg", "name")
+    some = own.join(shared, "seg").groupBy("name", "L").agg(F.slice(ranked, 1, k + 2).alias("chosen"))
+    return some.select("name", "L", F.transform("chosen", lambda c: F.struct(c["j"].alias("j"), c["seg"].alias("seg"))).alias("chosen"))
+
+
+def index_keys(chosen: DataFrame, k: int) -> DataFrame:
+    """(key, a): the keys of every index name longer than k."""
+    single = F.transform("chosen", lambda c: c["seg"])
+    keys = F.when(_paired(F.col("L"), k), _pair_keys(F.col("chosen"), lambda c, d: F.lit(True))).otherwise(single)
+    return chosen.select(F.explode(keys).alias("key"), F.col("name").alias("a"))
 
 
 def segment_probes(names: DataFrame, k: int, name: str = "name") -> DataFrame:
-    """(L, j, seg, name): substrings of each probe name that can equal an intact
-    segment of an index name of length L within k edits.
+    """(name, L, j, shift, seg): the substrings of each probe name that can equal
+    an intact segment of an index name of length L within k edits.
 
     A shift by s leaves |s| edits to the left of the segment and |T - L - s| to
-    its right, k in all. Where all k+1 segments are indexed, one of them even
-    has at most j edits to the left and k - j to the right."""
+    its right, k in all. Where a name has k+1 segments only, all of them are
+    indexed, and one even has at most j edits to the left and k - j to the right."""
     T = F.col("T")
-    rows = names.select(F.col(name).alias("name"), F.length(name).alias("T"))
-    rows = rows.select(
-        "name", "T", F.explode(_seq(F.greatest(F.lit(k + 1), T - k), T + k)).alias("L")
-    )
-    rows = rows.withColumn("parts", _parts(F.col("L"), k))
-    rows = rows.select("name", "T", "L", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
-    start, length = _segment(F.col("L"), F.col("j"), F.col("parts"))
-    delta = T - F.col("L")
-    all_indexed = F.col("parts") == k + 1
-    left = F.when(all_indexed, F.col("j")).otherwise(k)
-    right = F.when(all_indexed, F.lit(k) - F.col("j")).otherwise(k)
-    lo = F.greatest(F.lit(0), start - left, start + delta - right, start + F.ceil((delta - k) / 2).cast("int"))
-    hi = F.least(T - length, start + left, start + delta + right, start + F.floor((delta + k) / 2).cast("int"))
-    rows = rows.select("name", "L", "j", length.alias("len"), F.explode(_seq(lo, hi)).alias("x"))
-    return rows.select("L", "j", F.substring("name", F.col("x") + 1, F.col("len")).alias("seg"), "name")
+    lengths = _seq(F.greatest(F.lit(k + 1), T - k), T + k)
+
+    def places(L: Column) -> Column:
+        parts, delta = _parts(L, k), T - L
+
+        def of_segment(j: Column) -> Column:
+            start, length = _segment(L, j, parts)
+            left = F.when(parts == k + 1, j).otherwise(k)
+            right = F.when(parts == k + 1, F.lit(k) - j).otherwise(k)
+            lo = F.greatest(-start, -left, delta - right, F.ceil((delta - k) / 2).cast("int"))
+            hi = F.least(T - length - start, left, delta + right, F.floor((delta + k) / 2).cast("int"))
+            return F.transform(
+                _seq(lo, hi),
+                lambda s: F.struct(L.alias("L"), j.alias("j"), s.alias("shift"), _hash(L, j, F.col("name"), start + s, length).alias("seg")),
+            )
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), parts - 1), of_segment))
+
+    # every name becomes about a hundred rows: spread over all tasks, not by the size of the names
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = names.repartition(spread, name).select(F.col(name).alias("name"), F.length(name).alias("T"))
+    return rows.select("name", F.inline(F.flatten(F.transform(lengths, places))))
+
+
+def probe_keys(probes: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
+    """(key, b): the keys that each probe name can share with an index name.
+    ``probes``: see :func:`segment_probes`; ``chosen``: of the index names."""
+    used = chosen.select(F.explode("chosen").alias("c")).select("c.seg").distinct()
+    # at most as many rows of a name and a length as it has probes for it
+    found = probes.join(used, "seg", "left_semi").groupBy("name", "L").agg(F.collect_list(F.struct("j", "shift", "seg")).alias("found"))
+    delta = F.length("name") - F.col("L")
+    fits = lambda c, d: F.abs(c["shift"]) + F.abs(d["shift"] - c["shift"]) + F.abs(delta - d["shift"]) <= k
+    single = F.transform("found", lambda c: c["seg"])
+    keys = F.when(_paired(F.col("L"), k), _pair_keys(F.col("found"), fits)).otherwise(single)
+    return found.select(F.explode(keys).alias("key"), F.col("name").alias("b"))
 
 
 def deletion_variants(names: DataFrame, k: int, max_len: int) -> DataFrame:
@@ -145,15 +196,15 @@ def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: i
     return _salted_join(idx, prb, ["v"], salt).select("a", "b")
 
 
-def candidate_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
-    """Pairs (a, b) that share a key, possibly repeated, not yet verified."""
-    idx = segment_index(index_names, probe_names, k).withColumnRenamed("name", "a")
-    prb = segment_probes(probe_names, k).withColumnRenamed("name", "b")
-    long_pairs = _salted_join(idx, prb, ["L", "j", "seg"], salt).select("a", "b")
+def candidate_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1, keep=lambda df: df) -> DataFrame:
+    """Pairs (a, b) that share a key, possibly repeated, not yet verified.
+    ``keep`` may write the chosen segments, which two branches read."""
+    chosen = keep(chosen_segments(index_names, probe_names, k))
+    long_pairs = _salted_join(index_keys(chosen, k), probe_keys(segment_probes(probe_names, k), chosen, k), ["key"], salt).select("a", "b")
     return long_pairs.unionByName(_short_pairs(index_names, probe_names, k, salt))
 
 
-def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
+def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1, keep=lambda df: df) -> DataFrame:
     """All distinct (a, b), a from ``index_names.name``, b from
     ``probe_names.name``, with ``levenshtein(a, b) <= k``. Inputs should be
     distinct, non-null names.
@@ -161,7 +212,7 @@ def similar_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt:
     Hot keys are split at run time by AQE; ``salt`` > 1 splits every key
     that many ways up front instead (index rows are repeated ``salt`` times).
     """
-    return candidate_pairs(index_names, probe_names, k, salt).where(F.levenshtein("a", "b", k) >= 0).distinct()
+    return candidate_pairs(index_names, probe_names, k, salt, keep).where(F.levenshtein("a", "b", k) >= 0).distinct()
 
 
 def _norms(df: DataFrame, name_col: str, params: Params) -> DataFrame:
@@ -173,23 +224,23 @@ def _norms(df: DataFrame, name_col: str, params: Params) -> DataFrame:
 
 
 def fuzzy_pairs_of_names(
-    norm_1: DataFrame, norm_2: DataFrame, params: Params = Params(), index_side: int = 1
+    norm_1: DataFrame, norm_2: DataFrame, params: Params = Params(), index_side: int = 1, keep=lambda df: df
 ) -> DataFrame:
     """Pairs (norm_1, norm_2) of distinct normalized names within k edits.
 
     ``norm_1`` / ``norm_2`` hold one column ``name``. Names shorter than
     ``params.min_name_length`` match only when equal. ``index_side`` picks
-    the side cut into segments; the other side emits up to
+    the side cut into segments; the other side looks at up to
     ``SEGMENTS_PER_EDIT * (k+1)`` segments at 13 shifts (k = 2) per name against
-    k+1 index rows, so the larger side should be the index.
+    six index keys, so the larger side should be the index.
     """
     k = params.max_edits
     m = params.min_name_length
     salt = params.segment_salt_buckets
     if index_side == 1:
-        pairs = similar_pairs(norm_1, norm_2, k, salt).select(F.col("a").alias("norm_1"), F.col("b").alias("norm_2"))
+        pairs = similar_pairs(norm_1, norm_2, k, salt, keep).select(F.col("a").alias("norm_1"), F.col("b").alias("norm_2"))
     else:
-        pairs = similar_pairs(norm_2, norm_1, k, salt).select(F.col("b").alias("norm_1"), F.col("a").alias("norm_2"))
+        pairs = similar_pairs(norm_2, norm_1, k, salt, keep).select(F.col("b").alias("norm_1"), F.col("a").alias("norm_2"))
     if m > 0:
         short = (F.length("norm_1") < m) | (F.length("norm_2") < m)
         pairs = pairs.where(~short | (F.col("norm_1") == F.col("norm_2")))
@@ -211,7 +262,7 @@ def fuzzy_pairs(
         return fuzzy_pairs_of_names(n1, n2, params)
     n1, n2 = materialize(n1), materialize(n2)
     side = 2 if n2.count() > n1.count() else 1
-    return fuzzy_pairs_of_names(n1, n2, params, side)
+    return fuzzy_pairs_of_names(n1, n2, params, side, materialize)
 
 
 def _with_norm(df: DataFrame, name_col: str, norm_col: str, params: Params) -> DataFrame:

@@ -138,6 +138,7 @@ def golden_and_pairs(
             best_s2.select(F.col("norm").alias("name")),
             params,
             index_side,
+            keep,
         )
     )
     return golden_from_best(best_s1, best_s2, pairs, params), pairs

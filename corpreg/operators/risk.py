@@ -6,15 +6,20 @@ risk keywords; otherwise it gets ``None Identified``.
 
 Plan:
 
-* keyword filter on the feed once (it does not depend on the company);
+* keyword filter on the feed once (it does not depend on the company); what
+  passes is written once;
 * distinct first tokens of the companies (one row per token, however many
   companies share it);
 * containment ``contains(headline, token)`` is turned into an equi-join: a
   token meets the headlines on the one of its trigrams (the whole token, when
   that is shorter) that the fewest headlines have, so a frequent trigram is a
   key only for tokens that have no rarer one; the candidates are verified with
-  ``contains``;
-* ``min(struct(position, headline))`` per token picks the first headline;
+  ``contains``. The headlines' grams that some token has are written once;
+* only the first match counts, so the feed is worked off in ranges of position,
+  each ``RANGE_GROWTH`` times as long as all before it, and a token that has
+  its headline takes no part in later ranges. A token that every headline
+  contains meets the first range alone, however long the feed is;
+  ``min(struct(position, headline))`` per token and range picks the headline;
 * the per-token result is joined back to the companies on the token.
 
 No side is broadcast by hand: the sizes that the adaptive planner measures
@@ -23,13 +28,16 @@ decide.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpreg.functions.names import first_token
 from corpreg.params import RISK_NONE, RISK_PREFIX, Params
+from corpreg.session import materialize
 
 MAX_GRAM = 3
+# headlines of the first range of positions, and how the ranges grow
+FIRST_RANGE, RANGE_GROWTH = 1_000, 4
 
 
 def risky_headlines(feed: DataFrame, params: Params = Params()) -> DataFrame:
@@ -62,32 +70,68 @@ def headline_grams(headlines: DataFrame) -> DataFrame:
     return headlines.select("position", F.explode(_grams(F.col("lower_headline"), range(1, MAX_GRAM + 1))).alias("gram"))
 
 
+def token_grams(tokens: DataFrame) -> DataFrame:
+    """(token, n_grams, gram): the trigrams of each token, or a shorter token itself."""
+    own = F.when(F.length("token") < MAX_GRAM, F.array("token")).otherwise(_grams(F.col("token"), [MAX_GRAM]))
+    return tokens.select("token", F.size(own).alias("n_grams"), F.explode(own).alias("gram"))
+
+
 def rarest_grams(tokens: DataFrame, grams: DataFrame) -> DataFrame:
     """(token, gram): of each token's grams the one in the fewest headlines;
     none for tokens with a gram that no headline has."""
-    n = F.length("token")
-    own = F.when(n < MAX_GRAM, F.array("token")).otherwise(_grams(F.col("token"), [MAX_GRAM]))
-    parts = tokens.select("token", F.size(own).alias("n_grams"), F.explode(own).alias("gram"))
-    found = parts.join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("headlines")), "gram")
+    found = token_grams(tokens).join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("headlines")), "gram")
     rarest = found.groupBy("token", "n_grams").agg(
         F.count(F.lit(1)).alias("n_found"), F.min(F.struct("headlines", "gram")).alias("rarest")
     )
     return rarest.where("n_found = n_grams").select("token", F.col("rarest.gram").alias("gram"))
 
 
-def token_risk(tokens: DataFrame, feed: DataFrame, params: Params = Params()) -> DataFrame:
+def position_bounds(hot: DataFrame, first: int = FIRST_RANGE) -> list:
+    """Upper positions of all ranges but the last: about ``first`` headlines,
+    then ``RANGE_GROWTH`` times as many up to each next one."""
+    total, bounds, n = hot.count(), [], first
+    while n < total:
+        bounds.append(n / total)
+        n *= RANGE_GROWTH
+    if not bounds:
+        return []
+    found = hot.agg(F.percentile_approx("position", F.array(*map(F.lit, bounds)), F.lit(10_000)).alias("p")).first()["p"]
+    return sorted(set(found))
+
+
+def token_risk(
+    tokens: DataFrame, feed: DataFrame, params: Params = Params(), first_range: int = FIRST_RANGE, joined: list | None = None
+) -> DataFrame:
     """(token, adverse_media_news) for every token that hits a risky headline.
 
-    ``tokens`` has one column ``token`` of distinct, non-empty tokens. The
-    n-gram index holds only (position, gram); the candidates, each of them
-    once, are then verified against the headline text.
+    ``tokens`` has one column ``token`` of distinct, non-empty tokens. Headlines
+    without a position are never the first. ``joined`` collects the number of
+    (token, headline) candidates of every range.
     """
-    hot = risky_headlines(feed, params)
-    grams = headline_grams(hot)
-    cand = rarest_grams(tokens, grams).join(grams, "gram").select("token", "position")
-    hits = cand.join(hot, "position").where(F.col("lower_headline").contains(F.col("token")))
-    first = hits.groupBy("token").agg(F.min(F.struct("position", "headline")).alias("first"))
-    return first.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))
+    tokens = materialize(tokens, "tokens")
+    hot = materialize(risky_headlines(feed, params).where("position is not null").select("position", "headline"), "headlines")
+    bounds = position_bounds(hot, first_range)
+    number = sum((F.when(F.col("position") > b, 1).otherwise(0) for b in bounds), F.lit(0)).alias("range")
+    wanted = token_grams(tokens).select("gram").distinct()
+    grams = headline_grams(hot.select("position", F.lower("headline").alias("lower_headline")))
+    grams = materialize(grams.join(wanted, "gram", "left_semi").select("gram", "position", number).repartition("range", "gram"), "grams", partition_by=["range"])
+    left = rarest_grams(tokens, grams)
+    answers = None
+    for r in range(len(bounds) + 1):
+        left = materialize(left, "tokens-left")
+        if r and left.isEmpty():
+            break
+        inside = hot.where(F.col("position") > bounds[r - 1]) if r else hot
+        inside = inside.where(F.col("position") <= bounds[r]) if r < len(bounds) else inside
+        seen = Observation()
+        cand = left.join(grams.where(F.col("range") == r), "gram").select("token", "position").observe(seen, F.count(F.lit(1)).alias("n"))
+        hits = cand.join(inside, "position").where(F.lower("headline").contains(F.col("token")))
+        first = materialize(hits.groupBy("token").agg(F.min(F.struct("position", "headline")).alias("first")), "first-headlines")
+        if joined is not None:
+            joined.append(seen.get["n"])
+        answers = first if answers is None else answers.unionByName(first)
+        left = left.join(first, "token", "left_anti")
+    return answers.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))
 
 
 def risk_screen(

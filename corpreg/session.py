@@ -108,7 +108,7 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def materialize(df, name: str = "stage", scoped: bool = True):
+def materialize(df, name: str = "stage", scoped: bool = True, partition_by: list[str] | None = None):
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Used where one intermediate feeds several branches of a plan (Spark
@@ -121,7 +121,7 @@ def materialize(df, name: str = "stage", scoped: bool = True):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").partitionBy(*partition_by or []).parquet(path)
     scopes = _scopes()
     if scoped and scopes:
         scopes[-1].append(path)

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from corpreg.operators.risk import headline_grams, rarest_grams, risk_screen
+from corpreg.operators.risk import headline_grams, rarest_grams, risk_screen, token_risk
 from corpreg.params import DEFAULT_FEED, RISK_NONE, RISK_PREFIX, Params
 from corpreg.plans.catalog import QUERIES
 
@@ -66,3 +66,36 @@ def test_fixture_tag_counts(spark):
 def test_unusual_whitespace_matches_python_split(spark):
     names = ["\x1cred\x1dwidget", " old mill", "\tcold\x1fstore", "　blue chip"]
     _check(spark, names, ["Red tape fines", "Old mill fraud", "Data breach at cold store", "Blue fraud"])
+
+
+def test_ranges_of_position_equal_one_range(spark):
+    """First headlines found range by range, with ties and gaps in the positions."""
+    rng = random.Random(12)
+    words = ["red", "re", "cold", "bolt", "xylem", "ab", "zinc", "quay"]
+    heads = [(rng.randint(1, 900) * 3, " ".join(rng.choice(words[: rng.randint(1, 8)]) for _ in range(5)) + " fine") for _ in range(700)] + [(None, "never fine")]
+    feed = spark.createDataFrame(heads, "position int, headline string")
+    tokens = spark.createDataFrame([(w,) for w in [*words, "never", "none", "o", "d", "lt"]], "token string")
+    got = {r["token"]: r["adverse_media_news"] for r in token_risk(tokens, feed, first_range=20).collect()}
+    want = {}
+    for (token,) in tokens.collect():
+        hits = [h for h in heads if h[0] is not None and token in h[1].lower()]
+        if hits:
+            want[token] = RISK_PREFIX + min(hits)[1]
+    assert got == want
+    assert got == {r["token"]: r["adverse_media_news"] for r in token_risk(tokens, feed).collect()}
+    assert token_risk(tokens, feed.where("false")).collect() == [] == token_risk(tokens.where("false"), feed).collect()
+
+
+def test_answered_tokens_leave_the_feed(spark):
+    """Every headline contains the tokens: the joined rows stay with the first range, whatever the feed's length."""
+    tokens = spark.createDataFrame([("the",), ("fine",), ("th",)], "token string")
+    for n in (800, 3200):
+        feed = spark.range(1, n + 1).select(F.col("id").alias("position"), F.concat(F.lit("the fine "), "id").alias("headline"))
+        joined = []
+        assert token_risk(tokens, feed, first_range=50, joined=joined).count() == 3
+        assert len(joined) == 1 and sum(joined) <= 3 * 60
+    # one token only the last headline has: the others are gone by then
+    late = feed.unionByName(spark.createDataFrame([(10_000, "zebra fine")], feed.schema))
+    joined = []
+    got = token_risk(tokens.unionByName(spark.createDataFrame([("zebra",)], "token string")), late, first_range=50, joined=joined).collect()
+    assert len(got) == 4 and len(joined) > 2 and sum(joined) <= 3 * 60 + 1
