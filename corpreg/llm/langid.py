@@ -9,7 +9,7 @@ not depend on where it stands and is computed once for the runs seen lately.
 
 It is trained in numpy by back-propagation through time, on a bounded,
 hash-chosen sample of the labelled rows' runs (``TRAIN_DOCS`` documents and
-``TRAIN_RUNS`` distinct runs, shared out among the languages).
+``TRAIN_RUNS`` distinct runs, the same number of every language that has as many).
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0;
 with no training rows everything is ``und`` with score 0; a single learned
@@ -24,17 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize, scratch_scope
 from . import gru
-from .textutil import TwoGenerationCache, bounded, set_batch_rows
+from .textutil import bounded, set_batch_rows
 
 UND = "und"
 MAX_RUN = 30
 TRAIN_DOCS = 2_000
 TRAIN_RUNS = 24_000
-CACHE_RUNS = 250_000
+CACHE_RUNS = 500_000
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -114,26 +115,46 @@ def runs_of(text: str) -> list[bytes]:
     return out
 
 
+def quotas(sizes: dict[str, int], total: int) -> dict[str, int]:
+    """``total`` shared out evenly; what a language can't use goes to the others."""
+    out, left = {}, total
+    for i, (n, lang) in enumerate(sorted((n, lang) for lang, n in sizes.items())):
+        out[lang] = min(n, max(1, left // (len(sizes) - i)))
+        left -= out[lang]
+    return out
+
+
 def training_runs(rows: DataFrame, docs: int = TRAIN_DOCS, runs: int = TRAIN_RUNS) -> DataFrame:
     """(lang, run, n): a hash-chosen sample of about ``docs`` documents of
-    ``rows`` (doc_id, text, lang), and of at most ``runs`` of their distinct runs."""
+    ``rows`` (doc_id, text, lang), and of their distinct runs (bytes, cut to
+    ``MAX_RUN``) those with the least hashes, ``runs`` at most in all and as
+    many of every language (or one each, with more languages than ``runs``)."""
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
-        return rows.sparkSession.createDataFrame([], "lang string, run string, n long")
-    share = docs / len(counts)
-    shares = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, share / n))])
+        return rows.sparkSession.createDataFrame([], "lang string, run binary, n long")
+    by_lang = lambda of: F.create_map(*[F.lit(x) for lang, v in sorted(of.items()) for x in (lang, v)])[F.col("lang")]
+    shares = {lang: min(1.0, docs / len(counts) / n) for lang, n in counts.items()}
     draw = F.pmod(F.xxhash64(F.lit("docs"), "doc_id", F.octet_length("text")), F.lit(1_000_003)) / 1_000_003.0
-    chosen = rows.where(draw < shares[F.col("lang")])
-    words = chosen.select("lang", F.explode(F.split("text", r"\s+")).alias("run")).where("run <> ''")
-    words = words.groupBy("lang", "run").agg(F.count("*").alias("n"))
-    return words.orderBy(F.xxhash64("lang", "run"), "lang", "run").limit(runs)
+    words = rows.where(draw < by_lang(shares)).select("lang", F.explode(F.split("text", r"\s+")).alias("run")).where("run <> ''")
+    starts = F.sequence(F.lit(0), F.floor((F.octet_length("run") - 1) / MAX_RUN).cast("int"))
+    raw = F.col("run").cast("binary")
+    cut = words.select("lang", F.explode(F.transform(starts, lambda i: F.substring(raw, i * MAX_RUN + 1, F.lit(MAX_RUN)))).alias("run"))
+    cut = materialize(cut.groupBy("lang", "run").agg(F.count("*").alias("n")), "language-runs")
+    sizes = {r["lang"]: r["n"] for r in cut.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    if not sizes:
+        return cut
+    wanted = quotas(sizes, runs)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("lang", "run"), "run"))
+    # cut to the greatest quota in each task, before the shuffle
+    return cut.withColumn("place", place).where(F.col("place") <= max(wanted.values())).where(F.col("place") <= by_lang(wanted)).drop("place")
 
 
 def train(rows: DataFrame, hidden: int = 16, epochs: int = 4, batch: int = 256, rate: float = 0.02, seed: int = 7, **bounds: int) -> ByteTagger | None:
     """Fit the network on a bounded sample of ``rows`` (doc_id, text, lang);
     None if no row is labelled."""
-    sample = sorted(tuple(r) for r in training_runs(rows, **bounds).collect())
+    with scratch_scope(rows.sparkSession):
+        sample = sorted((r["lang"], bytes(r["run"]), r["n"]) for r in training_runs(rows, **bounds).collect())
     if not sample:
         return None
     languages = sorted({lang for lang, _, _ in sample})
@@ -143,10 +164,9 @@ def train(rows: DataFrame, hidden: int = 16, epochs: int = 4, batch: int = 256,
     index = {lang: i for i, lang in enumerate(languages)}
     runs, labels, weights = [], [], []
     for lang, run, n in sample:
-        cut = runs_of(run)
-        runs += cut
-        labels += [index[lang]] * len(cut)
-        weights += [1 + np.log(n)] * len(cut)  # frequent runs more often, but not in proportion
+        runs.append(run)
+        labels.append(index[lang])
+        weights.append(1 + np.log(n))  # frequent runs more often, but not in proportion
     labels, weights = np.array(labels), np.array(weights)
     per_language = np.bincount(labels, weights, len(languages))
     weights = weights / per_language[labels]
@@ -162,25 +182,34 @@ def train(rows: DataFrame, hidden: int = 16, epochs: int = 4, batch: int = 256,
 
 
 class Predictor:
-    """Document predictions of a trained network, with the sums of recent runs kept."""
+    """Document predictions of a trained network, with the sums of recent parts kept."""
 
     def __init__(self, model: ByteTagger | None):
-        self.model, self.cache = model, TwoGenerationCache(CACHE_RUNS)
-
-    def _sums(self, parts: list[str]) -> list[np.ndarray]:
-        cut = [runs_of(p) for p in parts]
-        sums = self.model.run_sums([r for c in cut for r in c])
-        ends = np.cumsum([len(c) for c in cut])[:-1]
-        return [s.sum(0) for s in np.split(sums, ends)] if any(len(c) != 1 for c in cut) else list(sums)
+        self.model, self.place = model, {}
+        self.sums = np.zeros((0, len(model.languages) + 1 if model else 0), gru.FLOAT)
+
+    def _held(self, parts: set[str]) -> dict[str, int]:
+        """Where each of ``parts`` is in ``sums``; all else is dropped when there are too many."""
+        missing = list(parts - self.place.keys())
+        if len(self.place) + len(missing) > CACHE_RUNS:
+            self.place, self.sums, missing = {}, self.sums[:0], list(parts)
+        if missing:
+            cut = [runs_of(p) for p in missing]
+            sums = self.model.run_sums([r for c in cut for r in c])
+            sums = np.add.reduceat(sums, np.cumsum([0, *map(len, cut[:-1])]), 0)
+            self.place.update(zip(missing, range(len(self.sums), len(self.sums) + len(missing)), strict=True))
+            self.sums = np.concatenate([self.sums, sums])
+        return self.place
 
     def predict(self, texts: list[str | None]) -> pd.DataFrame:
         labels, scores = np.full(len(texts), UND, dtype=object), np.zeros(len(texts))
         known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)] if self.model else []
         for group in bounded(((i,) for i in known), lambda r: len(texts[r[0]])):
-            split = {i: texts[i].split() for (i,) in group}
-            held = self.cache.fetch(set().union(*split.values()), self._sums)
-            for i, parts in split.items():
-                total = np.sum(list(map(held.__getitem__, parts)), 0, dtype=np.float64)
+            split = [texts[i].split() for (i,) in group]
+            held = self._held(set().union(*split))
+            for (i,), parts in zip(group, split, strict=True):
+                at = np.fromiter(map(held.__getitem__, parts), np.int64, len(parts))
+                total = self.sums[at].sum(0, dtype=np.float64)
                 mean = total[:-1] / max(total[-1], 1)
                 probs = np.exp(mean - mean.max())
                 best = int(probs.argmax())

@@ -152,17 +152,22 @@ def _counted(rows: DataFrame, patterns) -> DataFrame:
             for text, toxic in zip(part["text"], part["toxic"], strict=True):
                 by[toxic].update(patterns(fold(text)))
             names = sorted(by[0].keys() | by[1].keys())
-            yield pd.DataFrame({"pattern": names, "toxic": [by[1][n] for n in names], "clean": [by[0][n] for n in names]}, columns=["pattern", "toxic", "clean"])
+            if names:  # columns of no values would have no type
+                yield pd.DataFrame({"pattern": names, "toxic": [by[1][n] for n in names], "clean": [by[0][n] for n in names]}, columns=["pattern", "toxic", "clean"])
 
     partial = rows.mapInPandas(count, "pattern string, toxic long, clean long")
     return partial.groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of at most ``rows`` labelled documents, chosen by hash of the id."""
+    """(text, toxic) of about ``rows`` labelled documents at most, chosen by
+    hash of the id; of an id with several texts the smallest one."""
     ids = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "toxic")  # at most ``rows`` pairs of numbers
+    ids = ids.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    draw = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1_000_003)) / 1_000_003.0
+    chosen = ids.where(draw < rows / max(ids.count(), 1))
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about ``rows`` pairs of numbers
+    return met.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
 
 def learn(rows: DataFrame, added: dict[str, float] | None = None, exceptions: list[str] | None = None, size: int = LEXICON_SIZE) -> Lexicon:
@@ -216,7 +221,7 @@ def _learned_exceptions(rows: DataFrame, weights: dict[str, float]) -> list[str]
 
 def _curve(rows: DataFrame, lexicon: Lexicon) -> tuple[float, float, float]:
     """Logistic regression (Newton's method with a small ridge) on the sample's features."""
-    # a greatest weight and a rate for each row of the bounded sample
+    # a greatest weight and a rate for each row of the sample, of one row an id
     points = np.array([(r["rate"], r["most"], r["toxic"]) for r in rows.select(_featured(rows.sparkSession, lexicon)("text").alias("f"), "toxic").select("f.*", "toxic").collect()])
     x, y = np.column_stack([np.ones(len(points)), points[:, :2]]), points[:, 2]
     w = np.zeros(3)
