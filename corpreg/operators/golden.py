@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators.fuzzy import fuzzy_pairs_of_names, matched_names
+from corpreg.operators.quality import counters, summed_metrics
 from corpreg.params import S1_NAME, S2_NAME, Params
 from corpreg.session import materialize
 
@@ -50,15 +51,23 @@ GOLDEN_COLUMNS = (
 
 def best_per_name(df: DataFrame, name_col: str, rank_cols, params: Params) -> DataFrame:
     """(norm, best): the highest-ranked row of every normalized name."""
-    return (
-        df.where(F.col(name_col).isNotNull())
-        .select(
-            normalized_name(name_col, params.suffix_regex).alias("norm"),
-            F.struct(*[F.col(c) for c in rank_cols]).alias("row"),
-        )
-        .groupBy("norm")
-        .agg(F.max("row").alias("best"))
-    )
+    return _best(df.where(F.col(name_col).isNotNull()), name_col, rank_cols, params)
+
+
+def _best(df: DataFrame, name_col: str, rank_cols, params: Params, *more) -> DataFrame:
+    row = F.struct(*[F.col(c) for c in rank_cols])
+    return df.groupBy(normalized_name(name_col, params.suffix_regex).alias("norm")).agg(F.max(row).alias("best"), *more)
+
+
+def checked_best_per_name(df: DataFrame, source: str, name_col: str, rank_cols, params: Params) -> tuple[DataFrame, DataFrame]:
+    """The written :func:`best_per_name` and the contract metrics of a source,
+    both from one scan of it.
+
+    The metrics' counters are further aggregates of the same groups (rows
+    without a name are a group of their own here), written with them."""
+    written = materialize(_best(df, name_col, rank_cols, params, *counters(df, name_col)), "best")
+    metrics = summed_metrics(written, source, name_col, "revenue" in df.columns)
+    return written.where("norm is not null").select("norm", "best"), metrics
 
 
 def golden_from_best(
@@ -128,6 +137,14 @@ def golden_and_pairs(
         return _as_golden_s2(best_per_name(s2, S2_NAME, S2_RANK, params)), None
     best_s1 = keep(best_per_name(s1, S1_NAME, S1_RANK, params))
     best_s2 = keep(best_per_name(s2, S2_NAME, S2_RANK, params))
+    return golden_of_names(best_s1, best_s2, params, materialize_steps)
+
+
+def golden_of_names(
+    best_s1: DataFrame, best_s2: DataFrame, params: Params = Params(), materialize_steps: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Golden records and name pairs from the per-name best rows of both sources."""
+    keep = materialize if materialize_steps else (lambda df: df)
     # index the larger name set (counts are cheap once written)
     index_side = 1
     if materialize_steps and best_s2.count() > best_s1.count():
@@ -184,10 +201,12 @@ def golden_from_harmonized(harmonized: DataFrame) -> DataFrame:
 __all__ = [
     "GOLDEN_COLUMNS",
     "best_per_name",
+    "checked_best_per_name",
     "corporate_id",
     "golden_from_best",
     "golden_from_harmonized",
     "golden_and_pairs",
+    "golden_of_names",
     "golden_records",
     "top_row_per_key",
     "top_row_per_key_window",

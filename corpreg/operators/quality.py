@@ -8,7 +8,7 @@ one-row aggregates together. Verdicts reach the driver only in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpreg.functions.names import blank, normalized_name
@@ -63,6 +63,38 @@ def contract_metrics(df: DataFrame, source: str, name_col: str, validate_columns
     )
 
 
+# Counters that ride along with the per-name aggregate of a source.
+COUNTERS = ("__rows", "__blank_names", "__revenue", "__revenue_rows", "__cells")
+
+
+def counters(df: DataFrame, name_col: str) -> list[Column]:
+    """Aggregates of any grouping of a source's rows whose sums over all groups
+    give its :func:`contract_metrics`."""
+    revenue = F.col("revenue") if "revenue" in df.columns else F.lit(None).cast("double")
+    cells = sum((F.count(F.col(c)) for c in df.columns[1:]), F.count(F.col(df.columns[0])))
+    found = (F.count(F.lit(1)), F.count_if(blank(name_col)), F.sum(revenue), F.count(revenue), cells)
+    return [c.alias(n) for c, n in zip(found, COUNTERS, strict=True)]
+
+
+def summed_metrics(grouped: DataFrame, source: str, name_col: str, has_revenue: bool) -> DataFrame:
+    """The :func:`contract_metrics` row of a source from the written groups that
+    carry its :func:`counters`.
+
+    The counters are read from the written rows, not observed by the write: a
+    repeated shuffle task would count observed values twice, and a session that
+    holds an ``Observation`` can no longer ship Spark ML's fitted models."""
+    rows, blanks, revenue, n, cells = COUNTERS
+    return grouped.agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(blanks), F.lit(0)).alias("null_or_blank_names"),
+        F.try_divide(F.sum(revenue), F.sum(n)).alias("avg_revenue"),
+        F.coalesce(F.sum(cells), F.lit(0)).alias("non_null_cells"),
+    ).select(
+        F.lit(source).alias("source"), F.lit(name_col).alias("name_column"), "row_count", "null_or_blank_names",
+        "avg_revenue", F.lit(has_revenue).alias("has_revenue"), "non_null_cells",
+    )
+
+
 def dq_null_names(s1: DataFrame, s2: DataFrame) -> DataFrame:
     """(source, name_column, null_or_blank_names)."""
     m = contract_metrics(s1, SOURCE_1, S1_NAME).unionByName(contract_metrics(s2, SOURCE_2, S2_NAME))
@@ -186,6 +218,44 @@ def drift_check(rate: DataFrame, params: Params = Params()) -> DataFrame:
     )
 
 
+def metrics_row(spark, run_id: str, finished_at, rate: DataFrame, pipeline: str = "registry") -> DataFrame:
+    """One row of the metrics history: pipeline, run_id, finished_at, golden_rows, s2_rows."""
+    return rate.select(
+        F.lit(pipeline).alias("pipeline"), F.lit(run_id).alias("run_id"), F.lit(finished_at).cast("timestamp").alias("finished_at"),
+        F.col("golden_rows").cast("bigint").alias("golden_rows"), F.col("s2_rows").cast("bigint").alias("s2_rows"),
+    )
+
+
+def drift_history(history: DataFrame, params: Params = Params()) -> DataFrame:
+    """Drift of every run against the runs before it.
+
+    ``history`` holds one row a run: pipeline, run_id, finished_at, golden_rows,
+    s2_rows. The baseline of a run is the mean match rate of the
+    ``params.history_runs`` runs of its pipeline before it, in order of time and
+    run id, and the band is ``params.history_deviations`` population standard
+    deviations of them on each side, but at least
+    ``params.match_rate_deviation_pct``. Runs without Source-2 rows have no rate:
+    they take a place among the runs before but add nothing to mean and
+    deviation, and are never drift. A run with no rate before it is held
+    against the historical rate of ``params``.
+    """
+    by_time = Window.partitionBy("pipeline").orderBy("finished_at", "run_id")
+    before = by_time.rowsBetween(-params.history_runs, -1)
+    rate = F.when(F.col("s2_rows") > 0, F.coalesce(F.col("golden_rows"), F.lit(0)) * 100.0 / F.col("s2_rows"))
+    seen = history.withColumn("rate", rate).select(
+        "pipeline", "run_id", "rate", F.count("rate").over(before).alias("runs_before"),
+        F.avg("rate").over(before).alias("mean"), F.stddev_pop("rate").over(before).alias("spread"),
+    )
+    base = F.coalesce("mean", F.lit(params.historical_match_rate_pct))
+    width = F.greatest(F.coalesce(F.col("spread") * params.history_deviations, F.lit(0.0)), F.lit(params.match_rate_deviation_pct))
+    drift = F.coalesce(F.abs(F.col("rate") - base) > width, F.lit(False))
+    return seen.select(
+        "pipeline", "run_id", F.bround("rate", 2).alias("match_rate_pct"), "runs_before",
+        F.round(base, 6).alias("baseline_pct"), F.round(width, 6).alias("deviation_pct"), drift.alias("drift_triggered"),
+        F.when(drift, "CRITICAL").otherwise("HEALTHY").alias("pipeline_health_status"),
+    )
+
+
 def reconcile_delivery(registry: DataFrame, batch: DataFrame, params: Params = Params()) -> DataFrame:
     """Delivery index = distinct registry ids / batch rows x 100 (pass at or
     above the target; NULL when the batch is empty) and batch coverage = share

@@ -28,7 +28,7 @@ decide.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpreg.functions.names import first_token
@@ -105,8 +105,8 @@ def token_risk(
     """(token, adverse_media_news) for every token that hits a risky headline.
 
     ``tokens`` has one column ``token`` of distinct, non-empty tokens. Headlines
-    without a position are never the first. ``joined`` collects the number of
-    (token, headline) candidates of every range.
+    without a position are never the first. ``joined`` collects, by a
+    count of its own, the (token, headline) candidates of every range.
     """
     tokens = materialize(tokens, "tokens")
     hot = materialize(risky_headlines(feed, params).where("position is not null").select("position", "headline"), "headlines")
@@ -123,12 +123,11 @@ def token_risk(
             break
         inside = hot.where(F.col("position") > bounds[r - 1]) if r else hot
         inside = inside.where(F.col("position") <= bounds[r]) if r < len(bounds) else inside
-        seen = Observation()
-        cand = left.join(grams.where(F.col("range") == r), "gram").select("token", "position").observe(seen, F.count(F.lit(1)).alias("n"))
+        cand = left.join(grams.where(F.col("range") == r), "gram").select("token", "position")
         hits = cand.join(inside, "position").where(F.lower("headline").contains(F.col("token")))
         first = materialize(hits.groupBy("token").agg(F.min(F.struct("position", "headline")).alias("first")), "first-headlines")
         if joined is not None:
-            joined.append(seen.get["n"])
+            joined.append(cand.count())
         answers = first if answers is None else answers.unionByName(first)
         left = left.join(first, "token", "left_anti")
     return answers.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))

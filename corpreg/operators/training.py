@@ -6,7 +6,15 @@
 * NULL (and NaN) revenue and supplier_count become 0; profit is not filled.
 * Split: by a hash of ``corporate_id`` (first four hex digits mod 10), so the
   same company always lands on the same side whatever the partitioning.
-* Model: Spark ML logistic regression on ``[revenue, supplier_count]``.
+* Model: Spark ML logistic regression on ``[revenue, supplier_count]``, by
+  default ``lr_max_iter`` steps of Spark ML's optimizer. ``Params.fit="irls"``
+  runs iteratively reweighted least squares to convergence instead (Spark ML's
+  generalized linear regression): each step is one aggregate of the normal
+  equations, a 3 x 3 matrix whatever the number of rows. Its result does not
+  depend on step counts, so anyone can repeat it; the default agrees with it
+  when given enough steps.
+* Labels that a line separates have no finite maximum: such runs are reported
+  as ``separable_labels``, with the model of the last step and its AUC.
 * AUC: ``BinaryClassificationEvaluator`` plus an exact rank-sum AUC computed
   with a distributed prefix sum (range partitions, per-partition offsets), as
   a cross-check that needs no single-task global sort.
@@ -23,6 +31,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression, GeneralizedLinearRegressionModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,6 +46,13 @@ from pyspark.sql.types import (
 from corpreg.params import Params
 from corpreg.session import materialize
 
+IRLS_MAX_ITER, IRLS_TOLERANCE = 40, 1e-9
+
+
+class MissingModelError(LookupError):
+    """No saved model of the wanted version or time."""
+
+
 RUNS = StructType(
     [
         StructField("run_id", StringType(), False),
@@ -104,8 +120,16 @@ def profit_vectors(features: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def profit_pipeline(params: Params = Params()) -> Pipeline:
-    lr = LogisticRegression(featuresCol="features", labelCol=params.label_col, maxIter=params.lr_max_iter)
-    return Pipeline(stages=[assembler(params), lr])
+    if params.fit == "irls":
+        model = GeneralizedLinearRegression(
+            featuresCol="features", labelCol=params.label_col, family="binomial", link="logit", linkPredictionCol="score",
+            maxIter=IRLS_MAX_ITER, tol=IRLS_TOLERANCE,
+        )
+    elif params.fit == "logistic":
+        model = LogisticRegression(featuresCol="features", labelCol=params.label_col, maxIter=params.lr_max_iter)
+    else:
+        raise ValueError(f"unknown fit {params.fit!r}")
+    return Pipeline(stages=[assembler(params), model])
 
 
 def fit_profit_model(train: DataFrame, params: Params = Params()) -> PipelineModel:
@@ -123,15 +147,28 @@ def model_summary(model: PipelineModel, train_rows: int) -> dict:
 
 
 def score(model: PipelineModel, test: DataFrame, params: Params = Params()) -> DataFrame:
+    """``test`` with ``probability_1``, ``score`` (log-odds) and ``prediction`` (0 or 1)."""
     pred = model.transform(test)
+    if isinstance(model.stages[-1], GeneralizedLinearRegressionModel):
+        return pred.withColumn("probability_1", F.col("prediction")).withColumn(
+            "prediction", F.when(F.col("score") > 0, 1.0).otherwise(0.0)
+        )
     return pred.withColumn("probability_1", vector_to_array("probability")[1]).withColumn(
         "score", vector_to_array("rawPrediction")[1]
     )
 
 
+def separates(scored: DataFrame, params: Params = Params()) -> bool:
+    """Whether every positive scores above every negative."""
+    own = lambda y: F.when(F.col(params.label_col) == y, F.col("score"))
+    row = scored.agg(F.min(own(1)).alias("low"), F.max(own(0)).alias("high")).first()
+    return row["low"] is not None and row["high"] is not None and row["low"] > row["high"]
+
+
 def evaluator_auc(predictions: DataFrame, params: Params = Params()) -> float:
+    raw = "rawPrediction" if "rawPrediction" in predictions.columns else "score"
     ev = BinaryClassificationEvaluator(
-        rawPredictionCol="rawPrediction", labelCol=params.label_col, metricName="areaUnderROC"
+        rawPredictionCol=raw, labelCol=params.label_col, metricName="areaUnderROC"
     )
     return float(ev.evaluate(predictions))
 
@@ -218,14 +255,15 @@ def run_training(
             result.update(status="degenerate_labels", accuracy=None, version=f"v_run_{run_id[:8]}")
         else:
             model = fit_profit_model(train, params)
-            auc = evaluator_auc(model.transform(test), params)
-            result.update(status="ok", accuracy=auc, version=f"v_run_{run_id[:8]}")
+            auc = evaluator_auc(score(model, test, params), params)
+            status = "separable_labels" if separates(score(model, train, params), params) else "ok"
+            result.update(status=status, accuracy=auc, version=f"v_run_{run_id[:8]}")
             result.update(model_summary(model, n_train))
             if model_path:
                 model.write().overwrite().save(model_path)
                 result["model_path"] = model_path
         if runs_path:
-            training_runs_row(spark, result, params).write.mode("append").parquet(runs_path)
+            training_runs_row(spark, result, params).coalesce(1).write.mode("append").parquet(runs_path)
         return result
     finally:
         feats.unpersist()
@@ -235,8 +273,8 @@ def training_runs_row(spark, result: dict, params: Params = Params()) -> DataFra
     row = (
         result["run_id"],
         result["version"],
-        "LogisticRegression",
-        int(params.lr_max_iter),
+        "GeneralizedLinearRegression" if params.fit == "irls" else "LogisticRegression",
+        IRLS_MAX_ITER if params.fit == "irls" else int(params.lr_max_iter),
         None if result["accuracy"] is None else float(result["accuracy"]),
         float(params.baseline_accuracy),
         result["status"],
@@ -252,11 +290,37 @@ def load_profit_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def model_run(runs: DataFrame, version: str | None = None, at: datetime | None = None) -> dict:
+    """The newest run of the runs table that saved a model: of ``version``, or
+    finished no later than ``at``, or of all. Raises :class:`MissingModelError`."""
+    found = runs.where(F.col("model_path").isNotNull())
+    if version is not None:
+        found = found.where(F.col("model_version") == version)
+    if at is not None:
+        found = found.where(F.col("finished_at") <= F.lit(at))
+    row = found.orderBy(F.desc("finished_at"), F.desc("run_id")).first()
+    if row is None:
+        wanted = f"version {version}" if version is not None else f"a time up to {at}" if at is not None else "any version"
+        raise MissingModelError(f"the runs table holds no saved model for {wanted}")
+    return row.asDict()
+
+
+def score_saved(
+    features: DataFrame, runs: DataFrame, params: Params = Params(), version: str | None = None, at: datetime | None = None
+) -> DataFrame:
+    """``features`` scored by a saved model (see :func:`model_run`), with its ``model_version``."""
+    run = model_run(runs, version, at)
+    return score(load_profit_model(run["model_path"]), features, params).withColumn("model_version", F.lit(run["model_version"]))
+
+
 __all__ = [
+    "IRLS_MAX_ITER",
     "RUNS",
+    "MissingModelError",
     "evaluator_auc",
     "fit_profit_model",
     "load_profit_model",
+    "model_run",
     "model_summary",
     "profit_features",
     "profit_pipeline",
@@ -265,6 +329,8 @@ __all__ = [
     "rank_sum_auc",
     "run_training",
     "score",
+    "score_saved",
+    "separates",
     "split_column",
     "train_test_split",
     "training_runs_row",

@@ -60,6 +60,9 @@ class Params:
     min_name_length: int = 0
     historical_match_rate_pct: float = HISTORICAL_MATCH_RATE_PCT
     match_rate_deviation_pct: float = MATCH_RATE_DEVIATION_PCT
+    # drift against past runs: how many of them, and how many of their deviations
+    history_runs: int = 10
+    history_deviations: float = 3.0
     min_avg_revenue: float = MIN_AVG_REVENUE
     delivery_target_pct: float = DELIVERY_TARGET_PCT
     profit_threshold: float = PROFIT_THRESHOLD
@@ -67,6 +70,9 @@ class Params:
     feature_cols: tuple[str, ...] = ("revenue", "supplier_count")
     label_col: str = "high_profit_indicator"
     lr_max_iter: int = LR_MAX_ITER
+    # "logistic": Spark ML's logistic regression, lr_max_iter steps;
+    # "irls": iteratively reweighted least squares, run to convergence
+    fit: str = "logistic"
     train_fraction: float = TRAIN_FRACTION
     split_seed: int = SPLIT_SEED
     baseline_accuracy: float = BASELINE_ACCURACY

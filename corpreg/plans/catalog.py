@@ -4,37 +4,26 @@ views of :mod:`corpreg.sources.fixtures`)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators import fuzzy, golden, quality, risk, training
-from corpreg.params import S1_NAME, S2_NAME, Params
-from corpreg.plans.health import health_export, health_record
-from corpreg.session import materialize, scratch_path
+from corpreg.params import REGISTRY_COLUMNS, S1_NAME, S2_NAME, Params
+from corpreg.plans.health import health_export, health_record, health_records
+from corpreg.session import delete_paths, delete_when_unused, materialize, scratch_path
 from corpreg.sources import csv_sources, fixtures
-from corpreg.sources.registry import SnapshotRegistry, merge_frames
+from corpreg.sources.registry import CatalogRegistry, SnapshotRegistry, merge_frames
 
 P = Params()
-HEALTH_DDL = "timestamp string, pipeline_health_status string, telemetry string"
-HEALTH_FIELDS = (
-    "source_1_supply_chain_row_count bigint, source_2_financial_row_count bigint, "
-    "fuzzy_match_rate_pct double, entity_drift_triggered boolean"
-)
-REGISTRY_ORDER = (
-    "corporate_id",
-    "corporate_name",
-    "address",
-    "activity_places",
-    "top_suppliers",
-    "main_customers",
-    "revenue",
-    "profit",
-    "adverse_media_news",
-)
+# fitted by a method that anyone can repeat
+IRLS = replace(P, fit="irls")
+REGISTRY_ORDER = REGISTRY_COLUMNS
 
 
 def _s1(spark, d):
@@ -180,20 +169,38 @@ def q_registry_merge(spark, d):
     return _merged(spark, d)
 
 
-def _committed_registry(spark, d) -> SnapshotRegistry:
-    reg = SnapshotRegistry(spark, scratch_path(spark, "registry"))
+def _committed_registry(spark, d) -> tuple[SnapshotRegistry, str]:
+    root = scratch_path(spark, "registry")
+    reg = SnapshotRegistry(spark, root)
     reg.merge(_tagged_first_batch(spark, d))
     reg.merge(_tagged(spark, d))
-    return reg
+    return reg, root
+
+
+def _reads(df: DataFrame, path: str) -> DataFrame:
+    """``df``, whose folder ``path`` goes when nothing reads it any more."""
+    delete_when_unused(df, path)
+    return df
 
 
 def q_registry_scan(spark, d):
-    return _committed_registry(spark, d).current()
+    reg, root = _committed_registry(spark, d)
+    return _reads(reg.current(), root)
 
 
 def q_registry_snapshots(spark, d):
     """Newest commits; the commit time is left out, as it differs from run to run."""
-    return _committed_registry(spark, d).history(5).select("snapshot_id", "operation")
+    reg, root = _committed_registry(spark, d)
+    return _reads(reg.history(5), root).select("snapshot_id", "operation")
+
+
+def q_registry_table_merge(spark, d):
+    """Both batches upserted into a bucketed catalog table that did not exist before."""
+    root, name = scratch_path(spark, "warehouse"), uuid.uuid4().hex
+    reg = CatalogRegistry(spark, f"corpreg_{name}.companies", buckets=16, location=root)
+    reg.merge(_tagged_first_batch(spark, d))
+    reg.merge(_tagged(spark, d))
+    return _reads(reg.current(), root)
 
 
 def q_registry_count(spark, d):
@@ -228,32 +235,52 @@ def q_profit_vectors(spark, d):
 
 
 def _fit(spark, d):
-    feats = training.profit_features(_tagged(spark, d), P)
-    train, test = training.train_test_split(feats, P)
-    return training.fit_profit_model(train, P), train, test
+    feats = training.profit_features(_tagged(spark, d, keep=True), IRLS)
+    train, test = training.train_test_split(feats, IRLS)
+    return training.fit_profit_model(train, IRLS), train, test
 
 
 def q_profit_model(spark, d):
+    """The coefficients at the maximum of the likelihood, to about their first ten digits."""
     model, train, _ = _fit(spark, d)
     s = training.model_summary(model, train.count())
-    row = [(s["intercept"], *s["coefficients"], s["train_rows"])]
-    cols = ["intercept", *[f"coef_{c}" for c in P.feature_cols], "train_rows"]
-    return spark.createDataFrame(row, cols)
+    digits = {"revenue": 12}
+    row = [(round(s["intercept"], 6), *(round(x, digits.get(c, 6)) for c, x in zip(IRLS.feature_cols, s["coefficients"])), s["train_rows"])]
+    cols = ["intercept double", *[f"coef_{c} double" for c in IRLS.feature_cols], "train_rows bigint"]
+    return spark.createDataFrame(row, ", ".join(cols))
+
+
+def _predictions(scored: DataFrame) -> DataFrame:
+    return scored.select("corporate_id", IRLS.label_col, F.round("probability_1", 6).alias("probability_1"), "prediction")
 
 
 def q_profit_predictions(spark, d):
     model, _, test = _fit(spark, d)
-    return training.score(model, test, P).select(
-        "corporate_id", P.label_col, "probability_1", "prediction"
-    )
+    return _predictions(training.score(model, test, IRLS))
+
+
+def q_score_with_saved_model(spark, d):
+    """Two training runs, on the registry after the first batch and on the present
+    one, save their models; the newest is found in the runs table by its
+    version, loaded and applied to the test side of the present batch."""
+    runs, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
+    present = _tagged(spark, d, keep=True)
+    for n, registry in enumerate((_tagged_first_batch(spark, d), present)):
+        training.run_training(registry, IRLS, model_path=f"{models}/{n}", runs_path=runs)
+    _, test = training.train_test_split(training.profit_features(present, IRLS), IRLS)
+    table = spark.read.schema(training.RUNS).parquet(runs)
+    newest = training.model_run(table)
+    scored = training.score_saved(test, table, IRLS, version=newest["model_version"])
+    delete_paths(spark, [runs, models])  # the loaded model is part of the plan
+    return _predictions(scored)
 
 
 def q_profit_auc(spark, d):
     model, _, test = _fit(spark, d)
-    scored = training.score(model, test, P)
-    auc = training.evaluator_auc(scored, P)
-    return training.rank_sum_auc(scored, P.label_col).select(
-        F.lit(auc).alias("area_under_roc"), "auc_rank", "positives", "negatives"
+    scored = training.score(model, test, IRLS)
+    auc = training.evaluator_auc(scored, IRLS)
+    return training.rank_sum_auc(scored, IRLS.label_col).select(
+        F.lit(round(auc, 6)).alias("area_under_roc"), F.round("auc_rank", 6).alias("auc_rank"), "positives", "negatives"
     )
 
 
@@ -264,21 +291,31 @@ def q_revenue_auc(spark, d):
 
 
 def q_training_runs(spark, d):
-    result = training.run_training(_tagged(spark, d), P)
-    return training.training_runs_row(spark, result, P)
+    """The row of a run, without what differs from run to run: ids, path and time."""
+    row = training.training_runs_row(spark, training.run_training(_tagged(spark, d), IRLS), IRLS)
+    return row.drop("run_id", "model_version", "model_path", "finished_at").withColumn("area_under_roc", F.round("area_under_roc", 6))
+
+
+def q_drift_history(spark, d):
+    return quality.drift_history(fixtures.metrics_history(spark, d), P)
+
+
+def _utc_now() -> str:
+    return datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="microseconds")
 
 
 def q_health_export(spark, d):
-    """The health record as exported to JSON and read back, without its time.
-    It holds no model fields: those depend on a fitted model."""
+    """The health record of a run with training, exported to JSON and read back
+    under its contract. The model's version and the time differ from run to run:
+    the version is checked against that of the run, the time for its format and
+    for lying within the run."""
     s1, s2 = _s1(spark, d), _s2(spark, d)
-    rate = quality.match_rate(golden.golden_records(s1, s2, P), s2)
-    path = scratch_path(spark, "health")
-    health_export(health_record(quality.source_counts(s1, s2), rate, None, P), path)
-    telemetry = F.from_json("telemetry", HEALTH_FIELDS)
-    return spark.read.schema(HEALTH_DDL).json(path).select("pipeline_health_status", telemetry.alias("t")).select(
-        "pipeline_health_status", "t.*"
-    )
+    path, started = scratch_path(spark, "health"), _utc_now()
+    tagged = _tagged(spark, d, keep=True)
+    run = training.run_training(tagged, IRLS)
+    health_export(health_record(quality.source_counts(s1, s2), quality.match_rate(tagged, s2), run, P), path)
+    found = _reads(health_records(spark, path, started, _utc_now()), path)
+    return found.withColumn("version_ok", F.col("model_version") == run["version"]).drop("model_version")
 
 
 def _landing(spark, d) -> str:
@@ -293,16 +330,23 @@ def _landing(spark, d) -> str:
     return root
 
 
+def _read_landing(spark, d) -> tuple[DataFrame, DataFrame]:
+    root = _landing(spark, d)
+    s1, s2 = csv_sources.read_sources(spark, root)
+    _reads(s1.unionByName(s2, allowMissingColumns=True), root)
+    return s1, s2
+
+
 def q_read_source(spark, d):
-    """Financial source: discovered, routed by header and read back strictly."""
-    _, s2 = csv_sources.read_sources(spark, _landing(spark, d))
-    return s2
+    """Both sources: routed by header from one landing area and read back
+    strictly, with the columns of the other source as NULL."""
+    s1, s2 = _read_landing(spark, d)
+    return s1.unionByName(s2, allowMissingColumns=True)
 
 
 def q_route_sources(spark, d):
-    """Rows per routed role after discovery, header routing and strict reads."""
-    s1, s2 = csv_sources.read_sources(spark, _landing(spark, d))
-    return quality.source_counts(s1, s2)
+    """Rows per routed role after header routing and strict reads."""
+    return quality.source_counts(*_read_landing(spark, d))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -327,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registry_merge": q_registry_merge,
     "registry_scan": q_registry_scan,
     "registry_snapshots": q_registry_snapshots,
+    "registry_table_merge": q_registry_table_merge,
     "registry_count": q_registry_count,
     "registry_distinct_ids": q_registry_distinct_ids,
     "registry_preview": q_registry_preview,
@@ -340,6 +385,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profit_auc": q_profit_auc,
     "revenue_auc": q_revenue_auc,
     "training_runs": q_training_runs,
+    "score_with_saved_model": q_score_with_saved_model,
+    "drift_history": q_drift_history,
     "health_export": q_health_export,
     "read_source": q_read_source,
     "route_sources": q_route_sources,

@@ -2,7 +2,8 @@
 
 Inputs are small aggregate frames (source counts, match-rate counts, training
 result); they are combined by union + aggregate, not by joining one-row
-frames. ``health_export`` appends the record as JSON lines.
+frames. ``health_export`` appends the record as JSON lines; ``health_records``
+reads such lines back under a typed contract.
 """
 
 from __future__ import annotations
@@ -66,6 +67,46 @@ def health_record(
     )
 
 
+TELEMETRY = (
+    "source_1_supply_chain_row_count bigint, source_2_financial_row_count bigint, fuzzy_match_rate_pct double, "
+    "entity_drift_triggered boolean, model_version string, model_accuracy_auc double, "
+    "historical_baseline_accuracy double, model_status string"
+)
+STATUSES = ("CRITICAL", "HEALTHY")
+TIME_FORMAT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}Z$"
+
+
+def health_records(spark, path: str, started=None, ended=None) -> DataFrame:
+    """Exported records, typed: the status, the telemetry's fields and two verdicts.
+
+    ``record_ok``: the line is JSON of the declared types, the telemetry is, too,
+    the status is a known one and the counts and the match rate are there. Lines
+    that break the contract are kept, with what could be read of them.
+    ``time_ok``: the timestamp has the export's format and, where ``started``
+    and ``ended`` (UTC, as strings or datetimes) are given, lies between them.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+    lines = spark.read.text(path).select(
+        F.from_json("value", "timestamp string, pipeline_health_status string, telemetry string, corrupt string", options).alias("r")
+    )
+    parsed = lines.select("r.*", F.from_json("r.telemetry", f"{TELEMETRY}, corrupt string", options).alias("t"))
+    needed = ("source_1_supply_chain_row_count", "source_2_financial_row_count", "fuzzy_match_rate_pct", "entity_drift_triggered")
+    whole = F.col("corrupt").isNull() & F.col("t").isNotNull() & F.col("t.corrupt").isNull()
+    for c in needed:
+        whole = whole & F.col(f"t.{c}").isNotNull()
+    at = F.try_to_timestamp(F.regexp_replace("timestamp", "Z$", "+00:00"))
+    in_time = F.col("timestamp").rlike(TIME_FORMAT) & at.isNotNull()
+    for bound, holds in ((started, lambda b: at >= b), (ended, lambda b: at <= b)):
+        if bound is not None:
+            in_time = in_time & holds(F.to_timestamp(F.lit(f"{bound}+00:00")))
+    return parsed.select(
+        "pipeline_health_status",
+        "t.*",
+        F.coalesce(whole & F.col("pipeline_health_status").isin(*STATUSES), F.lit(False)).alias("record_ok"),
+        F.coalesce(in_time, F.lit(False)).alias("time_ok"),
+    ).drop("corrupt")
+
+
 def health_export(record: DataFrame, path: str) -> None:
     """Append the record to a JSON-lines dataset."""
     record.coalesce(1).write.mode("append").json(path)

@@ -12,6 +12,7 @@ are ASCII).
 
 from __future__ import annotations
 
+from corpreg.operators.training import IRLS_MAX_ITER
 from corpreg.params import SUFFIX_REGEX, LEVENSHTEIN_THRESHOLD, Params
 from corpreg.sources.fixtures import DOCUMENT_KEYWORDS, duckdb_view_sql
 
@@ -86,6 +87,43 @@ def _q(body: str) -> str:
     return base_ctes() + body
 
 
+IRLS_STEPS = 25
+
+
+def _irls() -> str:
+    """Iteratively reweighted least squares in plain SQL: both features are
+    standardized, each step solves the 3 x 3 normal equations by cofactors."""
+    sql = f""", rows_ AS MATERIALIZED (
+  SELECT corporate_id, high_profit_indicator AS y, coalesce(revenue, 0.0) AS revenue, CAST(supplier_count0 AS DOUBLE) AS suppliers,
+         ('0x' || substr(md5(corporate_id), 1, 13))::BIGINT < {P.train_fraction * 16.0**13} AS train
+  FROM features),
+scale AS MATERIALIZED (SELECT avg(revenue) AS m1, stddev_pop(revenue) AS s1, avg(suppliers) AS m2, stddev_pop(suppliers) AS s2, count(*) AS n FROM rows_ WHERE train),
+t AS MATERIALIZED (SELECT y, (revenue - m1) / s1 AS x1, (suppliers - m2) / s2 AS x2 FROM rows_, scale WHERE train),
+b0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1, 0.0::DOUBLE AS c2)"""
+    for n in range(IRLS_STEPS):
+        sql += f""",
+b{n + 1} AS MATERIALIZED (
+  SELECT c0 + ((s11 * s22 - s12 * s12) * g0 + (s02 * s12 - s01 * s22) * g1 + (s01 * s12 - s02 * s11) * g2) / det AS c0,
+         c1 + ((s02 * s12 - s01 * s22) * g0 + (s00 * s22 - s02 * s02) * g1 + (s01 * s02 - s00 * s12) * g2) / det AS c1,
+         c2 + ((s01 * s12 - s02 * s11) * g0 + (s01 * s02 - s00 * s12) * g1 + (s00 * s11 - s01 * s01) * g2) / det AS c2
+  FROM (SELECT *, s00 * (s11 * s22 - s12 * s12) - s01 * (s01 * s22 - s12 * s02) + s02 * (s01 * s12 - s11 * s02) AS det
+        FROM (SELECT any_value(c0) AS c0, any_value(c1) AS c1, any_value(c2) AS c2, sum(w) AS s00, sum(w * x1) AS s01, sum(w * x2) AS s02,
+                     sum(w * x1 * x1) AS s11, sum(w * x1 * x2) AS s12, sum(w * x2 * x2) AS s22, sum(y - p) AS g0, sum((y - p) * x1) AS g1, sum((y - p) * x2) AS g2
+              FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(c0 + c1 * x1 + c2 * x2))) AS p FROM t, b{n})))))"""
+    return sql + f""",
+model AS MATERIALIZED (SELECT c0 - c1 * m1 / s1 - c2 * m2 / s2 AS intercept, c1 / s1 AS coef_revenue, c2 / s2 AS coef_supplier_count, n AS train_rows FROM b{IRLS_STEPS}, scale),
+scored AS MATERIALIZED (SELECT corporate_id, y, intercept + coef_revenue * revenue + coef_supplier_count * suppliers AS eta FROM rows_, model WHERE NOT train),
+auc AS MATERIALIZED (
+  SELECT CASE WHEN p > 0 AND n > 0 THEN (ranks - p * (p + 1) / 2.0) / (p * n) END AS auc, p, n
+  FROM (SELECT sum(CASE WHEN y = 1 THEN mean_rank END) AS ranks, count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y = 0) AS n
+        FROM (SELECT y, rank() OVER (ORDER BY eta) + (count(*) OVER (PARTITION BY eta) - 1) / 2.0 AS mean_rank FROM scored)))
+"""
+
+
+PREDICTIONS = """SELECT corporate_id, y AS high_profit_indicator, round(1 / (1 + exp(-eta)), 6) AS probability_1,
+       CASE WHEN eta > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM scored"""
+
+
 def oracle_sql() -> dict[str, str]:
     reg_cols = (
         "corporate_id, corporate_name, address, activity_places, top_suppliers, main_customers, "
@@ -179,14 +217,43 @@ def oracle_sql() -> dict[str, str]:
                UNION ALL SELECT 2, CASE WHEN EXISTS (SELECT 1 FROM tagged_a JOIN tagged USING (corporate_id))
                                         THEN 'overwrite' ELSE 'append' END"""
         ),
+        "registry_table_merge": _q(f"SELECT {reg_cols} FROM registry"),
+        "profit_model": _q(
+            _irls() + "SELECT round(intercept, 6) AS intercept, round(coef_revenue, 12) AS coef_revenue, "
+            "round(coef_supplier_count, 6) AS coef_supplier_count, train_rows FROM model"
+        ),
+        "profit_predictions": _q(_irls() + PREDICTIONS),
+        "score_with_saved_model": _q(_irls() + PREDICTIONS),
+        "profit_auc": _q(_irls() + "SELECT round(auc, 6) AS area_under_roc, round(auc, 6) AS auc_rank, p AS positives, n AS negatives FROM auc"),
+        "training_runs": _q(
+            _irls()
+            + f"""SELECT 'GeneralizedLinearRegression' AS estimator_class, {IRLS_MAX_ITER}::BIGINT AS max_iterations, round(auc, 6) AS area_under_roc,
+                   {P.baseline_accuracy}::DOUBLE AS baseline_accuracy, 'ok' AS status, train_rows, p + n AS test_rows FROM auc, model"""
+        ),
+        "drift_history": f"""
+WITH history AS ({duckdb_view_sql()['metrics_history']}),
+rates AS (SELECT *, CASE WHEN s2_rows > 0 THEN golden_rows * 100.0::DOUBLE / s2_rows END AS rate FROM history),
+seen AS (
+  SELECT pipeline, run_id, rate, count(rate) OVER w AS runs_before, avg(rate) OVER w AS mean, stddev_pop(rate) OVER w AS spread
+  FROM rates WINDOW w AS (PARTITION BY pipeline ORDER BY finished_at, run_id ROWS BETWEEN {P.history_runs} PRECEDING AND 1 PRECEDING)),
+bands AS (
+  SELECT *, coalesce(mean, {P.historical_match_rate_pct}::DOUBLE) AS base,
+         greatest(coalesce(spread * {P.history_deviations}, 0.0), {P.match_rate_deviation_pct}::DOUBLE) AS width FROM seen)
+SELECT pipeline, run_id, round_even(rate, 2) AS match_rate_pct, runs_before, round(base, 6) AS baseline_pct, round(width, 6) AS deviation_pct,
+       coalesce(abs(rate - base) > width, FALSE) AS drift_triggered,
+       CASE WHEN coalesce(abs(rate - base) > width, FALSE) THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status
+FROM bands""",
         "health_export": _q(
-            f"""SELECT CASE WHEN drift THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status,
+            _irls()
+            + f"""SELECT CASE WHEN drift THEN 'CRITICAL' ELSE 'HEALTHY' END AS pipeline_health_status,
                        n1 AS source_1_supply_chain_row_count, n2 AS source_2_financial_row_count,
-                       round_even(r, 2) AS fuzzy_match_rate_pct, drift AS entity_drift_triggered
+                       round_even(r, 2) AS fuzzy_match_rate_pct, drift AS entity_drift_triggered,
+                       round_even(auc, 4) AS model_accuracy_auc, {P.baseline_accuracy}::DOUBLE AS historical_baseline_accuracy, 'ok' AS model_status,
+                       TRUE AS record_ok, TRUE AS time_ok, TRUE AS version_ok
                 FROM (SELECT *, abs(r - {P.historical_match_rate_pct}) > {P.match_rate_deviation_pct} AS drift
                       FROM (SELECT n1, n2, CASE WHEN n2 > 0 THEN CAST(g AS DOUBLE) * 100.0 / n2 ELSE 0.0 END AS r
                             FROM (SELECT (SELECT count(*) FROM corp_s1) AS n1, (SELECT count(*) FROM corp_s2) AS n2,
-                                         (SELECT count(*) FROM golden) AS g)))"""
+                                         (SELECT count(*) FROM golden) AS g))), auc"""
         ),
         "revenue_auc": _q(
             """SELECT round(CASE WHEN p > 0 AND n > 0 THEN (ranks - p * (p + 1) / 2.0) / (p * n) END, 6) AS auc_rank,
@@ -226,7 +293,11 @@ def oracle_sql() -> dict[str, str]:
                FROM features"""
         ),
         # an empty field of a CSV file is read as NULL
-        "read_source": _q("SELECT * REPLACE (nullif(corporate_name_S2, '') AS corporate_name_S2) FROM corp_s2"),
+        "read_source": _q(
+            "SELECT nullif(corporate_name_S1, '') AS corporate_name_S1, address, activity_places, nullif(top_suppliers, '') AS top_suppliers, "
+            "NULL::VARCHAR AS corporate_name_S2, NULL::VARCHAR AS main_customers, NULL::DOUBLE AS revenue, NULL::DOUBLE AS profit FROM corp_s1 "
+            "UNION ALL SELECT NULL, NULL, NULL, NULL, nullif(corporate_name_S2, ''), main_customers, revenue, profit FROM corp_s2"
+        ),
         "route_sources": _q(
             "SELECT 'supply_chain' AS source, count(*) AS row_count FROM corp_s1 "
             "UNION ALL SELECT 'financial', count(*) FROM corp_s2"

@@ -9,6 +9,7 @@ session) is a temporary folder chosen and registered as the checkpoint dir.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import threading
 import uuid
@@ -108,6 +109,77 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+# Folders that plans still read: (session, weak references to what the plans read, folder).
+_IN_USE: list[tuple[SparkSession, list, str]] = []
+_IN_USE_LOCK = threading.Lock()
+
+
+def delete_when_unused(df, path: str) -> None:
+    """Delete the folder ``path``, which the scans of ``df`` read, once nothing
+    reads it any more.
+
+    A plan holds the relations that it scans, and so does every plan, view or
+    cached table made from it. They are watched through weak references, not
+    through the Python object, so ``df`` itself may go before what was made from
+    it. Folders whose relations the JVM has collected are deleted when the next
+    intermediate is written (:func:`delete_unused`), all others when the process
+    ends. Sessions without a JVM of their own keep their folders.
+    """
+    jvm = getattr(df.sparkSession, "_jvm", None)
+    if jvm is None:
+        return
+    leaves, refs = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() == "LogicalRelation":
+            refs.append(jvm.java.lang.ref.WeakReference(leaf.relation()))
+    if refs:
+        with _IN_USE_LOCK:
+            _IN_USE.append((df.sparkSession, refs, path))
+
+
+def delete_unused(everything: bool = False) -> int:
+    """Delete the folders of :func:`delete_when_unused` whose plans are gone
+    (``everything``: all of them); returns how many are left."""
+    with _IN_USE_LOCK:
+        held = list(_IN_USE)
+        _IN_USE.clear()
+    kept = []
+    for spark, refs, path in held:
+        try:
+            if everything or all(r.refersTo(None) for r in refs):
+                delete_paths(spark, [path])
+            else:
+                kept.append((spark, refs, path))
+        except Exception:  # noqa: BLE001 - the session has ended; its file system is gone with it
+            continue
+    with _IN_USE_LOCK:
+        _IN_USE.extend(kept)
+        return len(_IN_USE)
+
+
+atexit.register(delete_unused, everything=True)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    """Delete the shuffle files of each query in the ``with`` block as it ends.
+    For writes that cut lineage: what comes later reads the written files, so a
+    long chain of steps never holds more than one step's shuffles on disk."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df, name: str = "stage", scoped: bool = True, partition_by: list[str] | None = None):
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
@@ -117,12 +189,18 @@ def materialize(df, name: str = "stage", scoped: bool = True, partition_by: list
     recomputing the inputs. Unlike ``Dataset.checkpoint`` on an unpersisted
     plan, the plan runs once (the checkpoint write would run it again), the
     files are columnar and compressed, and the optimizer sees their real size.
-    Inside :func:`scratch_scope` the folder is deleted when the scope ends.
+    Inside :func:`scratch_scope` the folder is deleted when the scope ends,
+    otherwise when no plan reads it any more (:func:`delete_when_unused`).
     """
     spark = df.sparkSession
+    delete_unused()
     path = scratch_path(spark, name)
-    df.write.mode("error").partitionBy(*partition_by or []).parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.mode("error").partitionBy(*partition_by or []).parquet(path)
     scopes = _scopes()
+    written = spark.read.schema(df.schema).parquet(path)
     if scoped and scopes:
         scopes[-1].append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    else:
+        delete_when_unused(written, path)
+    return written

@@ -93,6 +93,18 @@ DOCUMENT_FEED_SQL = "SELECT doc_id AS position, text AS headline FROM {documents
 DOCUMENT_KEYWORDS = ("the", "with")
 
 
+# A history of match rates: every order priority is a pipeline, every month one of
+# its runs. Julys delivered nothing, and there was no run in any March.
+METRICS_HISTORY_SQL = """
+SELECT o_orderpriority AS pipeline, CAST(month AS VARCHAR(20)) AS run_id, MAX(CAST(o_orderdate AS TIMESTAMP)) AS finished_at,
+       CAST(SUM(CASE WHEN o_totalprice > 150000 AND month % 100 <> 7 THEN 1 ELSE 0 END) AS BIGINT) AS golden_rows,
+       CAST(SUM(CASE WHEN month % 100 <> 7 THEN 1 ELSE 0 END) AS BIGINT) AS s2_rows
+FROM (SELECT *, EXTRACT(YEAR FROM o_orderdate) * 100 + EXTRACT(MONTH FROM o_orderdate) AS month FROM {orders}) o
+WHERE month % 100 <> 3
+GROUP BY o_orderpriority, month
+"""
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -127,6 +139,10 @@ def document_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DOCUMENT_FEED_SQL, documents=load_table(spark, sf_dir, "documents"))
 
 
+def metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(METRICS_HISTORY_SQL, orders=load_table(spark, sf_dir, "orders"))
+
+
 def duckdb_view_sql() -> dict[str, str]:
     """The same views with plain table names, for a DuckDB ``WITH``."""
     views = {
@@ -135,6 +151,7 @@ def duckdb_view_sql() -> dict[str, str]:
         "corp_s2_earlier": CORP_S2_EARLIER_SQL,
         "feed": FEED_SQL,
         "document_feed": DOCUMENT_FEED_SQL,
+        "metrics_history": METRICS_HISTORY_SQL,
     }
-    names = {t: t for t in ("part", "lineitem", "customer", "documents", "corp_s2")}
+    names = {t: t for t in ("part", "lineitem", "customer", "documents", "orders", "corp_s2")}
     return {view: sql.format(**names).strip() for view, sql in views.items()}

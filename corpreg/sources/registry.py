@@ -11,8 +11,10 @@ a failed or partial write is never visible: readers resolve the newest
 committed snapshot. Rows are sorted by ``corporate_id`` inside each file so
 that id lookups can skip row groups by their min/max statistics.
 
-With a table format that supports ``MERGE INTO`` in the session catalog,
-:func:`merge_into_table` issues the equivalent SQL statement instead.
+:class:`CatalogRegistry` keeps the registry in the session catalog instead: a
+bucketed table for each version and a view that names the newest. With a table
+format that supports ``MERGE INTO``, :func:`merge_into_table` issues that
+statement.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from corpreg.schemas import REGISTRY, REGISTRY_DDL
-from corpreg.session import materialize, scratch_scope
+from corpreg.session import delete_paths, materialize, scratch_scope
 
 KEY = "corporate_id"
 COMMITS = StructType(
@@ -144,6 +146,88 @@ class SnapshotRegistry:
         )
 
 
+class CatalogRegistry:
+    """The registry as a catalog table in a plain file format.
+
+    ``table`` (``database.name``) is a view of the newest version, a table
+    clustered by id into ``buckets`` buckets. An upsert joins the newest version
+    with the batch in full, bucket by bucket: only the batch is shuffled, as its
+    target is read in buckets already, and every task writes one bucket of the
+    next version. Replacing the view commits it, so readers see the old or the
+    new registry, and what a failed upsert leaves is never read. The version
+    before the newest is kept for queries that still run; older ones are dropped.
+
+    Databases and tables are made if they are missing; ``location`` is their
+    folder (default: the warehouse). One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, buckets: int = 64, using: str = "parquet", location: str | None = None):
+        self.spark, self.table, self.buckets, self.using = spark, table, buckets, using
+        self.location = location and location.rstrip("/")
+        database, _, name = table.rpartition(".")
+        self._prefix = f"{database}." if database else ""
+        self._name = name
+        if database:
+            at = f" LOCATION '{self.location}'" if self.location else ""
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+        if not spark.catalog.tableExists(table):
+            self._commit(self._new_version(), None)
+
+    def _new_version(self) -> str:
+        version = f"{self._prefix}{self._name}_{uuid.uuid4().hex}"
+        at = f" LOCATION '{self.location}/{version.rpartition('.')[2]}'" if self.location else ""
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {version} ({REGISTRY_DDL}) USING {self.using} "
+            f"CLUSTERED BY ({KEY}) SORTED BY ({KEY}) INTO {self.buckets} BUCKETS{at}"
+        )
+        return version
+
+    def _commit(self, version: str, before: str | None) -> None:
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.table} TBLPROPERTIES ('version' = '{version}', 'before' = '{before or ''}') AS SELECT * FROM {version}"
+        )
+
+    def versions(self) -> tuple[str, str | None]:
+        """The tables of the newest version and of the one before."""
+        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.table}").collect()}
+        return found["version"], found["before"] or None
+
+    def current(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def merged(self, source: DataFrame) -> DataFrame:
+        """The registry after the upsert, in the partitions of its buckets."""
+        target = self.spark.table(self.versions()[0]).alias("t")
+        batch = source.select(*REGISTRY.fieldNames()).repartition(self.buckets, KEY).alias("s")
+        # a full outer join: it is never broadcast, and ids are unique on both sides, so no key is hot
+        met = target.join(batch, F.col(f"t.{KEY}") == F.col(f"s.{KEY}"), "full_outer")
+        new = F.col(f"s.{KEY}").isNotNull()
+        return met.select(*[F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in REGISTRY.fieldNames()])
+
+    def merge(self, source: DataFrame) -> str:
+        """Keyed upsert of ``source``; returns the table of the new version.
+        Raises :class:`DuplicateKeyError` for a source that repeats a key, and
+        ``ValueError`` for one with a null key."""
+        with scratch_scope(self.spark):
+            source = materialize(source.select(*REGISTRY.fieldNames()), "upsert")
+            assert_unique_keys(source)
+            if not source.where(F.col(KEY).isNull()).isEmpty():
+                raise ValueError(f"upsert source has a null {KEY}")
+            newest, before = self.versions()
+            version = self._new_version()
+            self.merged(source).createOrReplaceTempView("__corpreg_merged")
+            try:
+                self.spark.sql(f"INSERT OVERWRITE TABLE {version} SELECT * FROM __corpreg_merged")
+            finally:
+                self.spark.catalog.dropTempView("__corpreg_merged")
+            self._commit(version, newest)
+        if before:
+            self.spark.sql(f"DROP TABLE IF EXISTS {before}")
+            if self.location:  # dropping a table with a folder of its own leaves the files
+                delete_paths(self.spark, [f"{self.location}/{before.rpartition('.')[2]}"])
+        return version
+
+
 def ensure_registry_table(spark: SparkSession, table: str, using: str) -> None:
     """``CREATE DATABASE/TABLE IF NOT EXISTS`` for a catalog table."""
     parts = table.split(".")

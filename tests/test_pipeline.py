@@ -57,7 +57,7 @@ def test_scratch_scope_deletes_intermediates(spark, sf_small):
     with scratch_scope(spark) as paths:
         n = golden_records(fixtures.supply_chain(spark, sf_small), fixtures.financial(spark, sf_small)).count()
         local = [p.replace("file:", "") for p in paths]
-        assert n == 364 and len(local) == 3 and all(os.path.exists(p) for p in local)
+        assert n == 364 and len(local) == 4 and all(os.path.exists(p) for p in local)
     assert not any(os.path.exists(p) for p in local)
 
 
@@ -126,23 +126,110 @@ def test_cluster_conf_is_accepted(spark):
     assert CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
-def test_pipeline_with_catalog_table(spark, sf_small, monkeypatch):
+def test_pipeline_with_merge_into_table(spark, sf_small, monkeypatch):
     """The run makes the table, upserts the batch into it and goes on from it. The
     statement itself needs a format that this session lacks; here it appends."""
     import corpreg.plans.pipeline as pipeline
 
     calls = []
 
+    def ensure(spark, table, using):
+        calls.append(using)
+        ensure_registry_table(spark, table, "parquet")
+
     def upsert(spark, table, batch):
         calls.append(table)
         spark.table(table).limit(0).unionByName(batch).write.mode("append").insertInto(table)
 
+    from corpreg.sources.registry import ensure_registry_table
+
+    monkeypatch.setattr(pipeline, "ensure_registry_table", ensure)
     monkeypatch.setattr(pipeline, "merge_into_table", upsert)
     s1 = fixtures.with_names(fixtures.supply_chain(spark, sf_small))
     s2 = fixtures.with_names(fixtures.financial(spark, sf_small))
     spark.sql("DROP TABLE IF EXISTS companies_of_test")
-    res = run_pipeline(
-        spark, s1, s2, fixtures.headline_feed(spark), None, train=False, table="companies_of_test", table_format="parquet"
-    )
-    assert calls == ["companies_of_test"] and res.snapshot_id is None and res.reconciliation["meets_target"] is True
+    res = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), None, train=False, table="companies_of_test")
+    assert calls == ["delta", "companies_of_test"] and res.snapshot_id is None and res.reconciliation["meets_target"] is True
     spark.sql("DROP TABLE companies_of_test")
+
+
+def test_pipeline_with_bucketed_table_and_metrics_history(spark, sf_small, tmp_path):
+    s1 = fixtures.with_names(fixtures.supply_chain(spark, sf_small))
+    s2 = fixtures.with_names(fixtures.financial(spark, sf_small))
+    options = dict(train=False, table="corpreg_run_db.companies", table_format="parquet", metrics_path=str(tmp_path / "metrics"))
+    spark.sql(f"CREATE DATABASE corpreg_run_db LOCATION '{tmp_path}/db'")
+    first = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), None, **options)
+    again = run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), None, **options)
+    assert first.reconciliation["registry_distinct_ids"] == again.reconciliation["registry_distinct_ids"] == 364
+    # against the configured rate the first run drifts; the second is like the one before it
+    assert first.drift_history["drift_triggered"] and first.drift_history["runs_before"] == 0
+    assert not again.drift_history["drift_triggered"] and again.drift_history["runs_before"] == 1
+    assert again.drift["drift_triggered"]
+    spark.sql("DROP DATABASE corpreg_run_db CASCADE")
+
+
+def test_pipeline_scans_each_source_once(spark, sf_small):
+    """Rows that leave the sources are counted as they pass."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    seen = {}
+
+    def counted(df, column):
+        total = seen[column] = spark.sparkContext.accumulator(0)
+
+        @F.pandas_udf("string")
+        def passing(values: pd.Series) -> pd.Series:
+            total.add(len(values))
+            return values
+
+        return df.withColumn(column, passing.asNondeterministic()(column))
+
+    s1 = fixtures.with_names(fixtures.supply_chain(spark, sf_small))
+    s2 = fixtures.with_names(fixtures.financial(spark, sf_small))
+    n = s1.count(), s2.count()
+    root = scratch_path(spark, "once")
+    run_pipeline(spark, counted(s1, "corporate_name_S1"), counted(s2, "corporate_name_S2"), fixtures.headline_feed(spark), root, train=False)
+    assert (seen["corporate_name_S1"].value, seen["corporate_name_S2"].value) == n
+
+
+def test_failing_contract_stops_before_the_registry(spark, sf_small):
+    import pytest
+
+    from corpreg.operators.quality import CircuitBreakerError
+    from corpreg.sources.registry import SnapshotRegistry
+
+    root = scratch_path(spark, "stopped")
+    s1, s2 = fixtures.supply_chain(spark, sf_small), fixtures.financial(spark, sf_small)  # with null names
+    with pytest.raises(CircuitBreakerError, match="null_or_blank_name"):
+        run_pipeline(spark, s1, s2, fixtures.headline_feed(spark), root, train=False)
+    assert SnapshotRegistry(spark, root).snapshots().count() == 0
+
+
+def test_health_records_under_their_contract(spark, tmp_path):
+    import json
+
+    from corpreg.plans.health import health_records
+
+    tel = {"source_1_supply_chain_row_count": 1, "source_2_financial_row_count": 2, "fuzzy_match_rate_pct": 50.0, "entity_drift_triggered": False}
+    line = lambda status="HEALTHY", at="2024-05-01T10:00:00.000001Z", **t: json.dumps({"timestamp": at, "pipeline_health_status": status, "telemetry": json.dumps({**tel, **t})})
+    lines = {
+        "fine": line(model_version="v1", model_accuracy_auc=0.9),
+        "status": line(status="FINE"),
+        "type": line(source_1_supply_chain_row_count="many"),
+        "missing": line(fuzzy_match_rate_pct=None),
+        "no json": "{not json",
+        "telemetry": json.dumps({"timestamp": "2024-05-01T10:00:00.000001Z", "pipeline_health_status": "HEALTHY", "telemetry": "[1"}),
+        "format": line(at="2024-05-01 10:00:00"),
+        "no such day": line(at="2024-02-31T10:00:00.000001Z"),
+        "early": line(at="2024-04-30T23:59:59.999999Z"),
+        "late": line(at="2024-05-02T00:00:00.000001Z"),
+    }
+    got = {}
+    for name, text in lines.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part.json").write_text(text + "\n")
+        got[name] = health_records(spark, str(tmp_path / name), "2024-05-01T00:00:00", "2024-05-02T00:00:00").first()
+    assert {n for n, r in got.items() if not r["record_ok"]} == {"status", "type", "missing", "no json", "telemetry"}
+    assert {n for n, r in got.items() if not r["time_ok"]} == {"no json", "format", "no such day", "early", "late"}
+    assert got["fine"]["model_accuracy_auc"] == 0.9 and got["type"]["source_2_financial_row_count"] == 2

@@ -97,3 +97,50 @@ def test_require_source_contracts(spark):
     low = spark.createDataFrame([("a", None, 5.0, 1.0)], S2)
     with pytest.raises(quality.CircuitBreakerError, match="min_avg_revenue"):
         quality.require_source_contracts(low, "financial", "corporate_name_S2")
+
+
+def test_drift_history_edges(spark):
+    """First run, a run without rows, bands by the configured deviation and by the spread."""
+    import statistics
+    from datetime import datetime, timedelta
+
+    from corpreg.operators.quality import drift_history
+    from corpreg.params import Params
+
+    rates = [65, 85, 60, None, 62, 61, 30, 64, 63, 62, 61, 60, 90, 62]
+    start = datetime(2024, 1, 1)
+    rows = [("p", f"r{i:02d}", start + timedelta(days=i if i < 8 else i + 30), None if r is None else r * 10, 0 if r is None else 1000) for i, r in enumerate(rates)]
+    rows += [("other", "r0", start, 81, 100), ("other", "r1", start, None, 100)]
+    frame = spark.createDataFrame(rows, "pipeline string, run_id string, finished_at timestamp, golden_rows bigint, s2_rows bigint").repartition(3)
+    p = Params(history_runs=4, history_deviations=2.0)
+    got = {(r["pipeline"], r["run_id"]): r for r in drift_history(frame, p).collect()}
+    for i, r in enumerate(rates):
+        before = [x for x in rates[max(0, i - 4) : i] if x is not None]
+        base = statistics.fmean(before) if before else 65.0
+        width = max(15.0, 2 * statistics.pstdev(before) if before else 0.0)
+        own = got["p", f"r{i:02d}"]
+        assert own["runs_before"] == len(before) and own["match_rate_pct"] == (None if r is None else float(r))
+        assert abs(own["baseline_pct"] - base) < 1e-6 and abs(own["deviation_pct"] - width) < 1e-5
+        assert own["drift_triggered"] == (r is not None and abs(r - base) > width)
+    assert got["other", "r0"]["drift_triggered"] and got["other", "r0"]["baseline_pct"] == 65.0
+    assert got["other", "r1"]["match_rate_pct"] == 0.0 and got["other", "r1"]["baseline_pct"] == 81.0
+    assert drift_history(frame.where("false"), p).collect() == []
+
+
+def test_contracts_of_the_name_groups_equal_their_own_scan(spark, sf_small):
+    from corpreg.operators import golden, quality
+    from corpreg.params import S1_NAME, S2_NAME, Params
+    from corpreg.sources import fixtures
+
+    for source, name, rank, tag in (
+        (fixtures.supply_chain(spark, sf_small), S1_NAME, golden.S1_RANK, quality.SOURCE_1),
+        (fixtures.financial(spark, sf_small), S2_NAME, golden.S2_RANK, quality.SOURCE_2),
+        (fixtures.financial(spark, sf_small).where("false"), S2_NAME, golden.S2_RANK, quality.SOURCE_2),
+    ):
+        best, metrics = golden.checked_best_per_name(source, tag, name, rank, Params())
+        want = quality.contract_metrics(source, tag, name, validate_columns=True)
+        a, b = quality.verdicts(metrics).collect(), quality.verdicts(want).collect()
+        assert a == b
+        assert metrics.select("row_count", "non_null_cells").first() == want.select("row_count", "non_null_cells").first()
+        plain = golden.best_per_name(source, name, rank, Params())
+        assert sorted(best.collect(), key=repr) == sorted(plain.collect(), key=repr)

@@ -87,3 +87,72 @@ def test_merge_after_a_crashed_commit(spark):
     _rows(spark, [("x", "X", 9.0)]).write.parquet(f"{root}/snapshots/2")  # a driver was lost before its commit row
     assert reg.merge(_rows(spark, [("b", "B", 2.0)])) == 2
     assert sorted(r["corporate_id"] for r in reg.current().collect()) == ["a", "b"]
+
+
+def _catalog(spark, buckets=4):
+    import uuid
+
+    from corpreg.sources.registry import CatalogRegistry
+
+    return CatalogRegistry(spark, f"corpreg_{uuid.uuid4().hex}.companies", buckets=buckets, location=scratch_path(spark, "warehouse"))
+
+
+def test_catalog_registry_upserts(spark):
+    reg = _catalog(spark)
+    assert reg.current().count() == 0 and reg.current().columns == list(REGISTRY.fieldNames())
+    reg.merge(_rows(spark, [("a", "A", 1.0), ("b", "B", 2.0)]))
+    reg.merge(_rows(spark, [("b", None, 20.0), ("c", "C", 3.0)]))
+    first = {r["corporate_id"]: (r["corporate_name"], r["revenue"]) for r in reg.current().collect()}
+    assert first == {"a": ("A", 1.0), "b": (None, 20.0), "c": ("C", 3.0)}  # a null replaces a value, too
+    reg.merge(_rows(spark, []))
+    assert {r["corporate_id"]: (r["corporate_name"], r["revenue"]) for r in reg.current().collect()} == first
+    database = reg.table.split(".")[0]
+    tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    assert len(tables) == 3  # the view, the newest version and the one before
+    with pytest.raises(DuplicateKeyError):
+        reg.merge(_rows(spark, [("a", "A", 1.0), ("a", "A2", 2.0)]))
+    with pytest.raises(ValueError):
+        reg.merge(_rows(spark, [(None, "A", 1.0)]))
+    assert {r["corporate_id"]: (r["corporate_name"], r["revenue"]) for r in reg.current().collect()} == first
+    again = type(reg)(spark, reg.table, buckets=4)  # an existing registry is opened, not made anew
+    assert again.versions() == reg.versions()
+
+
+def test_catalog_upsert_equals_merge_frames(spark):
+    import random
+
+    rng, reg = random.Random(6), _catalog(spark, buckets=8)
+    kept = None
+    for n in range(3):
+        batch = _rows(spark, [(f"id{i}", f"{n}-{i}", float(i)) for i in rng.sample(range(200), 80)])
+        kept = batch if kept is None else spark.createDataFrame(merge_frames(kept, batch).collect(), REGISTRY)
+        reg.merge(batch)
+    assert sorted(reg.current().collect(), key=repr) == sorted(kept.collect(), key=repr)
+
+
+@pytest.mark.parametrize("buckets", [4, 64])
+def test_catalog_upsert_shuffles_the_batch_only(spark, buckets):
+    """The target is read in its buckets: the only exchange is the batch's."""
+    reg = _catalog(spark, buckets)
+    reg.merge(_rows(spark, [(f"id{i}", "x", 1.0) for i in range(50)]))
+    plan = reg.merged(_rows(spark, [("id1", "y", 2.0)]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan
+    assert "Bucketed: true" in plan and "Broadcast" not in plan
+    reg.merge(_rows(spark, [("id1", "y", 2.0)]))
+    folder = reg.spark.sql(f"DESCRIBE FORMATTED {reg.versions()[0]}").where("col_name = 'Location'").first()["data_type"]
+    import os
+
+    files = [f for f in os.listdir(folder.replace("file:", "")) if f.endswith(".parquet")]
+    assert len(files) <= buckets  # one file a bucket at most
+
+
+def test_failed_catalog_upsert_is_not_seen(spark):
+    from pyspark.sql import functions as F
+
+    reg = _catalog(spark)
+    reg.merge(_rows(spark, [("a", "A", 1.0)]))
+    before = reg.versions()
+    broken = _rows(spark, [("b", "B", 1.0)]).withColumn("address", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        reg.merge(broken)
+    assert reg.versions() == before and [r["corporate_id"] for r in reg.current().collect()] == ["a"]

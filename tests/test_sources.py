@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from corpreg.params import S1_NAME
 from corpreg.sources import csv_sources
 
 
@@ -98,3 +99,47 @@ def test_role_folders(spark, sf_small, tmp_path):
     c1, c2 = csv_sources.read_role_folders(spark, str(tmp_path / "s1"), str(tmp_path / "s2"))
     assert c1.count() == s1.count() and c2.count() == s2.count()
     assert c1.columns == s1.columns and c2.columns == s2.columns
+
+
+def test_headers_of_all_kinds(spark, tmp_path):
+    root = str(tmp_path)
+    files = {
+        "plain.csv": S1_HEADER + "Acme,,,\n",
+        "deep/er/quoted.csv": '"corporate_name_S2","main ""big"" customers, all",revenue,profit\r\nA,b,1.0,2.0\r\n',
+        "bom é+%20 1.csv": "\ufeff" + S1_HEADER + "Beta,,,\n",
+        "blank_lines.csv": "\n  \n" + S2_HEADER + "C,d,1.0,1.0\n",
+        "both.csv": "corporate_name_S2,corporate_name_S1\nx,y\n",
+        "no_newline.csv": "corporate_name_S2",
+        "empty.csv": "",
+        "only_blank.csv": "\n\n",
+        "inside.csv": "a,not_corporate_name_S1,corporate_name_S1x\n",
+        "data_names.csv": "x,y\ncorporate_name_S1,corporate_name_S2\n",
+        "ignored.txt": S1_HEADER,
+    }
+    for name, text in files.items():
+        _write(f"{root}/{name}", text)
+    got = {os.path.relpath(r["path"].removeprefix("file:"), root): list(r["columns"]) for r in csv_sources.headers(spark, root).collect()}
+    assert got["plain.csv"] == S1_HEADER.strip().split(",") == got["bom é+%20 1.csv"]
+    assert got["deep/er/quoted.csv"] == ["corporate_name_S2", 'main "big" customers, all', "revenue", "profit"]
+    assert not {"empty.csv", "only_blank.csv", "ignored.txt"} & got.keys()
+    routed = csv_sources.route_sources(spark, root)
+    names = {role: sorted(os.path.basename(p) for p in files) for role, files in routed.items()}
+    assert names == {"supply_chain": ["bom é+%20 1.csv", "both.csv", "plain.csv"], "financial": ["blank_lines.csv", "no_newline.csv", "quoted.csv"]}
+    assert csv_sources.sniff_header(spark, f"{root}/plain.csv")[0] == S1_NAME and csv_sources.sniff_header(spark, f"{root}/empty.csv") == []
+    assert csv_sources.route_sources(spark, []) == {"supply_chain": [], "financial": []}
+    read = csv_sources.read_source(spark, [p for p in routed["supply_chain"] if "both" not in p], csv_sources.SUPPLY_CHAIN)
+    assert sorted(r[0] for r in read.collect()) == ["Acme", "Beta"]
+
+
+def test_a_thousand_landing_files_are_routed_by_one_job(spark, tmp_path):
+    for i in range(1000):
+        _write(f"{tmp_path}/{i % 10}/{i}.csv", (S1_HEADER if i % 3 else S2_HEADER) + f"name {i},,,\n")
+    sc = spark.sparkContext
+    sc.setJobGroup("routing", "routing")
+    try:
+        routed = csv_sources.route_sources(spark, str(tmp_path))
+        jobs = sc.statusTracker().getJobIdsForGroup("routing")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(routed["supply_chain"]) == 666 and len(routed["financial"]) == 334
+    assert len(jobs) <= 2  # the map stage and the result under adaptive execution; none for a file
