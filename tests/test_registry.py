@@ -107,7 +107,7 @@ def test_catalog_registry_upserts(spark):
     reg.merge(_rows(spark, []))
     assert {r["corporate_id"]: (r["corporate_name"], r["revenue"]) for r in reg.current().collect()} == first
     database = reg.table.split(".")[0]
-    tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    tables = [r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").collect() if not r["isTemporary"]]
     assert len(tables) == 3  # the view, the newest version and the one before
     with pytest.raises(DuplicateKeyError):
         reg.merge(_rows(spark, [("a", "A", 1.0), ("a", "A2", 2.0)]))
