@@ -308,7 +308,7 @@ def prefix_length(words: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray
 
 
 def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, label, words, gram): the rarest labelled grams of each of ``bodies`` (id, label, text),
+    """(id, label, size, words, gram): the rarest labelled grams of each of ``bodies`` (id, label, size, text),
     as many as :func:`prefix_length` says: two texts within the threshold share
     one of them. Rarity is the number of texts by hash cell (a bounded table),
     which only serves to keep the groups small: any order is complete."""
@@ -340,11 +340,11 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 sizes = np.bincount(owner, minlength=len(group))
                 rank = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 own = order[rank < np.repeat(prefix_length(counts, threshold), sizes)]
-                ids, classes_ = (np.array([r[k] for r in group], np.int64) for k in (0, 1))
-                columns = [ids[owner[own]], classes_[owner[own]], counts[owner[own]].astype(np.int32), labels[own].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "label", "words", "gram"])
+                ids, classes_, sizes_ = (np.array([r[k] for r in group], np.int64) for k in (0, 1, 2))
+                columns = [ids[owner[own]], classes_[owner[own]], sizes_[owner[own]], counts[owner[own]].astype(np.int32), labels[own].view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "label", "size", "words", "gram"])
 
-    return bodies.select("id", "label", "text").mapInArrow(work, "id long, label long, words int, gram long")
+    return bodies.select("id", "label", "size", "text").mapInArrow(work, "id long, label long, size long, words int, gram long")
 
 
 def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -355,10 +355,12 @@ def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, thresho
     # labels of two classes (chance below 1 in 10 million up to a million classes) would hide theirs
     ids = marks.select("key", F.xxhash64("key").alias("id"))
     tagged = labels.select("key", F.xxhash64("key").alias("id"), F.xxhash64("label").alias("label"))
-    size = tagged.groupBy("label").agg(F.count("*").alias("size"))
-    grams = materialize(prefix_grams(bodies.join(tagged, "key"), threshold), "grams")
-    mixed = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
-    grams = materialize(grams.join(mixed, "gram").join(size, "label"), "grams")
+    # small tables are written first: the planner then sees their sizes, and need not shuffle the texts or the grams to meet them
+    tagged = materialize(tagged.join(tagged.groupBy("label").agg(F.count("*").alias("size")), "label"), "tagged")
+    with scratch_scope(bodies.sparkSession):
+        grams = materialize(prefix_grams(bodies.join(tagged, "key"), threshold), "grams")
+        mixed = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
+        grams = materialize(grams.join(materialize(mixed, "mixed-grams"), "gram"), "grams", scoped=False)
     one = grams.select("gram", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("words").alias("a_words"), F.col("size").alias("a_size"))
     two = grams.select("gram", F.col("id").alias("b"), F.col("label").alias("b_label"), F.col("words").alias("b_words"), F.col("size").alias("b_size"))
     near = F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold)
@@ -442,7 +444,7 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
         if rest.isEmpty():
             break
     labels = components(links)
-    tagged = wanted.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label"))
+    tagged = materialize(wanted.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "tagged")
     mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("bucket")
     left = materialize(all_members.join(mixed, "bucket").select("key").distinct(), "left")
     if not left.isEmpty():

@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ from .textutil import _BASE, _POW, _POW_INV, _TABLE, SEGMENT, mix, set_batch_row
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM  # a window's anchor starts at most so many bytes after the window
 HOT = 20_000
-ANCHORS_PER_BUCKET, CONTEXT_BYTES = 3_000_000, 8 << 20
+ANCHORS_PER_BUCKET, CONTEXT_BYTES = 1_500_000, 8 << 20
 LAST = (1 << 63) - 1  # stands for a null doc_id
 _SEPARATOR = 255  # occurs in no UTF-8 text
 _DEPTH = 7  # words of 8 bytes that direct sorting compares
@@ -150,9 +151,9 @@ def adjacent_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.minimum(out, len(data) - np.maximum(order[:-1], order[1:])) if len(out) else out
 
 
-def earlier_windows(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
-    """For each context the starts of its ``length``-byte windows that also
-    occur in a context of a smaller doc."""
+def earlier_runs(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, start, stop) of the bytes covered by ``length``-byte windows
+    that also occur in a context of a smaller doc, runs of adjacent windows joined."""
     sizes = np.array([len(c) for c in contexts])
     data = np.frombuffer(b"".join(c + b"\xff" for c in contexts), np.uint8)
     begin = np.cumsum(sizes + 1) - sizes - 1
@@ -163,12 +164,24 @@ def earlier_windows(contexts: list[bytes], docs: np.ndarray, length: int = LENGT
     group = np.concatenate([[0], np.cumsum(cut)])
     place, group = order[real], group[real]
     if not len(place):
-        return [np.zeros(0, np.int64) for _ in contexts]
+        return (np.zeros(0, np.int64),) * 3
     own = docs[owner[place]]
     starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
     least = np.repeat(np.minimum.reduceat(own, starts), np.diff(np.append(starts, len(group))))
-    gone = np.sort(place[own > least])
-    return [part - b for part, b in zip(np.split(gone, np.searchsorted(gone, begin[1:])), begin, strict=True)]
+    gone = np.sort(place[own > least])  # windows of two contexts are never adjacent: each ends with a separator
+    first = np.flatnonzero(np.diff(gone, prepend=-2) > 1)
+    last = np.append(first[1:], len(gone)) - 1 if len(gone) else first
+    of = owner[gone[first]]
+    return of, gone[first] - begin[of], gone[last] - begin[of] + length
+
+
+def earlier_windows(contexts: list[bytes], docs: np.ndarray, length: int = LENGTH) -> list[np.ndarray]:
+    """For each context the starts of its ``length``-byte windows that also
+    occur in a context of a smaller doc."""
+    out: list[list[np.ndarray]] = [[] for _ in contexts]
+    for of, a, b in zip(*earlier_runs(contexts, docs, length), strict=True):
+        out[of].append(np.arange(a, b - length + 1))
+    return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
 
 # --- anchors ------------------------------------------------------------------
@@ -235,7 +248,7 @@ def shared_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                 if len(text) >= LENGTH and key not in held:
                     held[key] = np.unique(anchors(text)[1])
                     size += len(text)
-                if size > 24 << 20:
+                if size > 16 << 20:
                     yield sent(held)
                     held, size = {}, 0
         if held:
@@ -337,42 +350,83 @@ def contexts(texts: DataFrame, groups: int, often: np.ndarray) -> DataFrame:
     return texts.select("key", "doc", "text", "found").mapInArrow(pick, "group int, anchor long, context binary, key binary, doc long, start long")
 
 
+_FULL = 2 * LENGTH - GRAM  # bytes of a context that no end of the text cuts short
+_WEIGHTS = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, _FULL, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _meets_another(anchor: np.ndarray, contexts: pa.Array) -> np.ndarray:
+    """Which rows may hold a window that another row holds, too; ``anchor`` is sorted.
+
+    The anchor of a window is at the same place of it wherever the window
+    occurs, so of the window's other ``REACH`` bytes two rows share half on the
+    left of the anchor, or half on its right. A row whose left half and right
+    half no other row of its anchor has is left out. In contexts that an end of
+    the text cuts short the place of the anchor is unknown: they, and all rows
+    of their anchors, stay."""
+    sizes = pc.binary_length(contexts).to_numpy(zero_copy_only=False)
+    full = sizes == _FULL
+    starts = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+    times = np.diff(np.append(starts, len(anchor)))
+    keep = np.repeat(~np.logical_and.reduceat(full, starts), times)
+    own = np.flatnonzero(~keep)
+    if not len(own):
+        return keep
+    raw = b"".join(contexts.take(pa.array(own)).to_pylist())
+    data = np.frombuffer(raw, np.uint8).reshape(-1, _FULL)
+    half = -(-REACH // 2)
+    for a, b in ((REACH - half, REACH), (REACH + GRAM, REACH + GRAM + half)):
+        side = anchor[own].astype(np.uint64) * np.uint64(_BASE)
+        for column in range(a, b):
+            side = (side + data[:, column]) * _WEIGHTS[column]
+            side ^= side >> np.uint64(29)
+        order = np.argsort(side, kind="stable")
+        same = side[order][1:] == side[order][:-1]
+        keep[own[order[1:][same]]] = True
+        keep[own[order[:-1][same]]] = True
+    return keep
+
+
 def judged(rows: DataFrame) -> DataFrame:
     """(key, start, stop) byte spans to remove, from the rows of :func:`contexts`."""
 
     def judge(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        keys, start = part["key"].to_pylist(), part["start"].to_numpy()
-        anchor = part["anchor"].to_numpy()
+        part = part.combine_chunks()
         if key[0].as_py() < 0:
-            return pa.table({"key": pa.array(keys, pa.binary()), "start": pa.array(start), "stop": pa.array(start + anchor)})
-        doc, found = part["doc"].to_numpy(), part["context"].to_pylist()
-        spans: list[tuple] = []
-        order = np.argsort(anchor, kind="stable")
-        batch: dict[bytes, list[int]] = {}
-        size, last = 0, None
-        for i in [*order.tolist(), None]:
-            if batch and (i is None or (size > 1 << 20 and anchor[i] != last)):
-                spans += _spans(batch, doc, keys, start)
-                batch, size = {}, 0
-            if i is not None:
-                if found[i] not in batch:
-                    size += len(found[i])
-                batch.setdefault(found[i], []).append(i)
-                last = anchor[i]
-        return pa.table({"key": pa.array([s[0] for s in spans], pa.binary()), "start": pa.array([s[1] for s in spans], pa.int64()), "stop": pa.array([s[2] for s in spans], pa.int64())})
+            stop = pc.add(part["start"], part["anchor"])
+            return pa.table({"key": part["key"], "start": part["start"], "stop": stop})
+        part = part.take(pa.array(np.argsort(part["anchor"].to_numpy(), kind="stable")))
+        near = _meets_another(part["anchor"].to_numpy(), part["context"].combine_chunks())
+        part = part.filter(pa.array(near))
+        anchor, start, doc = (part[c].to_numpy() for c in ("anchor", "start", "doc"))
+        sizes = np.cumsum(pc.binary_length(part["context"]).to_numpy())
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        at = 0
+        while at < len(anchor):  # all rows of some anchors, of about a megabyte
+            end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (1 << 20)))
+            end = int(np.searchsorted(anchor, anchor[min(end, len(anchor) - 1)], "right"))
+            out += [(own + at, a, b) for own, a, b in _spans(part["context"].slice(at, end - at), doc[at:end])]
+            at = end
+        own, a, b = (np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(3))
+        return pa.table({"key": part["key"].take(pa.array(own, pa.int64())), "start": pa.array(start[own] + a, pa.int64()), "stop": pa.array(start[own] + b, pa.int64())})
 
     return rows.groupBy("group").applyInArrow(judge, "key binary, start long, stop long")
 
 
-def _spans(batch: dict[bytes, list[int]], doc: np.ndarray, keys: list[bytes], start: np.ndarray) -> Iterator[tuple]:
-    least = np.array([min(doc[i] for i in own) for own in batch.values()], np.int64)
-    gone = earlier_windows(list(batch), least)
-    for (context, own), first, windows in zip(batch.items(), least.tolist(), gone, strict=True):
-        cuts = np.flatnonzero(np.diff(windows) > 1) + 1
-        runs = [(int(r[0]), int(r[-1]) + LENGTH) for r in np.split(windows, cuts)] if len(windows) else []
-        for i in own:
-            for a, b in [(0, len(context))] if doc[i] > first else runs:
-                yield keys[i], int(start[i]) + a, int(start[i]) + b
+def _spans(contexts: pa.ChunkedArray, doc: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, start, stop) of what goes from some rows' contexts."""
+    coded = contexts.combine_chunks().dictionary_encode()
+    code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+    least = np.full(len(distinct), LAST, np.int64)
+    np.minimum.at(least, code, doc)
+    later = np.flatnonzero(doc > least[code])  # an equal context is in a smaller document
+    whole = np.array([len(c) for c in distinct], np.int64)[code[later]]
+    of, a, b = earlier_runs(distinct, least)
+    # the rows of the smallest document lose the runs of their context
+    first = np.flatnonzero(doc == least[code])
+    begin, end = np.searchsorted(of, code[first], "left"), np.searchsorted(of, code[first], "right")
+    many = end - begin
+    run = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begin, many)
+    return [(later, np.zeros(len(later), np.int64), whole), (np.repeat(first, many), a[run], b[run])]
 
 
 def removals(docs: DataFrame) -> DataFrame:
