@@ -200,7 +200,9 @@ def q_registry_table_merge(spark, d):
     reg = CatalogRegistry(spark, f"corpreg_{name}.companies", buckets=16, location=root)
     reg.merge(_tagged_first_batch(spark, d))
     reg.merge(_tagged(spark, d))
-    return _reads(reg.current(), root)
+    found = _reads(reg.current(), root)
+    spark.sql(f"DROP DATABASE corpreg_{name} CASCADE")  # the files stay, as they lie outside its folder
+    return found
 
 
 def q_registry_count(spark, d):

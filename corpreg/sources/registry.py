@@ -157,8 +157,8 @@ class CatalogRegistry:
     new registry, and what a failed upsert leaves is never read. The version
     before the newest is kept for queries that still run; older ones are dropped.
 
-    Databases and tables are made if they are missing; ``location`` is their
-    folder (default: the warehouse). One writer at a time.
+    Databases and tables are made if they are missing; ``location`` is the folder
+    of the tables (default: the database's). One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, table: str, buckets: int = 64, using: str = "parquet", location: str | None = None):
@@ -168,8 +168,7 @@ class CatalogRegistry:
         self._prefix = f"{database}." if database else ""
         self._name = name
         if database:
-            at = f" LOCATION '{self.location}'" if self.location else ""
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         if not spark.catalog.tableExists(table):
             self._commit(self._new_version(), None)
 
