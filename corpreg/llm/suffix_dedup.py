@@ -47,7 +47,7 @@ from .textutil import _BASE, _POW, _POW_INV, _TABLE, SEGMENT, mix, set_batch_row
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM  # a window's anchor starts at most so many bytes after the window
 HOT = 20_000
-ANCHORS_PER_BUCKET, CONTEXT_BYTES = 1_500_000, 8 << 20
+ANCHORS_PER_BUCKET, LEAST_BUCKETS, CONTEXT_BYTES = 1_500_000, 32, 8 << 20
 LAST = (1 << 63) - 1  # stands for a null doc_id
 _SEPARATOR = 255  # occurs in no UTF-8 text
 _DEPTH = 7  # words of 8 bytes that direct sorting compares
@@ -437,7 +437,7 @@ def removals(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     total = 2 * size // (REACH + 2)
-    shared = materialize(shared_anchors(rows, max(1, -(-total // ANCHORS_PER_BUCKET)), max(HOT, total // 1_000_000)), "anchors")
+    shared = materialize(shared_anchors(rows, max(LEAST_BUCKETS, -(-total // ANCHORS_PER_BUCKET)), max(HOT, total // 1_000_000)), "anchors")
     often = np.frombuffer(b"".join(bytes(r[0]) for r in shared.where("id is null and octet_length(found) > 0").select("found").collect()), np.uint64)
     named = rows.select(text_key(F.col("text")).alias("key"), "doc")
     texts = named.groupBy("key").agg(F.min("doc").alias("least"), (F.min("doc") != F.max("doc")).alias("copied"))
