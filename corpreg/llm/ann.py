@@ -10,7 +10,12 @@ the ``BEAM`` nearest there; all queries of a block go through a graph side by
 side. Each shard's results are measured exactly, in double precision, and the
 results of all shards are merged.
 
-Queries meet shards in blocks, through an equi-join on the shard number.
+Queries meet shards in blocks, through an equi-join on the shard number. A
+graph may fall into parts that no link joins (tight clusters): a search starts
+in the nearest parts, too, by one vector of each.
+
+Vectors are scaled by powers of two first, so that very large and very small
+ones neither overflow nor vanish.
 
 Edge cases: vectors that are null, empty, zero or hold a null or non-finite
 component take no part, nor do rows with a null id; vectors of different
@@ -33,6 +38,24 @@ from ..session import materialize
 SHARD, LINKS, CANDIDATES, BEAM, BLOCK = 2_000, 16, 64, 96, 512
 
 
+def one_of_each_part(near: np.ndarray) -> np.ndarray:
+    """The first member of every connected part of a graph of neighbour lists."""
+    label, rows = np.arange(len(near)), np.arange(len(near))[:, None]
+    while True:
+        lower = np.minimum(label, np.where(near >= 0, label[near], rows).min(1, initial=len(near))) if near.size else label
+        np.minimum.at(lower, near[near >= 0], np.broadcast_to(lower[:, None], near.shape)[near >= 0])
+        lower = lower[lower]
+        if (lower == label).all():
+            return np.unique(label)
+        label = lower
+
+
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows divided by powers of two that bring their largest components near 1:
+    cosines stay the same to the last bit, and no square over- or underflows."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 class Graph:
     """The graph of one shard: ``vectors`` are unit rows; ``levels`` holds for
     each level its members and their neighbours (members' positions, -1 for none)."""
@@ -45,6 +68,7 @@ class Graph:
         for level in range(int(height.max(initial=0)) + 1):
             members = np.flatnonzero(height >= level)
             self.levels.append((members, self._linked(members, 2 * links if level == 0 else links, candidates)))
+        self.entries = one_of_each_part(self.levels[0][1])
 
     def _linked(self, members: np.ndarray, links: int, candidates: int) -> np.ndarray:
         n, own = len(members), self.vectors[members]
@@ -112,6 +136,17 @@ class Graph:
         scores, open_ = np.full((many, beam), -np.inf), np.zeros((many, beam), bool)
         ids[:, 0], open_[:, 0] = entry, True
         scores[:, 0] = np.einsum("qd,qd->q", queries, self.vectors[entry])
+        # the links may leave parts of the graph apart from each other: start in the nearest ones, too
+        others = queries @ self.vectors[self.entries].T
+        others[self.entries[None] == entry[:, None]] = -np.inf
+        first = np.argsort(-others, axis=1, kind="stable")[:, : beam - 1]
+        ids[:, 1 : first.shape[1] + 1] = self.entries[first]
+        scores[:, 1 : first.shape[1] + 1] = np.take_along_axis(others, first, 1)
+        doubled = np.isneginf(scores) & (ids >= 0)
+        ids[doubled] = -1
+        open_[:, 1:] = ids[:, 1:] >= 0
+        at_row, at_column = np.nonzero(open_)
+        seen[at_row, ids[at_row, at_column]] = True
         active = rows
         while len(active):
             j = np.where(open_[active], scores[active], -np.inf).argmax(1)  # the nearest not yet expanded
@@ -158,9 +193,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHAR
 
     def build(key: tuple[int, ...], part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("first")
-        raw = np.stack(part["embedding"].to_numpy()).astype(np.float64)
+        raw = scaled(np.stack(part["embedding"].to_numpy()).astype(np.float64))
         graph = Graph((raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32))
-        levels = [x for members, near in graph.levels for x in (members.astype(np.int32).tobytes(), near.tobytes())]
+        levels = [x for members, near in graph.levels for x in (members.astype(np.int32).tobytes(), near.tobytes())] + [graph.entries.astype(np.int32).tobytes()]
         ids = np.full((len(part), keep), -1, np.int64)
         for i, own in enumerate(part["ids"]):
             ids[i, : len(own)] = own
@@ -191,10 +226,11 @@ def _looked_up(row: dict, keep: int, beam: int) -> pa.RecordBatch:
     norms = np.sqrt((raw * raw).sum(1))
     graph = Graph.__new__(Graph)
     graph.vectors, graph.levels = (raw / norms[:, None]).astype(np.float32), []
-    for members, near in zip(row["levels"][::2], row["levels"][1::2], strict=True):
+    for members, near in zip(row["levels"][:-1:2], row["levels"][1:-1:2], strict=True):
         members = np.frombuffer(members, np.int32)
         graph.levels.append((members, np.frombuffer(near, np.int32).reshape(len(members), -1)))
-    asked = np.array([q["v"] for q in row["queries"]], np.float64)
+    graph.entries = np.frombuffer(row["levels"][-1], np.int32)
+    asked = scaled(np.array([q["v"] for q in row["queries"]], np.float64))
     asked_norms = np.sqrt((asked * asked).sum(1))
     hits = graph.search((asked / asked_norms[:, None]).astype(np.float32), beam)[:, : 4 * keep]
     query, at = np.nonzero(hits >= 0)

@@ -3,7 +3,8 @@
 For every benchmark item, windows of as many words as the item are taken from
 every document, at every start at which the window shares a five-word shingle
 with the item (a window that shares none has similarity 0). A window's SimHash
-is the sign, bit by bit, of the sum of its shingles' hashes; a multi-index over
+is the sign, bit by bit, of the sum of its shingles' hashes, in which each further
+occurrence of a shingle counts as a shingle of its own; a multi-index over
 blocks of the fingerprint names the items within ``RADIUS`` bits: of
 ``BLOCKS`` blocks at least one differs in at most ``RADIUS // BLOCKS`` bits, so
 no item within the radius is missed. These candidates are verified by exact
@@ -31,11 +32,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textutil import bounded, set_batch_rows, shingle_hashes, word_hashes
+from .textutil import bounded, mix, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, THRESHOLD = 5, 0.8
 BITS, RADIUS, BLOCKS = 64, 20, 7
 ITEMS_PER_PASS = 4_000
+STARTS_AT_ONCE = 32_768  # windows of a long text whose sums are held at a time
 MATCH = "array<struct<item:long,start:long,words:long,similarity:double>>"
 
 
@@ -50,6 +52,38 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def _numbered(shingles: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Hashes of (shingle, occurrence number)."""
+    return mix(shingles + number.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def window_sums(shingles: np.ndarray, size: int) -> np.ndarray:
+    """Summed signs of every window of ``size`` shingles, the occurrences of a
+    shingle within a window counting as different shingles: a window differs from
+    the one before it by the last occurrence of the shingle that it leaves and by
+    one more of the shingle that it takes in."""
+    n = len(shingles)
+    code = np.unique(shingles, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    keys = code[order] * (n + 1) + order  # (code, place), sorted
+
+    def among(of: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many shingles with these codes lie in places a to b."""
+        return np.searchsorted(keys, of * (n + 1) + b) - np.searchsorted(keys, of * (n + 1) + a)
+
+    at = np.arange(n)
+    first = bit_signs(_numbered(shingles[:size], among(code[:size], np.zeros(size, np.int64), at[:size]))).sum(0)
+    out = np.empty((n - size + 1, BITS), np.int32)
+    out[0] = first
+    if n > size:
+        a = at[: n - size]
+        left = among(code[a], a, a + size) - 1
+        taken = among(code[a + size], a + 1, a + size)
+        out[1:] = bit_signs(_numbered(shingles[a + size], taken)) - bit_signs(_numbered(shingles[a], left))
+        np.cumsum(out, axis=0, out=out)
+    return out
+
+
 def blocks_of(prints: np.ndarray) -> list[np.ndarray]:
     """The values of the fingerprint's blocks."""
     edges = np.linspace(0, BITS, BLOCKS + 1).astype(int)
@@ -79,6 +113,14 @@ class MultiIndex:
         return query[close], item[close]
 
 
+    def near_in_parts(self, prints: np.ndarray, cells: int = 1 << 24) -> Iterator[tuple[int, int]]:
+        """The pairs of :meth:`near`, a bounded number of comparisons at a time."""
+        step = max(1, cells // max(len(self.prints), 1))
+        for at in range(0, len(prints), step):
+            query, item = self.near(prints[at : at + step])
+            yield from zip((query + at).tolist(), item.tolist(), strict=True)
+
+
 @dataclass
 class Item:
     key: int
@@ -109,7 +151,7 @@ class Benchmark:
         self.by_size: dict[int, tuple[np.ndarray, MultiIndex]] = {}
         for n in sorted({i.words for i in self.items}):
             own = np.array([j for j, item in enumerate(self.items) if item.words == n])
-            prints = np.concatenate([fingerprints(bit_signs(self.items[j].shingles).sum(0, keepdims=True)) for j in own])
+            prints = np.concatenate([fingerprints(window_sums(self.items[j].shingles, len(self.items[j].shingles))) for j in own])
             self.by_size[n] = (own, MultiIndex(prints))
 
     def matches(self, texts: list[str], threshold: float = THRESHOLD) -> list[list[tuple]]:
@@ -145,13 +187,11 @@ class Benchmark:
             return []
         items, index = self.by_size[n]
         best: dict[int, tuple] = {}
-        for run in np.split(starts, np.flatnonzero(np.diff(starts) > size) + 1):  # separate stretches of the text
+        cuts = np.flatnonzero(np.diff(starts) > size) + 1  # separate stretches of the text
+        for run in np.split(starts, np.union1d(cuts, np.arange(STARTS_AT_ONCE, len(starts), STARTS_AT_ONCE))):
             a, b = first + int(run[0]), first + int(run[-1]) + size - k + 1
-            sums = np.zeros((b - a + 1, BITS), np.int32)
-            np.cumsum(bit_signs(shingles[a:b]), axis=0, out=sums[1:])
-            at = run + first - a
-            query, near = index.near(fingerprints(sums[at + size - k + 1] - sums[at]))
-            for q, i in zip(query.tolist(), near.tolist(), strict=True):
+            prints = fingerprints(window_sums(shingles[a:b], size - k + 1)[run + first - a])
+            for q, i in index.near_in_parts(prints):
                 item, start = self.items[items[i]], int(run[q])
                 similarity = weighted_similarity(item.counts, _counts(shingles[first + start : first + start + size - k + 1]))
                 known = best.get(items[i])

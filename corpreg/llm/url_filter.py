@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-MAX_LIST_BYTES = 512 << 20
+MAX_LIST_BYTES = 32 << 20
+_TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def host_column(url):
@@ -48,7 +49,7 @@ def write_digest_file(rules: list[tuple[str, str, str]], path: str) -> None:
     for host, prefix, verdict in rules:
         if not host or verdict not in ("allow", "block"):
             raise ValueError(f"a rule needs a host and a verdict of allow or block: {(host, prefix, verdict)}")
-        key = (host.lower(), prefix or "")
+        key = (host.translate(_TO_LOWER), prefix or "")
         held[key] = min(verdict, held.get(key, verdict))
     entries = sorted((xxhash.xxh64_intdigest(_key(*k)), _key(*k) + b"\0" + v.encode()) for k, v in held.items())
     lengths = sorted({len(p) for _, p in held})
@@ -117,19 +118,31 @@ class DigestFile:
 _OPEN: dict[str, DigestFile] = {}
 
 
+def _checked(rules: DataFrame) -> DataFrame:
+    """``rules``, if each has a host and a verdict of allow or block."""
+    fine = (F.coalesce("host", F.lit("")) != "") & F.coalesce(F.col("verdict").isin("allow", "block"), F.lit(False))
+    wrong = rules.where(~fine).select("host", "path", "verdict").first()
+    if wrong is not None:
+        raise ValueError(f"a rule needs a host and a verdict of allow or block: {tuple(wrong)}")
+    return rules
+
+
 def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", max_list_bytes: int = MAX_LIST_BYTES) -> DataFrame:
     """``pages`` with host, path, rule and verdict; ``rules``: host, path, verdict.
 
     The rule list is read by the driver and shipped to every executor, so its
     size is measured first. A list over ``max_list_bytes`` is not shipped:
     the keys of the urls then meet the rules in a shuffled equi-join with the
-    same result (:func:`filter_urls_joined`)."""
-    spark = pages.sparkSession
+    same result (:func:`filter_urls_joined`). Hosts of rules are lower-cased in
+    A-Z, like those of urls; a rule without a host, or with another verdict than
+    allow or block, raises ``ValueError`` either way."""
+    spark, rules = pages.sparkSession, _checked(rules)
     size = rules.agg(F.sum(F.octet_length("host") + F.coalesce(F.octet_length("path"), F.lit(0)) + 30)).first()[0] or 0
     if size > max_list_bytes:
         return filter_urls_joined(pages, rules, url, default)
     path = os.path.join(tempfile.mkdtemp(prefix="rules-"), name := f"rules-{uuid.uuid4().hex}.digests")
-    write_digest_file([(r.host, r.path, r.verdict) for r in rules.collect()], path)
+    listed = rules.select("host", "path", "verdict").toArrow()  # of the size measured above
+    write_digest_file(list(zip(*(c.to_pylist() for c in listed.columns), strict=True)), path)
     spark.sparkContext.addFile(path)
 
     @F.pandas_udf("struct<rule:string,verdict:string>")
@@ -149,7 +162,7 @@ def filter_urls_joined(pages: DataFrame, rules: DataFrame, url: str = "url", def
     """The same judgement for lists too large to ship: the distinct (host,
     path) of the urls are expanded to candidate keys and joined with the rules.
     Needs the distinct path lengths only, of which there are few."""
-    rules = rules.select(F.lower("host").alias("__h"), F.coalesce("path", F.lit("")).alias("__p"), F.col("verdict").alias("__v"))
+    rules = _checked(rules).select(F.translate("host", UPPER, LOWER).alias("__h"), F.coalesce("path", F.lit("")).alias("__p"), F.col("verdict").alias("__v"))
     rules = rules.groupBy("__h", "__p").agg(F.min("__v").alias("__v"))
     lengths = F.array_distinct(F.array(*[F.lit(r[0]) for r in rules.select(F.length("__p")).distinct().collect()]).cast("array<int>"))
     placed = pages.withColumns({"host": host_column(F.col(url)), "path": path_column(F.col(url))})
