@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from corpreg.operators.quality import CircuitBreakerError
-from corpreg.params import DEFAULT_FEED, Params, params_from_config
+from corpreg.params import Params, params_from_config
 from corpreg.plans.pipeline import run_pipeline
 from corpreg.sources.csv_sources import MissingSourceError, read_role_folders, read_sources
 
@@ -31,10 +31,11 @@ def main(argv: list[str] | None = None) -> int:
                      help="one folder per source role; no per-file header reads")
     where = ap.add_mutually_exclusive_group(required=True)
     where.add_argument("--registry", help="registry root folder")
-    where.add_argument("--table", help="registry as a catalog table whose format supports MERGE INTO")
-    ap.add_argument("--table-format", default="delta", help="format of a table that is missing yet")
+    where.add_argument("--table", help="registry as a catalog table")
+    ap.add_argument("--table-format", default="delta", help="its format: parquet or orc (bucketed versions) or one that supports MERGE INTO")
+    ap.add_argument("--metrics", help="folder of the metrics history: drift against earlier runs, too")
     ap.add_argument("--config", help="thresholds JSON file")
-    ap.add_argument("--feed", help="text file with one headline per line (default: built-in feed)")
+    ap.add_argument("--feed", required=True, help="text file or folder with one headline per line")
     ap.add_argument("--policy", default="union", choices=["union", "last"], help="several files of one role")
     ap.add_argument("--model", help="folder for the fitted model")
     ap.add_argument("--runs", help="training runs table folder")
@@ -44,17 +45,15 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("corpreg").getOrCreate()
     params = params_from_config(args.config) if args.config else Params()
-    if args.feed:
-        # the first matching headline wins, so positions must follow the order
-        # of files, then of blocks, then of lines, whatever order splits are read in
-        feed = (
-            spark.read.text(args.feed)
-            .select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
-            .where(F.trim("value") != "")
-            .select(F.struct("file_path", "file_block_start", "line").alias("position"), F.col("value").alias("headline"))
-        )
-    else:
-        feed = spark.createDataFrame(list(enumerate(DEFAULT_FEED, 1)), "position int, headline string")
+    # the first matching headline wins, so positions must follow the order
+    # of files, then of blocks, then of lines, whatever order splits are read in
+    lines = (
+        spark.read.text(args.feed)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+        .where(F.trim("value") != "")
+        .select(F.struct("file_path", "file_block_start", "line").alias("at"), F.col("value").alias("headline"))
+    )
+    feed = lines.repartitionByRange("at").sortWithinPartitions("at").select(F.monotonically_increasing_id().alias("position"), "headline")
     try:
         if args.landing:
             s1, s2 = read_sources(spark, args.landing, policy=args.policy)
@@ -63,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
         result = run_pipeline(
             spark, s1, s2, feed, args.registry, params,
             train=not args.no_train, model_path=args.model, runs_path=args.runs, health_path=args.health,
-            table=args.table, table_format=args.table_format,
+            table=args.table, table_format=args.table_format, metrics_path=args.metrics,
         )
     except (MissingSourceError, CircuitBreakerError) as e:
         print(f"pipeline stopped: {e}", file=sys.stderr)

@@ -104,8 +104,8 @@ def token_risk(
 ) -> DataFrame:
     """(token, adverse_media_news) for every token that hits a risky headline.
 
-    ``tokens`` has one column ``token`` of distinct, non-empty tokens. Headlines
-    without a position are never the first. ``joined`` collects, by a
+    ``tokens`` has one column ``token`` of distinct, non-empty tokens; positions
+    are numbers. Headlines without a position are never the first. ``joined`` collects, by a
     count of its own, the (token, headline) candidates of every range.
     """
     tokens = materialize(tokens, "tokens")

@@ -28,11 +28,6 @@ DEFAULT_MODEL_VERSION = "v1.0.0"
 RISK_KEYWORDS = ("fine", "breach", "fraud")
 RISK_PREFIX = "Flagged Local Risk Scan: "
 RISK_NONE = "None Identified"
-DEFAULT_FEED = (
-    "BREAKING: Regulatory fines suspected for Techcorp over data protection breaches.",
-    "Global Logistics LLC experiences record-breaking growth this quarter.",
-    "Investigation opened into financial fraud and accounting regularities at Finserve Inc.",
-)
 S1_NAME = "corporate_name_S1"
 S2_NAME = "corporate_name_S2"
 S1_COLUMNS = ("corporate_name_S1", "address", "activity_places", "top_suppliers")
@@ -48,6 +43,7 @@ REGISTRY_COLUMNS = (
     "profit",
     "adverse_media_news",
 )
+NUMERIC_COLUMNS = ("revenue", "profit")
 # ---------------------------------------------------------------------------
 
 

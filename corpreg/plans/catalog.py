@@ -21,6 +21,7 @@ from corpreg.sources import csv_sources, fixtures
 from corpreg.sources.registry import CatalogRegistry, SnapshotRegistry, merge_frames
 
 P = Params()
+BATCH_VIEW = "incoming_batch_records"
 # fitted by a method that anyone can repeat
 IRLS = replace(P, fit="irls")
 REGISTRY_ORDER = REGISTRY_COLUMNS
@@ -154,6 +155,19 @@ def q_risk_screen(spark, d):
     return risk.risk_screen(_golden(spark, d), fixtures.headline_feed(spark), P)
 
 
+def q_batch_view(spark, d):
+    """What a SQL user reads from the view of the batch: companies, revenue and
+    suppliers by risk tag."""
+    _tagged(spark, d).createOrReplaceTempView(BATCH_VIEW)
+    try:
+        return spark.sql(
+            f"SELECT adverse_media_news, count(*) AS companies, count(revenue) AS with_revenue, "
+            f"CAST(sum(CAST(revenue AS DECIMAL(18, 2))) AS DOUBLE) AS revenue, count(top_suppliers) AS with_suppliers FROM {BATCH_VIEW} GROUP BY adverse_media_news"
+        )
+    finally:
+        spark.catalog.dropTempView(BATCH_VIEW)
+
+
 def q_risk_screen_documents(spark, d):
     """The risk tag from a feed that grows with the data: every document."""
     keywords = replace(P, risk_keywords=fixtures.DOCUMENT_KEYWORDS)
@@ -369,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_rate": q_match_rate,
     "drift_check": q_drift_check,
     "risk_screen": q_risk_screen,
+    "batch_view": q_batch_view,
     "risk_screen_documents": q_risk_screen_documents,
     "registry_merge": q_registry_merge,
     "registry_scan": q_registry_scan,

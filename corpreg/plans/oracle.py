@@ -217,6 +217,10 @@ def oracle_sql() -> dict[str, str]:
                UNION ALL SELECT 2, CASE WHEN EXISTS (SELECT 1 FROM tagged_a JOIN tagged USING (corporate_id))
                                         THEN 'overwrite' ELSE 'append' END"""
         ),
+        "batch_view": _q(
+            "SELECT adverse_media_news, count(*) AS companies, count(revenue) AS with_revenue, "
+            "CAST(sum(CAST(revenue AS DECIMAL(18, 2))) AS DOUBLE) AS revenue, count(top_suppliers) AS with_suppliers FROM tagged GROUP BY adverse_media_news"
+        ),
         "registry_table_merge": _q(f"SELECT {reg_cols} FROM registry"),
         "profit_model": _q(
             _irls() + "SELECT round(intercept, 6) AS intercept, round(coef_revenue, 12) AS coef_revenue, "

@@ -2,36 +2,13 @@
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-SUPPLY_CHAIN = StructType(
-    [
-        StructField("corporate_name_S1", StringType(), True),
-        StructField("address", StringType(), True),
-        StructField("activity_places", StringType(), True),
-        StructField("top_suppliers", StringType(), True),
-    ]
-)
+from corpreg.params import NUMERIC_COLUMNS, REGISTRY_COLUMNS, S1_COLUMNS, S2_COLUMNS
 
-FINANCIAL = StructType(
-    [
-        StructField("corporate_name_S2", StringType(), True),
-        StructField("main_customers", StringType(), True),
-        StructField("revenue", DoubleType(), True),
-        StructField("profit", DoubleType(), True),
-    ]
-)
 
-REGISTRY = StructType(
-    [
-        StructField("corporate_id", StringType(), True),
-        StructField("corporate_name", StringType(), True),
-        StructField("address", StringType(), True),
-        StructField("activity_places", StringType(), True),
-        StructField("top_suppliers", StringType(), True),
-        StructField("main_customers", StringType(), True),
-        StructField("revenue", DoubleType(), True),
-        StructField("profit", DoubleType(), True),
-        StructField("adverse_media_news", StringType(), True),
-    ]
-)
+def _schema(columns: tuple[str, ...]) -> StructType:
+    return StructType([StructField(c, DoubleType() if c in NUMERIC_COLUMNS else StringType(), True) for c in columns])
+
+
+SUPPLY_CHAIN, FINANCIAL, REGISTRY = map(_schema, (S1_COLUMNS, S2_COLUMNS, REGISTRY_COLUMNS))
 
 REGISTRY_DDL = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in REGISTRY.fields)

@@ -96,7 +96,7 @@ def test_cli_runs_from_landing_folder(spark, sf_small, tmp_path):
     empty = tmp_path / "empty"
     empty.mkdir()
     (empty / "x.csv").write_text("corporate_name_S1,address,activity_places,top_suppliers\nA,,,\n")
-    assert main(["--landing", str(empty), "--registry", scratch_path(spark, "cli")]) == 1
+    assert main(["--landing", str(empty), "--registry", scratch_path(spark, "cli"), "--feed", str(feed)]) == 1
 
 
 def test_scratch_scopes_are_per_thread(spark):

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from corpreg.operators.risk import headline_grams, rarest_grams, risk_screen, token_risk
-from corpreg.params import DEFAULT_FEED, RISK_NONE, RISK_PREFIX, Params
+from corpreg.params import RISK_NONE, RISK_PREFIX, Params
 from corpreg.plans.catalog import QUERIES
 
 
@@ -30,8 +30,9 @@ def _check(spark, names, headlines, params=Params()):
     assert got == want
 
 
-def test_default_feed_examples(spark):
-    _check(spark, ["Techcorp Inc.", "Finserve LLC", "Global Logistics LLC", "Nobody", "   ", ""], list(DEFAULT_FEED))
+def test_examples(spark):
+    heads = ["Regulator suspects fines for Norwind", "Harbor Lines LLC grows fast", "Fraud inquiry at Quillbank Inc.", "Norwind breach"]
+    _check(spark, ["Norwind Inc.", "Quillbank LLC", "Harbor Lines LLC", "Nobody", "   ", ""], heads)
 
 
 def test_random_equivalence_with_python_rule(spark):
