@@ -19,8 +19,9 @@ not yet in one class share a gram there and are aligned, accepted or rejected
 before. So two similar texts that share a sketch are always in one class, the
 connected components of accepted links.
 
-Before texts are fetched for an alignment, pairs go whose lengths or whose
-counts of hashed words alone prove more edits than the threshold allows.
+Before texts are fetched for an alignment, pairs go whose lengths, or whose
+samples of labelled k-mers, show that they cannot be within the threshold (see
+:func:`may_be_similar`).
 
 Equal texts are one text throughout (their links are those of one of them), and
 a bucket is reduced by aggregation and an equi-join, so a group of copies is
@@ -55,7 +56,7 @@ WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
 GRAM = 2  # words of a gram of the prefix filter
 CELLS = 1 << 20
-MARKS = 256
+SAMPLE, SURE = 128, 5.5
 _TOP = np.uint64((1 << 64) - 1)
 _ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -221,23 +222,36 @@ def allowed_edits(words, threshold: float = THRESHOLD):
     return F.floor((1 - threshold) * words + 1e-9)
 
 
-def word_marks(hashes: np.ndarray, begin: np.ndarray) -> list[bytes]:
-    """How often the words of each text fall into ``MARKS`` classes, up to 15, two counts a byte."""
-    n = len(begin) - 1
-    owner = np.repeat(np.arange(n), np.diff(begin))
-    counts = np.bincount(owner * MARKS + (hashes & np.uint64(MARKS - 1)).astype(np.int64), minlength=n * MARKS)
-    counts = np.minimum(counts, 15).astype(np.uint8).reshape(n, MARKS)
-    return [row.tobytes() for row in counts[:, ::2] | counts[:, 1::2] << 4]
-
-
-def marks_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """At least so many edits lie between the texts of these marks, row by row:
-    an edit takes at most one word from a class and adds one to another."""
-    out = np.zeros((2, len(a)), np.int64)
-    for x, y in ((a & 15, b & 15), (a >> 4, b >> 4)):
-        d = x.astype(np.int16) - y
-        out += [np.maximum(d, 0).sum(1), np.maximum(-d, 0).sum(1)]
-    return out.max(0)
+def gram_samples(texts: list[str]) -> list[bytes]:
+    """Of each text the ``SAMPLE`` smallest 32-bit hashes of its labelled grams, in order."""
+    labels, owner, _ = _grams(texts)
+    small = (labels >> np.uint64(32)).astype(np.uint32)
+    parts = np.split(small, np.searchsorted(owner, np.arange(1, len(texts)))) if texts else []
+    return [np.unique(np.partition(x, SAMPLE - 1)[:SAMPLE] if len(x) > SAMPLE else x).tobytes() for x in parts]
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, a_words: int, b_words: int, threshold: float = THRESHOLD) -> bool:
+    """Whether texts with these samples can be within the threshold. So many
+    edits as it allows leave a known number of labelled grams common, hence a
+    least overlap of the gram sets. Of two whole sets it is counted; otherwise
+    the grams below both samples' ends are a random sample of the union, and
+    an overlap ``SURE`` standard deviations below the least one rules the pair out
+    (wrongly with a chance below 1 in 10 million)."""
+    longer = max(a_words, b_words)
+    wanted = longer - GRAM + 1 - GRAM * int((1 - threshold) * longer + 1e-9)
+    a_grams, b_grams = max(a_words - GRAM + 1, 1), max(b_words - GRAM + 1, 1)
+    if wanted <= 0:
+        return True
+    if wanted > min(a_grams, b_grams):
+        return False
+    ends = [x[-1] for x, n in ((a, a_grams), (b, b_grams)) if n > SAMPLE]
+    if ends:
+        a, b = (x[: np.searchsorted(x, min(ends), "right")] for x in (a, b))
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    if not ends:  # grams of one text whose short hashes are equal count once
+        return shared + (a_grams - len(a)) + (b_grams - len(b)) >= wanted
+    n, least = len(a) + len(b) - shared, wanted / (a_grams + b_grams - wanted)
+    return shared + 1 >= n * least - SURE * np.sqrt(n * least * (1 - least))
 
 
 def text_key(text):
@@ -246,9 +260,9 @@ def text_key(text):
 
 
 def sketched(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, key, words, sketches and marks of every row; key is null without words."""
+    """doc_id, key, words, sketches and sample of every row; key is null without words."""
     set_batch_rows(docs.sparkSession)
-    names = ["doc_id", "key", "words", "sketches", "marks"]
+    names = ["doc_id", "key", "words", "sketches", "sample"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,40 +272,41 @@ def sketched(docs: DataFrame, **options) -> DataFrame:
                 at = [texts.setdefault(t or "", len(texts)) for _, t in group]
                 values, counts = sketch(list(texts), **options)
                 values = [v.view(np.int64) for v in values]
-                marks = word_marks(*word_hashes(list(texts)))
+                samples = gram_samples(list(texts))
                 keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() if n else None for t, n in zip(texts, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in group], pa.int64()), pa.array([keys[i] for i in at], pa.binary()),
                     pa.array(counts[at], pa.int64()), pa.array([values[i] for i in at], pa.list_(pa.int64())),
-                    pa.array([marks[i] for i in at], pa.binary()),
+                    pa.array([samples[i] for i in at], pa.binary()),
                 ], names=names)
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, key binary, words long, sketches array<long>, marks binary")
+    return rows.mapInArrow(work, "doc_id long, key binary, words long, sketches array<long>, sample binary")
 
 
-def plausible(pairs: DataFrame, marks: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) whose lengths and marks leave the threshold possible;
-    ``marks``: key, words, marks of every text."""
-    left, right = (marks.select(F.col("key").alias(k), F.col("words").alias(f"{k}_words"), F.col("marks").alias(f"{k}_marks")) for k in "ab")
-    longer = F.greatest("a_words", "b_words")
-    joined = pairs.join(left, "a").join(right, "b").where(F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(longer, threshold))
+def plausible(pairs: DataFrame, samples: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) whose lengths and samples leave the threshold possible;
+    ``samples``: key, words, sample of every text."""
+    left, right = (samples.select(F.col("key").alias(k), F.col("words").alias(f"{k}_words"), F.col("sample").alias(f"{k}_sample")) for k in "ab")
+    joined = pairs.join(left, "a").join(right, "b").where(F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, MARKS // 2) for k in (2, 3))
-            near = pa.array(marks_apart(one, two) <= batch.column(4).to_numpy())
+            rows = zip(*(batch.column(c).to_pylist() for c in ("a_sample", "b_sample", "a_words", "b_words")), strict=True)
+            near = pa.array([may_be_similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), n, m, threshold) for x, y, n, m in rows], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(near), batch.column(1).filter(near)], names=["a", "b"])
 
-    return joined.select("a", "b", "a_marks", "b_marks", allowed_edits(longer, threshold).alias("allowed")).mapInArrow(work, "a binary, b binary")
+    return joined.select("a", "b", "a_sample", "b_sample", "a_words", "b_words").mapInArrow(work, "a binary, b binary")
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Labelled grams of all texts (a text of one word is its own gram), their texts, and the words of each text."""
     hashes, begin = word_hashes(texts)
     counts = np.diff(begin)
+    if not len(hashes):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), counts
     whole = shingle_hashes(hashes, GRAM)
-    parts = [whole[a : b - GRAM + 1] if b - a >= GRAM else shingle_hashes(hashes[a:b], int(b - a)) for a, b in zip(begin[:-1], begin[1:], strict=True)]
+    parts = [whole[a : b - GRAM + 1] if b - a >= GRAM else shingle_hashes(hashes[a:b], max(int(b - a), 1)) for a, b in zip(begin[:-1], begin[1:], strict=True)]
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
     return labelled(np.concatenate(parts), owner), owner, counts
 
@@ -347,13 +362,13 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return bodies.select("id", "label", "size", "text").mapInArrow(work, "id long, label long, size long, words int, gram long")
 
 
-def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def pairs_across(bodies: DataFrame, samples: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All pairs (a, b) of ``bodies`` (key, text) with different ``labels`` (key,
-    label) that the prefix filter, lengths and marks leave possible. A group of
+    label) that the prefix filter, lengths and samples leave possible. A group of
     one label is met as a whole, so it is not expanded into its own pairs."""
     # 64 bits stand for a key and a label in the join: equal ids of two texts add a candidate, equal
     # labels of two classes (chance below 1 in 10 million up to a million classes) would hide theirs
-    ids = marks.select("key", F.xxhash64("key").alias("id"))
+    ids = samples.select("key", F.xxhash64("key").alias("id"))
     tagged = labels.select("key", F.xxhash64("key").alias("id"), F.xxhash64("label").alias("label"))
     # small tables are written first: the planner then sees their sizes, and need not shuffle the texts or the grams to meet them
     tagged = materialize(tagged.join(tagged.groupBy("label").agg(F.count("*").alias("size")), "label"), "tagged")
@@ -368,10 +383,10 @@ def pairs_across(bodies: DataFrame, marks: DataFrame, labels: DataFrame, thresho
     one, two = one.where("a_size > 1"), two.where("b_size > 1")
     meets = two.select("gram", "b_label").distinct()
     groups = one.join(meets, "gram").where("a_label < b_label").join(two, ["gram", "b_label"]).where(near).select("a", "b")
-    pairs = alone.unionByName(groups).distinct()
+    pairs = materialize(alone.unionByName(groups).distinct(), "pairs")
     left, right = (ids.select(F.col("id").alias(f"{k}_id"), F.col("key").alias(k)) for k in "ab")
     pairs = pairs.withColumnsRenamed({"a": "a_id", "b": "b_id"}).join(left, "a_id").join(right, "b_id").select("a", "b")
-    return plausible(pairs, marks, threshold)
+    return materialize(plausible(pairs, samples, threshold), "pairs")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -422,7 +437,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS,
 def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds: int) -> DataFrame:
     # a null doc_id comes after all others
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
-    texts = rows.where("key is not null").groupBy("key").agg(F.first("sketches").alias("sketches"), F.first("words").alias("words"), F.first("marks").alias("marks"), first.alias("first"), F.count("*").alias("copies"))
+    texts = rows.where("key is not null").groupBy("key").agg(F.first("sketches").alias("sketches"), F.first("words").alias("words"), F.first("sample").alias("sample"), first.alias("first"), F.count("*").alias("copies"))
     texts = materialize(texts, "texts")
     members = texts.select("key", F.explode("sketches").alias("bucket"))
     leaders = members.groupBy("bucket").agg(F.min("key").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -431,10 +446,11 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
     bodies = docs.select(text_key(F.col("text").cast("string")).alias("key"), F.col("text").cast("string").alias("text"))
     bodies = bodies.join(wanted.hint("shuffle_hash"), "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
     bodies = materialize(bodies, "bodies")
-    all_members, marks, links = rest.select("bucket", "key"), texts.select("key", "words", "marks"), None
+    all_members, samples, links = rest.select("bucket", "key"), texts.select("key", "words", "sample"), None
     for k in range(rounds):
         pairs = rest.where("key <> leader").select(F.col("leader").alias("a"), F.col("key").alias("b")).distinct()
-        good = materialize(verified(plausible(pairs, marks, threshold), bodies, threshold).where("same").select("a", "b"), "links")
+        pairs = materialize(plausible(pairs, samples, threshold), "pairs")
+        good = materialize(verified(pairs, bodies, threshold).where("same").select("a", "b"), "links")
         links = good if links is None else links.unionByName(good)
         if k + 1 == rounds:
             break
@@ -448,7 +464,7 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
     mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("bucket")
     left = materialize(all_members.join(mixed, "bucket").select("key").distinct(), "left")
     if not left.isEmpty():
-        pairs = pairs_across(bodies.join(left, "key", "left_semi"), marks, tagged, threshold)
+        pairs = pairs_across(bodies.join(left, "key", "left_semi"), samples, tagged, threshold)
         more = materialize(verified(pairs, bodies, threshold).where("same").select("a", "b"), "links")
         if not more.isEmpty():
             # classes by their labels: only the classes that the new links touch change

@@ -128,7 +128,7 @@ def test_recall_at_the_threshold(spark):
     assert len(set(got.values())) >= len(texts) // 2
 
 
-def test_prefix_filter_and_marks_lose_no_similar_pair(spark):
+def test_prefix_filter_and_samples_lose_no_similar_pair(spark):
     rng = random.Random(13)
     texts = []
     for n in [1, 2, 3, 4, 5, 6, 9, 10, 11, 14, 15, 20, 33, 60] * 6:
@@ -142,7 +142,7 @@ def test_prefix_filter_and_marks_lose_no_similar_pair(spark):
     keys = [hashlib.md5(t.encode()).digest() for t in texts]
     hashes, begin = word_hashes(texts)
     bodies = spark.createDataFrame(list(zip(keys, texts, strict=True)), "key binary, text string")
-    marks = spark.createDataFrame(list(zip(keys, np.diff(begin).tolist(), near_dup.word_marks(hashes, begin), strict=True)), "key binary, words long, marks binary")
+    marks = spark.createDataFrame(list(zip(keys, np.diff(begin).tolist(), near_dup.gram_samples(texts), strict=True)), "key binary, words long, sample binary")
     found = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in near_dup.pairs_across(bodies, marks, bodies.select("key", F.col("key").alias("label"))).collect()}
     for i in range(len(texts)):
         for j in range(i):
@@ -150,6 +150,24 @@ def test_prefix_filter_and_marks_lose_no_similar_pair(spark):
                 assert frozenset((keys[i], keys[j])) in found
 
 
+def test_samples_rule_out_unlike_long_texts_only():
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(400)]
+    for n in (130, 300, 1000, 5000):
+        texts = []
+        for k in range(30):
+            one = [rng.choice(vocabulary) for _ in range(n)]
+            two = list(one)
+            for at in rng.sample(range(n), int(0.2 * n)) if k % 2 else range(0, n // 5):  # as many edits as are allowed, spread or in one place
+                two[at] = f"x{rng.randrange(10**6)}"
+            texts += [" ".join(one), " ".join(two)]
+        samples = [np.frombuffer(x, np.uint32) for x in near_dup.gram_samples(texts)]
+        assert all(near_dup.may_be_similar(samples[i], samples[i + 1], n, n) for i in range(0, 60, 2))
+        unlike = [near_dup.may_be_similar(samples[i], samples[j], n, n) for i in range(0, 60, 2) for j in range(i + 2, 60, 2)]
+        assert np.mean(unlike) < 0.01
+    assert near_dup.gram_samples([]) == [] and near_dup.gram_samples(["", "one"])[0] == b""
+
+
 def test_keep_one_keeps_a_row_of_each_class_and_all_columns(spark):
     rng = random.Random(5)
     a, b = prose(rng, 50), prose(rng, 50)
