@@ -54,11 +54,12 @@ from .textutil import bounded, mix, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
-GRAM = 2  # words of a gram of the prefix filter
-CELLS = 1 << 20
+GRAM = 2  # words of a gram of the samples and of the prefix filter
+CELLS, CELL_PARTS = 1 << 20, 16
 SAMPLE, SURE = 128, 5.5
 _TOP = np.uint64((1 << 64) - 1)
-_ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LAST = np.uint32((1 << 32) - 1)
+_ODD = np.random.Generator(np.random.PCG64(97)).integers(0, 1 << 31, 256, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def labelled(shingles: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -75,8 +76,9 @@ def labelled(shingles: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return mix(shingles + count * np.uint64(0xD1B54A32D192ED03))
 
 
-def sketch(texts: list[str], words: int = WORDS, sketches: int = SKETCHES, picks: int = PICKS, short: int = SHORT) -> tuple[list[np.ndarray], np.ndarray]:
-    """The distinct sketches of each text, and the number of words of each text."""
+def sketch(texts: list[str], words: int = WORDS, sketches: int = SKETCHES, picks: int = PICKS, short: int = SHORT, samples: list[bytes] | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct sketches of each text, and the number of words of each text.
+    ``samples`` takes the :func:`gram_samples` of the texts, if the k-mers are grams."""
     hashes, begin = word_hashes(texts)
     counts = np.diff(begin)
     parts, sizes = [], np.maximum(np.where(counts >= words, counts - words + 1, np.minimum(counts, 1)), 0)
@@ -89,10 +91,16 @@ def sketch(texts: list[str], words: int = WORDS, sketches: int = SKETCHES, picks
     out = np.zeros((len(texts), sketches), np.uint64)
     owners = np.flatnonzero(sizes)
     if not len(owners):
+        if samples is not None:
+            samples += [b""] * len(texts)
         return [out[i, :0] for i in range(len(texts))], counts
     shingles, size = np.concatenate(parts), sizes[owners]
     start = np.cumsum(size) - size
-    labels = labelled(shingles, np.repeat(np.arange(len(owners)), size))
+    labels = (labelled(shingles, np.repeat(np.arange(len(owners)), size)) >> np.uint64(32)).astype(np.uint32)
+    if samples is not None:
+        samples += [b""] * len(texts)
+        for i, a, n in zip(owners.tolist(), start.tolist(), size.tolist(), strict=True):
+            samples[i] = _sample(labels[a : a + n])
     for j in range(sketches):
         ranks = labels * _ODD[j]
         chosen = np.zeros((picks, len(owners)), np.int64)
@@ -102,7 +110,7 @@ def sketch(texts: list[str], words: int = WORDS, sketches: int = SKETCHES, picks
             of = np.searchsorted(start, hits, "right") - 1
             first = np.concatenate([[True], of[1:] != of[:-1]])  # one for each text
             chosen[k] = hits[first]
-            ranks[chosen[k]] = _TOP
+            ranks[chosen[k]] = _LAST
             if k:  # a text with fewer k-mers repeats its first
                 chosen[k] = np.where(size > k, chosen[k], chosen[0])
         value = np.zeros(len(owners), np.uint64)  # an order's picks may meet any others
@@ -154,16 +162,18 @@ def similar_pairs(pairs: list[tuple[np.ndarray, np.ndarray]], threshold: float =
         # words that have no partner must be edited
         values, index = np.unique(np.concatenate([a, b]), return_inverse=True)
         one, two = np.bincount(index[: len(a)], minlength=len(values)), np.bincount(index[len(a) :], minlength=len(values))
-        if len(b) - int(np.minimum(one, two).sum()) <= allowed:
-            open_.append((k, a, b, allowed))
+        least = len(b) - int(np.minimum(one, two).sum())
+        if least <= allowed:
+            open_.append((k, a, b, allowed, least))
     edits = 8
     while open_:
-        left = []
-        for (k, a, b, allowed), d in zip(open_, banded_distances([(a, b) for _, a, b, _ in open_], edits), strict=True):
+        # a band narrower than the edits that are sure is of no use
+        now, left = [p for p in open_ if p[4] <= edits], [p for p in open_ if p[4] > edits]
+        for (k, a, b, allowed, least), d in zip(now, banded_distances([(p[1], p[2]) for p in now], min(edits, max((p[3] for p in now), default=0))), strict=True):
             if d <= min(edits, allowed):
                 out[k] = True
             elif edits < allowed:
-                left.append((k, a, b, allowed))
+                left.append((k, a, b, allowed, least))
         open_, edits = left, 4 * edits
     return out
 
@@ -178,11 +188,22 @@ def banded_distance(a: np.ndarray, b: np.ndarray, edits: int) -> int:
 
 def banded_distances(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int, cells: int = 2_000_000) -> np.ndarray:
     """Edit distances of pairs (shorter, longer) as far as they are at most
-    ``edits``, else something above it: row by row over the diagonals from
-    -edits to edits, for pairs of like length side by side."""
+    ``edits``, else something above it. With lengths n apart, so many edits reach
+    (edits + n) / 2 diagonals above the main one and (edits - n) / 2 below it at most."""
     out = np.full(len(pairs), edits + 1, np.int64)
-    order = sorted((k for k, (a, b) in enumerate(pairs) if len(b) - len(a) <= edits), key=lambda k: -len(pairs[k][0]))
-    width, far, at = 2 * edits + 1, np.int32(2 * edits + 2), 0
+    apart = np.array([len(b) - len(a) for a, b in pairs], np.int64)
+    for least, most in ((0, edits // 4), (edits // 4 + 1, edits)):
+        own = np.flatnonzero((apart >= least) & (apart <= most))
+        if len(own):
+            out[own] = _banded([pairs[k] for k in own], edits, (edits - least) // 2, (edits + most) // 2, cells)
+    return out
+
+
+def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int, below: int, above: int, cells: int) -> np.ndarray:
+    """Row by row over the diagonals from -below to above, for pairs of like length side by side."""
+    out = np.full(len(pairs), edits + 1, np.int64)
+    order = sorted(range(len(pairs)), key=lambda k: -len(pairs[k][0]))
+    width, far, at = below + above + 1, np.int32(2 * edits + 2), 0
     step = np.arange(width, dtype=np.int32)
     while at < len(order):
         longest = max(len(pairs[order[at]][1]), 1)
@@ -193,23 +214,23 @@ def banded_distances(pairs: list[tuple[np.ndarray, np.ndarray]], edits: int, cel
         one, two = np.full((len(own), int(sizes[0])), _TOP, np.uint64), np.full((len(own), reach + 2 * width), _TOP - np.uint64(1), np.uint64)
         for i, k in enumerate(own):  # b[j] is at j + width
             one[i, : sizes[i]], two[i, width : width + len(pairs[k][1])] = pairs[k]
-        row = np.where(step >= edits, step - np.int32(edits), far) + np.zeros((len(own), 1), np.int32)
+        row = np.where(step >= below, step - np.int32(below), far) + np.zeros((len(own), 1), np.int32)
         deleted = np.full(row.shape, far, np.int32)
         result = np.where(sizes == 0, [len(pairs[k][1]) for k in own], 0)
-        final = np.array([len(pairs[k][1]) - len(pairs[k][0]) for k in own]) + edits
+        final = np.array([len(pairs[k][1]) - len(pairs[k][0]) for k in own]) + below
         alive = len(own)
         for i in range(1, int(sizes[0]) + 1):
             while sizes[alive - 1] < i:
                 alive -= 1
             row = row[:alive]
-            first = i - 1 - edits + width
+            first = i - 1 - below + width
             best = row + (two[:alive, first : first + width] != one[:alive, i - 1 : i])
             deleted = deleted[:alive]
             deleted[:, :-1] = row[:, 1:]
             deleted[:, -1] = far
             np.minimum(best, deleted + 1, out=best)
-            if i <= edits:  # cells left of the first column, and the column of no words
-                best[:, : edits - i], best[:, edits - i] = far, i
+            if i <= below:  # cells left of the first column, and the column of no words
+                best[:, : below - i], best[:, below - i] = far, i
             row = np.minimum(np.minimum.accumulate(best - step, axis=1) + step, far).astype(np.int32)
             ended = np.flatnonzero(sizes[:alive] == i)
             result[ended] = row[ended, final[ended]]
@@ -226,8 +247,11 @@ def gram_samples(texts: list[str]) -> list[bytes]:
     """Of each text the ``SAMPLE`` smallest 32-bit hashes of its labelled grams, in order."""
     labels, owner, _ = _grams(texts)
     small = (labels >> np.uint64(32)).astype(np.uint32)
-    parts = np.split(small, np.searchsorted(owner, np.arange(1, len(texts)))) if texts else []
-    return [np.unique(np.partition(x, SAMPLE - 1)[:SAMPLE] if len(x) > SAMPLE else x).tobytes() for x in parts]
+    return [_sample(x) for x in np.split(small, np.searchsorted(owner, np.arange(1, len(texts))))] if texts else []
+
+
+def _sample(labels: np.ndarray) -> bytes:
+    return np.unique(np.partition(labels, SAMPLE - 1)[:SAMPLE] if len(labels) > SAMPLE else labels).tobytes()
 
 
 def may_be_similar(a: np.ndarray, b: np.ndarray, a_words: int, b_words: int, threshold: float = THRESHOLD) -> bool:
@@ -270,9 +294,9 @@ def sketched(docs: DataFrame, **options) -> DataFrame:
             for group in bounded(rows, lambda r: len(r[1] or "")):
                 texts: dict[str, int] = {}
                 at = [texts.setdefault(t or "", len(texts)) for _, t in group]
-                values, counts = sketch(list(texts), **options)
+                samples: list[bytes] = []
+                values, counts = sketch(list(texts), samples=samples, **options)
                 values = [v.view(np.int64) for v in values]
-                samples = gram_samples(list(texts))
                 keys = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() if n else None for t, n in zip(texts, counts, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([d for d, _ in group], pa.int64()), pa.array([keys[i] for i in at], pa.binary()),
@@ -314,8 +338,8 @@ def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def prefix_length(words: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
     """How many of its first grams, in any one order of all grams, a text of so
     many words needs. Of two texts, the longer of L words, d edits apart, at
-    least L - GRAM + 1 - GRAM * d labelled grams are common; so the first
-    n - L + GRAM * d + 1 grams of a text of n words meet those of the other.
+    least L - g + 1 - g * d labelled grams of g words are common; so the first
+    n - L + g * d + 1 grams of a text of n words meet those of the other.
     The greatest is at an L less than one more allowed edit away."""
     more = np.arange(int(np.ceil(1 / (1 - threshold))) + 1)
     edits = ((1 - threshold) * (words[:, None] + more) + 1e-9).astype(np.int64)
@@ -332,19 +356,34 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     def groups(batch: pa.RecordBatch) -> Iterator[list[tuple]]:
         return bounded(zip(*(c.to_pylist() for c in batch.columns), strict=True), lambda r: len(r[-1]))
 
+    # a task's counts are a few packed rows, whatever it read
+    def rows(total: np.ndarray) -> pa.RecordBatch:
+        parts = np.minimum(total, (1 << 32) - 1).astype(np.uint32).reshape(CELL_PARTS, -1)
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(CELL_PARTS, dtype=np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "counts"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
             for group in groups(batch):
                 total += np.bincount((_grams([r[-1] for r in group])[0] % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
-        used = np.flatnonzero(total)
-        for at in range(0, len(used), 100_000):
-            own = used[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["cell", "n"])
-
-    found = bodies.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most ``CELLS`` rows
-    table = np.zeros(CELLS, np.int64)
-    table[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+        if total.any():
+            yield rows(total)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held[part] = held.get(part, 0) + np.frombuffer(raw, np.uint32).astype(np.int64)
+        if held:
+            packed = [np.minimum(x, (1 << 32) - 1).astype(np.uint32).tobytes() for x in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
+
+    schema = "part int, counts binary"
+    found = bodies.select("text").mapInArrow(count, schema).repartition(CELL_PARTS, "part").mapInArrow(summed, schema).collect()  # CELL_PARTS rows
+    table = np.zeros((CELL_PARTS, CELLS // CELL_PARTS), np.uint32)
+    for r in found:
+        table[r["part"]] = np.frombuffer(r["counts"], np.uint32)
+    table = table.ravel()
     shared = spark.sparkContext.broadcast(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -461,7 +500,8 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
             break
     labels = components(links)
     tagged = materialize(wanted.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "tagged")
-    mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("bucket")
+    # the two texts of a bucket of two have met in the first round
+    mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least <> most and n > 2").select("bucket")
     left = materialize(all_members.join(mixed, "bucket").select("key").distinct(), "left")
     if not left.isEmpty():
         pairs = pairs_across(bodies.join(left, "key", "left_semi"), samples, tagged, threshold)
