@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_scope
 from . import gru
-from .textutil import bounded, set_batch_rows
+from .textutil import bounded, release_memory, set_batch_rows
 
 UND = "und"
 MAX_RUN = 30
@@ -224,6 +224,7 @@ def predictor(spark, model: ByteTagger | None):
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_memory()
         held = own.setdefault("p", Predictor(shared.value))
         for part in parts:
             yield held.predict(part.tolist())

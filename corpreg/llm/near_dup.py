@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_scope
-from .textutil import bounded, mix, set_batch_rows, shingle_hashes, word_hashes
+from .textutil import bounded, mix, release_memory, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
@@ -289,6 +289,7 @@ def sketched(docs: DataFrame, **options) -> DataFrame:
     names = ["doc_id", "key", "words", "sketches", "sample"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for group in bounded(rows, lambda r: len(r[1] or "")):
@@ -315,6 +316,7 @@ def plausible(pairs: DataFrame, samples: DataFrame, threshold: float = THRESHOLD
     joined = pairs.join(left, "a").join(right, "b").where(F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("a_sample", "b_sample", "a_words", "b_words")), strict=True)
             near = pa.array([may_be_similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), n, m, threshold) for x, y, n, m in rows], pa.bool_())
@@ -362,6 +364,7 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(np.arange(CELL_PARTS, dtype=np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["part", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         total = np.zeros(CELLS, np.int64)
         for batch in batches:
             for group in groups(batch):
@@ -387,6 +390,7 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = spark.sparkContext.broadcast(table)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             for group in groups(batch):
                 labels, owner, counts = _grams([r[-1] for r in group])
@@ -433,6 +437,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     left, right = texts.select(F.col("key").alias("a"), F.col("text").alias("one")), texts.select(F.col("key").alias("b"), F.col("text").alias("two"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             rows = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
             found = []

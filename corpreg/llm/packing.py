@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textutil import TwoGenerationCache, bounded, set_batch_rows
+from .textutil import KEPT, TwoGenerationCache, bounded, release_memory, set_batch_rows
 
 CAPACITY = 4096
 END_ID = 1
@@ -89,9 +89,6 @@ class Tokenized:
         return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
-_TOKENIZED: dict[str, Tokenized] = {}
-
-
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and the ids,
     if kept), with the task that made it and its rank there among pieces of its length."""
@@ -101,9 +98,10 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_i
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_file not in _TOKENIZED:
-            _TOKENIZED[tokenizer_file] = Tokenized(tokenizer_file)
-        tokenized, task, seen = _TOKENIZED[tokenizer_file], TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        if tokenizer_file not in KEPT:
+            release_memory()
+            KEPT[tokenizer_file] = Tokenized(tokenizer_file)
+        tokenized, task, seen = KEPT[tokenizer_file], TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
             for group in bounded(rows, lambda r: len(r[1] or "")):

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_scope
 from .near_dup import text_key
-from .textutil import _BASE, _POW, _POW_INV, _TABLE, SEGMENT, mix, set_batch_rows
+from .textutil import _BASE, _POW, _POW_INV, _TABLE, SEGMENT, mix, release_memory, set_batch_rows
 
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM  # a window's anchor starts at most so many bytes after the window
@@ -240,6 +240,7 @@ def shared_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
     types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         held: dict[int, np.ndarray] = {}
         size = 0
         for batch in batches:
@@ -277,6 +278,7 @@ def shared_anchors(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     def decide(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        release_memory()
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in part["id"].to_pylist()])
         found = np.concatenate([np.frombuffer(x, np.uint64) for x in part["found"].to_pylist()])
         often = np.zeros(0, np.uint64)
@@ -334,6 +336,7 @@ def contexts(texts: DataFrame, groups: int, often: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         met: dict[bytes, list[tuple]] = {}
         n = 0
         for batch in batches:
@@ -390,6 +393,7 @@ def judged(rows: DataFrame) -> DataFrame:
     """(key, start, stop) byte spans to remove, from the rows of :func:`contexts`."""
 
     def judge(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        release_memory()
         part = part.combine_chunks()
         if key[0].as_py() < 0:
             stop = pc.add(part["start"], part["anchor"])

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _MASK = (1 << 64) - 1
 
@@ -124,6 +127,22 @@ class TwoGenerationCache:
         return self.new
 
 
+# What an operator keeps in a worker from task to task; the next operator's tasks drop it.
+KEPT: dict = {}
+
+
+def release_memory() -> None:
+    """Give back what earlier tasks left in this Python worker, which serves all
+    operators of a session one after the other: kept caches, and freed memory
+    that the allocators still hold."""
+    KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def set_batch_rows(spark, rows: int = 2000) -> None:
     """Lower the rows per Arrow batch, so that a batch of long texts stays small."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
