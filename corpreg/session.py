@@ -165,10 +165,11 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @contextmanager
-def _shuffles_deleted(spark: SparkSession):
+def shuffles_deleted(spark: SparkSession):
     """Delete the shuffle files of each query in the ``with`` block as it ends.
-    For writes that cut lineage: what comes later reads the written files, so a
-    long chain of steps never holds more than one step's shuffles on disk."""
+    For writes that cut lineage, and for frames that are collected once: what
+    comes later does not read them, so a long chain of steps never holds more
+    than one step's shuffles on disk."""
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -195,7 +196,7 @@ def materialize(df, name: str = "stage", scoped: bool = True, partition_by: list
     spark = df.sparkSession
     delete_unused()
     path = scratch_path(spark, name)
-    with _shuffles_deleted(spark):
+    with shuffles_deleted(spark):
         df.write.mode("error").partitionBy(*partition_by or []).parquet(path)
     scopes = _scopes()
     written = spark.read.schema(df.schema).parquet(path)
