@@ -35,7 +35,7 @@ UND = "und"
 MAX_RUN = 30
 TRAIN_DOCS = 2_000
 TRAIN_RUNS = 24_000
-CACHE_RUNS = 500_000
+CACHE_RUNS, RUNS_AT_ONCE = 400_000, 2_048
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -90,8 +90,8 @@ class ByteTagger:
         """Of each run: the sums over its bytes of the log-probabilities, and their number."""
         out = np.empty((len(runs), len(self.languages) + 1), gru.FLOAT)
         order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-        for at in range(0, len(order), 4096):
-            own = order[at : at + 4096]
+        for at in range(0, len(order), RUNS_AT_ONCE):
+            own = order[at : at + RUNS_AT_ONCE]
             data, mask = padded([runs[i] for i in own])
             log_probs = self._log_probs(self._states(data, mask)[0])
             out[own, :-1] = (log_probs * mask[..., None]).sum(0)

@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, scratch_scope
+from ..session import materialize, scratch_scope, shuffles_deleted
 from .textutil import bounded, mix, release_memory, set_batch_rows, shingle_hashes, word_hashes
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
@@ -382,7 +382,8 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(packed, pa.binary())], names=["part", "counts"])
 
     schema = "part int, counts binary"
-    found = bodies.select("text").mapInArrow(count, schema).repartition(CELL_PARTS, "part").mapInArrow(summed, schema).collect()  # CELL_PARTS rows
+    with shuffles_deleted(spark):
+        found = bodies.select("text").mapInArrow(count, schema).repartition(CELL_PARTS, "part").mapInArrow(summed, schema).collect()  # CELL_PARTS rows
     table = np.zeros((CELL_PARTS, CELLS // CELL_PARTS), np.uint32)
     for r in found:
         table[r["part"]] = np.frombuffer(r["counts"], np.uint32)
