@@ -205,7 +205,6 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, end_id:
     plan = spark.sparkContext.broadcast(best_fit_plan(counts, capacity))
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        release_memory()  # all texts are tokenized
         steps = plan.value[np.lexsort((plan.value[:, 1], plan.value[:, 0]))]
         starts = (steps[:, 0] << 48) + steps[:, 1]
         for part in parts:
