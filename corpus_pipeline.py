@@ -38,12 +38,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item. Null, empty and wordless texts
+    hold none and stay, as do all documents if the benchmark is empty; rows with
+    a null or repeated doc_id are judged one by one."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences of at most 4096 tokens."""
+    """Packs all documents into sequences of at most 4096 tokens. A null or empty
+    text is the end token alone; repeated rows are packed as often as they come;
+    without documents there are no rows."""
     return packing.pack(docs, tokenizer_file())
 
 
