@@ -42,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -56,6 +57,7 @@ WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
 GRAM = 2  # words of a gram of the samples and of the prefix filter
 CELLS, CELL_PARTS = 1 << 20, 16
+GRAM_PARTS, ROWS_AT_ONCE = 16, 10_000_000
 SAMPLE, SURE = 128, 5.5
 _TOP = np.uint64((1 << 64) - 1)
 _LAST = np.uint32((1 << 32) - 1)
@@ -417,9 +419,16 @@ def pairs_across(bodies: DataFrame, samples: DataFrame, labels: DataFrame, thres
     # small tables are written first: the planner then sees their sizes, and need not shuffle the texts or the grams to meet them
     tagged = materialize(tagged.join(tagged.groupBy("label").agg(F.count("*").alias("size")), "label"), "tagged")
     with scratch_scope(bodies.sparkSession):
-        grams = materialize(prefix_grams(bodies.join(tagged, "key"), threshold), "grams")
-        mixed = grams.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
-        grams = materialize(grams.join(materialize(mixed, "mixed-grams"), "gram"), "grams", scoped=False)
+        part = F.pmod("gram", F.lit(GRAM_PARTS)).cast("int").alias("part")
+        grams = materialize(prefix_grams(bodies.join(tagged, "key"), threshold).select("*", part), "grams", partition_by=["part"])
+        # grams of one label go. Parts are taken one after the other, so that the shuffles of a few million rows are on disk at a time
+        step = max(1, GRAM_PARTS * ROWS_AT_ONCE // max(grams.count(), 1))
+        met = []
+        for at in range(0, GRAM_PARTS, step):
+            own = grams.where((F.col("part") >= at) & (F.col("part") < at + step)).drop("part")
+            mixed = own.groupBy("gram").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("gram")
+            met.append(materialize(own.join(materialize(mixed, "mixed-grams"), "gram"), "grams", scoped=False))
+        grams = reduce(DataFrame.unionByName, met)
     one = grams.select("gram", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("words").alias("a_words"), F.col("size").alias("a_size"))
     two = grams.select("gram", F.col("id").alias("b"), F.col("label").alias("b_label"), F.col("words").alias("b_words"), F.col("size").alias("b_size"))
     near = F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold)
