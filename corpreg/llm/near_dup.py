@@ -55,7 +55,7 @@ from .textutil import bounded, mix, release_memory, set_batch_rows, shingle_hash
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
-GRAM = 2  # words of a gram of the samples and of the prefix filter
+GRAM, COMMON = 2, 3  # words of a gram of the samples and of the prefix filter; grams that it wants in common
 CELLS, CELL_PARTS = 1 << 20, 16
 GRAM_PARTS, ROWS_AT_ONCE = 16, 10_000_000
 SAMPLE, SURE = 128, 5.5
@@ -343,11 +343,12 @@ def prefix_length(words: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray
     """How many of its first grams, in any one order of all grams, a text of so
     many words needs. Of two texts, the longer of L words, d edits apart, at
     least L - g + 1 - g * d labelled grams of g words are common; so the first
-    n - L + g * d + 1 grams of a text of n words meet those of the other.
+    n - L + g * d + COMMON grams of a text of n words have COMMON in common with
+    those of the other (all, if fewer are sure).
     The greatest is at an L less than one more allowed edit away."""
     more = np.arange(int(np.ceil(1 / (1 - threshold))) + 1)
     edits = ((1 - threshold) * (words[:, None] + more) + 1e-9).astype(np.int64)
-    return (GRAM * edits - more).max(1) + 1
+    return (GRAM * edits - more).max(1) + COMMON
 
 
 def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -432,11 +433,13 @@ def pairs_across(bodies: DataFrame, samples: DataFrame, labels: DataFrame, thres
     one = grams.select("gram", F.col("id").alias("a"), F.col("label").alias("a_label"), F.col("words").alias("a_words"), F.col("size").alias("a_size"))
     two = grams.select("gram", F.col("id").alias("b"), F.col("label").alias("b_label"), F.col("words").alias("b_words"), F.col("size").alias("b_size"))
     near = F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold)
-    alone = one.join(two.where("b_size = 1"), "gram").where("a_label < b_label or a_size > 1").where(near).select("a", "b")
+    alone = one.join(two.where("b_size = 1"), "gram").where("a_label < b_label or a_size > 1").where(near).select("a", "b", "a_words", "b_words")
     one, two = one.where("a_size > 1"), two.where("b_size > 1")
     meets = two.select("gram", "b_label").distinct()
-    groups = one.join(meets, "gram").where("a_label < b_label").join(two, ["gram", "b_label"]).where(near).select("a", "b")
-    pairs = materialize(alone.unionByName(groups).distinct(), "pairs")
+    groups = one.join(meets, "gram").where("a_label < b_label").join(two, ["gram", "b_label"]).where(near).select("a", "b", "a_words", "b_words")
+    shared = alone.unionByName(groups).groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.greatest("a_words", "b_words")).alias("longer"))
+    sure = F.col("longer") - GRAM + 1 - GRAM * allowed_edits(F.col("longer"), threshold)
+    pairs = materialize(shared.where(F.col("n") >= F.greatest(F.lit(1), F.least(F.lit(COMMON), sure))).select("a", "b"), "pairs")
     left, right = (ids.select(F.col("id").alias(f"{k}_id"), F.col("key").alias(k)) for k in "ab")
     pairs = pairs.withColumnsRenamed({"a": "a_id", "b": "b_id"}).join(left, "a_id").join(right, "b_id").select("a", "b")
     return materialize(plausible(pairs, samples, threshold), "pairs")
