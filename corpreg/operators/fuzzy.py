@@ -22,8 +22,9 @@ Index names of length <= k have empty segments; they meet the short probe
 names (length <= 2k) on deletion variants instead (see :func:`_short_pairs`).
 
 Every step works on *distinct* names, so a name repeated in a third of all
-rows is a single row here. The joins are plain inner joins on hashed keys:
-AQE's skew-join split applies to them when a key is hot.
+rows is a single row here. The joins are plain inner joins on hashed keys,
+planned as shuffled ones (:func:`corpreg.session.shuffled`): AQE's skew-join
+split applies to them when a key is hot.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpreg.functions.names import canonical_name, corporate_id, normalized_name
 from corpreg.params import S1_NAME, S2_NAME, Params
-from corpreg.session import materialize
+from corpreg.session import materialize, shuffled
 
 
 def _seq(lo: Column, hi: Column) -> Column:
@@ -99,7 +100,7 @@ def chosen_segments(index_names: DataFrame, probe_names: DataFrame, k: int) -> D
     own = segments(index_names, k)
     shared = own.select("seg").unionByName(segments(probe_names, k).select("seg")).groupBy("seg").agg(F.count("*").alias("n"))
     ranked = F.array_sort(F.collect_list(F.struct("n", "j", "seg")))  # at most SEGMENTS_PER_EDIT * (k+1) of a name
-    some = own.join(shared, "seg").groupBy("name", "L").agg(F.slice(ranked, 1, k + 2).alias("chosen"))
+    some = own.join(shuffled(shared), "seg").groupBy("name", "L").agg(F.slice(ranked, 1, k + 2).alias("chosen"))
     return some.select("name", "L", F.transform("chosen", lambda c: F.struct(c["j"].alias("j"), c["seg"].alias("seg"))).alias("chosen"))
 
 
@@ -147,7 +148,7 @@ def probe_keys(probes: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
     ``probes``: see :func:`segment_probes`; ``chosen``: of the index names."""
     used = chosen.select(F.explode("chosen").alias("c")).select("c.seg").distinct()
     # at most as many rows of a name and a length as it has probes for it
-    found = probes.join(used, "seg", "left_semi").groupBy("name", "L").agg(F.collect_list(F.struct("j", "shift", "seg")).alias("found"))
+    found = probes.join(shuffled(used), "seg", "left_semi").groupBy("name", "L").agg(F.collect_list(F.struct("j", "shift", "seg")).alias("found"))
     delta = F.length("name") - F.col("L")
     fits = lambda c, d: F.abs(c["shift"]) + F.abs(d["shift"] - c["shift"]) + F.abs(delta - d["shift"]) <= k
     single = F.transform("found", lambda c: c["seg"])
@@ -175,10 +176,10 @@ def _salted_join(idx: DataFrame, prb: DataFrame, keys: list[str], salt: int) ->
     ways: probe rows take a salt from a hash of their name, index rows are
     repeated once per salt value."""
     if salt <= 1:
-        return idx.join(prb, keys)
+        return idx.join(shuffled(prb), keys)
     idx = idx.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     prb = prb.withColumn("_salt", F.pmod(F.xxhash64("b"), F.lit(salt)).cast("int"))
-    return idx.join(prb, [*keys, "_salt"])
+    return idx.join(shuffled(prb), [*keys, "_salt"])
 
 
 def _short_pairs(index_names: DataFrame, probe_names: DataFrame, k: int, salt: int = 1) -> DataFrame:
@@ -282,14 +283,14 @@ def matched_names(pairs: DataFrame, side: int) -> DataFrame:
 def unmatched_s1(s1: DataFrame, pairs: DataFrame, params: Params = Params()) -> DataFrame:
     """Source-1 rows (non-null name) whose name matches no Source-2 name."""
     a = _with_norm(s1, S1_NAME, "norm_name_s1", params)
-    m = matched_names(pairs, 1)
+    m = shuffled(matched_names(pairs, 1))
     return a.join(m, a["norm_name_s1"] == m["_matched"], "left_anti")
 
 
 def unmatched_s2(s2: DataFrame, pairs: DataFrame, params: Params = Params()) -> DataFrame:
     """Source-2 rows (non-null name) whose name matches no Source-1 name."""
     b = _with_norm(s2, S2_NAME, "norm_name_s2", params)
-    m = matched_names(pairs, 2)
+    m = shuffled(matched_names(pairs, 2))
     return b.join(m, b["norm_name_s2"] == m["_matched"], "left_anti")
 
 
@@ -323,10 +324,10 @@ def fuzzy_full_outer(
     # hash once per input row, not once per (much larger) output row
     a = a.withColumn("_id1", F.md5("norm_name_s1"))
     b = b.withColumn("_id2", F.md5("norm_name_s2"))
-    a_pairs = a.join(pairs, a["norm_name_s1"] == pairs["norm_1"], "left")
+    a_pairs = a.join(shuffled(pairs), a["norm_name_s1"] == pairs["norm_1"], "left")
     matched = (
         a_pairs.where(F.col("norm_2").isNotNull())
-        .join(b, F.col("norm_2") == b["norm_name_s2"])
+        .join(shuffled(b), F.col("norm_2") == b["norm_name_s2"])
         .select(*a_cols, *b_cols, F.col("_id1").alias("corporate_id"))
     )
     left = a_pairs.where(F.col("norm_2").isNull()).select(
@@ -334,7 +335,7 @@ def fuzzy_full_outer(
         *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_cols],
         F.col("_id1").alias("corporate_id"),
     )
-    m2 = matched_names(pairs, 2)
+    m2 = shuffled(matched_names(pairs, 2))
     right = b.join(m2, b["norm_name_s2"] == m2["_matched"], "left_anti").select(
         *[F.lit(None).cast(a.schema[c].dataType).alias(c) for c in a_cols],
         *b_cols,

@@ -31,7 +31,7 @@ from corpreg.functions.names import corporate_id, normalized_name
 from corpreg.operators.fuzzy import fuzzy_pairs_of_names, matched_names
 from corpreg.operators.quality import counters, summed_metrics
 from corpreg.params import S1_NAME, S2_NAME, Params
-from corpreg.session import materialize
+from corpreg.session import materialize, shuffled
 
 # Rank keys in priority order (all descending, NULLs last).
 S1_RANK = ("address", "corporate_name_S1", "activity_places", "top_suppliers")
@@ -75,11 +75,11 @@ def golden_from_best(
 ) -> DataFrame:
     """Golden records from per-name best rows and the (norm_1, norm_2) pairs."""
     s2_for_s1 = (
-        pairs.join(best_s2, pairs["norm_2"] == best_s2["norm"])
+        pairs.join(shuffled(best_s2), pairs["norm_2"] == best_s2["norm"])
         .groupBy("norm_1")
         .agg(F.max("best").alias("best2"))
     )
-    with_s1 = best_s1.join(s2_for_s1, best_s1["norm"] == s2_for_s1["norm_1"], "left").select(
+    with_s1 = best_s1.join(shuffled(s2_for_s1), best_s1["norm"] == s2_for_s1["norm_1"], "left").select(
         F.md5("norm").alias("corporate_id"),
         F.col("best.corporate_name_S1").alias("corporate_name"),
         F.col("best.address").alias("address"),
@@ -89,7 +89,7 @@ def golden_from_best(
         F.col("best2.revenue").cast("double").alias("revenue"),
         F.col("best2.profit").cast("double").alias("profit"),
     )
-    m2 = matched_names(pairs, 2)
+    m2 = shuffled(matched_names(pairs, 2))
     s2_only = _as_golden_s2(best_s2.join(m2, best_s2["norm"] == m2["_matched"], "left_anti"))
     return with_s1.unionByName(s2_only)
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpreg.functions.names import blank
 from corpreg.params import S1_NAME, S2_NAME
+from corpreg.session import shuffled
 
 # Source 1, supply chain: one row per part. Parts that begin with "hot" are
 # renamed, so that Source 1 has companies that Source 2 lacks.
@@ -116,9 +117,9 @@ def supply_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def financial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(
-        CORP_S2_SQL, **{t: load_table(spark, sf_dir, t) for t in ("part", "lineitem", "customer")}
-    )
+    tables = {t: load_table(spark, sf_dir, t) for t in ("part", "lineitem", "customer")}
+    tables["part"] = shuffled(tables["part"])  # joined with as many sums of line items
+    return spark.sql(CORP_S2_SQL, **tables)
 
 
 def earlier_financial(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """Plan-shape guards for the properties the design relies on at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from corpreg.operators import fuzzy, golden
 from corpreg.plans.catalog import QUERIES
+from corpreg.sources import fixtures
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,3 +50,29 @@ def test_source_scans_prune_and_push_down(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_name:string" in plan
     # every part takes part, so only the join key of lineitem is filtered
     assert "PushedFilters: [IsNotNull(l_partkey)]" in plan
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _company_names(spark):
+    name = F.concat(F.lit("global logistics "), F.md5(F.col("id").cast("string")))
+    return spark.range(100).select(name.alias("name"))
+
+
+def test_segment_joins_are_shuffled(spark):
+    # the planner's estimate is that of the names, not of the segments that they become
+    names = _company_names(spark)
+    assert "Broadcast" not in _executed(fuzzy.similar_pairs(names, names, 2))
+
+
+def test_golden_joins_are_shuffled(spark):
+    best_1 = _company_names(spark).select(F.col("name").alias("norm"), F.struct(*[F.col("name").alias(c) for c in golden.S1_RANK]).alias("best"))
+    best_2 = best_1.select("norm", F.struct(*[F.col("norm").alias(c) for c in golden.S2_RANK]).alias("best"))
+    pairs = best_1.select(F.col("norm").alias("norm_1"), F.col("norm").alias("norm_2"))
+    assert "Broadcast" not in _executed(golden.golden_from_best(best_1, best_2, pairs))
+
+
+def test_parts_are_not_broadcast(spark):
+    assert "Broadcast" not in _executed(fixtures.financial(spark, SF))
