@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpreg.functions.names import blank, normalized_name
 from corpreg.params import S1_NAME, S2_NAME, Params
+from corpreg.session import shuffled
 
 SOURCE_1 = "supply_chain"
 SOURCE_2 = "financial"
@@ -169,7 +170,7 @@ def match_rate(golden: DataFrame, s2: DataFrame, pairs: DataFrame | None = None,
         matched = pairs.select(F.col("norm_2").alias("_n")).distinct()
         s = (
             s2.withColumn("_n", normalized_name(S2_NAME, params.suffix_regex))
-            .join(matched.withColumn("_hit", F.lit(1)), "_n", "left")
+            .join(shuffled(matched.withColumn("_hit", F.lit(1))), "_n", "left")
             .select(F.lit(0).alias("g"), F.lit(1).alias("s"), F.coalesce("_hit", F.lit(0)).alias("m"))
         )
     agg = g.unionByName(s).agg(

@@ -23,7 +23,8 @@ Plan:
 * the per-token result is joined back to the companies on the token.
 
 No side is broadcast by hand: the sizes that the adaptive planner measures
-decide.
+decide, and where both sides grow with the companies none is
+(:func:`corpreg.session.shuffled`).
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpreg.functions.names import first_token
 from corpreg.params import RISK_NONE, RISK_PREFIX, Params
-from corpreg.session import materialize
+from corpreg.session import materialize, shuffled
 
 MAX_GRAM = 3
 # headlines of the first range of positions, and how the ranges grow
@@ -79,7 +80,8 @@ def token_grams(tokens: DataFrame) -> DataFrame:
 def rarest_grams(tokens: DataFrame, grams: DataFrame) -> DataFrame:
     """(token, gram): of each token's grams the one in the fewest headlines;
     none for tokens with a gram that no headline has."""
-    found = token_grams(tokens).join(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("headlines")), "gram")
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("headlines"))
+    found = token_grams(tokens).join(shuffled(counts), "gram")
     rarest = found.groupBy("token", "n_grams").agg(
         F.count(F.lit(1)).alias("n_found"), F.min(F.struct("headlines", "gram")).alias("rarest")
     )
@@ -129,7 +131,7 @@ def token_risk(
         if joined is not None:
             joined.append(cand.count())
         answers = first if answers is None else answers.unionByName(first)
-        left = left.join(first, "token", "left_anti")
+        left = left.join(shuffled(first), "token", "left_anti")
     return answers.select("token", F.concat(F.lit(RISK_PREFIX), F.col("first.headline")).alias("adverse_media_news"))
 
 

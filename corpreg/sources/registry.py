@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from corpreg.schemas import REGISTRY, REGISTRY_DDL
-from corpreg.session import delete_paths, materialize, scratch_scope
+from corpreg.session import delete_paths, materialize, scratch_scope, shuffled
 
 KEY = "corporate_id"
 COMMITS = StructType(
@@ -55,7 +55,7 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str = KEY) -> DataFr
     """Keyed upsert as a plan: source rows replace target rows with the same
     key, new keys are inserted, other target rows stay."""
     cols = target.columns
-    kept = target.join(source.select(key), key, "left_anti")
+    kept = target.join(shuffled(source.select(key)), key, "left_anti")
     return kept.select(*cols).unionByName(source.select(*cols))
 
 
@@ -108,7 +108,7 @@ class SnapshotRegistry:
             latest = self._latest()
             sid = 1 if latest is None else latest["snapshot_id"] + 1
             target = self.current()
-            touched = latest is not None and not target.join(source.select(KEY), KEY, "left_semi").isEmpty()
+            touched = latest is not None and not target.join(shuffled(source.select(KEY)), KEY, "left_semi").isEmpty()
             merged = merge_frames(target, source)
             # a folder of its own for every attempt: what a lost driver left is never in the way
             path = f"{self.root}/snapshots/{sid}-{uuid.uuid4().hex}"

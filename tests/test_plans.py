@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from corpreg.operators import fuzzy, golden
+from corpreg.operators import fuzzy, golden, quality, risk
 from corpreg.plans.catalog import QUERIES
 from corpreg.sources import fixtures
+from corpreg.sources.registry import merge_frames
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,18 @@ def test_golden_joins_are_shuffled(spark):
 
 def test_parts_are_not_broadcast(spark):
     assert "Broadcast" not in _executed(fixtures.financial(spark, SF))
+
+
+def test_registry_and_match_rate_joins_are_shuffled(spark):
+    # one small column of a wide table: the estimate is small, however many rows there are
+    ids = _company_names(spark).select(F.col("name").alias("corporate_id"), F.lit(1.0).alias("revenue"))
+    assert "Broadcast" not in _executed(merge_frames(ids, ids))
+    source = _company_names(spark).select(F.col("name").alias("corporate_name_S2"))
+    pairs = _company_names(spark).select(F.col("name").alias("norm_1"), F.col("name").alias("norm_2"))
+    assert "Broadcast" not in _executed(quality.match_rate(ids, source, pairs))
+
+
+def test_risk_gram_join_is_shuffled(spark):
+    tokens = _company_names(spark).select(F.col("name").alias("token"))
+    grams = risk.headline_grams(_company_names(spark).select(F.lit(1).alias("position"), F.col("name").alias("lower_headline")))
+    assert "Broadcast" not in _executed(risk.rarest_grams(tokens, grams))
