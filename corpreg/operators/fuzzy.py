@@ -118,29 +118,23 @@ def segment_probes(names: DataFrame, k: int, name: str = "name") -> DataFrame:
     A shift by s leaves |s| edits to the left of the segment and |T - L - s| to
     its right, k in all. Where a name has k+1 segments only, all of them are
     indexed, and one even has at most j edits to the left and k - j to the right."""
-    T = F.col("T")
-    lengths = _seq(F.greatest(F.lit(k + 1), T - k), T + k)
-
-    def places(L: Column) -> Column:
-        parts, delta = _parts(L, k), T - L
-
-        def of_segment(j: Column) -> Column:
-            start, length = _segment(L, j, parts)
-            left = F.when(parts == k + 1, j).otherwise(k)
-            right = F.when(parts == k + 1, F.lit(k) - j).otherwise(k)
-            lo = F.greatest(-start, -left, delta - right, F.ceil((delta - k) / 2).cast("int"))
-            hi = F.least(T - length - start, left, delta + right, F.floor((delta + k) / 2).cast("int"))
-            return F.transform(
-                _seq(lo, hi),
-                lambda s: F.struct(L.alias("L"), j.alias("j"), s.alias("shift"), _hash(L, j, F.col("name"), start + s, length).alias("seg")),
-            )
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), parts - 1), of_segment))
-
+    T, L, j, parts, start, length = (F.col(c) for c in ("T", "L", "j", "parts", "start", "length"))
     # every name becomes about a hundred rows: spread over all tasks, not by the size of the names
     spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # row by row and not by functions on arrays, which run interpreted and repeat what they share
     rows = names.repartition(spread, name).select(F.col(name).alias("name"), F.length(name).alias("T"))
-    return rows.select("name", F.inline(F.flatten(F.transform(lengths, places))))
+    rows = rows.select("name", "T", F.explode(_seq(F.greatest(F.lit(k + 1), T - k), T + k)).alias("L"))
+    rows = rows.select("name", "T", "L", _parts(L, k).alias("parts"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("j"))
+    at, size = _segment(L, j, parts)
+    rows = rows.select("*", at.alias("start"), size.alias("length"))
+    delta = T - L
+    left = F.when(parts == k + 1, j).otherwise(k)
+    right = F.when(parts == k + 1, F.lit(k) - j).otherwise(k)
+    lo = F.greatest(-start, -left, delta - right, F.ceil((delta - k) / 2).cast("int"))
+    hi = F.least(T - length - start, left, delta + right, F.floor((delta + k) / 2).cast("int"))
+    rows = rows.select("name", "L", "j", "start", "length", F.explode(_seq(lo, hi)).alias("shift"))
+    return rows.select("name", "L", "j", "shift", _hash(L, j, F.col("name"), start + F.col("shift"), length).alias("seg"))
 
 
 def probe_keys(probes: DataFrame, chosen: DataFrame, k: int) -> DataFrame:

@@ -92,3 +92,9 @@ def test_risk_gram_join_is_shuffled(spark):
     tokens = _company_names(spark).select(F.col("name").alias("token"))
     grams = risk.headline_grams(_company_names(spark).select(F.lit(1).alias("position"), F.col("name").alias("lower_headline")))
     assert "Broadcast" not in _executed(risk.rarest_grams(tokens, grams))
+
+
+def test_probes_are_made_row_by_row(spark):
+    # about a hundred rows a name: functions on arrays run interpreted
+    plan = _executed(fuzzy.segment_probes(_company_names(spark), 2))
+    assert "transform(" not in plan and "lambda" not in plan
