@@ -6,11 +6,10 @@ rows; the most frequent words are the model's vocabulary, and every other word
 is the unknown token times its smoothed share among the words outside the
 vocabulary, so the model is a distribution over all words. The output softmax
 is factored into classes of words of similar frequency. The network is trained
-in numpy by truncated back-propagation through time on a hash-chosen share of
-the training rows (``TRAIN_SHARE`` of them, or all up to ``TRAIN_DOCS`` rows if
-that is more), whole texts of any length. It learns in Spark tasks of about
-``TRAIN_DOCS`` rows, whose parameters are averaged after every round, so both
-the rows and the tasks grow with the input. Scoring carries the state through
+in numpy by truncated back-propagation through time on all training rows, whole
+texts of any length (callers may ask for a hash-chosen ``share`` of the rows). It
+learns in Spark tasks of about ``TRAIN_DOCS`` rows, whose parameters are averaged
+after every round, so both the rows and the tasks grow with the input. Scoring carries the state through
 the whole text, window by window.
 
 Counts reach the documents in two ways: those of the ``HEAD`` most frequent
@@ -42,7 +41,7 @@ from .textutil import bounded, set_batch_rows
 HEAD = 200_000
 VOCABULARY = 4_000
 HIDDEN = 24
-TRAIN_DOCS, TRAIN_SHARE = 1_200, 1 / 16
+TRAIN_DOCS, TRAIN_SHARE = 1_200, 1.0
 CHUNK_TOKENS = 4_000_000  # of texts that a training task holds at a time
 UNKNOWN, END = 0, 1
 SMOOTHING = 0.1

@@ -143,3 +143,10 @@ def test_most_frequent_words_fit_the_bound(spark, head):
 def test_language_model_of_no_documents(spark):
     none = spark.createDataFrame([], DOCS)
     assert lm.score_documents(none, F.lit(True), F.lit(False)).collect() == []
+
+
+def test_language_model_learns_from_every_training_row(spark, monkeypatch):
+    rows, learned = spark.range(3000).selectExpr("id AS doc_id", "concat('word ', id % 7) AS text"), []
+    monkeypatch.setattr(lm, "learn", lambda sample, model, tasks, **options: learned.append((sample.count(), tasks)))
+    lm.train(rows, lm.token_counts(rows))
+    assert learned == [(3000, 3)]
