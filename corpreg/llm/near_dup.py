@@ -12,12 +12,14 @@ candidates; they are accepted if their word sequences have an edit similarity
 (1 - distance / longer length) of at least ``THRESHOLD``, found by an
 alignment in a band that can hold that many edits. Texts that their leader
 rejects get a new leader among themselves, for up to ``ROUNDS`` rounds; that
-only gathers large groups cheaply. Then all texts of the buckets that still
-hold several classes are compared by a prefix filter that is complete for the
-threshold (see :func:`prefix_grams`): every two of them that are similar and
-not yet in one class share a gram there and are aligned, accepted or rejected
-before. So two similar texts that share a sketch are always in one class, the
-connected components of accepted links.
+only gathers large groups cheaply. Then the buckets that still hold several
+classes are parted by length (see :func:`length_groups`), and the texts of
+different classes in a group are candidates. Groups that would make more than
+``MEETS`` pairs a text are compared by a prefix filter instead that is complete
+for the threshold (see :func:`prefix_grams`): every two of their texts that are
+similar and not yet in one class share a gram there and are aligned, accepted or
+rejected before. So two similar texts that share a sketch are always in one
+class, the connected components of accepted links.
 
 Before texts are fetched for an alignment, pairs go whose lengths, or whose
 samples of labelled k-mers, show that they cannot be within the threshold (see
@@ -55,6 +57,7 @@ from .textutil import bounded, mix, release_memory, set_batch_rows, shingle_hash
 
 WORDS, SKETCHES, PICKS, THRESHOLD, ROUNDS = 2, 40, 2, 0.8, 4
 SHORT = 12
+MEETS = 32  # pairs a text of a group of a bucket, up to which all of them are met
 GRAM, COMMON = 2, 3  # words of a gram of the samples and of the prefix filter; grams that it wants in common
 CELLS, CELL_PARTS = 1 << 20, 16
 GRAM_PARTS, ROWS_AT_ONCE = 16, 10_000_000
@@ -409,6 +412,31 @@ def prefix_grams(bodies: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return bodies.select("id", "label", "size", "text").mapInArrow(work, "id long, label long, size long, words int, gram long")
 
 
+def length_groups(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``members`` (bucket, key, words, label) of groups that hold several labels:
+    bucket, band, key, words, label, the group's most frequent label ``most``, and
+    whether it makes at most ``MEETS`` pairs of different labels a text (``few``).
+    A text is in the band of its length and the next one, each wider than the
+    threshold lets lengths differ, so similar texts of a bucket share a group."""
+    width = 1.001 * max(-float(np.log(threshold)), 0.01)
+    band = F.floor(F.log(F.col("words").cast("double")) / width).cast("int")
+    placed = members.select("bucket", F.explode(F.array(band, band + 1)).alias("band"), "key", "words", "label")
+    of_label = placed.groupBy("bucket", "band", "label").agg(F.count("*").alias("n"))
+    n = F.sum("n")
+    groups = of_label.groupBy("bucket", "band").agg(F.max_by("label", F.struct("n", "label")).alias("most"), ((n * n - F.sum(F.col("n") * F.col("n"))) <= 2 * MEETS * n).alias("few"), F.count("*").alias("labels"))
+    return placed.join(groups.where("labels > 1").drop("labels"), ["bucket", "band"])
+
+
+def pairs_within(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """All pairs (a, b) of :func:`length_groups` with different labels whose lengths
+    leave the threshold possible. One of a pair has not the most frequent label."""
+    one = groups.where("label <> most").select("bucket", "band", F.col("key").alias("a"), F.col("words").alias("a_words"), F.col("label").alias("a_label"))
+    two = groups.select("bucket", "band", "most", F.col("key").alias("b"), F.col("words").alias("b_words"), F.col("label").alias("b_label"))
+    near = F.abs(F.col("a_words") - F.col("b_words")) <= allowed_edits(F.greatest("a_words", "b_words"), threshold)
+    met = one.join(two, ["bucket", "band"]).where("b_label = most or a_label < b_label").where(near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def pairs_across(bodies: DataFrame, samples: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """All pairs (a, b) of ``bodies`` (key, text) with different ``labels`` (key,
     label) that the prefix filter, lengths and samples leave possible. A group of
@@ -520,9 +548,14 @@ def _classes_of_keys(docs: DataFrame, rows: DataFrame, threshold: float, rounds:
     tagged = materialize(wanted.join(labels, "key", "left").select("key", F.coalesce("label", "key").alias("label")), "tagged")
     # the two texts of a bucket of two have met in the first round
     mixed = all_members.join(tagged, "key").groupBy("bucket").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n")).where("least <> most and n > 2").select("bucket")
-    left = materialize(all_members.join(mixed, "bucket").select("key").distinct(), "left")
+    left = all_members.join(mixed, "bucket").join(tagged, "key").join(texts.select("key", "words"), "key")
+    left = materialize(length_groups(left, threshold), "left")
     if not left.isEmpty():
-        pairs = pairs_across(bodies.join(left, "key", "left_semi"), samples, tagged, threshold)
+        pairs = materialize(plausible(pairs_within(left.where("few"), threshold), samples, threshold), "pairs")
+        many = materialize(left.where("not few").select("key").distinct(), "many")
+        if not many.isEmpty():
+            across = pairs_across(bodies.join(many, "key", "left_semi"), samples, tagged.join(many, "key", "left_semi"), threshold)
+            pairs = materialize(pairs.unionByName(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct(), "pairs")
         more = materialize(verified(pairs, bodies, threshold).where("same").select("a", "b"), "links")
         if not more.isEmpty():
             # classes by their labels: only the classes that the new links touch change

@@ -111,6 +111,34 @@ def test_many_families_on_one_template(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_length_groups_hold_every_pair_of_near_lengths(spark):
+    members = spark.createDataFrame([(b, f"{b}-{n}-{c}".encode(), n, f"{n if n > 25 else 0}-{c}".encode()) for b in (1, 2) for n in range(1, 61) for c in range(b)], "bucket long, key binary, words long, label binary")
+    groups = near_dup.length_groups(members)
+    assert groups.where("not few").isEmpty()
+    got = [(bytes(r["a"]), bytes(r["b"])) for r in near_dup.pairs_within(groups).collect()]
+    rows = [(r["bucket"], bytes(r["key"]), r["words"], bytes(r["label"])) for r in members.collect()]
+    want = {tuple(sorted((x[1], y[1]))) for x in rows for y in rows if x[0] == y[0] and x[3] != y[3] and abs(x[2] - y[2]) <= int(0.2 * max(x[2], y[2]) + 1e-9)}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_small_groups_are_met_without_grams(spark, monkeypatch):
+    texts = [" ".join(f"form{i}" for i in range(50)) + " " + " ".join(f"own{k}x{i}" for i in range(20)) for k in range(12)]
+    texts += [f"{t} more" for t in texts]
+    want, sizes, across = brute_classes(texts), [], near_dup.pairs_across
+
+    def counted(bodies, *rest, **more):
+        sizes.append(bodies.count())
+        return across(bodies, *rest, **more)
+
+    monkeypatch.setattr(near_dup, "pairs_across", counted)
+    for meets, used in ((32, []), (0, [24])):
+        monkeypatch.setattr(near_dup, "MEETS", meets)
+        sizes.clear()
+        got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(as_docs(spark, list(enumerate(texts))), rounds=1).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+        assert sizes == used
+
+
 def test_recall_at_the_threshold(spark):
     rng = random.Random(14)
     texts = []
