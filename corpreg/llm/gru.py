@@ -49,10 +49,11 @@ def backward(d_states: np.ndarray, mask: np.ndarray, kept: list, recurrent: np.n
         total = d_h + d_states[t]
         own = np.where(mask[t][:, None], total, 0)
         d_c = own * (1 - z) * (1 - c * c)
-        d_z = own * (h - c) * z * (1 - z)
-        d_r = d_c * hc * r * (1 - r)
-        d_x[t] = np.concatenate([d_z, d_r, d_c], 1)
-        d_hh = np.concatenate([d_z, d_r, d_c * r], 1)
+        d_x[t, :, :n] = own * (h - c) * z * (1 - z)
+        d_x[t, :, n : 2 * n] = d_c * hc * r * (1 - r)
+        d_x[t, :, 2 * n :] = d_c
+        d_hh = d_x[t].copy()
+        d_hh[:, 2 * n :] *= r
         d_recurrent += h.T @ d_hh
         d_h = np.where(mask[t][:, None], own * z, total) + d_hh @ recurrent.T
     return d_x, d_recurrent
@@ -65,14 +66,25 @@ class Adam:
         self.params, self.rate, self.clip, self.t = params, rate, clip, 0
         self.m = {k: np.zeros_like(v) for k, v in params.items()}
         self.v = {k: np.zeros_like(v) for k, v in params.items()}
+        self.work = {k: (np.empty_like(v), np.empty_like(v)) for k, v in params.items()}
 
     def update(self, grads: dict[str, np.ndarray], rate: float | None = None) -> None:
         self.t += 1
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        norm = np.sqrt(sum(float(np.multiply(g, g, out=self.work[k][0]).sum()) for k, g in grads.items()))
         scale = min(1.0, self.clip / (norm + 1e-12))
         rate = (self.rate if rate is None else rate) * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
-        for k, g in grads.items():
-            g = g * FLOAT(scale)
-            self.m[k] += FLOAT(0.1) * (g - self.m[k])
-            self.v[k] += FLOAT(0.001) * (g * g - self.v[k])
-            self.params[k] -= FLOAT(rate) * self.m[k] / (np.sqrt(self.v[k]) + FLOAT(1e-8))
+        for k, g in grads.items():  # in place: new arrays of this size cost more than the arithmetic
+            (one, two), m, v = self.work[k], self.m[k], self.v[k]
+            np.multiply(g, FLOAT(scale), out=one)
+            np.subtract(one, m, out=two)
+            two *= FLOAT(0.1)
+            m += two
+            one *= one
+            one -= v
+            one *= FLOAT(0.001)
+            v += one
+            np.sqrt(v, out=one)
+            one += FLOAT(1e-8)
+            np.multiply(m, FLOAT(rate), out=two)
+            two /= one
+            self.params[k] -= two

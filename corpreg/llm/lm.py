@@ -46,6 +46,7 @@ CHUNK_TOKENS = 4_000_000  # of texts that a training task holds at a time
 UNKNOWN, END = 0, 1
 SMOOTHING = 0.1
 _FLUSH = 300_000
+_AT_ONCE = 4_096  # states whose outputs are computed together
 
 
 def words(text: str | None) -> list[bytes]:
@@ -112,21 +113,32 @@ class ClassModel:
         of_class, slot = rank // self.width, rank % self.width
         order = np.argsort(of_class, kind="stable")
         found, begin = np.unique(of_class[order], return_index=True)
-        return of_class, slot, [(c, own) for c, own in zip(found, np.split(order, begin[1:]), strict=True)]
+        return of_class, slot, order, found, begin
+
+    def _inner(self, states: np.ndarray, found: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        """In-class log-probabilities of all slots; the states of class
+        ``found[i]`` are those from ``begin[i]`` on."""
+        out = np.empty((len(states), self.width), gru.FLOAT)
+        for c, a, b in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(states)], strict=True):
+            np.matmul(states[a:b], self.params["word"][c], out=out[a:b])
+            out[a:b] += self.params["word_bias"][c]
+        return _log_softmax(out)
 
     def log_probs(self, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target after its state."""
-        of_class, slot, groups = self._groups(targets)
-        rows = np.arange(len(targets))
-        out = _log_softmax(states @ self.params["class"] + self.params["class_bias"])[rows, of_class].astype(np.float64)
-        for c, own in groups:
-            inner = _log_softmax(states[own] @ self.params["word"][c] + self.params["word_bias"][c])
-            out[own] += inner[np.arange(len(own)), slot[own]]
+        out = np.empty(len(targets))
+        for at in range(0, len(targets), _AT_ONCE):  # small enough to stay in the processor's cache
+            own = slice(at, at + _AT_ONCE)
+            of_class, slot, order, found, begin = self._groups(targets[own])
+            rows = np.arange(len(order))
+            part = _log_softmax(states[own] @ self.params["class"] + self.params["class_bias"])[rows, of_class].astype(np.float64)
+            part[order] += self._inner(states[own][order], found, begin)[rows, slot[order]]
+            out[own] = part
         return out
 
     def gradients(self, states: np.ndarray, targets: np.ndarray):
         """Mean loss, its gradients of the output layers and of the states."""
-        of_class, slot, groups = self._groups(targets)
+        of_class, slot, order, found, begin = self._groups(targets)
         n, rows, p = gru.FLOAT(len(targets)), np.arange(len(targets)), self.params
         log_probs = _log_softmax(states @ p["class"] + p["class_bias"])
         loss = -log_probs[rows, of_class].sum()
@@ -135,15 +147,18 @@ class ClassModel:
         d /= n
         grads = {"class": states.T @ d, "class_bias": d.sum(0), "word": np.zeros_like(p["word"]), "word_bias": np.zeros_like(p["word_bias"])}
         d_states = d @ p["class"].T
-        for c, own in groups:
-            inner = _log_softmax(states[own] @ p["word"][c] + p["word_bias"][c])
-            at = np.arange(len(own))
-            loss -= inner[at, slot[own]].sum()
-            d = np.exp(inner)
-            d[at, slot[own]] -= 1
-            d /= n
-            grads["word"][c], grads["word_bias"][c] = states[own].T @ d, d.sum(0)
-            d_states[own] += d @ p["word"][c].T
+        ranked = states[order]
+        inner = self._inner(ranked, found, begin)
+        loss -= inner[rows, slot[order]].sum()
+        d = np.exp(inner, out=inner)
+        d[rows, slot[order]] -= 1
+        d /= n
+        back = np.empty_like(ranked)
+        for c, a, b in zip(found.tolist(), begin.tolist(), [*begin[1:].tolist(), len(order)], strict=True):
+            np.matmul(ranked[a:b].T, d[a:b], out=grads["word"][c])
+            np.matmul(d[a:b], p["word"][c].T, out=back[a:b])
+            grads["word_bias"][c] = d[a:b].sum(0)
+        d_states[order] += back
         return float(loss / n), grads, d_states
 
     def learn(self, docs: list[np.ndarray], epochs: int = 2, batch: int = 64, window: int = 24, rate: float = 0.01, last: float = 0.001, seed: int = 13, adam: gru.Adam | None = None) -> None:
@@ -211,7 +226,8 @@ class ClassModel:
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
     x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+    x -= np.log(np.exp(x).sum(1, keepdims=True))
+    return x
 
 
 def _summed_rows(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:

@@ -140,6 +140,27 @@ def test_most_frequent_words_fit_the_bound(spark, head):
     assert lm.most_frequent(frame.where("false"), head).collect() == []
 
 
+def test_class_outputs_are_computed_in_bounded_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = lm.ClassModel.fresh(rng.integers(1, 90, 23).astype(float), hidden=4)
+    states, sizes, log_softmax = rng.normal(size=(30, 4)).astype(np.float32), [], lm._log_softmax
+    whole = model.log_probs(np.repeat(states, 23, 0), np.tile(np.arange(23), 30))
+    monkeypatch.setattr(lm, "_AT_ONCE", 7, raising=False)
+    monkeypatch.setattr(lm, "_log_softmax", lambda x: sizes.append(len(x)) or log_softmax(x))
+    parts = model.log_probs(np.repeat(states, 23, 0), np.tile(np.arange(23), 30))
+    assert max(sizes) <= 7
+    assert np.allclose(whole, parts, atol=1e-5) and np.allclose(np.exp(parts).reshape(30, 23).sum(1), 1, atol=1e-4)
+    targets = rng.integers(0, 23, 30)
+    _, grads, d_states = model.gradients(states, targets)
+    for array, grad, at in ((model.params["word"], grads["word"], (1, 2, 1)), (model.params["word_bias"], grads["word_bias"], (0, 2)), (states, d_states, (4, 1))):
+        kept, losses = array[at], []
+        for move in (1e-2, -1e-2):
+            array[at] = kept + np.float32(move)
+            losses.append(-model.log_probs(states, targets).mean())
+        array[at] = kept
+        assert abs((losses[0] - losses[1]) / 2e-2 - grad[at]) < 1e-3
+
+
 def test_language_model_of_no_documents(spark):
     none = spark.createDataFrame([], DOCS)
     assert lm.score_documents(none, F.lit(True), F.lit(False)).collect() == []
