@@ -10,9 +10,13 @@ the ``BEAM`` nearest there; all queries of a block go through a graph side by
 side. Each shard's results are measured exactly, in double precision, and the
 results of all shards are merged.
 
-Queries meet shards in blocks, through an equi-join on the shard number. A
-graph may fall into parts that no link joins (tight clusters): a search starts
-in the nearest parts, too, by one vector of each.
+Every query meets every shard. The shards are dealt to bins, and each query goes
+once to every bin, not to every shard: the task of a bin builds its graphs one
+after the other and searches them at once, so no graph is written or shuffled.
+Where there are more than ``ASKED`` queries they go in groups, and a bin has a
+task for each. Nothing is joined, so nothing can be broadcast. A graph may fall
+into parts that no link joins (tight clusters): a search starts in the nearest
+parts, too, by one vector of each.
 
 Vectors are scaled by powers of two first, so that very large and very small
 ones neither overflow nor vanish.
@@ -28,14 +32,19 @@ for all found are returned; a repeated id counts once per distinct vector.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..session import materialize
 
 SHARD, LINKS, CANDIDATES, BEAM, BLOCK = 2_000, 16, 64, 96, 512
+#: Bins of shards, unless there are fewer shards or more than BIN shards to a bin; queries in a group.
+BINS, BIN, ASKED = 96, 64, 131_072
+#: A place of a search's beam that is not taken. The others hold the bits of the negative score, the number of the vector and whether it was expanded.
+NONE = np.iinfo(np.int64).max
+FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def one_of_each_part(near: np.ndarray) -> np.ndarray:
@@ -84,17 +93,17 @@ class Graph:
             order = np.argsort(-np.take_along_axis(scores, found, 1), axis=1, kind="stable")
             found = np.take_along_axis(found, order, 1)
             to_query = np.take_along_axis(scores, found, 1)
-            between = np.einsum("bid,bjd->bij", own[found], own[found], optimize=True)
+            between = np.matmul(own[found], own[found].transpose(0, 2, 1))
             keep, count = np.zeros(found.shape, bool), np.zeros(len(found), int)
             for j in range(width):  # nearer to the vector than to any neighbour chosen so far
                 crowded = ((between[:, j, :] > to_query[:, j, None]) & keep).any(1)
                 take = ~crowded & (count < links // 2)
                 keep[:, j], count = take, count + take
-            for row, mask in zip(found, keep, strict=True):
-                rest = row[~mask][: max(0, links // 2 - int(mask.sum()))]
-                chosen.append(np.concatenate([row[mask], rest]))
-        source = np.repeat(np.arange(n), [len(c) for c in chosen])
+            order = np.argsort(~keep, axis=1, kind="stable")[:, : links // 2]  # the others fill up what is left
+            chosen.append(np.take_along_axis(found, order, 1))
         target = np.concatenate(chosen)
+        source = np.repeat(np.arange(n), target.shape[1])
+        target = target.ravel()
         both = np.unique(np.concatenate([source * n + target, target * n + source]))
         source, target = both // n, both % n
         score = np.einsum("id,id->i", own[source], own[target])
@@ -111,60 +120,62 @@ class Graph:
         if not n or not many:
             return np.full((many, beam), -1)
         rows = np.arange(many)
+        # in a graph of a shard's size a search meets most vectors: one product is less work than fetching the vectors of each step
+        scores = queries @ self.vectors.T
         members, _ = self.levels[-1]
         entry = np.full(many, members[0])
         for members, near in self.levels[:0:-1]:  # greedy descent
             place = np.full(n, -1)
             place[members] = np.arange(len(members))
             at = place[entry]
-            best = np.einsum("qd,qd->q", queries, self.vectors[members[at]])
+            best = scores[rows, entry]
             while True:
                 around = near[at]
-                scores = np.einsum("qd,qld->ql", queries, self.vectors[members[around]])
-                scores[around < 0] = -np.inf
-                j = scores.argmax(1)
-                better = scores[rows, j] > best
+                found = scores[rows[:, None], members[around]]
+                found[around < 0] = -np.inf
+                j = found.argmax(1)
+                better = found[rows, j] > best
                 if not better.any():
                     break
                 at = np.where(better, around[rows, j], at)
-                best = np.where(better, scores[rows, j], best)
+                best = np.where(better, found[rows, j], best)
             entry = members[at]
         near = self.levels[0][1]
-        seen = np.zeros((many, n), bool)
-        seen[rows, entry] = True
-        ids = np.full((many, beam), -1)
-        scores, open_ = np.full((many, beam), -np.inf), np.zeros((many, beam), bool)
-        ids[:, 0], open_[:, 0] = entry, True
-        scores[:, 0] = np.einsum("qd,qd->q", queries, self.vectors[entry])
+        near = np.where(near < 0, n, near)
+        # what a search has met is NONE from then on, and so is column n, for no vector
+        keys = np.full((many, n + 1), NONE)
+        bits = np.subtract(0, scores, dtype=np.float32).view(np.int32)
+        keys[:, :n] = np.where(bits < 0, bits ^ 0x7FFFFFFF, bits).astype(np.int64) << 32 | np.arange(n) << 1
+        flat, first = keys.reshape(-1), rows * (n + 1)
+        held = np.full((many, beam), NONE)
+        held[:, 0], flat[first + entry] = flat[first + entry], NONE
         # the links may leave parts of the graph apart from each other: start in the nearest ones, too
-        others = queries @ self.vectors[self.entries].T
-        others[self.entries[None] == entry[:, None]] = -np.inf
-        first = np.argsort(-others, axis=1, kind="stable")[:, : beam - 1]
-        ids[:, 1 : first.shape[1] + 1] = self.entries[first]
-        scores[:, 1 : first.shape[1] + 1] = np.take_along_axis(others, first, 1)
-        doubled = np.isneginf(scores) & (ids >= 0)
-        ids[doubled] = -1
-        open_[:, 1:] = ids[:, 1:] >= 0
-        at_row, at_column = np.nonzero(open_)
-        seen[at_row, ids[at_row, at_column]] = True
-        active = rows
-        while len(active):
-            j = np.where(open_[active], scores[active], -np.inf).argmax(1)  # the nearest not yet expanded
-            at = ids[active, j]
-            open_[active, j] = False
-            around = near[at]
-            fresh = (around >= 0) & ~seen[active[:, None], around]
-            seen[active[:, None], np.where(around >= 0, around, at[:, None])] = True
-            found = np.einsum("qd,qld->ql", queries[active], self.vectors[around])
-            found[~fresh] = -np.inf
-            all_scores = np.concatenate([scores[active], found], 1)
-            all_ids = np.concatenate([ids[active], np.where(fresh, around, -1)], 1)
-            all_open = np.concatenate([open_[active], fresh], 1)
-            order = np.argsort(-all_scores, axis=1, kind="stable")[:, :beam]
-            scores[active], ids[active] = np.take_along_axis(all_scores, order, 1), np.take_along_axis(all_ids, order, 1)
-            open_[active] = np.take_along_axis(all_open, order, 1)
-            active = active[open_[active].any(1)]
-        return ids
+        others = np.sort(keys[:, self.entries], axis=1)[:, : beam - 1]
+        held[:, 1 : others.shape[1] + 1] = others
+        flat[first[:, None] + np.where(others == NONE, n, _number(others))] = NONE
+        done, active = held.copy(), rows
+        while True:
+            waiting = np.where(held & 1, NONE, held)
+            j = waiting.argmin(1)  # the nearest not yet expanded
+            nearest = waiting[np.arange(len(active)), j]
+            going = nearest != NONE
+            if not going.all():
+                done[active[~going]] = held[~going]
+                held, active, j, nearest = held[going], active[going], j[going], nearest[going]
+            if not len(active):
+                break
+            held[np.arange(len(active)), j] |= 1
+            around = first[active, None] + near[_number(nearest)]
+            held = np.concatenate([held, flat[around]], 1)
+            flat[around] = NONE
+            held.partition(beam - 1, axis=1)
+            held = held[:, :beam]
+        done.sort(axis=1)
+        return np.where(done == NONE, -1, _number(done))
+
+
+def _number(key: np.ndarray) -> np.ndarray:
+    return (key & 0xFFFFFFFF) >> 1
 
 
 def usable(embedding):
@@ -189,59 +200,75 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHAR
     if not shards:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count = F.create_map(*[F.lit(x) for pair in sorted(shards.items()) for x in pair])
-    placed = distinct.withColumn("shard", F.pmod(F.xxhash64("embedding"), count[F.col("dim")]).cast("int"))
-
-    def build(key: tuple[int, ...], part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("first")
-        raw = scaled(np.stack(part["embedding"].to_numpy()).astype(np.float64))
-        graph = Graph((raw / np.linalg.norm(raw, axis=1, keepdims=True)).astype(np.float32))
-        levels = [x for members, near in graph.levels for x in (members.astype(np.int32).tobytes(), near.tobytes())] + [graph.entries.astype(np.int32).tobytes()]
-        ids = np.full((len(part), keep), -1, np.int64)
-        for i, own in enumerate(part["ids"]):
-            ids[i, : len(own)] = own
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "vectors": [raw.tobytes()], "ids": [ids.tobytes()], "levels": [levels]})
-
-    index = placed.withColumn("first", F.element_at("ids", 1)).groupBy("dim", "shard").applyInPandas(build, "dim int, shard int, vectors binary, ids binary, levels array<binary>")
-    index = materialize(index, "graphs")
+    kind = distinct.schema["embedding"].dataType.elementType
+    values = F.col("embedding") if isinstance(kind, (FloatType, DoubleType)) else F.col("embedding").cast("array<double>")
     asked = clean(queries).withColumn("dim", F.size("embedding"))
     asked = asked.where(count[F.col("dim")].isNotNull())
-    block = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(max(1, -(-asked.count() // BLOCK)))).cast("int")
-    blocks = asked.groupBy("dim", block.alias("block")).agg(F.collect_list(F.struct("vec_id", F.col("embedding").cast("array<double>").alias("v"))).alias("queries"))
-    spread = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), (count[F.col("dim")] - 1).cast("int"))))
+    many = {r["dim"]: r["n"] for r in asked.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # one row a dimension
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bins = {dim: min(n, max(-(-n // BIN), min(BINS, 3 * tasks))) for dim, n in shards.items()}
+    groups = {dim: max(1, -(-many.get(dim, 0) // ASKED)) for dim in shards}
+    of = lambda sizes: F.create_map(*[F.lit(x) for pair in sorted(sizes.items()) for x in pair])[F.col("dim")]
+    every = lambda sizes: F.explode(F.sequence(F.lit(0), of(sizes) - 1))
+    shard = F.pmod(F.xxhash64("embedding"), count[F.col("dim")]).cast("int")
+    placed = distinct.select("dim", "ids", "embedding", shard.alias("shard")).withColumn("group", every(groups)).withColumn("bin", F.col("shard") % of(bins))
+    group = F.pmod(F.xxhash64("vec_id", "embedding"), of(groups)).cast("int")
+    spread = asked.withColumn("group", group).withColumn("bin", every(bins))
 
-    def look(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _looked_up(row, keep, beam)
+    def dealt(rows: DataFrame):
+        # with a number, as the work is not in the bytes by which small partitions would be joined
+        keys = sum(bins[dim] * groups[dim] for dim in bins)
+        return rows.withColumn("embedding", values).repartition(keys, "dim", "bin", "group").groupBy("dim", "bin", "group")
 
-    met = spread.join(index, ["dim", "shard"]).select("dim", "queries", "vectors", "ids", "levels")
-    found = met.mapInArrow(look, "query_id long, vec_id long, score double")
+    look = lambda index, asked: _looked_up(index, asked, keep, beam)
+    found = dealt(placed).cogroup(dealt(spread)).applyInArrow(look, "query_id long, vec_id long, score double")
     top = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.where("vec_id <> query_id").withColumn("rank", top).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", top).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _looked_up(row: dict, keep: int, beam: int) -> pa.RecordBatch:
-    raw = np.frombuffer(row["vectors"], np.float64).reshape(-1, row["dim"])
-    ids = np.frombuffer(row["ids"], np.int64).reshape(-1, keep)
+def _scaled_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The vectors of a table, scaled, their norms, and in single precision as unit rows."""
+    raw = pa.concat_arrays(table["embedding"].chunks).flatten().to_numpy(zero_copy_only=False)
+    raw = scaled(raw.astype(np.float64).reshape(len(table), -1))
     norms = np.sqrt((raw * raw).sum(1))
-    graph = Graph.__new__(Graph)
-    graph.vectors, graph.levels = (raw / norms[:, None]).astype(np.float32), []
-    for members, near in zip(row["levels"][:-1:2], row["levels"][1:-1:2], strict=True):
-        members = np.frombuffer(members, np.int32)
-        graph.levels.append((members, np.frombuffer(near, np.int32).reshape(len(members), -1)))
-    graph.entries = np.frombuffer(row["levels"][-1], np.int32)
-    asked = scaled(np.array([q["v"] for q in row["queries"]], np.float64))
-    asked_norms = np.sqrt((asked * asked).sum(1))
-    hits = graph.search((asked / asked_norms[:, None]).astype(np.float32), beam)[:, : 4 * keep]
-    query, at = np.nonzero(hits >= 0)
-    hit = hits[query, at]
-    score = (asked[query] * raw[hit]).sum(1) / (asked_norms[query] * norms[hit])
-    owner = np.array([q["vec_id"] for q in row["queries"]], np.int64)[query]
-    flat, many = ids[hit].ravel(), np.repeat(np.arange(len(hit)), keep)
-    real = flat >= 0
-    flat, many = flat[real], many[real]
-    order = np.lexsort((flat, -score[many], query[many]))
-    order = order[flat[order] != owner[many[order]]]
-    place = np.arange(len(order)) - np.searchsorted(query[many[order]], query[many[order]], "left")
+    return raw, norms, (raw / norms[:, None]).astype(np.float32)
+
+
+def _nearest(query: np.ndarray, vec_id: np.ndarray, score: np.ndarray, owner: np.ndarray, keep: int) -> tuple[np.ndarray, ...]:
+    """Of each query the ``keep`` rows with the highest scores, its own id left out; ``owner``: the ids of the queries."""
+    order = np.lexsort((vec_id, -score, query))
+    order = order[vec_id[order] != owner[query[order]]]
+    place = np.arange(len(order)) - np.searchsorted(query[order], query[order], "left")
     best = order[place < keep]
-    return pa.RecordBatch.from_arrays([pa.array(owner[many[best]]), pa.array(flat[best]), pa.array(score[many[best]])], names=["query_id", "vec_id", "score"])
+    return query[best], vec_id[best], score[best]
+
+
+def _looked_up(index: pa.Table, asked: pa.Table, keep: int, beam: int) -> pa.Table:
+    """The ``keep`` nearest rows of every query of ``asked`` in the shards of ``index``."""
+    if not len(index) or not len(asked):
+        return FOUND.empty_table()
+    asked = asked.take(np.argsort(asked["vec_id"].to_numpy(), kind="stable"))
+    owner = asked["vec_id"].to_numpy()
+    questions, asked_norms, asked_units = _scaled_rows(asked)
+    lists = pa.concat_arrays(index["ids"].chunks)
+    held = np.arange(keep) < lists.value_lengths().to_numpy()[:, None]
+    ids = np.full(held.shape, -1, np.int64)
+    ids[held] = lists.flatten().to_numpy()
+    shard = index["shard"].to_numpy()
+    order = np.lexsort((ids[:, 0], shard))
+    ids, shard = ids[order], shard[order]
+    raw, norms, units = (x[order] for x in _scaled_rows(index))
+    best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)  # query, vec_id, score
+    for members in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
+        graph, found = Graph(units[members]), [best]
+        for at in range(0, len(owner), BLOCK):
+            hits = graph.search(asked_units[at : at + BLOCK], beam)[:, : 4 * keep]
+            query, place = np.nonzero(hits >= 0)
+            query, hit = query + at, members[hits[query, place]]
+            score = (questions[query] * raw[hit]).sum(1) / (asked_norms[query] * norms[hit])
+            own = ids[hit] >= 0
+            many = own.sum(1)
+            found.append(_nearest(np.repeat(query, many), ids[hit][own], np.repeat(score, many), owner, keep))
+        best = _nearest(*(np.concatenate(x) for x in zip(*found, strict=True)), owner, keep)
+    query, vec_id, score = best
+    return pa.Table.from_arrays([pa.array(owner[query]), pa.array(vec_id), pa.array(score)], schema=FOUND)

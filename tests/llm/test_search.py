@@ -43,6 +43,25 @@ def test_tight_clusters_are_reached(clusters):
     assert 1 <= len(parts) <= clusters
 
 
+def test_queries_are_not_broadcast_and_go_once_to_every_bin(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    raw = rng.normal(size=(600, 8))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(raw)], "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id % 20 = 0")
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    np.fill_diagonal(cosine, -2)
+    want = {(i, r + 1, int(j)) for i in range(0, 600, 20) for r, j in enumerate(np.argsort(-cosine[i], kind="stable")[:5])}
+    for bins, group in ((7, 131_072), (96, 4), (1, 1)):  # 120 shards or so; groups of queries
+        monkeypatch.setattr(ann, "BINS", bins, raising=False)
+        monkeypatch.setattr(ann, "BIN", 1_000, raising=False)
+        monkeypatch.setattr(ann, "ASKED", group, raising=False)
+        got = ann.search(vectors, asked, shard=5)
+        assert {(r["query_id"], r["rank"], r["vec_id"]) for r in got.collect()} == want
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "Broadcast" not in plan and "Join" not in plan  # the blocks of queries, repeated for every shard, were broadcast
+
+
 def test_parts_of_a_graph():
     near = np.array([[1, -1], [0, -1], [3, 4], [2, -1], [2, -1], [-1, -1], [7, -1], [8, -1], [7, 6]])
     assert ann.one_of_each_part(near).tolist() == [0, 2, 5, 6]
