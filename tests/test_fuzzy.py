@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpreg.operators import fuzzy
 from corpreg.operators.golden import golden_from_harmonized, golden_records
@@ -79,6 +80,23 @@ def test_full_outer_equals_theta_join(spark, sf_small):
     assert fast.count() == duck_rows("fuzzy_full_outer", sf_small)
 
 
+def test_full_outer_makes_the_rows_of_a_hot_name_in_many_tasks(spark, monkeypatch):
+    # every second row is the same, the rest differ; one name has a close partner, others have none
+    s1 = [("Acme Inc.", f"{i % 2 * i} Main St", None, "Alpha") for i in range(300)] + [("Lonely LLC", None, None, None), (None, "x", None, None)]
+    s2 = [("ACME LLC", "Apple", float(i % 2 * i), None) for i in range(200)] + [("Acmee Co.", None, 1.0, 0.5), ("Nowhere Corp.", "Ford", None, None), (None, "y", None, None)]
+    s1 = spark.createDataFrame(s1, f"{S1_NAME} string, address string, activity_places string, top_suppliers string")
+    s2 = spark.createDataFrame(s2, f"{S2_NAME} string, main_customers string, revenue double, profit double")
+    monkeypatch.setattr(fuzzy, "BLOCK_ROWS", 16, raising=False)
+    slow = fuzzy.fuzzy_full_outer_naive(s1, s2)
+    want = sorted(slow.collect(), key=repr)
+    assert len(want) == 300 * 201 + 2
+    for pairs in (None, fuzzy.fuzzy_pairs(s1, s2)):
+        fast = fuzzy.fuzzy_full_outer(s1, s2, pairs)
+        assert fast.columns == slow.columns and sorted(fast.collect(), key=repr) == want
+        parts = [r["count"] for r in fast.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(parts) < sum(parts) / 3  # in one task before
+
+
 def test_pairs_plan_has_no_nested_loop(spark, sf_small):
     s1 = fixtures.supply_chain(spark, sf_small)
     s2 = fixtures.financial(spark, sf_small)
